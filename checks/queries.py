@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from holdfast import schema
 from holdfast.config import FeatureSpec, KMeansSpec, LogRegSpec, MLPSpec
@@ -46,17 +45,12 @@ WIKI, SNAPSHOT = "mainwiki", "2026-03"
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    def column(f: T.StructField):
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6) + F.lit(0.0)
-        elif isinstance(f.dataType, T.TimestampType):
-            c = F.unix_micros(c)
-        elif isinstance(f.dataType, T.IntegerType):
-            c = c.cast("bigint")
-        return c.alias(f.name)
-
-    return df.select(*[column(f) for f in df.schema.fields])
+    by_type = {
+        "double": "round({0}, 6) + 0D AS {0}",
+        "timestamp": "unix_micros({0}) AS {0}",
+        "int": "bigint({0}) AS {0}",
+    }
+    return df.selectExpr(*[by_type.get(kind, "{0}").format(c) for c, kind in df.dtypes])
 
 
 # Inputs shared by several queries.
@@ -180,11 +174,11 @@ def post_window(spark, sf_dir):
 def session_gaps(spark, sf_dir):
     edits = ranking.with_neighbours(events(spark, sf_dir), WINDOW)
     return tidy(
-        edits.select(
+        edits.selectExpr(
             USER,
             "revision_id",
-            (gap_seconds("ts", "prev_ts") / 60.0).alias("gap_minutes"),
-            starts_session(FeatureSpec()).alias("new_session"),
+            f"{gap_seconds('ts', 'prev_ts')} / 60D AS gap_minutes",
+            f"{starts_session(FeatureSpec())} AS new_session",
         )
     )
 

@@ -1,78 +1,64 @@
-"""What a single edit contributes to its editor's features.
+"""What the edits of an editor add up to, as SQL aggregates over single edits.
 
-Every measure is a number that is summed over the edits of an editor. Keeping features
-as sums until the end is what allows one grouped pass for all of them.
+Every measure is a count, a sum, a minimum or a maximum. Keeping features in this form
+until the end is what allows one grouped pass for all of them. Conditions that are NULL
+count as not holding.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from holdfast.config import FeatureSpec
-from holdfast.functions.scalars import (
-    DAY_SECONDS,
-    flag,
-    has_text,
-    is_weekend,
-    positive_part,
-)
+from holdfast.functions.scalars import DAY_SECONDS
 
 HOURS = range(24)
 
 
-def gap_seconds(later: str, earlier: str) -> Column:
-    return F.unix_timestamp(later) - F.unix_timestamp(earlier)
+def gap_seconds(later: str, earlier: str) -> str:
+    return f"(unix_timestamp({later}) - unix_timestamp({earlier}))"
 
 
-def starts_session(spec: FeatureSpec) -> Column:
-    """True for an editor's first edit and after a gap strictly longer than allowed."""
-    return F.col("prev_ts").isNull() | (
-        gap_seconds("ts", "prev_ts") > spec.session_gap_minutes * 60
-    )
+def starts_session(spec: FeatureSpec) -> str:
+    """An editor's first edit, or one after a gap strictly longer than allowed."""
+    limit = spec.session_gap_minutes * 60
+    return f"(prev_ts IS NULL OR {gap_seconds('ts', 'prev_ts')} > {limit})"
 
 
-def returns_in_time(spec: FeatureSpec) -> Column:
-    """True for the window's last edit if the next one is within the horizon (inclusive).
+def returns_in_time(spec: FeatureSpec) -> str:
+    """The window's last edit, if the next one is within the horizon (inclusive).
 
     Edits are ordered in time, so if any later edit is within the horizon, the next is.
     """
-    return (F.col("edit_rank") == spec.window) & (
-        gap_seconds("next_ts", "ts") <= spec.horizon_days * DAY_SECONDS
-    )
+    horizon = spec.horizon_days * DAY_SECONDS
+    return f"(edit_rank = {spec.window} AND {gap_seconds('next_ts', 'ts')} <= {horizon})"
 
 
-def measures(spec: FeatureSpec) -> dict[str, Column]:
-    diff = F.col("revision_text_bytes_diff")
-    reverted = F.col("revision_is_identity_reverted")
-    minor = F.col("revision_minor_edit")
+def counts(spec: FeatureSpec) -> dict[str, str]:
+    """Aggregates whose values for parts of an editor's edits are added up."""
+    talk = ", ".join(str(n) for n in spec.talk_namespaces)
+    diff = "revision_text_bytes_diff"
     return {
-        "edits": F.lit(1).cast("bigint"),
-        "reverted": flag(reverted),
-        "reverted_known": flag(reverted.isNotNull()),
-        "bytes_added": positive_part(diff),
-        "bytes_removed": positive_part(-diff),
-        "talk": flag(F.col("page_namespace").isin(*spec.talk_namespaces)),
-        "talk_known": flag(F.col("page_namespace").isNotNull()),
-        "weekend": flag(is_weekend(F.col("ts"))),
-        "summarised": flag(has_text(F.col("event_comment"))),
-        "minor": flag(minor),
-        "minor_known": flag(minor.isNotNull()),
-        "sessions": flag(starts_session(spec)),
-        "first_bytes": F.when(F.col("edit_rank") == 1, F.col("revision_text_bytes")),
-        "kept": flag(returns_in_time(spec)),
+        "window_edits": "count(*)",
+        "reverted": "count_if(revision_is_identity_reverted)",
+        "reverted_known": "count(revision_is_identity_reverted)",
+        "bytes_added": f"sum(if({diff} > 0, {diff}, 0L))",
+        "bytes_removed": f"sum(if({diff} < 0, -{diff}, 0L))",
+        "talk": f"count_if(page_namespace IN ({talk}))",
+        "talk_known": "count(page_namespace)",
+        "weekend": "count_if(dayofweek(ts) IN (1, 7))",
+        "summarised": "count_if(event_comment <> '')",
+        "minor": "count_if(revision_minor_edit)",
+        "minor_known": "count(revision_minor_edit)",
+        "sessions": f"count_if({starts_session(spec)})",
+        "first_bytes": "sum(if(edit_rank = 1, revision_text_bytes, NULL))",
+        "kept": f"count_if({returns_in_time(spec)})",
+        **{f"hour_{h}": f"count_if(hour = {h})" for h in HOURS},
     }
 
 
-def hour_counts() -> dict[str, Column]:
-    hour = F.hour("ts")
-    return {f"hour_{h}": flag(hour == h) for h in HOURS}
-
-
-def most_frequent_hour() -> Column:
+def most_frequent_hour() -> str:
     """The hour with the largest count, the earliest of them if several are equal.
 
     Count and hour are packed in one integer, so the largest is found without sorting.
     """
-    best = F.greatest(*[F.col(f"hour_{h}") * 24 + (23 - h) for h in HOURS])
-    return (F.lit(23) - best % 24).cast("int")
+    packed = ", ".join(f"hour_{h} * 24 + {23 - h}" for h in HOURS)
+    return f"int(23 - greatest({packed}) % 24)"

@@ -16,25 +16,13 @@ def sigmoid(z: Column) -> Column:
     return F.when(z >= 0, 1.0 / (1.0 + e)).otherwise(e / (1.0 + e))
 
 
-def hour_sin(hour: Column) -> Column:
-    return F.sin(F.lit(2 * math.pi) * hour / F.lit(24.0))
+def hour_sin(hour: str) -> str:
+    """SQL text of the hour as a position on the circle of a day."""
+    return f"sin(2 * pi() * {hour} / 24)"
 
 
-def hour_cos(hour: Column) -> Column:
-    return F.cos(F.lit(2 * math.pi) * hour / F.lit(24.0))
-
-
-def positive_part(x: Column) -> Column:
-    """``x`` where it is above zero, else 0; NULL counts as 0."""
-    return F.when(x > 0, x).otherwise(F.lit(0).cast("bigint"))
-
-
-def is_weekend(ts: Column) -> Column:
-    return F.dayofweek(ts).isin(1, 7)
-
-
-def has_text(c: Column) -> Column:
-    return F.coalesce(c != "", F.lit(False))
+def hour_cos(hour: str) -> str:
+    return f"cos(2 * pi() * {hour} / 24)"
 
 
 def flag(condition: Column) -> Column:

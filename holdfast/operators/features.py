@@ -24,69 +24,50 @@ def newcomers(edits: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def window_sums(edits: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Per editor: window bounds, summed measures, hour counts, namespace entropy term.
+    """Per editor: window bounds, counts and sums, and the namespace entropy term.
 
-    Grouping by editor and namespace first gives the namespace counts; the sums carry
-    over to the grouping by editor. All buffers are numbers of fixed size.
+    Grouping by editor and namespace first gives the namespace counts; everything else
+    carries over to the grouping by editor. All buffers are numbers of fixed size.
     """
-    sums = {**E.measures(spec), **E.hour_counts()}
+    counts = E.counts(spec)
+    window = with_neighbours(newcomers(edits, spec), spec.window)
     per_namespace = (
-        with_neighbours(newcomers(edits, spec), spec.window)
+        window.withColumn("hour", F.hour("ts"))
         .groupBy(USER, "page_namespace")
         .agg(
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("last_window_ts"),
-            *[F.sum(c).alias(name) for name, c in sums.items()],
+            F.expr("min(ts) AS first_ts"),
+            F.expr("max(ts) AS last_window_ts"),
+            *[F.expr(f"{text} AS {name}") for name, text in counts.items()],
         )
     )
-    return (
-        per_namespace.groupBy(USER)
-        .agg(
-            F.min("first_ts").alias("first_ts"),
-            F.max("last_window_ts").alias("last_window_ts"),
-            F.sum(F.col("edits") * F.log2("edits")).alias("count_log_count"),
-            *[F.sum(name).alias(name) for name in sums],
-        )
-        .withColumnRenamed("edits", "window_edits")
+    return per_namespace.groupBy(USER).agg(
+        F.expr("min(first_ts) AS first_ts"),
+        F.expr("max(last_window_ts) AS last_window_ts"),
+        F.expr("sum(window_edits * log2(window_edits)) AS count_log_count"),
+        *[F.expr(f"sum({name}) AS {name}") for name in counts],
     )
 
 
-def _mean(total: str, count: str = "window_edits") -> Column:
-    return F.try_divide(F.col(total).cast("double"), F.col(count))
-
-
-def _velocity() -> Column:
-    days = E.gap_seconds("last_window_ts", "first_ts") / F.lit(float(DAY_SECONDS))
-    return F.col("window_edits") / F.greatest(F.lit(1.0), days)
-
-
-def _entropy() -> Column:
-    """Shannon entropy in bits: ``-sum(c/n * log2(c/n)) = log2(n) - sum(c * log2(c)) / n``.
-
-    A single namespace gives exactly 0, which rounding must not turn negative.
-    """
-    n = F.col("window_edits")
-    return F.greatest(F.lit(0.0), F.log2(n) - F.col("count_log_count") / n)
-
-
-def feature_columns() -> dict[str, Column]:
-    """The features as expressions over :func:`window_sums`. A mean over nothing is NULL."""
-    hour = E.most_frequent_hour()
-    return {
-        "velocity": _velocity(),
-        "revert_rate": _mean("reverted", "reverted_known"),
-        "namespace_diversity": _entropy(),
-        "avg_bytes_added": _mean("bytes_added"),
-        "avg_bytes_removed": _mean("bytes_removed"),
-        "talk_page_ratio": _mean("talk", "talk_known"),
-        "peak_hour_sin": hour_sin(hour),
-        "peak_hour_cos": hour_cos(hour),
-        "weekend_ratio": _mean("weekend"),
-        "edit_summary_rate": _mean("summarised"),
-        "minor_edit_ratio": _mean("minor", "minor_known"),
-        "session_count": F.col("sessions"),
-        "first_edit_size": F.coalesce("first_bytes", F.lit(0).cast("bigint")),
-    }
+_WINDOW_DAYS = f"{E.gap_seconds('last_window_ts', 'first_ts')} / double({DAY_SECONDS})"
+
+# The features over :func:`window_sums`. A mean over nothing is NULL. Namespace diversity is
+# Shannon entropy in bits, -sum(c/n * log2(c/n)), rearranged to need only one more sum; with
+# a single namespace it is exactly 0, which rounding must not turn negative.
+_FEATURES = {
+    "velocity": f"window_edits / greatest(1D, {_WINDOW_DAYS})",
+    "revert_rate": "try_divide(reverted, reverted_known)",
+    "namespace_diversity": "greatest(0D, log2(window_edits) - count_log_count / window_edits)",
+    "avg_bytes_added": "bytes_added / window_edits",
+    "avg_bytes_removed": "bytes_removed / window_edits",
+    "talk_page_ratio": "try_divide(talk, talk_known)",
+    "peak_hour_sin": hour_sin("peak_hour"),
+    "peak_hour_cos": hour_cos("peak_hour"),
+    "weekend_ratio": "weekend / window_edits",
+    "edit_summary_rate": "summarised / window_edits",
+    "minor_edit_ratio": "try_divide(minor, minor_known)",
+    "session_count": "sessions",
+    "first_edit_size": "coalesce(first_bytes, 0L)",
+}
 
 
 def enough_edits(spec: FeatureSpec) -> Column:
@@ -110,26 +91,21 @@ def editor_profile(edits: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataF
     Selecting a few columns of this makes Catalyst prune the sums of all the others.
     """
     sums = window_sums(edits, spec).filter(enough_edits(spec) & observable(spec))
-    return sums.select(
+    return sums.withColumn("peak_hour", F.expr(E.most_frequent_hour())).selectExpr(
         USER,
         "first_ts",
         "last_window_ts",
         "window_edits",
-        E.most_frequent_hour().alias("peak_hour"),
-        F.when(F.col("kept") > 0, 0).otherwise(1).alias("dropout"),
-        *[c.alias(name) for name, c in feature_columns().items()],
+        "peak_hour",
+        "if(kept > 0, 0, 1) AS dropout",
+        *[f"{text} AS {name}" for name, text in _FEATURES.items()],
     )
 
 
 def feature_projection(profile: DataFrame) -> DataFrame:
     """The feature table: fixed order, NULL to 0, all doubles."""
-    return profile.select(
-        USER,
-        "dropout",
-        *[
-            F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-            for c in schema.FEATURE_COLS
-        ],
+    return profile.selectExpr(
+        USER, "dropout", *[f"coalesce(double({c}), 0D) AS {c}" for c in schema.FEATURE_COLS]
     )
 
 

@@ -6,7 +6,7 @@ numbers). Edits without a user or without a time are never ranked.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.operators.prefix import running_sum
@@ -31,7 +31,7 @@ def _by_user():
     return Window.partitionBy(USER).orderBy(*_ORDER)
 
 
-def edit_rank(edits: DataFrame, slice_seconds: int = 30 * 86400) -> DataFrame:
+def edit_rank(edits: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """All edits with their ``edit_rank``.
 
     An editor's whole history is never gathered in one task: it is ranked in slices of
@@ -39,7 +39,7 @@ def edit_rank(edits: DataFrame, slice_seconds: int = 30 * 86400) -> DataFrame:
     when only the first few ranks matter.
     """
     rows = _rankable(edits).withColumn(
-        "_slice", F.floor(F.unix_timestamp("ts") / F.lit(slice_seconds))
+        "_slice", F.expr(f"unix_timestamp(ts) div {slice_seconds}")
     )
     return running_sum(
         rows, [USER], "_slice", [F.col(c) for c in _ORDER], F.lit(1).cast("bigint"), "edit_rank"
@@ -64,26 +64,8 @@ def first_window(edits: DataFrame, n: int) -> DataFrame:
 
 
 def post_window(edits: DataFrame, n: int) -> DataFrame:
-    """Edits that come after their editor's ``n``-th.
-
-    Ranks are not needed for that: the ``n``-th edit of each editor (at most one row) is
-    joined back and compared. Adaptive execution splits a hot editor in such a join.
-    """
-    def position(ts: Column, id_length: Column, rev: Column) -> Column:
-        return F.struct(ts.alias("t"), id_length.alias("l"), rev.alias("r"))
-
-    order = [F.col(c) for c in _ORDER]
-    bound = (
-        first_edits(edits, n)
-        .filter(F.col("edit_rank") == n)
-        .select(USER, position(*order).alias("_bound"))
-    )
-    return (
-        _rankable(edits)
-        .join(bound, USER)
-        .filter(position(*order) > F.col("_bound"))
-        .drop("_bound", "_id_length")
-    )
+    """Edits that come after their editor's ``n``-th, with ``edit_rank``."""
+    return edit_rank(edits).filter(F.col("edit_rank") > n)
 
 
 def with_neighbours(edits: DataFrame, n: int) -> DataFrame:

@@ -7,50 +7,111 @@ tab-separated history, and ``events`` as the raw change feed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from holdfast import schema
 
-_EVENT_TYPES_IN_TALK = ("purchase", "error")
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _clean_layout(df: DataFrame, **known: Column) -> DataFrame:
-    """Project to the clean layout; columns the source has no value for are NULL."""
-    known["year"] = F.year(known["ts"])
-    known["month"] = F.month(known["ts"])
-    return df.select(
+def _project(df: DataFrame, layout, known: dict[str, str], default: str = "NULL") -> DataFrame:
+    """The columns of a layout from SQL text; columns without any get the default."""
+    return df.selectExpr(
         *[
-            known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.CLEAN.fields
+            f"CAST({known.get(f.name, default)} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in layout.fields
         ]
     )
 
 
+_ORDER_EDIT = {
+    "wiki_db": "'orders'",
+    "ts": "o_orderdate",
+    "year": "year(o_orderdate)",
+    "month": "month(o_orderdate)",
+    "event_user_id": "o_custkey",
+    "event_user_text": "concat('customer ', o_custkey)",
+    "page_id": "o_orderkey % 1000",
+    "page_namespace": "substring(o_orderpriority, 1, 1) IN ('1', '2')",
+    "revision_id": "o_orderkey",
+    "revision_minor_edit": "o_orderkey % 3 = 0",
+    "revision_text_bytes": "round(o_totalprice)",
+    "revision_text_bytes_diff": "round(o_totalprice) - 200000",
+    "revision_is_identity_revert": "o_orderstatus = 'P'",
+    "revision_is_identity_reverted": "o_orderstatus = 'F'",
+    "event_comment": """CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+                        ELSE concat('order ', o_orderkey) END""",
+}
+
+_EVENT_K = "bigint(get_json_object(props, '$.k'))"
+
+_EVENT_EDIT = {
+    "wiki_db": "'events'",
+    "ts": "ts",
+    "year": "year(ts)",
+    "month": "month(ts)",
+    "event_user_id": "user_id",
+    "page_id": "event_id % 1000",
+    "page_namespace": "event_type IN ('purchase', 'error')",
+    "revision_id": "event_id",
+    "revision_minor_edit": f"{_EVENT_K} % 2 = 1",
+    "revision_text_bytes": "round(value * 100)",
+    "revision_text_bytes_diff": f"{_EVENT_K} - 50",
+    "revision_is_identity_reverted": "event_type = 'error'",
+    "event_comment": f"if({_EVENT_K} % 4 = 0, '', event_type)",
+}
+
+# Some rows are not revisions, made by bots, anonymous (or unknown to be), in other or
+# unknown namespaces, or have no readable time.
+_ORDER_RAW = {
+    "wiki_db": "'orders'",
+    "event_entity": "if(o_orderkey % 11 = 0, 'user', 'revision')",
+    "event_type": "'create'",
+    "event_timestamp": """if(o_orderkey % 97 = 0, 'junk',
+                            date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss.S'))""",
+    "event_comment": """if(o_orderkey % 5 > 1, concat('said "order" ', o_orderkey), '')""",
+    "event_user_id": "o_custkey",
+    "event_user_text": "concat('customer ', o_custkey)",
+    "event_user_is_bot_by": "if(o_orderkey % 13 = 0, 'name,group', '')",
+    "event_user_is_anonymous": """CASE WHEN o_orderkey % 17 = 0 THEN 'true'
+                                  WHEN o_orderkey % 17 > 1 THEN 'false' ELSE '' END""",
+    "event_user_revision_count": "o_orderkey % 50",
+    "page_id": "o_orderkey % 1000",
+    "page_namespace": """if(o_orderkey % 19 = 0, '',
+                           string(int(substring(o_orderpriority, 1, 1)) - 1))""",
+    "revision_id": "o_orderkey",
+    "revision_minor_edit": "o_orderkey % 3 = 0",
+    "revision_text_bytes": "bigint(round(o_totalprice))",
+    "revision_text_bytes_diff": """if(o_orderkey % 7 > 0,
+                                     string(bigint(round(o_totalprice)) - 200000), '')""",
+    "revision_is_identity_reverted": "o_orderstatus = 'F'",
+    "revision_is_identity_revert": "false",
+}
+
+# Some lines are bot edits, edits of another wiki, page creations, lines without a length,
+# and lines that are not JSON.
+_EVENT_CHANGE = f"""
+if(event_id % 101 = 0, '{{"wiki": broken', to_json(named_struct(
+  'wiki', if(event_id % 7 = 0, 'otherwiki', 'mainwiki'),
+  'type', if(event_id % 5 = 0, 'new', 'edit'),
+  'bot', if(event_id % 11 < 8, event_id % 11 = 0, NULL),
+  'user', string(user_id),
+  'title', concat('page ', event_id),
+  'namespace', if(event_id % 9 > 0, int(event_id % 3), NULL),
+  'timestamp', unix_timestamp(timestamp(ts)),
+  'length', if(event_id % 13 > 0, named_struct('old', 50L, 'new', {_EVENT_K}), NULL),
+  'comment', if(event_id % 4 > 0, event_type, NULL),
+  'minor', {_EVENT_K} % 2 = 1,
+  'tags', if(event_id % 6 = 0, array('mobile', 'mw-revert'), NULL)
+))) AS value
+"""
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def orders_as_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is an edit of its customer."""
-    key, price = F.col("o_orderkey"), F.round("o_totalprice").cast("bigint")
-    return _clean_layout(
-        _table(spark, sf_dir, "orders"),
-        wiki_db=F.lit("orders"),
-        ts=F.col("o_orderdate").cast("timestamp"),
-        event_user_id=F.col("o_custkey"),
-        event_user_text=F.concat(F.lit("customer "), F.col("o_custkey")),
-        page_id=key % 1000,
-        page_namespace=F.substring("o_orderpriority", 1, 1).isin("1", "2").cast("int"),
-        revision_id=key,
-        revision_minor_edit=key % 3 == 0,
-        revision_text_bytes=price,
-        revision_text_bytes_diff=price - 200000,
-        revision_is_identity_revert=F.col("o_orderstatus") == "P",
-        revision_is_identity_reverted=F.col("o_orderstatus") == "F",
-        event_comment=F.when(key % 5 == 1, F.lit(""))
-        .when(key % 5 > 1, F.concat(F.lit("order "), key)),
-    )
+    return _project(_table(spark, sf_dir, "orders"), schema.CLEAN, _ORDER_EDIT)
 
 
 def events_as_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,90 +120,16 @@ def events_as_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_to_edits(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return _clean_layout(
-        events,
-        wiki_db=F.lit("events"),
-        ts=F.col("ts").cast("timestamp"),
-        event_user_id=F.col("user_id"),
-        page_id=F.col("event_id") % 1000,
-        page_namespace=F.col("event_type").isin(*_EVENT_TYPES_IN_TALK).cast("int"),
-        revision_id=F.col("event_id"),
-        revision_minor_edit=k % 2 == 1,
-        revision_text_bytes=F.round(F.col("value") * 100).cast("bigint"),
-        revision_text_bytes_diff=k - 50,
-        revision_is_identity_reverted=F.col("event_type") == "error",
-        event_comment=F.when(k % 4 == 0, F.lit("")).otherwise(F.col("event_type")),
-    )
+    return _project(events, schema.CLEAN, _EVENT_EDIT)
 
 
 def orders_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in the raw history layout, with rows that cleaning has to drop."""
-    key, price = F.col("o_orderkey"), F.round("o_totalprice").cast("bigint")
-    cells = {
-        "wiki_db": F.lit("orders"),
-        "event_entity": F.when(key % 11 == 0, "user").otherwise("revision"),
-        "event_type": F.lit("create"),
-        "event_timestamp": F.when(key % 97 == 0, "junk").otherwise(
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.S")
-        ),
-        "event_comment": F.when(key % 5 > 1, F.concat(F.lit('said "order" '), key)),
-        "event_user_id": F.col("o_custkey"),
-        "event_user_text": F.concat(F.lit("customer "), F.col("o_custkey")),
-        "event_user_is_bot_by": F.when(key % 13 == 0, "name,group"),
-        "event_user_is_anonymous": F.when(key % 17 == 0, "true").when(
-            key % 17 > 1, "false"
-        ),
-        "event_user_revision_count": key % 50,
-        "page_id": key % 1000,
-        "page_namespace": F.when(key % 19 == 0, F.lit(None)).otherwise(
-            F.substring("o_orderpriority", 1, 1).cast("int") - 1
-        ),
-        "revision_id": key,
-        "revision_minor_edit": F.when(key % 3 == 0, "true").otherwise("false"),
-        "revision_text_bytes": price,
-        "revision_text_bytes_diff": F.when(key % 7 > 0, price - 200000),
-        "revision_is_identity_reverted": F.when(
-            F.col("o_orderstatus") == "F", "true"
-        ).otherwise("false"),
-        "revision_is_identity_revert": F.lit("false"),
-    }
-    return _table(spark, sf_dir, "orders").select(
-        *[
-            F.coalesce(cells.get(name, F.lit(None)).cast("string"), F.lit("")).alias(name)
-            for name in schema.RAW.fieldNames()
-        ]
-    )
+    """Orders as the text cells of the raw history, with rows that cleaning has to drop."""
+    orders = _table(spark, sf_dir, "orders")
+    as_text = schema.struct(", ".join(f"{c} string" for c in schema.RAW.fieldNames()))
+    return _project(orders, as_text, _ORDER_RAW, default="''")
 
 
 def events_as_changes(events: DataFrame) -> DataFrame:
-    """Events as change-feed JSON lines in a ``value`` column.
-
-    Works on a batch and on a stream. Some rows are bot edits, edits of another wiki,
-    page creations, lines without a length, and lines that are not JSON.
-    """
-    event_id = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    change = F.to_json(
-        F.struct(
-            F.when(event_id % 7 == 0, "otherwiki").otherwise("mainwiki").alias("wiki"),
-            F.when(event_id % 5 == 0, "new").otherwise("edit").alias("type"),
-            F.when(event_id % 11 < 8, event_id % 11 == 0).alias("bot"),
-            F.col("user_id").cast("string").alias("user"),
-            F.concat(F.lit("page "), event_id).alias("title"),
-            F.when(event_id % 9 > 0, (event_id % 3).cast("int")).alias("namespace"),
-            F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"),
-            F.when(
-                event_id % 13 > 0,
-                F.struct(F.lit(50).cast("bigint").alias("old"), k.alias("new")),
-            ).alias("length"),
-            F.when(event_id % 4 > 0, F.col("event_type")).alias("comment"),
-            (k % 2 == 1).alias("minor"),
-            F.when(
-                event_id % 6 == 0, F.array(F.lit("mobile"), F.lit("mw-revert"))
-            ).alias("tags"),
-        )
-    )
-    return events.select(
-        F.when(event_id % 101 == 0, F.lit('{"wiki": broken')).otherwise(change).alias("value")
-    )
+    """Events as change-feed JSON lines in a ``value`` column; works on a stream too."""
+    return events.selectExpr(_EVENT_CHANGE)

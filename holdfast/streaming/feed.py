@@ -3,12 +3,12 @@ of lines as well as on a stream of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast import schema
-from holdfast.functions.scalars import flag, has_text, hour_cos, hour_sin, positive_part
+from holdfast.functions.scalars import flag, hour_cos, hour_sin
 from holdfast.operators.logreg import LogRegModel
 
 # Fixed value: the tag the feed puts on an edit that undoes earlier ones.
@@ -68,34 +68,31 @@ def parse_envelope(records: DataFrame) -> DataFrame:
     return _parse(records, schema.ENVELOPE)
 
 
-def _feature_proxies() -> dict[str, Column]:
-    """What a single edit says about each feature; 0 where it says nothing.
-
-    ``revert_rate`` here is whether the edit is a revert, while the batch feature is
-    whether edits were reverted later. That difference is part of the contract.
-    """
-    diff, hour = F.col("bytes_diff"), F.hour(F.timestamp_seconds("ts"))
-    return {
-        "velocity": F.lit(0.0),
-        "revert_rate": F.col("is_revert"),
-        "namespace_diversity": F.lit(0.0),
-        "avg_bytes_added": positive_part(diff),
-        "avg_bytes_removed": positive_part(-diff),
-        "talk_page_ratio": F.col("namespace") == 1,
-        "peak_hour_sin": hour_sin(hour),
-        "peak_hour_cos": hour_cos(hour),
-        "weekend_ratio": F.lit(0.0),
-        "edit_summary_rate": has_text(F.col("comment")),
-        "minor_edit_ratio": F.col("minor"),
-        "session_count": F.lit(1.0),
-        "first_edit_size": positive_part(diff),
-    }
+# What a single edit says about each feature; 0 where it says nothing. ``revert_rate`` here
+# is whether the edit is a revert, while the batch feature is whether edits were reverted
+# later. That difference is part of the contract.
+_HOUR = "hour(timestamp_seconds(ts))"
+_PROXIES = {
+    "velocity": "0",
+    "revert_rate": "is_revert",
+    "namespace_diversity": "0",
+    "avg_bytes_added": "greatest(bytes_diff, 0L)",
+    "avg_bytes_removed": "greatest(-bytes_diff, 0L)",
+    "talk_page_ratio": "namespace = 1",
+    "peak_hour_sin": hour_sin(_HOUR),
+    "peak_hour_cos": hour_cos(_HOUR),
+    "weekend_ratio": "0",
+    "edit_summary_rate": "coalesce(comment <> '', false)",
+    "minor_edit_ratio": "minor",
+    "session_count": "1",
+    "first_edit_size": "greatest(bytes_diff, 0L)",
+}
 
 
 def partial_features(envelopes: DataFrame) -> DataFrame:
     keep = [c for c in ("user", "title", "ts", "corrupt") if c in envelopes.columns]
-    return envelopes.select(
-        *keep, *[c.cast("double").alias(name) for name, c in _feature_proxies().items()]
+    return envelopes.selectExpr(
+        *keep, *[f"double({text}) AS {name}" for name, text in _PROXIES.items()]
     )
 
 
