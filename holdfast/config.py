@@ -45,11 +45,15 @@ class KMeansSpec:
 
 @dataclass(frozen=True)
 class MLPSpec:
+    """``workers`` partitions train in parallel, or more if one would otherwise get more
+    than ``rows_per_worker`` rows."""
+
     hidden: tuple[int, int] = (64, 32)
     dropout: float = 0.2
     epochs: int = 15
     batch: int = 256
     seed: int = 7
     workers: int = 4
+    rows_per_worker: int = 1_000_000
     validation_split: float = 0.1
     learning_rate: float = 1e-3

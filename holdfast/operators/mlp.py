@@ -8,6 +8,7 @@ driver sees one set of weights however many partitions there are.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -182,21 +183,23 @@ def fit(
 ) -> MLPModel:
     """Fit on ``train``, which should be a stored table.
 
-    Rows go to ``spec.workers`` partitions by key and are ordered by a hash inside, so a
-    rerun of a lost task sees the same rows in the same order and returns the same result.
+    Rows go to partitions by key and are ordered by a hash inside, so a rerun of a lost
+    task sees the same rows in the same order and returns the same result. The number of
+    partitions follows from the number of rows, not from the size of the cluster.
     """
     scaler = fit_scaler(train, features)
+    workers = max(spec.workers, math.ceil(scaler.count / spec.rows_per_worker))
     k = F.col(key)
     rows = (
         train.select(
             k.alias("_key"),
-            F.pmod(F.hash(k), F.lit(spec.workers)).alias("_worker"),
+            F.pmod(F.hash(k), F.lit(workers)).alias("_worker"),
             hash32(k, ":order").alias("_order"),
             (hash_unit(k, ":held out") < spec.validation_split).alias("_held_out"),
             F.col(label).cast("double").alias("_y"),
             *scaler.columns(),
         )
-        .repartition(spec.workers, "_key")
+        .repartition(workers, "_key")
         .sortWithinPartitions("_order", "_key")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

@@ -107,7 +107,7 @@ def load_json_frame(spark: SparkSession, path: str, layout: T.StructType) -> Dat
 
 def load_json(spark: SparkSession, path: str) -> dict[str, Any]:
     """The saved object as a dictionary. Its size is that of a model, not of the data."""
-    return json.loads(spark.read.option("wholetext", True).text(path).first().value)
+    return json.loads(spark.read.text(path, wholetext=True).first().value)
 
 
 def load_json_optional(spark: SparkSession, path: str) -> dict[str, Any] | None:

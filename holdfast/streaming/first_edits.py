@@ -31,7 +31,7 @@ _STATE = T.StructType(
 )
 
 
-def first_edits_stream(edits: DataFrame, n: int, shards: int = 8) -> DataFrame:
+def first_edits_stream(edits: DataFrame, n: int, shards: int = 4) -> DataFrame:
     columns = edits.columns
     layout = T.StructType([edits.schema[c] for c in columns])
 
