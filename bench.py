@@ -48,7 +48,9 @@ def run(df: DataFrame) -> None:
 def cases(spark: SparkSession) -> dict:
     """Whole jobs with the default parameters, each over all rows of its table."""
     raw = new_path(spark, "raw")
-    files.write_revision_tsv(views.orders_as_raw(spark, SF_DIR), raw)
+    # The history comes as one file per month; here, as several files by time.
+    history = views.orders_as_raw(spark, SF_DIR).repartitionByRange(16, "event_timestamp")
+    files.write_revision_tsv(history, raw)
     table = materialize(
         features.editor_features(views.orders_as_edits(spark, SF_DIR)), "features"
     )

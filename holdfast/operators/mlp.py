@@ -24,6 +24,7 @@ from holdfast import schema
 from holdfast.config import MLPSpec
 from holdfast.functions.scalars import hash32, hash_unit
 from holdfast.operators.vectors import KEY, Scaler, fit_scaler
+from holdfast.shipping import ship_package
 
 _TRAIN_LOSS, _VAL_LOSS = -1, -2
 
@@ -150,6 +151,7 @@ class MLPModel:
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
         """Add the predicted probability, one Arrow batch at a time."""
+        ship_package(df.sparkSession)
         flat, hidden, s = self.weights, self.hidden, self.scaler
 
         @F.pandas_udf("double")
@@ -187,6 +189,7 @@ def fit(
     task sees the same rows in the same order and returns the same result. The number of
     partitions follows from the number of rows, not from the size of the cluster.
     """
+    ship_package(train.sparkSession)
     scaler = fit_scaler(train, features)
     workers = max(spec.workers, math.ceil(scaler.count / spec.rows_per_worker))
     k = F.col(key)

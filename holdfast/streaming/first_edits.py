@@ -5,9 +5,10 @@ editor. The result is a small append-only table that holds the first ``n`` edits
 editor (and a few that were overtaken by late ones), so the batch feature job over that
 table gives the same rows as over the whole history, in whatever order edits arrive.
 
-State is the sort keys of at most ``n`` edits. It is kept per editor and ``shard``: keeping
-the first ``n`` of each shard keeps the first ``n`` of the editor, and an editor with very
-many edits is spread over several tasks.
+State is the sort keys of at most ``n`` edits, per editor and ``shard``. Keeping the first
+``n`` of each shard keeps the first ``n`` of the editor, so an editor with very many edits
+can be spread over several tasks. With many editors, run it on a state store on disk
+(``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from holdfast.operators.ranking import USER
+from holdfast.shipping import ship_package
 
 _STATE = T.StructType(
     [
@@ -31,39 +33,63 @@ _STATE = T.StructType(
 )
 
 
-def first_edits_stream(edits: DataFrame, n: int, shards: int = 4) -> DataFrame:
-    columns = edits.columns
-    layout = T.StructType([edits.schema[c] for c in columns])
+def _earliest(chunk: pd.DataFrame, known: list[tuple], n: int) -> tuple[list[tuple], list[int]]:
+    """The first ``n`` sort keys of ``known`` and ``chunk``, and the chunk's rows in them.
+
+    A row later than the ``n``-th of either can not be among them, so most rows of a large
+    chunk are set aside by their time alone.
+    """
+    micros = chunk["_micros"].to_numpy()
+    latest = known[-1][0] if len(known) == n else np.iinfo("int64").max
+    if len(micros) > n:
+        latest = min(latest, np.partition(micros, n - 1)[n - 1])
+    rows = np.flatnonzero(micros <= latest)
+    revisions = chunk["revision_id"].to_numpy()[rows]
+    fresh = [(int(micros[i]), len(r), r, int(i)) for i, r in zip(rows, revisions)]
+    first = sorted([(*key, -1) for key in known] + fresh)[:n]
+    return [key for *key, _ in first], [i for *_, i in first if i >= 0]
+
+
+def first_edits_stream(edits: DataFrame, n: int, shards: int = 1) -> DataFrame:
+    """``edits`` without those that can not be among the first ``n`` of their editor.
+
+    A batch is as large as the source's limit per trigger allows, and that bounds what one
+    editor can bring to one task. Use more ``shards`` if it is still too much. The cost per
+    editor and batch is mostly that of passing columns to Python, so all columns but the
+    sort key travel as one.
+    """
+    ship_package(edits.sparkSession)
+    packed = [c for c in edits.columns if c not in (USER, "ts", "revision_id")]
+    packed_type = T.StructType([edits.schema[c] for c in packed])
 
     def keep(
         key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        known = []
         if state.exists:
-            micros, revisions = (list(part) for part in state.get)
-        else:
-            micros, revisions = [], []
-        known = pd.DataFrame({"_micros": np.array(micros, "int64"), "revision_id": revisions})
+            known = [(m, len(r), r) for m, r in zip(*state.get)]
         kept = []
         for chunk in chunks:
-            # Of what this chunk and the edits before it hold, only the first n can matter.
-            pool = pd.concat([known.assign(_new=False), chunk.assign(_new=True)])
-            pool["_length"] = pool["revision_id"].str.len()
-            pool = pool.sort_values(["_micros", "_length", "revision_id"]).head(n)
-            fresh = pool[pool["_new"].astype(bool)]
-            if len(fresh):
-                kept.append(fresh[columns])
-            known = pool[["_micros", "revision_id"]]
-        state.update(
-            ([int(m) for m in known["_micros"]], [str(r) for r in known["revision_id"]])
-        )
+            known, rows = _earliest(chunk, known, n)
+            if rows:
+                kept.append(chunk.iloc[rows])
+        state.update(([m for m, _, _ in known], [r for _, _, r in known]))
         yield from kept
 
-    return (
-        edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull())
-        .withColumn("_micros", F.unix_micros("ts"))
-        .withColumn("_shard", F.pmod(F.xxhash64("revision_id"), F.lit(shards)))
-        .groupBy(USER, "_shard")
-        .applyInPandasWithState(
-            keep, layout, _STATE, "append", GroupStateTimeout.NoTimeout
-        )
+    arriving = edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull()).select(
+        USER,
+        F.unix_micros("ts").alias("_micros"),
+        "revision_id",
+        F.to_json(F.struct(*packed)).alias("_packed"),
+        F.pmod(F.xxhash64("revision_id"), F.lit(shards)).alias("_shard"),
+    )
+    kept = arriving.groupBy(USER, "_shard").applyInPandasWithState(
+        keep, arriving.schema, _STATE, "append", GroupStateTimeout.NoTimeout
     )
+    unpacked = kept.select(
+        USER,
+        F.timestamp_micros("_micros").alias("ts"),
+        "revision_id",
+        F.from_json("_packed", packed_type).alias("_other"),
+    ).select(USER, "ts", "revision_id", "_other.*")
+    return unpacked.select(*edits.columns)

@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of local sessions that name none, by application.
+_own: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -25,9 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir must name a folder that every executor can reach"
         )
-    folder = tempfile.mkdtemp(prefix="holdfast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="holdfast-")
+    return _own[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
