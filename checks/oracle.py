@@ -412,6 +412,16 @@ proxies AS (
 """
 
 
+# Both models in one statement; the clustering has its own scaler, over all rows.
+BOTH = [
+    *METRICS,
+    *[c.replace("scaler", "scaler_all") for c in KMEANS[len(feature_ctes()) + 1 :]],
+    ASSIGNED,
+    PROFILE,
+    f"quality AS (SELECT {_SILHOUETTE} AS silhouette FROM assigned)",
+]
+
+
 ORACLE: dict[str, str] = {
     "read_revision_tsv": with_(
         RAW,
@@ -533,6 +543,11 @@ ORACLE: dict[str, str] = {
         select=f"""SELECT {USER}, dropout,
                    {big('CASE WHEN score >= 0.5 THEN 1 ELSE 0 END', 'predicted')} FROM scored""",
     ),
+    "class_split": with_(
+        *LOGREG,
+        select=f"""SELECT round(score, 6) AS score, {big('sum(dropout)', 'pos')},
+                   {big('sum(1 - dropout)', 'neg')} FROM scored GROUP BY round(score, 6)""",
+    ),
     "confusion_matrix": with_(*METRICS, select="SELECT * FROM confusion"),
     "auc_roc": with_(*METRICS, select=f"SELECT {r6('auc_roc')} FROM auc"),
     "binary_metrics": with_(
@@ -629,21 +644,21 @@ ORACLE: dict[str, str] = {
                    {r6('mean_velocity')} FROM profile""",
     ),
     "results_table": with_(
-        *METRICS,
-        *[
-            # The clustering has its own scaler, over all rows.
-            c.replace("scaler", "scaler_all")
-            for c in KMEANS[len(feature_ctes()) + 1 :]
-        ],
-        ASSIGNED,
-        PROFILE,
-        f"quality AS (SELECT {_SILHOUETTE} AS silhouette FROM assigned)",
+        *BOTH,
         select=f"""SELECT {big('cluster_id')}, {big('cluster_size')},
                    {r6('auc_roc', 'model_auc_logreg')}, CAST(NULL AS DOUBLE) AS model_auc_dnn,
                    {r6('silhouette', 'kmeans_silhouette')}, """
         + ", ".join(r6(f"mean_{f}") for f in F)
         + " FROM profile, auc, quality",
     ),
+    "summary": with_(
+        *BOTH,
+        select=f"""SELECT (SELECT {big('count(*)', 'n')} FROM feats_m) AS n_editors,
+                   (SELECT {r6('avg(dropout)', 'd')} FROM feats_m) AS dropout_rate,
+                   (SELECT {big('n')} FROM scaler) AS n_train, {r6('auc_roc')}, tp,
+                   {big('4', 'k')}, {r6('silhouette')}
+                   FROM auc, confusion, quality""",
+    ),
     "survival_curve": with_(
         ORDERS,
         f"""

@@ -265,6 +265,13 @@ def predictions(spark, sf_dir):
     )
 
 
+def class_split(spark, sf_dir):
+    """Test rows of each class per distinct (rounded) score."""
+    model, test = fitted_logreg(spark, sf_dir)
+    scored = model.score(test).withColumn("score", F.round("score", 6))
+    return evaluate.score_counts(scored)
+
+
 def confusion_matrix(spark, sf_dir):
     model, test = fitted_logreg(spark, sf_dir)
     return evaluate.confusion_matrix(evaluate.score_counts(model.score(test)))
@@ -450,6 +457,38 @@ def results_table(spark, sf_dir):
     return tidy(stored.drop("logreg_train_seconds", "kmeans_train_seconds"))
 
 
+def summary(spark, sf_dir):
+    """The summary object, written and read back."""
+    table = stored_features(spark, sf_dir)
+    train, test = vectors.train_test_split(table)
+    lr = logreg.fit(train, THREE_EPOCHS)
+    km = kmeans.fit(table, THREE_ITERATIONS)
+    obj = report.summary(
+        table,
+        jobs.logreg_metrics(lr, lr.score(test), THREE_EPOCHS),
+        jobs.kmeans_metrics(km, km.assign(table)),
+    )
+    folder = new_path(spark, "dashboard")
+    files.write_summary(spark, obj, folder)
+    layout = (
+        "n_editors bigint, dropout_rate double, "
+        "logreg struct<n_train: bigint, auc_roc: double, confusion: struct<tp: bigint>>, "
+        "kmeans struct<k: bigint, silhouette: double>"
+    )
+    stored = files.load_json_frame(spark, f"{folder}/summary.json", layout)
+    return tidy(
+        stored.selectExpr(
+            "n_editors",
+            "dropout_rate",
+            "logreg.n_train AS n_train",
+            "logreg.auc_roc AS auc_roc",
+            "logreg.confusion.tp AS tp",
+            "kmeans.k AS k",
+            "kmeans.silhouette AS silhouette",
+        )
+    )
+
+
 def survival_curve(spark, sf_dir):
     lifetimes = survival.editor_lifetimes(orders(spark, sf_dir), FeatureSpec().horizon_days)
     return tidy(survival.survival_curve(lifetimes))
@@ -505,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "model_json": model_json,
     "logreg_scores": logreg_scores,
     "predictions": predictions,
+    "class_split": class_split,
     "confusion_matrix": confusion_matrix,
     "auc_roc": auc_roc,
     "binary_metrics": binary_metrics,
@@ -527,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "panel_cluster_sizes": panel_cluster_sizes,
     "panel_revert_vs_velocity": panel_revert_vs_velocity,
     "results_table": results_table,
+    "summary": summary,
     "survival_curve": survival_curve,
     "top_risk": top_risk,
 }
