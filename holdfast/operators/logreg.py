@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from holdfast import schema
 from holdfast.config import LogRegSpec
 from holdfast.functions.scalars import sigmoid, sql_double
-from holdfast.operators.vectors import KEY, Scaler, fit_scaler, sample_rows
+from holdfast.operators.vectors import KEY, Scaler, fit_scaler, in_turn, slot
 
 
 def linear_sql(features: list[str], weights: list[float], intercept: float) -> str:
@@ -100,21 +100,27 @@ def fit(
     label: str = "dropout",
     key: str = KEY,
 ) -> LogRegModel:
-    """Fit on ``train``, which should be a stored table: it is read once per lost block.
+    """Fit on ``train``, which should be a stored table: a lost block is read from it again.
 
-    An epoch sees a sample of about 100 batches, or all rows if there are fewer.
+    An epoch sees about 100 batches, or all rows if there are fewer. Rows are then cached
+    in the order that epochs take them, so that an epoch skips the cached blocks that hold
+    none of its rows.
     """
     scaler = fit_scaler(train, features)
     fraction = min(1.0, spec.batch * 100.0 / max(1, scaler.count))
-    # Only sampling needs the key.
-    kept = [label] if fraction >= 1.0 else [key, label]
-    scaled = train.select(*kept, *scaler.columns()).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = train.select(label, *scaler.columns())
+    if fraction < 1.0:
+        order = slot(key, spec.seed).alias("_slot")
+        scaled = train.select(label, order, *scaler.columns()).sortWithinPartitions("_slot")
+    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     weights, intercept = initial_weights(len(features), spec), 0.0
     history = []
     started = time.monotonic()
     try:
         for epoch in range(spec.epochs):
-            rows = sample_rows(scaled, fraction, spec.seed + epoch, key)
+            rows = scaled
+            if fraction < 1.0:
+                rows = scaled.filter(in_turn(F.col("_slot"), fraction, epoch))
             g = gradient(rows, features, label, weights, intercept)
             if g["n"] == 0:
                 continue

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import schema
-from holdfast.functions.scalars import hash32, hash_unit, sql_double
+from holdfast.functions.scalars import hash32, sql_double
 
 KEY = "event_user_id"
 
@@ -26,11 +26,33 @@ def train_test_split(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFram
     return df.filter(in_train(key)), df.filter(~in_train(key))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int, key: str = KEY) -> DataFrame:
-    """Each row with probability ``fraction``; another seed picks other rows."""
+_SLOTS = 2**32
+
+
+def slot(key: str, seed: int) -> Column:
+    """A row's place in a random order of all rows, from 0 to 2^32 - 1."""
+    return hash32(F.col(key), f":{seed}")
+
+
+def in_turn(slot: Column, fraction: float, turn: int) -> Column:
+    """True for the given share of the order, another stretch of it every turn.
+
+    Successive turns go through all rows before one comes again.
+    """
+    size = int(fraction * _SLOTS)
+    low = turn * size % _SLOTS
+    high = low + size
+    if high <= _SLOTS:
+        return (slot >= low) & (slot < high)
+    return (slot >= low) | (slot < high - _SLOTS)
+
+
+def sample_rows(
+    df: DataFrame, fraction: float, seed: int, turn: int = 0, key: str = KEY
+) -> DataFrame:
     if fraction >= 1.0:
         return df
-    return df.filter(hash_unit(F.col(key), f":{seed}") < fraction)
+    return df.filter(in_turn(slot(key, seed), fraction, turn))
 
 
 def pick_rows(df: DataFrame, n: int, seed: int, key: str = KEY) -> DataFrame:

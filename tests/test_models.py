@@ -104,13 +104,23 @@ def test_split_and_sample_depend_on_the_key_alone(spark):
         sizes.append(sorted(r[0] for r in test.collect()))
     assert sizes[0] == sizes[1]
     assert 900 < len(sizes[0]) < 1100
-    first = vectors.sample_rows(df, 0.25, 1)
-    second = vectors.sample_rows(df, 0.25, 2)
-    assert 1100 < first.count() < 1400
-    assert first.intersect(second).count() < 500
     assert vectors.sample_rows(df, 1.0, 1) is df
 
 
+def test_samples_take_turns(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("event_user_id"))
+    turns = [
+        {r[0] for r in vectors.sample_rows(df, 0.25, seed=1, turn=t).collect()} for t in range(5)
+    ]
+    assert all(1100 < len(t) < 1400 for t in turns)
+    assert len(set.union(*turns[:4])) == 5000 and turns[4] == turns[0]
+    other = {r[0] for r in vectors.sample_rows(df, 0.25, seed=2).collect()}
+    assert 200 < len(other & turns[0]) < 420
+    # A stretch that runs over the end of the order goes on at its start.
+    third = {r[0] for r in vectors.sample_rows(df, 0.4, seed=1, turn=2).collect()}
+    assert 1800 < len(third) < 2200
+
+
 def test_logreg_matches_plain_gradient_descent(blobs):
     spec = LogRegSpec(epochs=4)
     model = logreg.fit(blobs, spec, FEATURES)
