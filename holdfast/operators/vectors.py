@@ -83,12 +83,16 @@ class Scaler:
 
 
 def _moments(features: list[str]) -> list[Column]:
-    """Mean and population deviation in one pass; a constant feature has deviation 1."""
+    """Mean and population deviation in one pass; a constant feature has deviation 1.
+
+    Merging partial results leaves a tiny deviation even if all values are equal, so that
+    is decided by the smallest and largest value.
+    """
     out = []
     for f in features:
-        std = F.stddev_pop(f)
-        out.append(F.avg(f).alias(f"mean_{f}"))
-        out.append(F.when(std > 0, std).otherwise(1.0).alias(f"std_{f}"))
+        varies = f"min({f}) < max({f})"
+        out.append(F.expr(f"if({varies}, avg({f}), max({f})) AS mean_{f}"))
+        out.append(F.expr(f"if({varies}, stddev_pop({f}), 1D) AS std_{f}"))
     return out
 
 

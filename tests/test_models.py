@@ -95,6 +95,15 @@ def test_constant_feature_has_deviation_one(spark):
     assert row[1] == pytest.approx(0, abs=1e-12) and row[2] == pytest.approx(1)
 
 
+@pytest.mark.parametrize("value", [1.0, 0.1])
+def test_constant_feature_in_any_partitioning(spark, value):
+    for n in (3, 49, 197):
+        df = spark.range(n).select(F.lit(value).alias("a"))
+        for parts in (1, 5, 31):
+            scaler = vectors.fit_scaler(df.repartition(parts), ["a"])
+            assert (scaler.means, scaler.stds) == ([value], [1.0])
+
+
 def test_split_and_sample_depend_on_the_key_alone(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("event_user_id"))
     sizes = []
