@@ -20,6 +20,12 @@ from holdfast.functions.scalars import sql_double
 from holdfast.operators.vectors import KEY, Scaler, fit_scaler, pick_rows
 
 
+def _squared(x: str, center: float) -> str:
+    """A product, which is somewhat cheaper than ``power``."""
+    difference = f"({x} - {sql_double(center)})"
+    return f"{difference} * {difference}"
+
+
 def with_nearest(
     df: DataFrame, features: dict[str, str], centers: list[list[float]]
 ) -> DataFrame:
@@ -31,10 +37,7 @@ def with_nearest(
     kept = df.columns
     x = [f"_x_{name}" for name in features]
     d = [f"_d_{i}" for i in range(len(centers))]
-    distances = [
-        " + ".join(f"power({name} - {sql_double(c)}, 2)" for name, c in zip(x, center))
-        for center in centers
-    ]
+    distances = [" + ".join(map(_squared, x, center)) for center in centers]
     several = len(centers) > 1
     nearest = f"least({', '.join(d)})" if several else d[0]
     whens = " ".join(f"WHEN {c} = nearest THEN {i}" for i, c in enumerate(d))
