@@ -10,7 +10,7 @@ from __future__ import annotations
 from holdfast.config import FeatureSpec
 from holdfast.functions.scalars import DAY_SECONDS
 
-HOURS = range(24)
+HOURS_PER_DAY = 24
 
 
 def gap_seconds(later: str, earlier: str) -> str:
@@ -51,14 +51,44 @@ def counts(spec: FeatureSpec) -> dict[str, str]:
         "sessions": f"count_if({starts_session(spec)})",
         "first_bytes": "sum(if(edit_rank = 1, revision_text_bytes, NULL))",
         "kept": f"count_if({returns_in_time(spec)})",
-        **{f"hour_{h}": f"count_if(hour = {h})" for h in HOURS},
+        **_hour_sums(spec),
     }
 
 
-def most_frequent_hour() -> str:
+def _hour_layout(spec: FeatureSpec) -> tuple[int, int]:
+    """Bits for one count of at most ``window`` edits, and how many fit in one bigint."""
+    bits = spec.window.bit_length()
+    return bits, 62 // bits
+
+
+def _hour_sums(spec: FeatureSpec) -> dict[str, str]:
+    """Edits per hour of the day, several small counts to one bigint.
+
+    Counts side by side in one number add up independently, so two or three sums do the
+    work of 24, in the shuffle-free groupings where every buffer counts.
+    """
+    bits, together = _hour_layout(spec)
+    sums = {}
+    for low in range(0, HOURS_PER_DAY, together):
+        here = f"hour >= {low} AND hour < {low + together}"
+        one = f"shiftleft(1L, (hour - {low}) * {bits})"
+        sums[f"hours_from_{low}"] = f"sum(if({here}, {one}, 0L))"
+    return sums
+
+
+def _edits_in_hour(hour: int, spec: FeatureSpec) -> str:
+    bits, together = _hour_layout(spec)
+    low = hour // together * together
+    return f"(shiftright(hours_from_{low}, {(hour - low) * bits}) & {2**bits - 1})"
+
+
+def most_frequent_hour(spec: FeatureSpec) -> str:
     """The hour with the largest count, the earliest of them if several are equal.
 
-    Count and hour are packed in one integer, so the largest is found without sorting.
+    Count and hour make one integer, so the largest is found without sorting.
     """
-    packed = ", ".join(f"hour_{h} * 24 + {23 - h}" for h in HOURS)
-    return f"int(23 - greatest({packed}) % 24)"
+    last = HOURS_PER_DAY - 1
+    ranked = ", ".join(
+        f"{_edits_in_hour(h, spec)} * {HOURS_PER_DAY} + {last - h}" for h in range(HOURS_PER_DAY)
+    )
+    return f"int({last} - greatest({ranked}) % {HOURS_PER_DAY})"

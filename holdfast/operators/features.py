@@ -91,7 +91,7 @@ def editor_profile(edits: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataF
     Selecting a few columns of this makes Catalyst prune the sums of all the others.
     """
     sums = window_sums(edits, spec).filter(enough_edits(spec) & observable(spec))
-    return sums.withColumn("peak_hour", F.expr(E.most_frequent_hour())).selectExpr(
+    return sums.withColumn("peak_hour", F.expr(E.most_frequent_hour(spec))).selectExpr(
         USER,
         "first_ts",
         "last_window_ts",

@@ -236,3 +236,25 @@ def test_sliced_rank_of_a_hot_editor(spark):
     assert [rank for _, rank in hot] == list(range(1, 901))
     after = ranking.post_window(df, 10).collect()
     assert len(after) == 890 and {r.event_user_id for r in after} == {"hot"}
+
+
+@pytest.mark.parametrize("window", [3, 10, 15, 16, 300])
+def test_most_frequent_hour_for_any_window(spark, window):
+    """Counts per hour up to the whole window, in every hour of the day."""
+    rows = []
+    for hour in range(24):
+        start = datetime(2023, 1, 1, hour)
+        rows += [
+            {"event_user_id": f"only {hour}", "ts": start + timedelta(days=i)}
+            for i in range(window)
+        ]
+        late = [start + timedelta(days=i, hours=(i % 2) * 5) for i in range(window)]
+        rows += [{"event_user_id": f"mixed {hour}", "ts": ts} for ts in late]
+    spec = FeatureSpec(window=window)
+    got = features.editor_profile(edits_frame(spark, rows), spec)
+    hours = {r.event_user_id: r.peak_hour for r in got.collect()}
+    for hour in range(24):
+        assert hours[f"only {hour}"] == hour
+        other = (hour + 5) % 24
+        want = min(hour, other) if window % 2 == 0 else hour
+        assert hours[f"mixed {hour}"] == want
