@@ -84,7 +84,8 @@ def test_threshold_is_inclusive_and_empty_denominators_give_zero(spark):
 
 
 def test_constant_feature_has_deviation_one(spark):
-    df = spark.createDataFrame([(str(i), 0.1, float(i)) for i in range(7)], "k string, a double, b double")
+    rows = [(str(i), 0.1, float(i)) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, a double, b double")
     scaler = vectors.fit_scaler(df, FEATURES)
     assert scaler.stds[0] == 1.0
     scaled = vectors.scaled_features(df, scaler, [])

@@ -1,4 +1,5 @@
 import bz2
+import re
 from datetime import datetime
 
 import pytest
@@ -118,7 +119,7 @@ def test_month_range_is_pruned(spark, tmp_path):
     df = files.read_clean(spark, path, start=(2022, 12), end=(2023, 1))
     assert df.count() == 62
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((year" in plan.replace("PartitionFilters: [(((year", "PartitionFilters: [((year")
+    assert re.search(r"PartitionFilters: \[\(+year", plan)
     assert files.read_clean(spark, path).count() == 100
 
 

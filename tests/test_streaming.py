@@ -131,7 +131,9 @@ def test_first_edits_of_a_shuffled_stream_equal_the_batch(spark, tmp_path, shard
     edits = views.events_as_edits(spark, SF_SMALL)
     arrivals = str(tmp_path / "in")
     edits.repartition(4, F.xxhash64("revision_id")).write.parquet(arrivals)
-    stream = endpoints.table_source(spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1)
+    stream = endpoints.table_source(
+        spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1
+    )
     out = new_path(spark, "first")
     endpoints.run_to_end(
         endpoints.file_sink(
