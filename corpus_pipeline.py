@@ -1 +1,84 @@
-def run(spark, sf_dir): raise NotImplementedError
+"""From raw documents to token ids: five stages, each stored before the next reads it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from holdfast.llm import bpe, decontaminate, line_dedup, near_dedup, quality
+from holdfast.workspace import materialize
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+QUALITY_THRESHOLD = 0.7
+FREQUENT_LINE = 10  # documents
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on labelled ones, does not reject."""
+    labels = _table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
+    measured = docs.select("doc_id", quality.statistics(docs).alias("x"))
+    model = quality.fit(materialize(measured, "measured"), labels)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), quality.statistics(docs).alias("x")
+    )
+    scored = rows.select("row", quality.score(rows, model, F.col("x")).alias("score"))
+    return scored.where(F.col("score") >= QUALITY_THRESHOLD).select("row.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that many of them share; n_chars counts what is left."""
+    cut = line_dedup.drop_frequent_lines(docs, min_docs=FREQUENT_LINE, min_length=1)
+    left = F.length("row.text").cast("bigint")
+    return cut.select(F.col("row").withField("n_chars", left).alias("row")).select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def drop_leaking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_leaking(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (four bytes an id), and digests of ids and decoded text."""
+    ids = docs.select("doc_id", bpe.encoded(docs, TOKENIZER).alias("ids"))
+    both = ids.select("doc_id", "ids", bpe.decoded(ids, TOKENIZER).alias("decoded"))
+    return both.select(
+        "doc_id",
+        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
+    ("line_dedup", drop_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaking),
+    ("bpe", encode),
+]
+
+#: SQL can express neither the fits nor the similarity search; tests compare by brute force.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the documents of ``sf_dir``, each stored as Parquet and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

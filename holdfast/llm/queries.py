@@ -14,6 +14,7 @@ from holdfast.llm import (
     decontaminate,
     exact_dedup,
     line_dedup,
+    near_dedup,
     quality,
     repeats,
     secret_scan,
@@ -74,6 +75,11 @@ def op3_bpe(spark, sf_dir, path=public_tokenizers.path("word_bpe_49k.json")):
     )
 
 
+def op4_near_dedup(spark, sf_dir):
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "n_texts", "kept")
+
+
 def op5_url_filters(spark, sf_dir):
     rules = url_filter.rule_table(spark, URL_RULES)
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -124,6 +130,7 @@ QUERIES: dict[str, Query] = {
         op1_secret_scan,
         op2_token_counts,
         op3_bpe,
+        op4_near_dedup,
         op5_url_filters,
         op6_substring_dedup,
         op7_quality,
