@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.workspace import new_path, remove
+from holdfast.workspace import materialize, new_path, remove
 
 BLANKS = " \t\n\x0b\x0c\r"
 HASH = ["a", "b"]
@@ -96,6 +96,11 @@ class LineRuns:
             return self.spark.createDataFrame([], "a bigint, b bigint")
         return self._summed(self._stored()).where(F.col("n") >= n).select(*HASH)
 
+    def remove(self) -> None:
+        for path in self._stored():
+            remove(self.spark, path)
+        self.levels = [[]]
+
     def novel(self, docs: DataFrame, text_column: str = "text", min_length: int = 1) -> DataFrame:
         """Hashes of the lines in ``docs`` that no run holds."""
         fresh = document_counts(docs, text_column, min_length)
@@ -139,9 +144,10 @@ def drop_frequent_lines(
     empty text is one empty line. A document that loses all its lines stays, with empty text.
     """
     body = F.coalesce(text_column, F.lit(""))
-    frequent = index_lines(docs, text_column, min_docs, min_length, batches, fanout).at_least(
-        min_docs
-    )
+    runs = index_lines(docs, text_column, min_docs, min_length, batches, fanout)
+    # Stored, so that the join below reads it as a table and can split a common line's rows.
+    frequent = materialize(runs.at_least(min_docs), "frequent")
+    runs.remove()
     # Two documents under one key do no harm: what a key gathers are frequent lines only.
     key = F.xxhash64(id_column, body).alias("key")
     held = docs.select(key, F.explode(distinct_hashes(line_keys(body), min_length)).alias("h"))
