@@ -38,7 +38,7 @@ class LeakSpec:
     passage_words: int = 64
     k1: float = 1.2
     b: float = 0.75
-    block_items: int = 4
+    block_items: int = 2
     shard_bytes: int = 16 << 20
 
 
@@ -63,6 +63,12 @@ class Runs:
         return float(np.isin(self.hashes, Runs.of(passage, self.width).hashes).mean())
 
 
+def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Different keys of a sorted array, and the values beside each."""
+    different, starts = np.unique(keys, return_index=True)
+    return different.tolist(), np.split(values, starts[1:]) if len(keys) else []
+
+
 class Index:
     """Postings by term with impacts as shares of the item's own score, and their maxima over
     blocks of items. An impact sum of 1 means that all terms of the item occur."""
@@ -120,11 +126,12 @@ class Index:
         key = of_term * max(self.n_blocks, 1) + self.item // size
         keys, starts = np.unique(key, return_index=True)
         maxima = np.maximum.reduceat(self.impact, starts) if len(keys) else np.zeros(0)
+        # An entry is a term in a block.
+        self.entries, self.entry_bounds = keys, np.append(starts, len(self.item))
         terms_of = keys // max(self.n_blocks, 1)
         self.block_bounds = np.searchsorted(terms_of, np.arange(len(self.terms) + 1))
         self.block_of, self.block_max = keys % max(self.n_blocks, 1), maxima
-        heads = self.bounds[:-1]
-        self.term_max = np.maximum.reduceat(self.impact, heads) if len(heads) else np.zeros(0)
+        self.block_list, self.max_list = self.block_of.tolist(), maxima.tolist()
         # Terms in most blocks cost more than they tell: their sum bounds them for all passages.
         wide = np.diff(self.block_bounds) > self.n_blocks / 4
         self.wide = wide
@@ -140,8 +147,10 @@ class Index:
         place = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return np.where(self.terms[place] == hashes, place, -1)
 
-    def promising(self, cell: np.ndarray, term: np.ndarray, n_cells: int) -> np.ndarray:
-        """Cells that, with the cell after them, can reach the threshold in some block.
+    def promising(
+        self, cell: np.ndarray, term: np.ndarray, n_cells: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Cells and blocks: where a cell, with the cell after it, can reach the threshold.
 
         ``cell`` and ``term`` are different pairs. The sum of block maxima bounds the score of
         every item of the block, so what is left out cannot reach the threshold.
@@ -156,24 +165,42 @@ class Index:
         bound = bound.reshape(n_cells, self.n_blocks)
         bound[:-1] += bound[1:].copy()
         bound += self.rest
-        return (bound >= self.spec.threshold - 1e-9).any(1)
-
-    def search(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All items whose score reaches the threshold, by block-max WAND.
+        return np.nonzero(bound >= self.spec.threshold - 1e-9)
+
+    def _postings(self, terms: np.ndarray, blocks: np.ndarray) -> list[list]:
+        """Per term a cursor, its items and impacts in ``blocks``, their maximum, and the
+        maximum of each block; terms without any are left out."""
+        out = []
+        low = np.searchsorted(self.entries, terms * self.n_blocks + blocks[:1])
+        high = np.searchsorted(self.entries, terms * self.n_blocks + blocks[-1:] + 1)
+        wanted = set(blocks.tolist())
+        for a, z in zip(low.tolist(), high.tolist()):
+            hits = [e for e in range(a, z) if self.block_list[e] in wanted]
+            if hits:
+                maxima = {self.block_list[e]: self.max_list[e] for e in hits}
+                items = [x for e in hits for x in self.items_of(e)]
+                impacts = [x for e in hits for x in self.impacts_of(e)]
+                out.append([0, items, impacts, max(maxima.values()), maxima])
+        return out
+
+    def items_of(self, entry: int) -> list[int]:
+        return self.item[self.entry_bounds[entry] : self.entry_bounds[entry + 1]].tolist()
+
+    def impacts_of(self, entry: int) -> list[float]:
+        return self.impact[self.entry_bounds[entry] : self.entry_bounds[entry + 1]].tolist()
+
+    def search(self, terms: np.ndarray, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
+        """All items (of ``blocks``, in order) whose score reaches the threshold, by block-max
+        WAND.
 
         Cursors stand in the postings of the terms, ordered by item. The pivot is the first
         item that the maxima of the lists before it allow; if the maxima of its block do not,
         the cursors jump to the next block.
         """
         goal, size = self.spec.threshold - 1e-9, self.block_size
-        lists = []
-        for t in terms.tolist():
-            low, high = self.bounds[t], self.bounds[t + 1]
-            b_low, b_high = self.block_bounds[t], self.block_bounds[t + 1]
-            blocks = self.block_of[b_low:b_high].tolist()
-            maxima = dict(zip(blocks, self.block_max[b_low:b_high].tolist()))
-            items, impacts = self.item[low:high].tolist(), self.impact[low:high].tolist()
-            lists.append([0, items, impacts, float(self.term_max[t]), maxima])
+        if blocks is None:
+            blocks = np.arange(self.n_blocks)
+        lists = self._postings(terms, blocks)
         found = []
         while True:
             lists = [x for x in lists if x[0] < len(x[1])]
@@ -218,12 +245,13 @@ class Index:
         term = self.lookup(block.hashes)
         seen = np.unique(cell[term >= 0] * len(self.terms) + term[term >= 0])
         cell, term = seen // len(self.terms), seen % len(self.terms)
-        for c in np.flatnonzero(self.promising(cell, term, int(n_cells.sum()))).tolist():
+        cells, blocks = self.promising(cell, term, int(n_cells.sum()))
+        for c, own in zip(*_grouped(cells, blocks)):
             text = int(np.searchsorted(first_cell, c, "right")) - 1
             low = block.first[text] + (c - first_cell[text]) * step
             passage = block.hashes[low : min(low + 2 * step, block.first[text + 1])]
             near, far = np.searchsorted(cell, [c, c + 2])
-            for item, score in self.search(np.unique(term[near:far])):
+            for item, score in self.search(np.unique(term[near:far]), own):
                 question, answer = (part.share_in(passage) for part in self.parts[item])
                 leak = (min(question, answer), score)
                 old = best[text].get(item)
