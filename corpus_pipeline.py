@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import bpe, decontaminate, line_dedup, near_dedup, quality
-from holdfast.workspace import materialize
+from holdfast.workspace import materialize, use_local_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,12 +65,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_folder(stage: Stage) -> Stage:
+    """Stages store tables; a local session that names no folder for them gets one."""
+
+    @functools.wraps(stage)
+    def ready(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        use_local_folder(spark)
+        return stage(spark, docs, sf_dir)
+
+    return ready
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_classifier", keep_good),
-    ("line_dedup", drop_lines),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_leaking),
-    ("bpe", encode),
+    ("quality_classifier", _with_folder(keep_good)),
+    ("line_dedup", _with_folder(drop_lines)),
+    ("near_dedup", _with_folder(drop_near_copies)),
+    ("decontamination", _with_folder(drop_leaking)),
+    ("bpe", _with_folder(encode)),
 ]
 
 #: SQL can express neither the fits nor the similarity search; tests compare by brute force.
