@@ -27,8 +27,10 @@ class NearSpec:
     ``samples`` consistent samples a text are combined to ``bands`` bands of ``rows`` each,
     a sample in several bands. ``buckets``: document frequencies are counted by hash in so many
     buckets. ``idf_weight``: how much heavier than the most frequent a shingle of frequency
-    zero is. ``leaders`` of a bucket meet its other members in a round. Pairs whose samples agree in less than ``agreement`` are not compared in full: a
-    linked pair falls below with a chance of about 2 in 10,000.
+    zero is. Pairs whose samples agree in less than ``agreement`` are not compared in full: a
+    linked pair falls below with a chance of about 2 in 10,000. Members of a band meet in groups
+    of about ``group``; each goes on with its ``partners`` closest at most, and with those that
+    hold the group together.
     """
 
     shingle: int = 5
@@ -38,7 +40,8 @@ class NearSpec:
     bands: int = 27
     buckets: int = 1 << 16
     idf_weight: float = 0.25
-    leaders: int = 4
+    group: int = 400
+    partners: int = 3
     agreement: float = 0.6
     seed: int = 11
 
@@ -192,11 +195,77 @@ def _signature_rows(weights: Broadcast, spec: NearSpec):
     return run
 
 
-def _agreement(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Share of equal samples of two signatures."""
-    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint32) for x in (left, right))
-    equal = (a == b).reshape(len(left), -1) if len(left) else np.zeros((0, 1))
-    return pa.array(equal.mean(1), pa.float64())
+def _spanning_pairs(agreement: np.ndarray, spec: NearSpec) -> set[tuple[int, int]]:
+    """Pairs of a group: a spanning forest of greatest agreement, so that nothing that hangs
+    together by ``spec.agreement`` falls apart, and the closest few partners of each member."""
+    size = len(agreement)
+    np.fill_diagonal(agreement, -1.0)
+    pairs = set()
+    best, toward = np.full(size, -1.0), np.zeros(size, np.int64)
+    outside = np.ones(size, bool)
+    for _ in range(size):
+        new = int(np.where(outside, best, -2.0).argmax())
+        if best[new] >= spec.agreement:
+            pairs.add((new, int(toward[new])))
+        outside[new] = False
+        closer = agreement[new] > best
+        best[closer], toward[closer] = agreement[new][closer], new
+    k = min(spec.partners, size - 1)
+    closest = np.argpartition(agreement, -k, axis=1)[:, -k:]
+    for i, j in zip(np.repeat(np.arange(size), k).tolist(), closest.ravel().tolist()):
+        if agreement[i, j] >= spec.agreement:
+            pairs.add((i, j))
+    return pairs
+
+
+def _pairs_of_groups(ids: np.ndarray, signed: np.ndarray, starts: np.ndarray, spec: NearSpec):
+    """Candidate pairs of ids within consecutive groups that begin at ``starts``."""
+    sizes = np.diff(starts, append=len(ids))
+    first = starts[sizes == 2]
+    near = (signed[first] == signed[first + 1]).mean(1) >= spec.agreement
+    left, right = [ids[first[near]]], [ids[first[near] + 1]]
+    for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        own = signed[start : start + size]
+        agreement = np.stack([(own == row).mean(1) for row in own])
+        pairs = np.array(list(_spanning_pairs(agreement, spec)), np.int64).reshape(-1, 2) + start
+        left.append(ids[pairs[:, 0]])
+        right.append(ids[pairs[:, 1]])
+    u, v = np.concatenate(left), np.concatenate(right)
+    return np.minimum(u, v), np.maximum(u, v)
+
+
+def _group_pairs(spec: NearSpec):
+    """The task side of the search: rows come ordered by group; the last group of a batch waits
+    for the next batch. Groups have a bounded size, see ``candidate_pairs``."""
+
+    def pairs(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        signed = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32)
+        ids = rows.column("id").to_numpy()
+        u, v = _pairs_of_groups(ids, signed.reshape(len(ids), -1), starts, spec)
+        different = u != v
+        both = np.unique(np.column_stack([u[different], v[different]]), axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(both[:, 0]), pa.array(both[:, 1])], names=["u", "v"]
+        )
+
+    def run(batches):
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+            if not rows.num_rows:
+                continue
+            keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "part")])
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]).any(1)
+            starts = np.flatnonzero(new)
+            waiting = rows.slice(starts[-1])
+            if len(starts) > 1:
+                yield pairs(rows.slice(0, starts[-1]), starts[:-1])
+        if waiting is not None:
+            yield pairs(waiting, np.zeros(1, np.int64))
+
+    return run
 
 
 def _profile(text: str, weights: np.ndarray, spec: NearSpec):
@@ -236,52 +305,42 @@ def _verified(weights: Broadcast, spec: NearSpec):
     return run
 
 
-class Search:
-    """Rounds of candidate pairs among texts that share a band."""
+def candidate_pairs(held: DataFrame, signed: DataFrame, spec: NearSpec) -> DataFrame:
+    """Pairs (u, v) that share a band and agree in enough samples.
 
-    def __init__(self, held: DataFrame, signed: DataFrame, texts: DataFrame, weights, spec):
-        self.held, self.signed, self.texts = held, signed, texts
-        self.weights, self.spec = weights, spec
+    ``held`` has (band, n, id) with the number of members of the band, ``signed`` (id,
+    signature). Within a band all members meet by
+    their signatures, in memory, and pass on only pairs that hold them together and their
+    closest partners: as many pairs as members, not as pairs of members. A band with more than
+    ``group`` members is dealt out to parts of about that size by hash, differently in every
+    band, so that no task gets more than others and members that one band separates meet in
+    others.
+    """
+    part = F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("n") / spec.group)).alias("part")
+    dealt = held.select("band", "id", part)
+    return (
+        dealt.join(signed, "id")
+        .select("band", "part", "id", "signature")
+        .repartition("band", "part")
+        .sortWithinPartitions("band", "part", "id")
+        .mapInArrow(_group_pairs(spec), "u bigint, v bigint")
+        .distinct()
+    )
 
-    def pairs(self, classes: DataFrame | None, number: int) -> DataFrame:
-        """Each member of a bucket with the bucket's leader of this round, if they are not in
-        one class yet. Leaders are picked by aggregation and joined back, one row a bucket, so
-        a bucket of any size spreads over tasks and gives as many pairs as it has members."""
-        held = self.held.withColumn("class", F.col("id"))
-        leaders_a_bucket = self.spec.leaders if number else 1
-        if classes is not None:
-            known = classes.withColumnRenamed("node", "id")
-            held = self.held.join(known, "id", "left").withColumn(
-                "class", F.coalesce("component", "id")
-            )
-        orders = [
-            F.xxhash64(F.lit(number), F.lit(i), F.col("id")) if number else F.lit(0)
-            for i in range(leaders_a_bucket)
-        ]
-        first = [F.min(F.struct(o.alias("o"), "id", "class")) for o in orders]
-        chosen = held.groupBy("band").agg(F.array(*first).alias("leaders"))
-        leaders = chosen.select("band", F.explode("leaders").alias("leader"))
-        met = held.join(leaders, "band").where("class <> leader.class")
-        u, v = F.least("id", "leader.id"), F.greatest("id", "leader.id")
-        return met.select(u.alias("u"), v.alias("v")).distinct()
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are similar enough, first by their samples, then by their texts."""
-        spec = self.spec
-        agree = F.arrow_udf(_agreement, "double")
-        left = self.signed.select(F.col("id").alias("u"), F.col("signature").alias("s"))
-        right = self.signed.select(F.col("id").alias("v"), F.col("signature").alias("t"))
-        near = pairs.join(left, "u").join(right, "v").withColumn("agreement", agree("s", "t"))
-        near = near.where(F.col("agreement") >= spec.agreement).select("u", "v").distinct()
-        left = self.texts.select(F.col("id").alias("u"), F.col("body").alias("left"))
-        right = self.texts.select(F.col("id").alias("v"), F.col("body").alias("right"))
-        compared = (
-            near.join(right, "v")
-            .join(left, "u")
-            .select("u", "v", "left", "right")
-            .mapInArrow(_verified(self.weights, spec), "u bigint, v bigint, similarity double")
-        )
-        return compared.where(F.col("similarity") >= spec.similarity)
+
+def verified_links(
+    pairs: DataFrame, texts: DataFrame, weights: Broadcast, spec: NearSpec
+) -> DataFrame:
+    """The pairs whose texts (id, body) are similar enough, with their similarity."""
+    left = texts.select(F.col("id").alias("u"), F.col("body").alias("left"))
+    right = texts.select(F.col("id").alias("v"), F.col("body").alias("right"))
+    compared = (
+        pairs.join(right, "v")
+        .join(left, "u")
+        .select("u", "v", "left", "right")
+        .mapInArrow(_verified(weights, spec), "u bigint, v bigint, similarity double")
+    )
+    return compared.where(F.col("similarity") >= spec.similarity)
 
 
 def near_duplicates(
@@ -301,9 +360,9 @@ def near_duplicates(
     their own; texts without five words are one shingle. Rows with the same id count as one
     document and share a class; a NULL id gets a stand-in from its text, which is negative.
 
-    Samples and bands find the candidates, so a link of similarity s is missed with a small
-    chance (about 1 in 1,000 at 0.8). In each bucket a leader meets all other members; rounds
-    with other leaders go on until one brings no two classes together.
+    Samples and bands find the candidates, so a link is missed with a small chance (about 1 in
+    1,000 at 0.8, less above). Of a group that hangs together by many links, enough are
+    verified to hold it together; the others are not listed.
     """
     spec = spec or NearSpec()
     spark = docs.sparkSession
@@ -323,8 +382,8 @@ def near_duplicates(
     leads = texts.withColumnRenamed("lead", "id0")
     signed = materialize(signed.join(leads, ["a", "b", "id0"], "left_semi"), "signed")
     held = signed.select(F.col("id0").alias("id"), F.explode("bands").alias("band"))
-    shared = held.groupBy("band").count().where("count > 1").select("band")
-    held = materialize(held.join(shared, "band", "left_semi"), "held")
+    sizes = held.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = materialize(held.join(materialize(sizes, "sizes"), "band"), "held")
     candidates = held.select(F.col("id").alias("id0")).distinct()
     signed = signed.join(candidates, "id0", "left_semi")
     signed = materialize(signed.select(F.col("id0").alias("id"), "a", "b", "signature"), "signed")
@@ -332,16 +391,9 @@ def near_duplicates(
     bodies = bodies.join(signed.select("id", "a", "b"), ["id", "a", "b"], "left_semi")
     bodies = materialize(bodies.dropDuplicates(["id", "a", "b"]), "bodies")
 
-    search = Search(held, signed, bodies, weights, spec)
-    classes, links, number = None, None, 0
-    while True:
-        new = materialize(search.links(search.pairs(classes, number)), "links")
-        # The first leaders are the smallest ids; at least one more round has others.
-        if new.isEmpty() and number:
-            break
-        links = new if links is None else links.union(new)
-        classes = materialize(components(links.select("u", "v")), "classes")
-        number += 1
+    pairs = materialize(candidate_pairs(held, signed.select("id", "signature"), spec), "pairs")
+    links = verified_links(pairs, bodies, weights, spec)
+    classes = components(links.select("u", "v"))
 
     placed = members.join(texts, ["a", "b"]).join(
         classes.select(F.col("node").alias("lead"), "component"), "lead", "left"

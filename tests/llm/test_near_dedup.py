@@ -1,5 +1,6 @@
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -77,10 +78,37 @@ def test_a_hot_family_gives_pairs_in_proportion_and_one_class(spark):
     rows = list(enumerate(family(3, 300, 2))) + [(1000 + i, " ".join(prose(i, 80, 10**6))) for i in range(50)]
     found = near_duplicates(docs_frame(spark, rows), spec=spec)
     assert {r.id: r.class_id for r in found.collect()} == brute_classes(rows)
-    held = [(i, b) for i in range(300) for b in range(spec.bands)]
-    search = near_dedup.Search(spark.createDataFrame(held, "id bigint, band bigint"), None, None, None, spec)
-    assert search.pairs(None, 0).count() == 299
-    assert search.pairs(None, 1).count() <= 300 * spec.leaders
+    # Members of a band give pairs in proportion to their number, whatever the group size.
+    signature = near_dedup.signatures(
+        next(words.blocks(pa.array([t for _, t in rows[:300]]), near_dedup._TABLE))[1],
+        np.ones(spec.buckets, np.float32),
+        spec,
+    )
+    signed = spark.createDataFrame(
+        [(i, s.tobytes()) for i, s in enumerate(signature)], "id bigint, signature binary"
+    )
+    held = spark.createDataFrame([(i, 7, 300) for i in range(300)], "id bigint, band bigint, n bigint")
+    for group in (1000, 50):
+        pairs = near_dedup.candidate_pairs(held, signed, replace(spec, group=group)).collect()
+        assert 299 - 300 // group <= len(pairs) <= 300 * (1 + spec.partners)
+
+
+def test_groups_stay_connected():
+    """The pairs of a group connect what all pairs of enough agreement connect."""
+    rng, spec = np.random.default_rng(2), NearSpec(agreement=0.6, partners=1)
+    for size in (2, 3, 17, 60):
+        points = rng.uniform(0, 1, size)
+        agreement = 1 - np.abs(points[:, None] - points[None, :]) * 3
+        want, got = Union(), Union()
+        for i in range(size):
+            want.find(i), got.find(i)
+            for j in range(i):
+                if agreement[i, j] >= 0.6:
+                    want.join(i, j)
+        for i, j in near_dedup._spanning_pairs(agreement.copy(), spec):
+            assert agreement[i, j] >= 0.6
+            got.join(i, j)
+        assert [got.find(i) for i in range(size)] == [want.find(i) for i in range(size)]
 
 
 def test_repeated_rows_ids_and_nulls(spark):
