@@ -15,12 +15,13 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks import raw
 from checks.queries import QUERIES
 from holdfast.config import FeatureSpec, KMeansSpec, LogRegSpec, MLPSpec
 from holdfast.operators import evaluate, features, kmeans, logreg, mlp, ranking, vectors
 from holdfast.plans import jobs
 from holdfast.sources import files, views
-from holdfast.workspace import materialize, new_path
+from holdfast.workspace import materialize, new_path, use_local_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -39,6 +40,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_folder(spark)
     return spark
 
 
@@ -48,10 +50,10 @@ def run(df: DataFrame) -> None:
 
 def cases(spark: SparkSession) -> dict:
     """Whole jobs with the default parameters, each over all rows of its table."""
-    raw = new_path(spark, "raw")
+    landed = new_path(spark, "raw")
     # The history comes as one file per month; here, as several files by time.
-    history = views.orders_as_raw(spark, SF_DIR).repartitionByRange(16, "event_timestamp")
-    files.write_revision_tsv(history, raw)
+    history = raw.orders_as_raw(spark, SF_DIR).repartitionByRange(16, "event_timestamp")
+    raw.write_revision_tsv(history, landed)
     table = materialize(
         features.editor_features(views.orders_as_edits(spark, SF_DIR)), "features"
     )
@@ -59,7 +61,7 @@ def cases(spark: SparkSession) -> dict:
     lr = logreg.fit(train, LogRegSpec(epochs=1))
 
     def clean() -> None:
-        jobs.run_clean(spark, raw, new_path(spark, "clean"), pattern="*.txt.bz2")
+        jobs.run_clean(spark, landed, new_path(spark, "clean"), pattern="*.txt.bz2")
 
     def orders() -> DataFrame:
         return views.orders_as_edits(spark, SF_DIR)

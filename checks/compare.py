@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
+from holdfast.workspace import use_local_folder
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -30,6 +31,7 @@ def session(cores: str = "8") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_folder(spark)
     return spark
 
 

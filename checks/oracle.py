@@ -7,9 +7,27 @@ end; unrolled iterations), not the plans of the library.
 from __future__ import annotations
 
 import random
-
-from checks.queries import BASE_URL, CENSOR_AFTER, SNAPSHOT, WIKI, WINDOW
+import re
+
+from checks.queries import (
+    BASE_URL,
+    CENSOR_AFTER,
+    IN_TURNS,
+    KMEANS,
+    LOGREG,
+    ONE_COPY,
+    SNAPSHOT,
+    THREE_EPOCHS,
+    TWO_COPIES,
+    UNTRAINED,
+    WIKI,
+    WINDOW,
+)
+from checks.raw import PLAIN_MODEL
+from holdfast.config import KMeansSpec, LogRegSpec, MLPSpec
+from holdfast.operators.mlp import initial_weights
 from holdfast.schema import CLEAN, FEATURE_COLS
+from holdfast.schema import RAW as RAW_LAYOUT
 from holdfast.streaming.feed import REVERT_TAG
 
 F = FEATURE_COLS
@@ -184,6 +202,17 @@ _RAW_COLUMNS = """
          FALSE AS revision_is_identity_revert
 """
 RAW = f"raw AS (SELECT 'orders' AS wiki_db, {_RAW_COLUMNS} FROM orders)"
+
+
+def _raw_column(name: str, kind: str) -> str:
+    if name == "event_type":
+        return "'create' AS event_type"
+    sql_type = {"string": "VARCHAR", "boolean": "BOOLEAN"}.get(kind, "BIGINT")
+    known = re.search(rf"\bAS {name}\b", RAW)
+    return f"CAST({name if known else 'NULL'} AS {sql_type}) AS {name}"
+
+
+RAW_COLUMNS = ", ".join(_raw_column(f.name, f.dataType.simpleString()) for f in RAW_LAYOUT)
 CLEANED = """
 cleaned AS (
   SELECT *, year(ts) AS year, month(ts) AS month,
@@ -232,7 +261,7 @@ def hash32(text: str) -> str:
     return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS UBIGINT)"
 
 
-IN_TRAIN = f"{hash32('u')} % 10 < 8"
+IN_TRAIN = f"{hash32("u || ':split 0'")} % 1000 < 800"
 
 
 def scaler_cte(rows: str) -> str:
@@ -273,33 +302,50 @@ def _sigmoid(z: str) -> str:
     )
 
 
-def logreg_ctes(epochs: int = 3, lr: float = 0.1, seed: int = 7) -> list[str]:
-    rng = random.Random(seed)
+def _turn(epoch: int, spec: LogRegSpec) -> str:
+    """Whether a row belongs to the stretch of the hash order that an epoch takes."""
+    slot = f"CAST({hash32(f"x.u || ':{spec.seed}'")} AS BIGINT)"
+    n = "(SELECT n FROM scaler)"
+    size = f"CAST(floor({spec.batch * spec.batches}.0 / {n} * 4294967296.0) AS BIGINT)"
+    low = f"({epoch} * {size} % 4294967296)"
+    high = f"({low} + {size})"
+    return (
+        f"CASE WHEN {n} <= {spec.batch * spec.batches} THEN TRUE"
+        f" WHEN {high} <= 4294967296 THEN {slot} >= {low} AND {slot} < {high}"
+        f" ELSE {slot} >= {low} OR {slot} < {high} - 4294967296 END"
+    )
+
+
+def logreg_ctes(spec: LogRegSpec = LOGREG) -> list[str]:
+    rng = random.Random(spec.seed)
     start = ", ".join(f"CAST({rng.gauss(0.0, 0.01)!r} AS DOUBLE) AS w_{f}" for f in F)
-    ctes = [f"w0 AS (SELECT CAST(0 AS DOUBLE) AS b, {start})"]
-    for e in range(epochs):
+    ctes = [f"w0 AS MATERIALIZED (SELECT CAST(0 AS DOUBLE) AS b, {start})"]
+    for e in range(spec.epochs):
         sums = ", ".join(f"sum(err * {f}) / count(*) AS g_{f}" for f in F)
+        where = "" if spec.batch * spec.batches > 10**5 else f"WHERE {_turn(e, spec)}"
         ctes.append(
             f"""
 g{e} AS MATERIALIZED (
   SELECT count(*) AS n, sum(err) / count(*) AS g_b, {sums},
          sum(greatest(z, 0) - z * y + ln(1 + exp(-abs(z)))) / count(*) AS loss
   FROM (SELECT *, {_sigmoid('z')} - y AS err
-        FROM (SELECT x.*, {_z(f'w{e}')} AS z FROM train x, w{e})))"""
+        FROM (SELECT x.*, {_z(f'w{e}')} AS z FROM train x, w{e} {where})))"""
         )
-        moved = ", ".join(f"w_{f} - {lr} * g_{f} AS w_{f}" for f in F)
+        moved = ", ".join(f"w_{f} - {spec.lr} * g_{f} AS w_{f}" for f in F)
         ctes.append(
-            f"w{e + 1} AS MATERIALIZED (SELECT b - {lr} * g_b AS b, {moved} FROM w{e}, g{e})"
+            f"w{e + 1} AS MATERIALIZED (SELECT b - {spec.lr} * g_b AS b, {moved} FROM w{e}, g{e})"
         )
     return ctes
 
 
+END = f"w{LOGREG.epochs}"
 SCORED = f"""
 scored AS MATERIALIZED (
   SELECT u, CAST(y AS BIGINT) AS dropout, {_sigmoid('z')} AS score
-  FROM (SELECT x.u, x.y, {_z('w3')} AS z FROM test x, w3))
+  FROM (SELECT x.u, x.y, {_z(END)} AS z FROM test x, {END}))
 """
-LOGREG = [*feature_ctes(), *SPLIT, *logreg_ctes(), SCORED]
+FEATS = [*feature_ctes(), *SPLIT]
+FITTED = [*FEATS, *logreg_ctes(), SCORED]
 
 CONFUSION = """
 confusion AS (
@@ -324,18 +370,157 @@ rates AS (
                (tp + tn) / greatest(1, tp + fp + tn + fn) AS accuracy
         FROM confusion))
 """
-METRICS = [*LOGREG, CONFUSION, AUC, RATES]
+METRICS = [*FITTED, CONFUSION, AUC, RATES]
+
+def weight_rows(w: str) -> str:
+    return " UNION ALL ".join(
+        [f"SELECT 'intercept' AS feature, {r6('b', 'weight')} FROM {w}"]
+        + [f"SELECT '{f}' AS feature, {r6('w_' + f, 'weight')} FROM {w}" for f in F]
+    )
+
+
+def logreg_weights(spec: LogRegSpec) -> str:
+    return with_(*FEATS, *logreg_ctes(spec), select=weight_rows(f"w{spec.epochs}"))
+
+
+def logreg_loss(spec: LogRegSpec) -> str:
+    return with_(
+        *FEATS,
+        *logreg_ctes(spec),
+        select=" UNION ALL ".join(
+            f"SELECT {big(str(e), 'epoch')}, {big('n')}, {r6('loss', 'log_loss')} FROM g{e}"
+            for e in range(spec.epochs)
+        ),
+    )
+
+
+# Scores that are missing count as the lowest of all.
+MISSING = """
+scored_known AS (
+  SELECT u, dropout, CASE WHEN CAST(right(u, 1) AS INTEGER) % 3 = 0 THEN -1
+                          WHEN right(u, 1) = '1' THEN -1 ELSE score END AS score
+  FROM scored)
+"""
+
+
+# The network: three layers, Adam afresh each epoch, all rows of a copy in one step.
+
+
+def _net(weights: list[str], n: int, hidden: tuple[int, int]):
+    """Texts of the parameters by layer, from their flat order."""
+    at, layers = 0, []
+    for a, b in zip((n, *hidden), (*hidden, 1)):
+        w = [[weights[at + i * b + j] for j in range(b)] for i in range(a)]
+        layers.append((w, weights[at + a * b : at + a * b + b]))
+        at += a * b + b
+    return layers
+
+
+def _forward(source: str, weights: list[str], hidden: tuple[int, int], keep: str) -> str:
+    (w1, b1), (w2, b2), (w3, b3) = _net(weights, len(F), hidden)
+    a1 = [" + ".join([b1[j], *[f"x.{f} * {w1[i][j]}" for i, f in enumerate(F)]]) for j in range(hidden[0])]
+    first = ", ".join(f"{text} AS a1_{j}" for j, text in enumerate(a1))
+    a2 = [
+        " + ".join([b2[k], *[f"greatest(x.a1_{j}, 0) * {w2[j][k]}" for j in range(hidden[0])]])
+        for k in range(hidden[1])
+    ]
+    second = ", ".join(f"{text} AS a2_{k}" for k, text in enumerate(a2))
+    z = " + ".join([b3[0], *[f"greatest(x.a2_{k}, 0) * {w3[k][0]}" for k in range(hidden[1])]])
+    return (
+        f"(SELECT x.*, {z} AS z FROM (SELECT x.*, {second} FROM "
+        f"(SELECT x.*, {first} FROM (SELECT {keep} FROM {source}) x) x) x)"
+    )
 
-_WEIGHT_ROWS = " UNION ALL ".join(
-    [f"SELECT 'intercept' AS feature, {r6('b', 'weight')} FROM w3"]
-    + [f"SELECT '{f}' AS feature, {r6('w_' + f, 'weight')} FROM w3" for f in F]
-)
+
+def _start(spec: MLPSpec) -> list[str]:
+    return [f"CAST({float(w)!r} AS DOUBLE)" for w in initial_weights(len(F), spec)]
+
+
+def mlp_ctes(spec: MLPSpec) -> list[str]:
+    """One step a copy and epoch; copies are averaged by their rows."""
+    h1, h2 = spec.hidden
+    size = len(_start(spec))
+    names = [f"p{i}" for i in range(size)]
+    first = ", ".join(f"{w} AS {n}" for w, n in zip(_start(spec), names))
+    ctes = [f"p0 AS MATERIALIZED (SELECT {first})"]
+    worker = f"{hash32("u || ':worker'")} % {spec.workers} AS worker"
+    for e in range(spec.epochs):
+        weights = [f"x.{n}" for n in names]
+        _, (w2, _), (w3, _) = _net(weights, len(F), spec.hidden)
+        rows = _forward(f"(SELECT *, {worker} FROM train), p{e}", weights, spec.hidden, "*")
+        d2 = ", ".join(
+            f"dz * {w3[k][0]} * CAST(a2_{k} > 0 AS INTEGER) AS d2_{k}" for k in range(h2)
+        )
+        d1 = ", ".join(
+            "(" + " + ".join(f"d2_{k} * {w2[j][k]}" for k in range(h2)) + ")"
+            f" * CAST(a1_{j} > 0 AS INTEGER) AS d1_{j}"
+            for j in range(h1)
+        )
+        grads = [f"{f} * d1_{j}" for f in F for j in range(h1)]
+        grads += [f"d1_{j}" for j in range(h1)]
+        grads += [f"greatest(a1_{j}, 0) * d2_{k}" for j in range(h1) for k in range(h2)]
+        grads += [f"d2_{k}" for k in range(h2)]
+        grads += [f"greatest(a2_{k}, 0) * dz" for k in range(h2)] + ["dz"]
+        means = ", ".join(f"avg({g}) AS g{i}" for i, g in enumerate(grads))
+        ctes.append(
+            f"""
+grad{e} AS MATERIALIZED (
+  SELECT worker, count(*) AS n, {means} FROM (
+    SELECT x.*, {d1} FROM (SELECT x.*, {d2} FROM (
+      SELECT x.*, {_sigmoid('z')} - y AS dz FROM {rows} x) x) x)
+  GROUP BY worker)"""
+        )
+        # After one step the moments of Adam are the gradient and its square.
+        moved = ", ".join(
+            f"sum(n * (p{i} - {spec.learning_rate} * g{i} / (abs(g{i}) + 1e-7))) / sum(n) AS p{i}"
+            for i in range(size)
+        )
+        ctes.append(f"p{e + 1} AS MATERIALIZED (SELECT {moved} FROM grad{e}, p{e})")
+    return ctes
+
+
+def mlp_weights(spec: MLPSpec) -> str:
+    size = len(_start(spec))
+    return with_(
+        *FEATS,
+        *mlp_ctes(spec),
+        select=" UNION ALL ".join(
+            f"SELECT {big(str(i), 'id')}, {r6(f'p{i}', 'weight')} FROM p{spec.epochs}"
+            for i in range(size)
+        ),
+    )
+
+
+NET_SCORED = f"""
+net_scored AS MATERIALIZED (
+  SELECT u, CAST(y AS BIGINT) AS dropout, {_sigmoid('z')} AS score FROM {
+    _forward(
+        f"test, p{TWO_COPIES.epochs}",
+        [f"x.p{i}" for i in range(len(_start(TWO_COPIES)))],
+        TWO_COPIES.hidden,
+        "*",
+    )})
+"""
+
+
+def renamed(ctes: list[str], prefix: str) -> list[str]:
+    """The metrics of another table of scores under names of their own."""
+    out = []
+    for cte in ctes:
+        for name in ("confusion", "auc", "rates"):
+            cte = re.sub(rf"\b{name}\b", prefix + name, cte)
+        out.append(re.sub(r"\bscored\b", prefix + "scored", cte))
+    return out
+
+
+NETWORK = [*mlp_ctes(TWO_COPIES), NET_SCORED, *renamed([CONFUSION, AUC, RATES], "net_")]
 
 
 # K-Means.
 
 
-def kmeans_ctes(k: int = 4, iters: int = 3, seed: int = 7) -> list[str]:
+def kmeans_ctes(spec: KMeansSpec = KMEANS) -> list[str]:
+    """Iterations up to the most there can be; once the rule says stop, nothing moves."""
     cols = ", ".join(F)
     ctes = [
         "feats_m AS MATERIALIZED (SELECT * FROM feats)",
@@ -343,34 +528,64 @@ def kmeans_ctes(k: int = 4, iters: int = 3, seed: int = 7) -> list[str]:
         scaled_cte("points", "feats_m"),
         f"""
 c0 AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY md5(u || ':{seed}'), u) - 1 AS i, {cols}
-  FROM points QUALIFY i < {k})""",
+  SELECT row_number() OVER (ORDER BY md5(u || ':{spec.seed}'), u) - 1 AS i, {cols}
+  FROM points QUALIFY i < {spec.k})""",
+        "s0 AS (SELECT FALSE AS stopped, CAST('infinity' AS DOUBLE) AS last, 0 AS done)",
     ]
-    for it in range(iters + 1):
-        dist = " + ".join(f"pow(x.{f} - c.{f}, 2)" for f in F)
-        ctes.append(
+    dist = " + ".join(f"pow(x.{f} - c.{f}, 2)" for f in F)
+    for it in range(spec.iters):
+        means = ", ".join(f"avg({f}) AS {f}" for f in F)
+        moved = ", ".join(
+            f"CASE WHEN s.stopped THEN c.{f} ELSE coalesce(a.{f}, c.{f}) END AS {f}" for f in F
+        )
+        shift = " + ".join(f"pow(a.{f} - b.{f}, 2)" for f in F)
+        ctes += [
             f"""
 near{it} AS MATERIALIZED (
   SELECT x.*, c.i, {dist} AS d,
          row_number() OVER (PARTITION BY x.u ORDER BY {dist}, c.i) AS r
-  FROM points x, c{it} c)"""
-        )
-        means = ", ".join(f"avg({f}) AS {f}" for f in F)
-        moved = ", ".join(f"coalesce(a.{f}, c.{f}) AS {f}" for f in F)
-        ctes.append(
+  FROM points x, c{it} c WHERE NOT (SELECT stopped FROM s{it}))""",
             f"""
 c{it + 1} AS MATERIALIZED (
-  SELECT c.i, {moved} FROM c{it} c
-  LEFT JOIN (SELECT i, {means} FROM near{it} WHERE r = 1 GROUP BY i) a ON a.i = c.i)"""
-        )
+  SELECT c.i, {moved} FROM s{it} s, c{it} c
+  LEFT JOIN (SELECT i, {means} FROM near{it} WHERE r = 1 GROUP BY i) a ON a.i = c.i)""",
+            f"""
+t{it} AS MATERIALIZED (
+  SELECT (SELECT sum(d) FROM near{it} WHERE r = 1) AS cost,
+         (SELECT sum(sqrt({shift})) FROM c{it} a JOIN c{it + 1} b USING (i)) AS shift)""",
+            f"""
+s{it + 1} AS MATERIALIZED (
+  SELECT stopped OR stops AS stopped, CASE WHEN stopped OR stops THEN last ELSE cost END AS last,
+         done + CASE WHEN stopped THEN 0 ELSE 1 END AS done
+  FROM (SELECT *, shift < {spec.shift_tol}
+                  OR isfinite(last)
+                     AND abs(last - cost) < {spec.cost_tol} * greatest(1, last) AS stops
+        FROM s{it}, t{it}))""",
+        ]
+    ctes.append(
+        f"""
+near_end AS MATERIALIZED (
+  SELECT x.*, c.i, {dist} AS d, row_number() OVER (PARTITION BY x.u ORDER BY {dist}, c.i) AS r
+  FROM points x, c{spec.iters} c)"""
+    )
     return [*feature_ctes(), *ctes]
 
 
-KMEANS = kmeans_ctes()
+def kmeans_centers(spec: KMeansSpec) -> str:
+    return with_(
+        *kmeans_ctes(spec),
+        select=" UNION ALL ".join(
+            f"SELECT {big('i', 'cluster')}, '{f}' AS feature, {r6(f, 'value')} FROM c{spec.iters}"
+            for f in F
+        ),
+    )
+
+
+CLUSTERED = kmeans_ctes()
 ASSIGNED = """
 assigned AS MATERIALIZED (
   SELECT a.u, a.i AS cluster, a.d AS nearest, b.d AS second
-  FROM near3 a JOIN near3 b ON a.u = b.u AND a.r = 1 AND b.r = 2)
+  FROM near_end a JOIN near_end b ON a.u = b.u AND a.r = 1 AND b.r = 2)
 """
 _SILHOUETTE = """avg(CASE WHEN greatest(nearest, second) = 0 THEN 0.0
                      ELSE (second - nearest) / greatest(nearest, second) END)"""
@@ -412,23 +627,75 @@ proxies AS (
 """
 
 
+# Whole envelopes, envelopes with two fields, and broken ones; unknown features count as 0.
+BAD_ENVELOPES = f"""
+bad AS (
+  SELECT CASE WHEN event_id % 5 > 0 THEN CAST(user_id AS VARCHAR) END AS "user",
+         CASE WHEN event_id % 5 > 0 THEN 'page ' || event_id END AS title,
+         CASE WHEN whole THEN t END AS ts, 0.0 AS velocity, 0.0 AS revert_rate,
+         0.0 AS namespace_diversity,
+         CASE WHEN whole THEN greatest(diff, 0) ELSE 0 END AS avg_bytes_added,
+         CASE WHEN whole THEN greatest(-diff, 0) ELSE 0 END AS avg_bytes_removed,
+         CASE WHEN whole AND event_id % 3 = 1 THEN 1 ELSE 0 END AS talk_page_ratio,
+         CASE WHEN whole THEN sin(2 * pi() * h / 24.0) ELSE 0 END AS peak_hour_sin,
+         CASE WHEN whole THEN cos(2 * pi() * h / 24.0) ELSE 0 END AS peak_hour_cos,
+         0.0 AS weekend_ratio,
+         CASE WHEN whole AND event_type <> '' THEN 1 ELSE 0 END AS edit_summary_rate,
+         CASE WHEN whole THEN event_id % 2 ELSE 0 END AS minor_edit_ratio, 1.0 AS session_count,
+         CASE WHEN whole THEN greatest(diff, 0) ELSE 0 END AS first_edit_size
+  FROM (SELECT *, event_id % 5 > 1 AS whole, {_K} - 50 AS diff, t // 3600 % 24 AS h
+        FROM (SELECT *, {seconds('CAST(ts AS TIMESTAMP)')} AS t FROM events)))
+"""
+
+
+def _plain_z() -> str:
+    m = PLAIN_MODEL
+    terms = [f"{m['weights'][f]} * ({f} - {m['means'][f]}) / {m['stds'][f]}" for f in F]
+    return " + ".join([str(m["intercept"]), *terms])
+
+
 # Both models in one statement; the clustering has its own scaler, over all rows.
 BOTH = [
     *METRICS,
-    *[c.replace("scaler", "scaler_all") for c in KMEANS[len(feature_ctes()) + 1 :]],
+    *[c.replace("scaler", "scaler_all") for c in CLUSTERED[len(feature_ctes()) + 1 :]],
     ASSIGNED,
     PROFILE,
     f"quality AS (SELECT {_SILHOUETTE} AS silhouette FROM assigned)",
 ]
 
 
+def results_table(network_auc: str, more: list[str] = (), source: str = "") -> str:
+    return with_(
+        *BOTH,
+        *more,
+        select=f"""SELECT {big('cluster_id')}, {big('cluster_size')},
+                   {r6('auc.auc_roc', 'model_auc_logreg')}, {r6(network_auc, 'model_auc_dnn')},
+                   {r6('silhouette', 'kmeans_silhouette')}, """
+        + ", ".join(r6(f"mean_{f}") for f in F)
+        + f" FROM profile, auc, quality{source}",
+    )
+
+
+def summary(columns: str = "", more: list[str] = (), source: str = "") -> str:
+    return with_(
+        *BOTH,
+        *more,
+        select=f"""SELECT (SELECT {big('count(*)', 'n')} FROM feats_m) AS n_editors,
+                   (SELECT {r6('avg(dropout)', 'd')} FROM feats_m) AS dropout_rate,
+                   (SELECT {big('n')} FROM scaler) AS n_train, {r6('auc.auc_roc', 'auc_roc')},
+                   confusion.tp AS tp, {big('4', 'k')}, {r6('silhouette')}{columns}
+                   FROM auc, confusion, quality{source}""",
+    )
+
+
 ORACLE: dict[str, str] = {
-    "read_revision_tsv": with_(
-        RAW,
-        select=f"""SELECT event_entity, event_timestamp, event_comment, event_user_is_bot_by,
-                   event_user_is_anonymous, {big('page_namespace')}, revision_id,
-                   revision_minor_edit, revision_text_bytes_diff FROM raw""",
-    ),
+    "read_revision_tsv": with_(RAW, select=f"SELECT {RAW_COLUMNS} FROM raw"),
+    "raw_accepted": with_(RAW, select=f"SELECT {RAW_COLUMNS} FROM raw"),
+    "raw_rejects": f"""SELECT 'orders' AS first_cell, {big('71', 'cells')},
+                       CAST(o_orderkey AS VARCHAR) AS revision_id
+                       FROM orders WHERE o_orderkey % 50 = 0""",
+    "raw_line_counts": """SELECT count(*) + count(*) FILTER (o_orderkey % 50 = 0) AS lines,
+                          count(*) FILTER (o_orderkey % 50 = 0) AS rejected FROM orders""",
     "only_revisions": raw_ids("event_entity = 'revision'"),
     "drop_bots": raw_ids("event_user_is_bot_by IS NULL OR event_user_is_bot_by = ''"),
     "drop_anonymous": raw_ids("event_user_is_anonymous = FALSE"),
@@ -443,6 +710,11 @@ ORACLE: dict[str, str] = {
         CLEANED,
         select="SELECT " + ", ".join(map(_clean_column, CLEAN.fieldNames())) + " FROM cleaned",
     ),
+    "clean_orders_as_landed": with_(
+        RAW,
+        CLEANED,
+        select="SELECT " + ", ".join(map(_clean_column, CLEAN.fieldNames())) + " FROM cleaned",
+    ),
     "clean_month_range": with_(
         RAW,
         CLEANED,
@@ -501,6 +773,7 @@ ORACLE: dict[str, str] = {
     "editor_features_full_window": features(full=True),
     "editor_features_censored": features(censor_after=CENSOR_AFTER),
     "event_user_features": features(edits=EVENTS, days=1),
+    "stored_feature_table": features(),
     "feature_vector": with_(
         *feature_ctes(),
         select=" UNION ALL ".join(
@@ -528,58 +801,79 @@ ORACLE: dict[str, str] = {
         *SPLIT,
         select=f"SELECT {USER}, {big('y', 'dropout')}, {FEATURE_LIST} FROM test",
     ),
-    "logreg_weights_3ep": with_(*LOGREG, select=_WEIGHT_ROWS),
-    "logreg_loss_3ep": with_(
-        *LOGREG,
-        select=" UNION ALL ".join(
-            f"SELECT {big(str(e), 'epoch')}, {big('n')}, {r6('loss', 'log_loss')} FROM g{e}"
-            for e in range(3)
-        ),
-    ),
-    "model_json": with_(*LOGREG, select=_WEIGHT_ROWS),
-    "logreg_scores": with_(*LOGREG, select=f"SELECT {USER}, dropout, {r6('score')} FROM scored"),
+    "logreg_weights_3ep": logreg_weights(THREE_EPOCHS),
+    "logreg_weights": logreg_weights(LOGREG),
+    "logreg_loss": logreg_loss(LOGREG),
+    "logreg_weights_in_turns": logreg_weights(IN_TURNS),
+    "logreg_loss_in_turns": logreg_loss(IN_TURNS),
+    "logreg_loss_3ep": logreg_loss(THREE_EPOCHS),
+    "model_json": logreg_weights(LOGREG),
+    "logreg_scores": with_(*FITTED, select=f"SELECT {USER}, dropout, {r6('score')} FROM scored"),
     "predictions": with_(
-        *LOGREG,
+        *FITTED,
         select=f"""SELECT {USER}, dropout,
                    {big('CASE WHEN score >= 0.5 THEN 1 ELSE 0 END', 'predicted')} FROM scored""",
     ),
     "class_split": with_(
-        *LOGREG,
+        *FITTED,
         select=f"""SELECT round(score, 6) AS score, {big('sum(dropout)', 'pos')},
                    {big('sum(1 - dropout)', 'neg')} FROM scored GROUP BY round(score, 6)""",
     ),
     "confusion_matrix": with_(*METRICS, select="SELECT * FROM confusion"),
     "auc_roc": with_(*METRICS, select=f"SELECT {r6('auc_roc')} FROM auc"),
+    "auc_roc_many_slices": with_(*METRICS, select=f"SELECT {r6('auc_roc')} FROM auc"),
+    "missing_scores": with_(
+        *FITTED,
+        MISSING,
+        *[c.replace("FROM scored", "FROM scored_known") for c in (CONFUSION, AUC, RATES)],
+        select=f"""SELECT tp, fp, tn, fn, {r6('precision')}, {r6('recall')}, {r6('accuracy')},
+                   {r6('f1')}, {r6('auc_roc')} FROM rates, auc""",
+    ),
+    "mlp_scores": with_(
+        *feature_ctes(),
+        "feats_m AS MATERIALIZED (SELECT * FROM feats)",
+        scaler_cte("feats_m"),
+        scaled_cte("points", "feats_m"),
+        select=f"SELECT {USER}, {r6(_sigmoid('z'), 'score')} FROM "
+        + _forward("points", _start(UNTRAINED), UNTRAINED.hidden, "*"),
+    ),
+    "mlp_weights": mlp_weights(ONE_COPY),
+    "mlp_weights_two_copies": mlp_weights(TWO_COPIES),
+    "mlp_metrics": with_(
+        *FEATS,
+        *NETWORK,
+        select=f"""SELECT tp, fp, tn, fn, {r6('precision')}, {r6('recall')}, {r6('accuracy')},
+                   {r6('f1')}, {r6('auc_roc')} FROM net_rates, net_auc""",
+    ),
     "binary_metrics": with_(
         *METRICS,
         select=f"""SELECT tp, fp, tn, fn, {r6('precision')}, {r6('recall')}, {r6('accuracy')},
                    {r6('f1')}, {r6('auc_roc')} FROM rates, auc""",
     ),
-    "kmeans_init": with_(*KMEANS[:-8], select="""
+    "kmeans_init": with_(*CLUSTERED[: len(feature_ctes()) + 3], select="""
         SELECT u AS event_user_id FROM points ORDER BY md5(u || ':7'), u LIMIT 4"""),
-    "kmeans_centers_3it": with_(
-        *KMEANS,
-        select=" UNION ALL ".join(
-            f"SELECT {big('i', 'cluster')}, '{f}' AS feature, {r6(f, 'value')} FROM c3" for f in F
-        ),
+    "kmeans_centers_3it": kmeans_centers(KMeansSpec(iters=3, shift_tol=0.0, cost_tol=0.0)),
+    "kmeans_centers": kmeans_centers(KMEANS),
+    "kmeans_iterations": with_(
+        *CLUSTERED, select=f"SELECT {big('done', 'iterations')} FROM s{KMEANS.iters}"
     ),
     "kmeans_assign": with_(
-        *KMEANS,
+        *CLUSTERED,
         ASSIGNED,
         select=f"""SELECT {USER}, {big('cluster')}, {r6('nearest')}, {r6('second')}
                    FROM assigned""",
     ),
     "wcss": with_(
-        *KMEANS,
+        *CLUSTERED,
         ASSIGNED,
         select="""SELECT (SELECT round(sum(nearest), 3) FROM assigned) AS wcss,
-                         (SELECT round(sum(d), 3) FROM near2 WHERE r = 1) AS wcss_lagged""",
+                         (SELECT round(last, 3) FROM s30) AS wcss_lagged""",
     ),
     "simplified_silhouette": with_(
-        *KMEANS, ASSIGNED, select=f"SELECT {r6(_SILHOUETTE, 'silhouette')} FROM assigned"
+        *CLUSTERED, ASSIGNED, select=f"SELECT {r6(_SILHOUETTE, 'silhouette')} FROM assigned"
     ),
     "cluster_profile": with_(
-        *KMEANS,
+        *CLUSTERED,
         ASSIGNED,
         PROFILE,
         select=f"SELECT {big('cluster_id')}, {big('cluster_size')}, "
@@ -594,21 +888,37 @@ ORACLE: dict[str, str] = {
         select=f"""SELECT "user", title, {big('namespace')}, {big('ts')}, {big('bytes_diff')},
                    comment, {big('minor')}, {big('is_revert')}, FALSE AS corrupt FROM feed""",
     ),
+    "feed_coerced": f"""
+SELECT CAST(user_id AS VARCHAR) AS "user", 'page ' || event_id AS title,
+  {big('CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 2 END', 'namespace')},
+  {seconds('CAST(ts AS TIMESTAMP)')} AS ts,
+  {big(f"CASE event_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 7 WHEN 3 THEN 50 - {_K} ELSE 0 END",
+       'bytes_diff')},
+  event_type AS comment, {big('CASE WHEN event_id % 6 IN (0, 2, 5) THEN 1 ELSE 0 END', 'minor')},
+  {big('CASE WHEN event_id % 4 < 2 THEN 1 ELSE 0 END', 'is_revert')}, FALSE AS corrupt
+FROM events WHERE event_id % 7 NOT IN (0, 1)""",
+    "feed_counts": """SELECT count(*) AS lines,
+                      count(*) FILTER (event_id % 101 = 0) AS unreadable FROM events""",
+    "stream_malformed": with_(
+        BAD_ENVELOPES,
+        select=f"""SELECT "user", title, ts, {r6(_sigmoid('z'), 'dropout_risk')}
+                   FROM (SELECT *, {_plain_z()} AS z FROM bad)""",
+    ),
     "stream_partial_features": with_(
         FEED,
         PROXIES,
         select=f"""SELECT "user", title, {big('ts')}, {FEATURE_LIST} FROM proxies""",
     ),
     "stream_scores": with_(
-        *LOGREG,
+        *FITTED,
         FEED,
         PROXIES,
         "scaled_feed AS (SELECT \"user\", title, ts, "
         + ", ".join(f"(p.{f} - m_{f}) / s_{f} AS {f}" for f in F)
         + " FROM proxies p, scaler)",
         select=f"""SELECT "user", title, {big('ts')}, {r6(_sigmoid('z'), 'dropout_risk')}
-                   FROM (SELECT x."user", x.title, x.ts, {_z('w3')} AS z
-                         FROM scaled_feed x, w3)""",
+                   FROM (SELECT x."user", x.title, x.ts, {_z(END)} AS z
+                         FROM scaled_feed x, {END})""",
     ),
     "stream_first_features": features(edits=EVENTS, days=1),
     "cohort_summary": with_(
@@ -621,6 +931,26 @@ ORACLE: dict[str, str] = {
         select=f"""SELECT 'logreg' AS model, {r6('auc_roc')}, {r6('f1')}, {r6('precision')},
                    {r6('recall')}, {r6('accuracy')} FROM rates, auc""",
     ),
+    "model_compare_both": with_(
+        *METRICS,
+        *NETWORK,
+        select=" UNION ALL ".join(
+            f"SELECT '{name}' AS model, {r6('auc_roc')}, {r6('f1')}, {r6('precision')}, "
+            f"{r6('recall')}, {r6('accuracy')} FROM {p}rates, {p}auc"
+            for name, p in (("logreg", ""), ("mlp", "net_"))
+        ),
+    ),
+    "panel_auc_both": with_(
+        *METRICS,
+        *NETWORK,
+        select=f"""SELECT 'logreg' AS model, {r6('auc_roc')} FROM auc UNION ALL
+                   SELECT 'mlp' AS model, {r6('auc_roc')} FROM net_auc""",
+    ),
+    "optional_metrics": with_(
+        *FEATS,
+        select=f"""SELECT 'saved' AS name, TRUE AS found, {big('n', 'n_train')} FROM scaler
+                   UNION ALL SELECT 'absent', FALSE, NULL""",
+    ),
     "panel_auc": with_(*METRICS, select=f"SELECT 'logreg' AS model, {r6('auc_roc')} FROM auc"),
     "panel_confusion": with_(
         *METRICS,
@@ -631,33 +961,23 @@ ORACLE: dict[str, str] = {
         ),
     ),
     "panel_cluster_sizes": with_(
-        *KMEANS,
+        *CLUSTERED,
         ASSIGNED,
         PROFILE,
         select=f"SELECT {big('cluster_id')}, {big('cluster_size')} FROM profile",
     ),
     "panel_revert_vs_velocity": with_(
-        *KMEANS,
+        *CLUSTERED,
         ASSIGNED,
         PROFILE,
         select=f"""SELECT {big('cluster_id')}, {big('cluster_size')}, {r6('mean_revert_rate')},
                    {r6('mean_velocity')} FROM profile""",
     ),
-    "results_table": with_(
-        *BOTH,
-        select=f"""SELECT {big('cluster_id')}, {big('cluster_size')},
-                   {r6('auc_roc', 'model_auc_logreg')}, CAST(NULL AS DOUBLE) AS model_auc_dnn,
-                   {r6('silhouette', 'kmeans_silhouette')}, """
-        + ", ".join(r6(f"mean_{f}") for f in F)
-        + " FROM profile, auc, quality",
-    ),
-    "summary": with_(
-        *BOTH,
-        select=f"""SELECT (SELECT {big('count(*)', 'n')} FROM feats_m) AS n_editors,
-                   (SELECT {r6('avg(dropout)', 'd')} FROM feats_m) AS dropout_rate,
-                   (SELECT {big('n')} FROM scaler) AS n_train, {r6('auc_roc')}, tp,
-                   {big('4', 'k')}, {r6('silhouette')}
-                   FROM auc, confusion, quality""",
+    "results_table": results_table("CAST(NULL AS DOUBLE)"),
+    "results_table_with_network": results_table("net_auc.auc_roc", NETWORK, ", net_auc"),
+    "summary": summary(),
+    "summary_with_network": summary(
+        f", {r6('net_auc.auc_roc', 'dnn_auc_roc')}", NETWORK, ", net_auc"
     ),
     "survival_curve": with_(
         ORDERS,
@@ -676,7 +996,7 @@ curve AS (
                    FROM curve""",
     ),
     "top_risk": with_(
-        *LOGREG,
+        *FITTED,
         select=f"""SELECT {USER}, {r6('score')} FROM scored
                    ORDER BY round(scored.score, 6) DESC, u LIMIT 20""",
     ),

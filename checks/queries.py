@@ -7,10 +7,12 @@ another engine: integers as bigint, times as microseconds, doubles to six places
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import raw
 from holdfast import schema
 from holdfast.config import FeatureSpec, KMeansSpec, LogRegSpec, MLPSpec
 from holdfast.functions.edits import gap_seconds, starts_session
@@ -36,9 +38,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 USER = "event_user_id"
 WINDOW = 10
 EVENT_SPEC = FeatureSpec(horizon_days=1)
+LOGREG, KMEANS = LogRegSpec(), KMeansSpec()
 THREE_EPOCHS = LogRegSpec(epochs=3)
+# At most 400 rows an epoch, so that turns go through the table more than once.
+IN_TURNS = LogRegSpec(epochs=7, batch=4, batches=100)
 # Tolerances below any possible change: always three iterations.
 THREE_ITERATIONS = KMeansSpec(iters=3, shift_tol=0.0, cost_tol=0.0)
+# Networks that SQL can follow: no dropout, all rows in one batch, one step an epoch.
+ONE_COPY = MLPSpec(
+    hidden=(4, 3), dropout=0.0, epochs=3, batch=10**9, workers=1, validation_split=0.0
+)
+TWO_COPIES = replace(ONE_COPY, workers=2)
+UNTRAINED = MLPSpec(hidden=(8, 4))
 CENSOR_AFTER = "1999-06-30 00:00:00"
 BASE_URL = "https://history.example.org/dumps"
 WIKI, SNAPSHOT = "mainwiki", "2026-03"
@@ -66,8 +77,8 @@ def events(spark, sf_dir):
 
 def typed_raw(spark, sf_dir):
     """Orders in the raw layout, as reading them from files would give them."""
-    raw = views.orders_as_raw(spark, sf_dir)
-    return raw.select(
+    text = raw.orders_as_raw(spark, sf_dir)
+    return text.select(
         *[F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in schema.RAW]
     )
 
@@ -80,43 +91,79 @@ def split(spark, sf_dir):
     return vectors.train_test_split(stored_features(spark, sf_dir))
 
 
-def fitted_logreg(spark, sf_dir):
+def fitted_logreg(spark, sf_dir, spec=LOGREG):
     train, test = split(spark, sf_dir)
-    return logreg.fit(train, THREE_EPOCHS), test
+    return logreg.fit(train, spec), test
 
 
-def fitted_kmeans(spark, sf_dir):
+def fitted_kmeans(spark, sf_dir, spec=KMEANS):
     table = stored_features(spark, sf_dir)
-    return kmeans.fit(table, THREE_ITERATIONS), table
+    return kmeans.fit(table, spec), table
+
+
+def fitted_mlp(spark, sf_dir, spec=TWO_COPIES):
+    train, test = split(spark, sf_dir)
+    return mlp.fit(train, spec), test
 
 
 # Sources and cleaning.
 
 
+def landed_history(spark, sf_dir) -> str:
+    path = new_path(spark, "raw")
+    raw.write_revision_tsv(raw.orders_as_raw(spark, sf_dir), path)
+    return path
+
+
 def clean_orders(spark, sf_dir):
     """Raw text files to a partitioned table and back."""
-    raw_path, clean_path = new_path(spark, "raw"), new_path(spark, "clean")
-    files.write_revision_tsv(views.orders_as_raw(spark, sf_dir), raw_path)
-    jobs.run_clean(spark, raw_path, clean_path, pattern="*.txt.bz2", grouped_by_month=False)
+    clean_path = new_path(spark, "clean")
+    jobs.run_clean(
+        spark,
+        landed_history(spark, sf_dir),
+        clean_path,
+        pattern="*.txt.bz2",
+        grouped_by_month=False,
+    )
+    return tidy(files.read_clean(spark, clean_path))
+
+
+def clean_orders_as_landed(spark, sf_dir):
+    """The same without moving rows: each task writes the months it reads."""
+    clean_path = new_path(spark, "clean")
+    jobs.run_clean(spark, landed_history(spark, sf_dir), clean_path, pattern="*.txt.bz2")
     return tidy(files.read_clean(spark, clean_path))
 
 
 def read_revision_tsv(spark, sf_dir):
-    path = new_path(spark, "raw")
-    files.write_revision_tsv(views.orders_as_raw(spark, sf_dir), path)
-    return tidy(
-        files.read_revision_tsv(spark, path, pattern="*.txt.bz2").select(
-            "event_entity",
-            "event_timestamp",
-            "event_comment",
-            "event_user_is_bot_by",
-            "event_user_is_anonymous",
-            "page_namespace",
-            "revision_id",
-            "revision_minor_edit",
-            "revision_text_bytes_diff",
-        )
-    )
+    """All columns of the layout."""
+    path = landed_history(spark, sf_dir)
+    return tidy(files.read_revision_tsv(spark, path, pattern="*.txt.bz2"))
+
+
+def history_with_an_odd_file(spark, sf_dir) -> DataFrame:
+    """Raw lines of a folder in which one file has a column too many."""
+    path = landed_history(spark, sf_dir)
+    odd = raw.orders_as_raw(spark, sf_dir).filter("revision_id % 50 = 0")
+    raw.write_revision_tsv(odd.withColumn("new_column", F.lit("new")), path, mode="append")
+    return files.read_raw_lines(spark, path, pattern="*.txt.bz2")
+
+
+def raw_rejects(spark, sf_dir):
+    found = files.rejected(history_with_an_odd_file(spark, sf_dir))
+    at = schema.RAW.fieldNames().index("revision_id")
+    revision = F.split("line", "\t").getItem(at).alias("revision_id")
+    return tidy(found.select("first_cell", "cells", revision))
+
+
+def raw_line_counts(spark, sf_dir):
+    return history_with_an_odd_file(spark, sf_dir).agg(*files.line_counts())
+
+
+def raw_accepted(spark, sf_dir):
+    """What is left beside the odd file is read as without it."""
+    lines = history_with_an_odd_file(spark, sf_dir)
+    return tidy(files.accepted(lines))
 
 
 def clean_month_range(spark, sf_dir):
@@ -157,7 +204,7 @@ def edit_rank(spark, sf_dir):
 
 
 def edit_rank_events(spark, sf_dir):
-    ranked = ranking.edit_rank(events(spark, sf_dir), slice_seconds=86400)
+    ranked = ranking.edit_rank(events(spark, sf_dir), slices=50)
     return tidy(ranked.select(USER, "revision_id", "edit_rank"))
 
 
@@ -196,6 +243,12 @@ def features_of(source, spec: FeatureSpec = FeatureSpec()) -> Query:
     return lambda spark, sf_dir: tidy(features.editor_features(source(spark, sf_dir), spec))
 
 
+def stored_feature_table(spark, sf_dir):
+    path = new_path(spark, "features")
+    files.write_features(features.editor_features(orders(spark, sf_dir)), path)
+    return tidy(files.read_features(spark, path))
+
+
 def feature_vector(spark, sf_dir):
     """The vector column, one row per entry."""
     vector = features.with_vector(features.editor_features(orders(spark, sf_dir)))
@@ -231,15 +284,21 @@ def weights_frame(spark, saved: dict) -> DataFrame:
     return tidy(spark.createDataFrame(rows, "feature string, weight double"))
 
 
-def logreg_weights_3ep(spark, sf_dir):
-    model, _ = fitted_logreg(spark, sf_dir)
-    return weights_frame(spark, model.to_dict())
+def logreg_weights_of(spec) -> Query:
+    def query(spark, sf_dir):
+        model, _ = fitted_logreg(spark, sf_dir, spec)
+        return weights_frame(spark, model.to_dict())
 
+    return query
 
-def logreg_loss_3ep(spark, sf_dir):
-    model, _ = fitted_logreg(spark, sf_dir)
-    rows = [(h["epoch"], h["rows"], h["log_loss"]) for h in model.history]
-    return tidy(spark.createDataFrame(rows, "epoch int, n bigint, log_loss double"))
+
+def logreg_loss_of(spec) -> Query:
+    def query(spark, sf_dir):
+        model, _ = fitted_logreg(spark, sf_dir, spec)
+        rows = [(h["epoch"], h["rows"], h["log_loss"]) for h in model.history]
+        return tidy(spark.createDataFrame(rows, "epoch int, n bigint, log_loss double"))
+
+    return query
 
 
 def model_json(spark, sf_dir):
@@ -283,14 +342,49 @@ def auc_roc(spark, sf_dir):
     return tidy(evaluate.auc_roc(counts))
 
 
+def auc_roc_many_slices(spark, sf_dir):
+    model, test = fitted_logreg(spark, sf_dir)
+    counts = materialize(evaluate.score_counts(model.score(test)), "score_counts")
+    return tidy(evaluate.auc_roc(counts, slices=700))
+
+
+def missing_scores(spark, sf_dir):
+    """Metrics where every third score is missing, as NULL or as NaN."""
+    model, test = fitted_logreg(spark, sf_dir)
+    digit = F.substring(F.col(USER), -1, 1).cast("int")
+    missing = F.when(digit % 3 == 0, F.lit(None)).when(digit == 1, F.lit(float("nan")))
+    scored = model.score(test).withColumn(
+        "score", F.when(digit % 3 == 0, missing).when(digit == 1, missing).otherwise(F.col("score"))
+    )
+    return tidy(evaluate.evaluate_binary(scored))
+
+
 def binary_metrics(spark, sf_dir):
     model, test = fitted_logreg(spark, sf_dir)
     return tidy(evaluate.evaluate_binary(model.score(test)))
 
 
+def mlp_scores(spark, sf_dir):
+    """The forward pass with seeded weights, over all rows."""
+    table = stored_features(spark, sf_dir)
+    scaler = vectors.fit_scaler(table)
+    weights = mlp.initial_weights(len(schema.FEATURE_COLS), UNTRAINED)
+    model = mlp.MLPModel(scaler, weights, UNTRAINED.hidden)
+    return tidy(model.score(table).select(USER, "score"))
+
+
+def mlp_weights_of(spec) -> Query:
+    def query(spark, sf_dir):
+        model, _ = fitted_mlp(spark, sf_dir, spec)
+        rows = [(i, float(w)) for i, w in enumerate(model.weights)]
+        return tidy(spark.createDataFrame(rows, "id int, weight double"))
+
+    return query
+
+
 def mlp_metrics(spark, sf_dir):
-    train, test = split(spark, sf_dir)
-    return tidy(evaluate.evaluate_binary(mlp.fit(train, MLPSpec()).score(test)))
+    model, test = fitted_mlp(spark, sf_dir)
+    return tidy(evaluate.evaluate_binary(model.score(test)))
 
 
 # Clustering.
@@ -301,9 +395,18 @@ def kmeans_init(spark, sf_dir):
     return vectors.pick_rows(table, 4, seed=7).select(USER)
 
 
-def kmeans_centers_3it(spark, sf_dir):
+def kmeans_centers_of(spec) -> Query:
+    def query(spark, sf_dir):
+        model, _ = fitted_kmeans(spark, sf_dir, spec)
+        return tidy(kmeans.centers_frame(spark, model))
+
+    return query
+
+
+def kmeans_iterations(spark, sf_dir):
+    """After how many iterations the fit stopped by itself."""
     model, _ = fitted_kmeans(spark, sf_dir)
-    return tidy(kmeans.centers_frame(spark, model))
+    return spark.createDataFrame([(model.iterations,)], "iterations bigint")
 
 
 def kmeans_assign(spark, sf_dir):
@@ -337,7 +440,7 @@ def cluster_profile(spark, sf_dir):
 def landed_changes(spark, sf_dir) -> str:
     path = new_path(spark, "changes")
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    views.events_as_changes(table).write.text(path)
+    raw.events_as_changes(table).write.text(path)
     return path
 
 
@@ -369,7 +472,7 @@ def run_on_envelopes(spark, sf_dir, transform) -> DataFrame:
 
 def feed_filter(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
-    changes = feed.parse_changes(views.events_as_changes(table))
+    changes = feed.parse_changes(raw.events_as_changes(table))
     return feed.feed_filter(changes, "mainwiki").select("title", "wiki", "type")
 
 
@@ -377,6 +480,26 @@ def feed_envelope(spark, sf_dir):
     return tidy(run_on_envelopes(spark, sf_dir, lambda envelopes: envelopes))
 
 
+def feed_coerced(spark, sf_dir):
+    """Lines whose fields come as numbers, texts and flags of other kinds than usual."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lines = raw.events_as_odd_changes(table)
+    return tidy(feed.parse_envelope(feed.normalize_feed(lines, "mainwiki")))
+
+
+def feed_counts(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return feed.feed_counts(raw.events_as_changes(table))
+
+
+def stream_malformed(spark, sf_dir):
+    """Envelopes that are broken, or lack fields: scored with 0 for what is not known."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    parsed = feed.parse_envelope(raw.events_as_bad_envelopes(table))
+    model = logreg.LogRegModel.from_dict(raw.PLAIN_MODEL)
+    return tidy(feed.score_stream(feed.partial_features(parsed), model))
+
+
 def stream_partial_features(spark, sf_dir):
     return tidy(run_on_envelopes(spark, sf_dir, feed.partial_features).drop("corrupt"))
 
@@ -412,7 +535,12 @@ def cohort_summary(spark, sf_dir):
 
 def model_metrics(spark, sf_dir) -> dict:
     model, test = fitted_logreg(spark, sf_dir)
-    return jobs.logreg_metrics(model, model.score(test), THREE_EPOCHS)
+    return jobs.logreg_metrics(model, model.score(test), LOGREG)
+
+
+def network_metrics(spark, sf_dir) -> dict:
+    model, test = fitted_mlp(spark, sf_dir)
+    return jobs.mlp_metrics(model, model.score(test), TWO_COPIES)
 
 
 def model_compare(spark, sf_dir):
@@ -420,11 +548,32 @@ def model_compare(spark, sf_dir):
     return tidy(report.model_compare(spark, metrics).drop("train_seconds"))
 
 
+def model_compare_both(spark, sf_dir):
+    metrics = [model_metrics(spark, sf_dir), network_metrics(spark, sf_dir)]
+    return tidy(report.model_compare(spark, metrics).drop("train_seconds"))
+
+
 def panel_auc(spark, sf_dir):
     metrics = [model_metrics(spark, sf_dir), None]
     return tidy(report.panel_auc(report.model_compare(spark, metrics)))
 
 
+def panel_auc_both(spark, sf_dir):
+    metrics = [model_metrics(spark, sf_dir), network_metrics(spark, sf_dir)]
+    return tidy(report.panel_auc(report.model_compare(spark, metrics)))
+
+
+def optional_metrics(spark, sf_dir):
+    """Saved metrics are found again, others are reported as absent."""
+    path = new_path(spark, "metrics")
+    files.save_json(spark, model_metrics(spark, sf_dir), path)
+    rows = []
+    for name, at in (("saved", path), ("absent", path + "-absent")):
+        found = files.load_json_optional(spark, at)
+        rows.append((name, found is not None, found and found["n_train"]))
+    return spark.createDataFrame(rows, "name string, found boolean, n_train bigint")
+
+
 def panel_confusion(spark, sf_dir):
     return tidy(report.panel_confusion(confusion_matrix(spark, sf_dir)))
 
@@ -439,54 +588,67 @@ def panel_revert_vs_velocity(spark, sf_dir):
     return tidy(report.panel_revert_vs_velocity(kmeans.cluster_profile(model.assign(table))))
 
 
-def results_table(spark, sf_dir):
-    """Written and read back; training times differ per run and are left out here."""
+def fitted_all(spark, sf_dir, with_network: bool):
+    """The feature table, cluster profile, and metrics of each model."""
     table = stored_features(spark, sf_dir)
     train, test = vectors.train_test_split(table)
-    lr = logreg.fit(train, THREE_EPOCHS)
-    km = kmeans.fit(table, THREE_ITERATIONS)
+    lr = logreg.fit(train, LOGREG)
+    km = kmeans.fit(table, KMEANS)
     assigned = km.assign(table)
-    result = report.results_table(
+    nn = None
+    if with_network:
+        net = mlp.fit(train, TWO_COPIES)
+        nn = jobs.mlp_metrics(net, net.score(test), TWO_COPIES)
+    return (
+        table,
         kmeans.cluster_profile(assigned),
-        jobs.logreg_metrics(lr, lr.score(test), THREE_EPOCHS),
+        jobs.logreg_metrics(lr, lr.score(test), LOGREG),
         jobs.kmeans_metrics(km, assigned),
+        nn,
     )
-    path = new_path(spark, "results")
-    files.write_results(result, path)
-    stored = spark.read.schema(schema.RESULTS).parquet(path)
-    return tidy(stored.drop("logreg_train_seconds", "kmeans_train_seconds"))
 
 
-def summary(spark, sf_dir):
+def results_table_of(with_network: bool) -> Query:
+    """Written and read back; training times differ per run and are left out here."""
+
+    def query(spark, sf_dir):
+        _, profile, lr, km, nn = fitted_all(spark, sf_dir, with_network)
+        path = new_path(spark, "results")
+        files.write_results(report.results_table(profile, lr, km, nn), path)
+        stored = spark.read.schema(schema.RESULTS).parquet(path)
+        return tidy(stored.drop("logreg_train_seconds", "kmeans_train_seconds"))
+
+    return query
+
+
+def summary_of(with_network: bool) -> Query:
     """The summary object, written and read back."""
-    table = stored_features(spark, sf_dir)
-    train, test = vectors.train_test_split(table)
-    lr = logreg.fit(train, THREE_EPOCHS)
-    km = kmeans.fit(table, THREE_ITERATIONS)
-    obj = report.summary(
-        table,
-        jobs.logreg_metrics(lr, lr.score(test), THREE_EPOCHS),
-        jobs.kmeans_metrics(km, km.assign(table)),
-    )
-    folder = new_path(spark, "dashboard")
-    files.write_summary(spark, obj, folder)
-    layout = (
-        "n_editors bigint, dropout_rate double, "
-        "logreg struct<n_train: bigint, auc_roc: double, confusion: struct<tp: bigint>>, "
-        "kmeans struct<k: bigint, silhouette: double>"
-    )
-    stored = files.load_json_frame(spark, f"{folder}/summary.json", layout)
-    return tidy(
-        stored.selectExpr(
-            "n_editors",
-            "dropout_rate",
-            "logreg.n_train AS n_train",
-            "logreg.auc_roc AS auc_roc",
-            "logreg.confusion.tp AS tp",
-            "kmeans.k AS k",
-            "kmeans.silhouette AS silhouette",
+
+    def query(spark, sf_dir):
+        table, _, lr, km, nn = fitted_all(spark, sf_dir, with_network)
+        folder = new_path(spark, "dashboard")
+        files.write_summary(spark, report.summary(table, lr, km, nn), folder)
+        layout = (
+            "n_editors bigint, dropout_rate double, "
+            "logreg struct<n_train: bigint, auc_roc: double, confusion: struct<tp: bigint>>, "
+            "kmeans struct<k: bigint, silhouette: double>, dnn struct<auc_roc: double>"
         )
-    )
+        stored = files.load_json_frame(spark, f"{folder}/summary.json", layout)
+        more = ["dnn.auc_roc AS dnn_auc_roc"] if with_network else []
+        return tidy(
+            stored.selectExpr(
+                "n_editors",
+                "dropout_rate",
+                "logreg.n_train AS n_train",
+                "logreg.auc_roc AS auc_roc",
+                "logreg.confusion.tp AS tp",
+                "kmeans.k AS k",
+                "kmeans.silhouette AS silhouette",
+                *more,
+            )
+        )
+
+    return query
 
 
 def survival_curve(spark, sf_dir):
@@ -507,7 +669,11 @@ QUERIES: dict[str, Query] = {
     "drop_anonymous": only_revision_ids(clean.drop_anonymous),
     "keep_namespaces": only_revision_ids(clean.keep_namespaces),
     "parse_ts_year_month": parse_ts_year_month,
+    "raw_rejects": raw_rejects,
+    "raw_line_counts": raw_line_counts,
+    "raw_accepted": raw_accepted,
     "clean_orders": clean_orders,
+    "clean_orders_as_landed": clean_orders_as_landed,
     "clean_month_range": clean_month_range,
     "month_manifest": month_manifest,
     "month_missing": month_missing,
@@ -534,13 +700,18 @@ QUERIES: dict[str, Query] = {
     "editor_features_full_window": features_of(orders, FeatureSpec(require_full_window=True)),
     "editor_features_censored": features_of(orders, FeatureSpec(censor_after=CENSOR_AFTER)),
     "event_user_features": features_of(events, EVENT_SPEC),
+    "stored_feature_table": stored_feature_table,
     "feature_vector": feature_vector,
     "standardize_stats": standardize_stats,
     "train_test_split": train_test_split,
     "sample_fraction": sample_fraction,
     "scaled_features": scaled_features,
-    "logreg_weights_3ep": logreg_weights_3ep,
-    "logreg_loss_3ep": logreg_loss_3ep,
+    "logreg_weights_3ep": logreg_weights_of(THREE_EPOCHS),
+    "logreg_loss_3ep": logreg_loss_of(THREE_EPOCHS),
+    "logreg_weights": logreg_weights_of(LOGREG),
+    "logreg_loss": logreg_loss_of(LOGREG),
+    "logreg_weights_in_turns": logreg_weights_of(IN_TURNS),
+    "logreg_loss_in_turns": logreg_loss_of(IN_TURNS),
     "model_json": model_json,
     "logreg_scores": logreg_scores,
     "predictions": predictions,
@@ -548,26 +719,41 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix": confusion_matrix,
     "auc_roc": auc_roc,
     "binary_metrics": binary_metrics,
+    "auc_roc_many_slices": auc_roc_many_slices,
+    "missing_scores": missing_scores,
+    "mlp_scores": mlp_scores,
+    "mlp_weights": mlp_weights_of(ONE_COPY),
+    "mlp_weights_two_copies": mlp_weights_of(TWO_COPIES),
     "mlp_metrics": mlp_metrics,
     "kmeans_init": kmeans_init,
-    "kmeans_centers_3it": kmeans_centers_3it,
+    "kmeans_centers_3it": kmeans_centers_of(THREE_ITERATIONS),
+    "kmeans_centers": kmeans_centers_of(KMEANS),
+    "kmeans_iterations": kmeans_iterations,
     "kmeans_assign": kmeans_assign,
     "wcss": wcss,
     "simplified_silhouette": simplified_silhouette,
     "cluster_profile": cluster_profile,
     "feed_filter": feed_filter,
     "feed_envelope": feed_envelope,
+    "feed_coerced": feed_coerced,
+    "feed_counts": feed_counts,
+    "stream_malformed": stream_malformed,
     "stream_partial_features": stream_partial_features,
     "stream_scores": stream_scores,
     "stream_first_features": stream_first_features,
     "cohort_summary": cohort_summary,
     "model_compare": model_compare,
+    "model_compare_both": model_compare_both,
     "panel_auc": panel_auc,
+    "panel_auc_both": panel_auc_both,
+    "optional_metrics": optional_metrics,
     "panel_confusion": panel_confusion,
     "panel_cluster_sizes": panel_cluster_sizes,
     "panel_revert_vs_velocity": panel_revert_vs_velocity,
-    "results_table": results_table,
-    "summary": summary,
+    "results_table": results_table_of(False),
+    "results_table_with_network": results_table_of(True),
+    "summary": summary_of(False),
+    "summary_with_network": summary_of(True),
     "survival_curve": survival_curve,
     "top_risk": top_risk,
 }

@@ -27,9 +27,14 @@ class FeatureSpec:
 
 @dataclass(frozen=True)
 class LogRegSpec:
+    """``batches`` times ``batch`` is the most rows that one epoch sees; successive epochs
+    take turns through a larger table, so 30 epochs see at most 12.3 million rows at the
+    defaults. It bounds the labelled rows of the fit and nothing else."""
+
     epochs: int = 30
     lr: float = 0.1
     batch: int = 4096
+    batches: int = 100
     seed: int = 7
     init: str = "gauss"  # or "zeros"
 
@@ -45,8 +50,9 @@ class KMeansSpec:
 
 @dataclass(frozen=True)
 class MLPSpec:
-    """``workers`` partitions train in parallel, or more if one would otherwise get more
-    than ``rows_per_worker`` rows."""
+    """``workers`` copies of the network train in parallel on shares of the rows and are
+    averaged after every epoch. The number is part of the algorithm, so it is given, never
+    derived: one copy per core of the cluster is a good choice for large tables."""
 
     hidden: tuple[int, int] = (64, 32)
     dropout: float = 0.2
@@ -54,6 +60,5 @@ class MLPSpec:
     batch: int = 256
     seed: int = 7
     workers: int = 4
-    rows_per_worker: int = 1_000_000
     validation_split: float = 0.1
     learning_rate: float = 1e-3

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.scalars import flag
 from holdfast.operators.prefix import running_sum
-from holdfast.workspace import materialize
+from holdfast.workspace import stored
 
 THRESHOLD = 0.5
-DISTINCT_PER_SLICE = 1_000_000
+#: Slices of the score axis: as many tasks share the distinct scores, whatever their number.
+SLICES = 64
 
 
 def predicted(score: str = "score", threshold: float = THRESHOLD):
@@ -21,8 +22,14 @@ def predicted(score: str = "score", threshold: float = THRESHOLD):
 
 
 def score_counts(scored: DataFrame, label: str = "dropout", score: str = "score") -> DataFrame:
-    """Rows of each class per distinct score. All metrics below follow from this."""
-    return scored.groupBy(F.col(score).alias("score")).agg(
+    """Rows of each class per distinct score. All metrics below follow from this.
+
+    A missing score (NULL or NaN) is the lowest of all: predicted 0, ranked below every
+    other score, tied with other missing ones. So the cells add up to all labelled rows.
+    """
+    lowest = F.lit(-math.inf)
+    known = F.coalesce(F.nanvl(F.col(score).cast("double"), lowest), lowest)
+    return scored.groupBy(known.alias("score")).agg(
         F.sum(flag(F.col(label) == 1)).alias("pos"),
         F.sum(flag(F.col(label) == 0)).alias("neg"),
     )
@@ -63,23 +70,18 @@ def _with_slice(counts: DataFrame, slices: int) -> DataFrame:
 
     Any cut gives the same result, so approximate quantiles will do.
     """
-    if slices > 1:
-        at = [i / slices for i in range(1, slices)]
-        cuts = counts.agg(F.percentile_approx("score", at, 10000)).first()[0]
-        edges = [-math.inf, *sorted(set(cuts)), math.inf]
-        return Bucketizer(splits=edges, inputCol="score", outputCol="slice").transform(counts)
-    return counts.withColumn("slice", F.lit(0.0))
+    at = [i / slices for i in range(1, slices)]
+    cuts = counts.agg(F.percentile_approx("score", at, 10000)).first()[0] if at else []
+    edges = [-math.inf, *sorted(set(cuts or []) - {-math.inf, math.inf}), math.inf]
+    return Bucketizer(splits=edges, inputCol="score", outputCol="slice").transform(counts)
 
 
-def auc_roc(
-    counts: DataFrame, distinct_per_slice: int = DISTINCT_PER_SLICE
-) -> DataFrame:
+def auc_roc(counts: DataFrame, slices: int = SLICES) -> DataFrame:
     """Exact area under the ROC curve: the share of pairs ranked right, ties counting half.
 
     A positive beats the negatives with a lower score, a running sum over the distinct
     scores. With only one class the area is NaN. ``counts`` must be a stored table.
     """
-    slices = math.ceil(counts.count() / distinct_per_slice)
     below = running_sum(
         _with_slice(counts, slices),
         [],
@@ -105,7 +107,8 @@ def evaluate_binary(
     scored: DataFrame, label: str = "dropout", score: str = "score"
 ) -> DataFrame:
     """One row: tp, fp, tn, fn, precision, recall, f1, accuracy, auc_roc."""
-    counts = materialize(score_counts(scored, label, score), "score_counts")
-    one = F.lit(1).alias("_one")
-    rates = with_rates(confusion_matrix(counts)).withColumn("_one", one)
-    return rates.join(auc_roc(counts).withColumn("_one", one), "_one").drop("_one")
+    with stored(score_counts(scored, label, score), "score_counts") as counts:
+        one = F.lit(1).alias("_one")
+        rates = with_rates(confusion_matrix(counts)).withColumn("_one", one)
+        both = rates.join(auc_roc(counts).withColumn("_one", one), "_one").drop("_one")
+        return scored.sparkSession.createDataFrame(both.collect(), both.schema)

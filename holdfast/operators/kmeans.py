@@ -1,29 +1,46 @@
 """K-Means by Lloyd's iterations, one grouped aggregate per iteration.
 
-Distances to the centers are SQL expressions over literals. Every task sums its rows
-per cluster before the shuffle, so a cluster that holds most rows costs no more than others.
+Points travel as one array each; distances to all centers are a loop over the centers in
+numpy, so plans and generated code are the same for any number of centers. Every task sums its
+rows per cluster before the shuffle, so a cluster that holds most rows costs no more than
+others.
 """
 
 from __future__ import annotations
 
 import math
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import schema
 from holdfast.config import KMeansSpec
-from holdfast.functions.scalars import sql_double
 from holdfast.operators.vectors import KEY, Scaler, fit_scaler, pick_rows
+from holdfast.shipping import ship_package
 
+_COUNT, _COST = -2, -1
 
-def _squared(x: str, center: float) -> str:
-    """A product, which is somewhat cheaper than ``power``."""
-    difference = f"({x} - {sql_double(center)})"
-    return f"{difference} * {difference}"
+
+def _points(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten(), float).reshape(len(column), -1)
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the nearest center (the lowest on ties), squared distances to the two nearest."""
+    distances = np.empty((len(x), len(centers)))
+    for i, center in enumerate(centers):
+        distances[:, i] = ((x - center) ** 2).sum(1)
+    cluster = distances.argmin(1)
+    if len(centers) == 1:
+        return cluster, distances[:, 0], distances[:, 0]
+    two = np.partition(distances, 1, axis=1)
+    return cluster, two[:, 0], two[:, 1]
 
 
 def with_nearest(
@@ -34,27 +51,46 @@ def with_nearest(
     ``features`` gives the SQL text of each scaled feature. ``second`` equals ``nearest``
     when there is only one center.
     """
-    kept = df.columns
-    x = [f"_x_{name}" for name in features]
-    d = [f"_d_{i}" for i in range(len(centers))]
-    distances = [" + ".join(map(_squared, x, center)) for center in centers]
-    several = len(centers) > 1
-    nearest = f"least({', '.join(d)})" if several else d[0]
-    whens = " ".join(f"WHEN {c} = nearest THEN {i}" for i, c in enumerate(d))
-    others = ", ".join(f"if(cluster = {i}, NULL, {c})" for i, c in enumerate(d))
-    if not several:
-        second = "nearest"
-    elif len(centers) == 2:
-        second = f"greatest({', '.join(d)})"
-    else:
-        second = f"least({others})"
-    return (
-        df.selectExpr("*", *[f"{text} AS {name}" for name, text in zip(x, features.values())])
-        .selectExpr(*kept, *[f"{text} AS {name}" for name, text in zip(d, distances)])
-        .selectExpr("*", f"{nearest} AS nearest")
-        .selectExpr("*", f"CASE {whens} END AS cluster")
-        .selectExpr(*kept, "cluster", "nearest", f"{second} AS second")
-    )
+    ship_package(df.sparkSession)
+    at = np.array(centers, float)
+
+    @F.arrow_udf("cluster int, nearest double, second double")
+    def near(x: pa.Array) -> pa.Array:
+        cluster, nearest, second = _nearest(_points(x), at)
+        return pa.StructArray.from_arrays(
+            [pa.array(cluster, pa.int32()), pa.array(nearest), pa.array(second)],
+            names=["cluster", "nearest", "second"],
+        )
+
+    x = F.array(*[F.expr(text) for text in features.values()])
+    found = df.withColumn("_near", near(x))
+    return found.select(*df.columns, "_near.cluster", "_near.nearest", "_near.second")
+
+
+def _partial_sums(centers: list[list[float]]):
+    """The task side of a step: count, cost and sums of each cluster over all its batches."""
+    at = np.array(centers, float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, d = at.shape
+        sums = np.zeros((k, d + 2))
+        for batch in batches:
+            x = _points(batch.column("x"))
+            cluster, nearest, _ = _nearest(x, at)
+            sums[:, 0] += np.bincount(cluster, minlength=k)
+            sums[:, 1] += np.bincount(cluster, nearest, k)
+            for i in range(d):
+                sums[:, 2 + i] += np.bincount(cluster, x[:, i], k)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.arange(k), d + 2), pa.int32()),
+                pa.array(np.tile(np.arange(_COUNT, d), k), pa.int32()),
+                pa.array(sums.ravel()),
+            ],
+            names=["cluster", "i", "value"],
+        )
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -83,21 +119,24 @@ class KMeansModel:
         return cls(scaler, saved["centers_standardized"])
 
 
+def as_points(scaled: DataFrame, features: list[str]) -> DataFrame:
+    return scaled.select(F.array(*features).alias("x"))
+
+
 def step(
-    scaled: DataFrame, features: list[str], centers: list[list[float]]
+    points: DataFrame, centers: list[list[float]]
 ) -> tuple[list[list[float]], float]:
     """New centers, and the cost of the old ones. A center without rows stays."""
-    near = with_nearest(scaled, {f: f for f in features}, centers)
-    sums = near.groupBy("cluster").agg(
-        F.expr("count(*) AS n"),
-        F.expr("sum(nearest) AS cost"),
-        *[F.expr(f"sum({f}) AS sum_{f}") for f in features],
-    )
-    moved, cost = list(centers), 0.0
-    for row in sums.collect():  # at most one row per center
-        moved[row["cluster"]] = [row[f"sum_{f}"] / row["n"] for f in features]
-        cost += row["cost"]
-    return moved, cost
+    ship_package(points.sparkSession)
+    parts = points.mapInArrow(_partial_sums(centers), "cluster int, i int, value double")
+    sums = np.zeros((len(centers), len(centers[0]) + 2))
+    # One row per center and coordinate, whatever the number of points.
+    for row in parts.groupBy("cluster", "i").agg(F.sum("value").alias("value")).collect():
+        sums[row["cluster"], row["i"] - _COUNT] = row["value"]
+    moved = [
+        (own[2:] / own[0]).tolist() if own[0] else list(old) for own, old in zip(sums, centers)
+    ]
+    return moved, float(sums[:, 1].sum())
 
 
 def fit(
@@ -110,12 +149,13 @@ def fit(
     scaler = fit_scaler(df, features)
     start = df.transform(pick_rows, spec.k, spec.seed, key).select(*scaler.columns())
     centers = [list(row) for row in start.collect()]
-    scaled = df.select(*scaler.columns()).persist(StorageLevel.MEMORY_AND_DISK)
+    points = as_points(df.select(*scaler.columns()), features)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     last_cost, done = float("inf"), 0
     started = time.monotonic()
     try:
         for _ in range(spec.iters):
-            moved, cost = step(scaled, features, centers)
+            moved, cost = step(points, centers)
             shift = sum(math.dist(a, b) for a, b in zip(centers, moved))
             centers, done = moved, done + 1
             settled = abs(last_cost - cost) < spec.cost_tol * max(1.0, last_cost)
@@ -123,7 +163,7 @@ def fit(
                 break
             last_cost = cost
     finally:
-        scaled.unpersist()
+        points.unpersist()
     return KMeansModel(scaler, centers, last_cost, time.monotonic() - started, done)
 
 
@@ -163,6 +203,19 @@ def cluster_profile(
     )
 
 
+def cluster_sums(
+    assigned: DataFrame, features: list[str] = schema.FEATURE_COLS
+) -> DataFrame:
+    """The profile with the ``wcss`` and the ``silhouette_sum`` of each cluster: all that the
+    metrics need, in one pass."""
+    return assigned.groupBy(F.col("cluster").alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("cluster_size"),
+        *[F.avg(f).alias(f"mean_{f}") for f in features],
+        F.sum("nearest").alias("wcss"),
+        F.sum(silhouette_of_point()).alias("silhouette_sum"),
+    )
+
+
 def evaluate(assigned: DataFrame) -> DataFrame:
     """``wcss`` and ``silhouette`` over all rows, in one pass."""
     return assigned.agg(

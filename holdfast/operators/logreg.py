@@ -86,6 +86,7 @@ def gradient(
     )
 
 
+# Fixed values below: the start and the names in ``to_dict`` are those of saved models.
 def initial_weights(n: int, spec: LogRegSpec) -> list[float]:
     if spec.init == "zeros":
         return [0.0] * n
@@ -102,16 +103,21 @@ def fit(
 ) -> LogRegModel:
     """Fit on ``train``, which should be a stored table: a lost block is read from it again.
 
-    An epoch sees about 100 batches, or all rows if there are fewer. Rows are then cached
-    in the order that epochs take them, so that an epoch skips the cached blocks that hold
-    none of its rows.
+    An epoch sees about ``spec.batches`` batches, or all rows if there are fewer. Only rows
+    that some epoch takes are cached, in the order that epochs take them, so that an epoch
+    skips the cached blocks that hold none of its rows.
     """
     scaler = fit_scaler(train, features)
-    fraction = min(1.0, spec.batch * 100.0 / max(1, scaler.count))
+    fraction = min(1.0, spec.batch * float(spec.batches) / max(1, scaler.count))
     scaled = train.select(label, *scaler.columns())
     if fraction < 1.0:
         order = slot(key, spec.seed).alias("_slot")
-        scaled = train.select(label, order, *scaler.columns()).sortWithinPartitions("_slot")
+        scaled = train.select(label, order, *scaler.columns())
+        if fraction * spec.epochs < 1.0:
+            # One slot more an epoch than the turns take, for rounding.
+            reach = fraction * spec.epochs + spec.epochs / 2**32
+            scaled = scaled.filter(in_turn(F.col("_slot"), min(reach, 1.0), 0))
+        scaled = scaled.sortWithinPartitions("_slot")
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     weights, intercept = initial_weights(len(features), spec), 0.0
     history = []

@@ -1,14 +1,15 @@
 """A small neural network trained data-parallel.
 
-Every epoch each partition trains its own copy of the network over its rows, batch by
-batch as Arrow delivers them, and Spark averages the copies weighted by row count. The
-weights leave the tasks as one row per parameter and are summed by the shuffle, so the
-driver sees one set of weights however many partitions there are.
+Every epoch ``workers`` copies of the network train, each over its own share of the rows, and
+Spark averages the copies weighted by row count. Shares and the order of rows in them follow
+from hashes of the keys, and mini-batches are cut from that order, so that neither the number
+of rows nor the partitioning of the input nor the size of Arrow batches changes the result.
+The weights leave the tasks as one row per parameter and are summed by the shuffle, so the
+driver sees one set of weights however many copies there are.
 """
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import schema
@@ -102,41 +103,73 @@ class _Adam:
         return flat - self.rate * m / (np.sqrt(v) + 1e-7)
 
 
-def _local_epoch(flat: np.ndarray, features: list[str], spec: MLPSpec, epoch: int):
-    """The task side of one epoch: Arrow batches in, weighted parameters out."""
+class _Copy:
+    """One copy in training: takes rows in order, steps whenever a mini-batch is full."""
+
+    def __init__(self, flat: np.ndarray, spec: MLPSpec, epoch: int, worker: int):
+        self.start, self.w, self.spec = flat, flat, spec
+        self.adam = _Adam(len(flat), spec.learning_rate)
+        self.rng = np.random.default_rng([spec.seed, epoch, worker])
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.n_waiting = self.seen = self.held_out = 0
+        self.train_loss = self.val_loss = 0.0
+
+    def take(self, x: np.ndarray, y: np.ndarray, held_out: np.ndarray, train: bool) -> None:
+        if held_out.any():
+            z = forward(self.start, x[held_out], self.spec.hidden)
+            self.val_loss += _log_loss(z, y[held_out])
+            self.held_out += int(held_out.sum())
+        x, y = x[~held_out], y[~held_out]
+        while train and len(y):
+            room = self.spec.batch - self.n_waiting
+            self.waiting.append((x[:room], y[:room]))
+            self.n_waiting += len(y[:room])
+            x, y = x[room:], y[room:]
+            if self.n_waiting == self.spec.batch:
+                self._step()
+
+    def _step(self) -> None:
+        x, y = (np.concatenate(part) for part in zip(*self.waiting))
+        self.waiting, self.n_waiting = [], 0
+        self.train_loss += _log_loss(forward(self.w, x, self.spec.hidden), y)
+        self.w = self.adam.update(self.w, _gradient(self.w, x, y, self.spec, self.rng))
+        self.seen += len(y)
+
+    def rows(self) -> pa.RecordBatch:
+        """Each parameter times the rows seen, and the losses before each step."""
+        if self.n_waiting:
+            self._step()
+        ids = np.concatenate([np.arange(len(self.w)), [_TRAIN_LOSS, _VAL_LOSS]])
+        sums = np.concatenate([self.w * self.seen, [self.train_loss, self.val_loss]])
+        counts = np.concatenate([np.full(len(self.w), self.seen), [self.seen, self.held_out]])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int32()), pa.array(sums), pa.array(counts, pa.int64())],
+            names=["id", "total", "n"],
+        )
+
+
+def _local_epoch(flat: np.ndarray, spec: MLPSpec, epoch: int, train: bool = True):
+    """The task side of one epoch: ordered rows in, weighted parameters out. A partition may
+    hold the shares of several copies, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, adam, seen, held_out = flat, _Adam(len(flat), spec.learning_rate), 0, 0
-        train_loss = val_loss = 0.0
-        rng = None
+        copy, current = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in features])
-            y = batch.column("_y").to_numpy(zero_copy_only=False)
-            val = batch.column("_held_out").to_numpy(zero_copy_only=False)
-            if rng is None:
-                worker = batch.column("_worker")[0].as_py()
-                rng = np.random.default_rng([spec.seed, epoch, worker])
-            if val.any():
-                val_loss += _log_loss(forward(flat, x[val], spec.hidden), y[val])
-                held_out += int(val.sum())
-            x, y = x[~val], y[~val]
-            order = rng.permutation(len(y))
-            for at in range(0, len(order), spec.batch):
-                rows = order[at : at + spec.batch]
-                w = adam.update(w, _gradient(w, x[rows], y[rows], spec, rng))
-            if len(y):
-                train_loss += _log_loss(forward(w, x, spec.hidden), y)
-                seen += len(y)
-        if seen or held_out:
-            ids = np.concatenate([np.arange(len(w)), [_TRAIN_LOSS, _VAL_LOSS]])
-            sums = np.concatenate([w * seen, [train_loss, val_loss]])
-            rows = np.concatenate([np.full(len(w), seen), [seen, held_out]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array(sums), pa.array(rows, pa.int64())],
-                names=["id", "total", "n"],
-            )
+            workers = np.asarray(batch.column("_worker"))
+            x = np.asarray(batch.column("x").flatten(), float).reshape(len(workers), -1)
+            y = np.asarray(batch.column("_y"), float)
+            held_out = batch.column("_held_out").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(workers)) + 1), len(workers)]
+            for low, high in zip(cuts, cuts[1:]):
+                if high > low and workers[low] != current:
+                    if copy is not None:
+                        yield copy.rows()
+                    current = int(workers[low])
+                    copy = _Copy(flat, spec, epoch, current)
+                if high > low:
+                    copy.take(x[low:high], y[low:high], held_out[low:high], train)
+        if copy is not None:
+            yield copy.rows()
 
     return run
 
@@ -185,47 +218,53 @@ def fit(
 ) -> MLPModel:
     """Fit on ``train``, which should be a stored table.
 
-    Rows go to partitions by key and are ordered by a hash inside, so a rerun of a lost
-    task sees the same rows in the same order and returns the same result. The number of
-    partitions follows from the number of rows, not from the size of the cluster.
+    A rerun of a lost task sees the same rows in the same order and returns the same result.
+    ``val_log_loss`` of an epoch is the loss of its averaged weights on the held-out rows.
     """
     ship_package(train.sparkSession)
     scaler = fit_scaler(train, features)
-    workers = max(spec.workers, math.ceil(scaler.count / spec.rows_per_worker))
     k = F.col(key)
     rows = (
         train.select(
             k.alias("_key"),
-            F.pmod(F.hash(k), F.lit(workers)).alias("_worker"),
+            worker_of(k, spec.workers).alias("_worker"),
             hash32(k, ":order").alias("_order"),
             (hash_unit(k, ":held out") < spec.validation_split).alias("_held_out"),
             F.col(label).cast("double").alias("_y"),
-            *scaler.columns(),
+            F.array(*scaler.columns()).alias("x"),
         )
-        .repartition(workers, "_key")
-        .sortWithinPartitions("_order", "_key")
+        .repartitionByRange(spec.workers, "_worker")
+        .sortWithinPartitions("_worker", "_order", "_key")
+        .drop("_order", "_key")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+
+    def epoch_means(epoch: int, training: bool = True) -> dict[int, float]:
+        parts = rows.mapInArrow(
+            _local_epoch(flat, spec, epoch, training), "id int, total double, n bigint"
+        )
+        mean = F.try_divide(F.sum("total"), F.sum("n")).alias("mean")
+        return {r["id"]: r["mean"] for r in parts.groupBy("id").agg(mean).collect()}
+
     flat = initial_weights(len(features), spec)
-    history = []
+    history: list[dict] = []
     started = time.monotonic()
     try:
         for epoch in range(spec.epochs):
-            parts = rows.drop("_order", "_key").mapInArrow(
-                _local_epoch(flat, features, spec, epoch), "id int, total double, n bigint"
-            )
-            mean = F.try_divide(F.sum("total"), F.sum("n")).alias("mean")
-            averaged = {r["id"]: r["mean"] for r in parts.groupBy("id").agg(mean).collect()}
-            trained = [averaged.get(i) for i in range(len(flat))]
+            means = epoch_means(epoch)
+            if history:
+                history[-1]["val_log_loss"] = means.get(_VAL_LOSS)
+            trained = [means.get(i) for i in range(len(flat))]
             if trained[0] is not None:
                 flat = np.array(trained)
-            history.append(
-                {
-                    "epoch": epoch,
-                    "log_loss": averaged.get(_TRAIN_LOSS),
-                    "val_log_loss": averaged.get(_VAL_LOSS),
-                }
-            )
+            history.append({"epoch": epoch, "log_loss": means.get(_TRAIN_LOSS)})
+        if history:
+            history[-1]["val_log_loss"] = epoch_means(spec.epochs, False).get(_VAL_LOSS)
     finally:
         rows.unpersist()
     return MLPModel(scaler, flat, spec.hidden, time.monotonic() - started, history)
+
+
+def worker_of(key: Column, workers: int) -> Column:
+    """The copy that a row trains."""
+    return hash32(key, ":worker") % workers

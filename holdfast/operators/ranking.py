@@ -6,10 +6,17 @@ numbers). Edits without a user or without a time are never ranked.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from holdfast.operators.prefix import running_sum
+from holdfast.shipping import ship_package
+from holdfast.workspace import materialize
 
 USER = "event_user_id"
 _ORDER = ["ts", "_id_length", "revision_id"]
@@ -31,19 +38,102 @@ def _by_user():
     return Window.partitionBy(USER).orderBy(*_ORDER)
 
 
-def edit_rank(edits: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def _rank_in_slice(user_at: int):
+    """The task side of :func:`edit_rank`: rows of a slice come in order; each gets its number
+    among its editor's rows of the slice, and the last row of the slice is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        user, count, waiting = None, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if waiting is not None:
+                yield waiting
+            users = batch.column(user_at)
+            new = np.ones(len(users), bool)
+            if len(users) > 1:
+                new[1:] = pc.not_equal(users[1:], users[:-1]).to_numpy(zero_copy_only=False)
+            at = np.arange(len(users))
+            first = np.maximum.accumulate(np.where(new, at, 0))
+            rank = at - first + 1
+            if users[0].as_py() == user:
+                rank[first == 0] += count
+            user, count = users[-1].as_py(), int(rank[-1])
+            last = np.zeros(len(users), bool)
+            columns = [*batch.columns, pa.array(rank), pa.array(last)]
+            names = [*batch.schema.names, "_rank", "_last"]
+            waiting = pa.RecordBatch.from_arrays(columns, names=names)
+        if waiting is not None:
+            last = np.zeros(waiting.num_rows, bool)
+            last[-1] = True
+            yield waiting.set_column(waiting.num_columns - 1, "_last", pa.array(last))
+
+    return run
+
+
+def sliced_ranks(edits: DataFrame, slices: int | None = None) -> DataFrame:
+    """Rankable edits with ``_slice``, ``_rank`` (inside editor and slice) and ``_last``.
+
+    The whole order by editor, time and id is cut into about equal slices, so an editor with
+    very many edits, or very many edits at one time, spread over several. The table is stored:
+    both readers must see the same slices.
+    """
+    rows = _rankable(edits)
+    order = [USER, *_ORDER]
+    n = slices or int(edits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = (
+        rows.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_slice", F.spark_partition_id())
+    )
+    layout = T.StructType(
+        [
+            *cut.schema.fields,
+            T.StructField("_rank", T.LongType()),
+            T.StructField("_last", T.BooleanType()),
+        ]
+    )
+    ship_package(edits.sparkSession)
+    ranked = cut.mapInArrow(_rank_in_slice(cut.columns.index(USER)), layout)
+    return materialize(ranked, "sliced_ranks")
+
+
+def slice_offsets(ranked: DataFrame) -> DataFrame:
+    """(editor, slice, offset): how many edits of an editor lie in earlier slices, for the
+    slices that begin with an editor who is also in the slice before.
+
+    There is at most one such row per slice: an editor in several slices is the last one of
+    each but the last. Windows run over one row per slice.
+    """
+    ends = ranked.filter("_last").select(USER, "_slice", "_rank")
+    begins = ranked.filter("_rank = 1").join(
+        ends.select(USER).distinct().withColumnRenamed(USER, "_user"),
+        F.col(USER) == F.col("_user"),
+        "left_semi",
+    )
+    known = begins.select(USER, "_slice", F.lit(0).cast("bigint").alias("_rank")).unionByName(ends)
+    totals = known.groupBy(USER, "_slice").agg(F.max("_rank").alias("_rank"))
+    before = (
+        Window.partitionBy(USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    shifted = totals.withColumn("_offset", F.sum("_rank").over(before))
+    return shifted.filter("_offset > 0").select(USER, "_slice", "_offset")
+
+
+def edit_rank(edits: DataFrame, slices: int | None = None) -> DataFrame:
     """All edits with their ``edit_rank``.
 
-    An editor's whole history is never gathered in one task: it is ranked in slices of
-    time that are shifted by the number of edits before them. Use :func:`first_edits`
-    when only the first few ranks matter.
+    An editor's whole history is never gathered in one task: edits are ranked in slices of the
+    order that are shifted by the number of edits before them. Rows are shuffled once. Use
+    :func:`first_edits` when only the first few ranks matter.
     """
-    rows = _rankable(edits).withColumn(
-        "_slice", F.expr(f"unix_timestamp(ts) div {slice_seconds}")
+    ranked = sliced_ranks(edits, slices)
+    shift = F.coalesce("_offset", F.lit(0))
+    return (
+        ranked.join(slice_offsets(ranked), [USER, "_slice"], "left")
+        .withColumn("edit_rank", F.col("_rank") + shift)
+        .select(*edits.columns, "edit_rank")
     )
-    return running_sum(
-        rows, [USER], "_slice", [F.col(c) for c in _ORDER], F.lit(1).cast("bigint"), "edit_rank"
-    ).drop("_slice", "_id_length")
 
 
 def first_edits(edits: DataFrame, n: int) -> DataFrame:
@@ -64,8 +154,15 @@ def first_window(edits: DataFrame, n: int) -> DataFrame:
 
 
 def post_window(edits: DataFrame, n: int) -> DataFrame:
-    """Edits that come after their editor's ``n``-th, with ``edit_rank``."""
-    return edit_rank(edits).filter(F.col("edit_rank") > n)
+    """Edits that come after their editor's ``n``-th.
+
+    Each is compared with the ``n``-th, which the limited plan of :func:`first_edits` finds, so
+    no whole history is ranked. Rows that repeat time and id of the ``n``-th are not after it.
+    """
+    nth = first_edits(edits, n).filter(F.col("edit_rank") == n)
+    place = F.struct(*[F.col(c) for c in _ORDER])
+    later = _rankable(edits).join(nth.select(USER, place.alias("_nth")), USER)
+    return later.filter(place > F.col("_nth")).select(*edits.columns)
 
 
 def with_neighbours(edits: DataFrame, n: int) -> DataFrame:

@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.scalars import DAY_SECONDS, flag
 from holdfast.operators.ranking import USER
+from holdfast.workspace import materialize
 
 
 def editor_lifetimes(edits: DataFrame, horizon_days: int) -> DataFrame:
     """Days from first to last edit, and whether the editor left or was still around.
 
     An editor has left if the data goes on for longer than the horizon after the last edit.
+    The edits are scanned once: their spans are stored, and the last of them ends the data.
     """
-    spans = (
+    spans = materialize(
         edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull())
         .groupBy(USER)
-        .agg(F.unix_timestamp(F.min("ts")).alias("t0"), F.unix_timestamp(F.max("ts")).alias("t1"))
+        .agg(F.unix_timestamp(F.min("ts")).alias("t0"), F.unix_timestamp(F.max("ts")).alias("t1")),
+        "spans",
     )
-    end = edits.agg(F.unix_timestamp(F.max("ts"))).first()[0]
+    end = spans.agg(F.max("t1")).first()[0]
     left = F.lit(end) - F.col("t1") > horizon_days * DAY_SECONDS
     return spans.select(
         USER,

@@ -13,17 +13,20 @@ from holdfast.functions.scalars import hash32, sql_double
 KEY = "event_user_id"
 
 
-def in_train(key: str = KEY) -> Column:
-    """Eight tenths of the keys, picked by hash.
+def in_train(key: str = KEY, share: float = 0.8, seed: int = 0) -> Column:
+    """A ``share`` of the keys (in thousandths), picked by hash; another one for every seed.
 
     The choice depends on the key alone, so it survives repartitioning and recomputation,
     which a random split does not.
     """
-    return hash32(F.col(key)) % 10 < 8
+    return hash32(F.col(key), f":split {seed}") % 1000 < round(share * 1000)
 
 
-def train_test_split(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    return df.filter(in_train(key)), df.filter(~in_train(key))
+def train_test_split(
+    df: DataFrame, key: str = KEY, share: float = 0.8, seed: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    picked = in_train(key, share, seed)
+    return df.filter(picked), df.filter(~picked)
 
 
 _SLOTS = 2**32

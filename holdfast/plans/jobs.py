@@ -3,7 +3,7 @@ can be rerun alone after a failure."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from holdfast import schema
@@ -12,6 +12,7 @@ from holdfast.operators import clean, evaluate, features, kmeans, logreg, mlp, v
 from holdfast.plans import report
 from holdfast.sources import files
 from holdfast.streaming import endpoints, feed
+from holdfast.workspace import require_utc
 
 
 def run_clean(
@@ -20,10 +21,26 @@ def run_clean(
     clean_path: str,
     pattern: str = "*.tsv.bz2",
     grouped_by_month: bool = True,
-) -> None:
-    """Raw history files to clean edits partitioned by month."""
-    raw = files.read_revision_tsv(spark, raw_path, pattern=pattern)
-    files.write_clean(clean.clean(raw), clean_path, grouped_by_month)
+    max_rejected: int | None = 0,
+) -> dict[str, int]:
+    """Raw history files to clean edits partitioned by month, in one pass.
+
+    Returns the number of ``lines``, and of those ``rejected`` because their cells do not
+    match the layout. More than ``max_rejected`` (None: any number) fail the job after
+    writing; ``files.rejected`` shows the lines.
+    """
+    require_utc(spark)
+    seen = Observation("raw lines")
+    lines = files.read_raw_lines(spark, raw_path, pattern=pattern)
+    counted = files.accepted(lines.observe(seen, *files.line_counts()))
+    files.write_clean(clean.clean(counted), clean_path, grouped_by_month)
+    counts = seen.get
+    if max_rejected is not None and counts["rejected"] > max_rejected:
+        raise ValueError(
+            f"{raw_path}: {counts['rejected']} of {counts['lines']} lines do not have the "
+            f"{len(schema.RAW)} tab-separated cells of the layout"
+        )
+    return counts
 
 
 def run_features(
@@ -34,6 +51,7 @@ def run_features(
     start: tuple[int, int] | None = None,
     end: tuple[int, int] | None = None,
 ) -> None:
+    require_utc(spark)
     edits = files.read_clean(spark, clean_path, start, end)
     files.write_features(features.editor_features(edits, spec), features_path)
 
@@ -75,21 +93,22 @@ def run_logreg(
 def kmeans_metrics(model: kmeans.KMeansModel, assigned: DataFrame) -> dict:
     """``wcss`` is the cost of the final centers; ``wcss_lagged`` the cost that was compared
     with last when fitting stopped."""
-    quality = kmeans.evaluate(assigned).first().asDict()
     names = model.scaler.features
+    rows = kmeans.cluster_sums(assigned, names).collect()  # one row per cluster
+    n = sum(row["cluster_size"] for row in rows)
     profile = {
         str(row["cluster_id"]): {
             "size": row["cluster_size"],
             "feature_mean": {f: row[f"mean_{f}"] for f in names},
         }
-        for row in kmeans.cluster_profile(assigned, names).collect()  # one row per cluster
+        for row in rows
     }
     return {
         "model": "kmeans",
         "k": len(model.centers),
         "train_seconds": model.train_seconds,
-        "silhouette": quality["silhouette"],
-        "wcss": quality["wcss"],
+        "silhouette": sum(row["silhouette_sum"] for row in rows) / n if n else None,
+        "wcss": sum(row["wcss"] for row in rows) if n else None,
         "wcss_lagged": model.lagged_cost,
         "cluster_profile": profile,
     }
@@ -110,6 +129,18 @@ def run_kmeans(
     return metrics
 
 
+def mlp_metrics(model: mlp.MLPModel, scored: DataFrame, spec: MLPSpec) -> dict:
+    return {
+        "model": "mlp",
+        "n_train": model.scaler.count,
+        "n_features": len(model.scaler.features),
+        "epochs": spec.epochs,
+        "batch": spec.batch,
+        "train_seconds": model.train_seconds,
+        **_binary_metrics(scored),
+    }
+
+
 def run_mlp(
     spark: SparkSession,
     features_path: str,
@@ -119,15 +150,7 @@ def run_mlp(
 ) -> dict:
     train, test = vectors.train_test_split(files.read_features(spark, features_path))
     model = mlp.fit(train, spec)
-    metrics = {
-        "model": "mlp",
-        "n_train": model.scaler.count,
-        "n_features": len(model.scaler.features),
-        "epochs": spec.epochs,
-        "batch": spec.batch,
-        "train_seconds": model.train_seconds,
-        **_binary_metrics(model.score(test)),
-    }
+    metrics = mlp_metrics(model, model.score(test), spec)
     files.save_json(spark, model.to_dict(), model_path)
     files.save_json(spark, metrics, metrics_path)
     return metrics

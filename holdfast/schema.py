@@ -96,6 +96,7 @@ def struct(ddl: str) -> T.StructType:
 
 RAW = struct(_RAW_LAYOUT)
 
+# The columns of clean edits that jobs exchange.
 CLEAN = struct(
     """
     wiki_db string, ts timestamp, year int, month int,
@@ -131,21 +132,13 @@ FEATURES = struct(
     "event_user_id string, dropout int, " + ", ".join(f"{c} double" for c in FEATURE_COLS)
 )
 
-# One line of the raw change feed; only the fields the envelope needs.
-CHANGE = T.StructType(
-    [
-        T.StructField("wiki", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("bot", T.BooleanType()),
-        T.StructField("user", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("namespace", T.IntegerType()),
-        T.StructField("timestamp", T.LongType()),
-        T.StructField("length", struct("old bigint, new bigint")),
-        T.StructField("comment", T.StringType()),
-        T.StructField("minor", T.BooleanType()),
-        T.StructField("tags", T.ArrayType(T.StringType())),
-    ]
+# The fields of the raw change feed that the envelope needs. They are read as
+# text, because the feed does not keep to one JSON type for each.
+CHANGE = struct(
+    """
+    wiki string, type string, bot string, user string, title string, namespace string,
+    timestamp string, length string, comment string, minor string, tags string
+    """
 )
 
 ENVELOPE = struct(

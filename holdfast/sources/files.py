@@ -6,53 +6,80 @@ import json
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast import schema
 
 
-def read_revision_tsv(
+LINE = "_line"
+#: True for a line whose number of cells is not that of the layout.
+REJECTED = "_rejected"
+
+
+def read_raw_lines(
     spark: SparkSession,
     path: str,
     layout: T.StructType = schema.RAW,
     pattern: str = "*.tsv.bz2",
-    probe_lines: int = 5,
 ) -> DataFrame:
-    """Read headerless tab-separated history files.
+    """Every line of headerless tab-separated history files, and whether it is rejected.
 
-    Cells that do not parse become NULL. Columns bind by position, so the cell count of
-    the first lines is checked against the layout before anything is bound.
+    Cells that do not parse become NULL. Columns bind by position, so a line with another
+    number of cells than the layout has can not be bound; ``_line`` is its text.
     """
-    first = spark.read.option("pathGlobFilter", pattern).text(path).limit(probe_lines)
-    for row in first.select(F.size(F.split("value", "\t")).alias("cells")).collect():
-        if row.cells != len(layout):
-            raise ValueError(
-                f"{path}: found {row.cells} tab-separated cells, "
-                f"the layout declares {len(layout)}"
-            )
+    with_line = T.StructType([*layout.fields, T.StructField(LINE, T.StringType())])
+    # The reader keeps the text of a line only if a cell or their number does not fit. A line
+    # of one cell equals its first cell; that is asked as well, because the reader does not
+    # tell about lines of which no column is read.
+    first = F.col(layout[0].name)
+    wrong = (F.size(F.split(LINE, "\t", -1)) != len(layout)) | first.eqNullSafe(F.col(LINE))
     return (
-        spark.read.schema(layout)
+        spark.read.schema(with_line)
         .option("pathGlobFilter", pattern)
         .option("sep", "\t")
         .option("header", False)
         .option("quote", "")
         .option("escape", "")
+        .option("columnNameOfCorruptRecord", LINE)
+        .option("columnPruning", False)  # with it, cells beyond the last one used go unseen
         .csv(path)
+        .withColumn(REJECTED, F.col(LINE).isNotNull() & wrong)
     )
 
 
-def write_revision_tsv(raw: DataFrame, path: str) -> None:
-    """Land rows as bz2-compressed tab-separated text, without header or quoting."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
-    (
-        raw.select(F.concat_ws("\t", *cells).alias("value"))
-        .write.option("compression", "bzip2")
-        .text(path)
+def accepted(lines: DataFrame) -> DataFrame:
+    return lines.filter(~F.col(REJECTED)).drop(LINE, REJECTED)
+
+
+def rejected(lines: DataFrame) -> DataFrame:
+    """The lines that can not be bound: their first cell, number of cells, and text."""
+    return lines.filter(REJECTED).select(
+        F.split(LINE, "\t").getItem(0).alias("first_cell"),
+        F.size(F.split(LINE, "\t", -1)).alias("cells"),
+        F.col(LINE).alias("line"),
     )
 
 
+def line_counts() -> list[Column]:
+    """For ``observe``: all lines of a raw table, and how many of them are rejected."""
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col(REJECTED)).alias("rejected"),
+    ]
+
+
+def read_revision_tsv(
+    spark: SparkSession,
+    path: str,
+    layout: T.StructType = schema.RAW,
+    pattern: str = "*.tsv.bz2",
+) -> DataFrame:
+    """The lines that have as many cells as the layout. See :func:`read_raw_lines`."""
+    return accepted(read_raw_lines(spark, path, layout, pattern))
+
+
 def write_clean(df: DataFrame, path: str, grouped_by_month: bool = False) -> None:
     """Write clean edits partitioned by year and month.
 

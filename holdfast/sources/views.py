@@ -1,8 +1,7 @@
 """Views that present other event tables in the layouts of this package.
 
 ``orders`` gives years of history per customer, ``events`` gives a time of day and a
-dense month. Both become clean edits; ``orders`` can also be written out as the raw
-tab-separated history, and ``events`` as the raw change feed.
+dense month. Both become clean edits.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from holdfast import schema
 
 
-def _project(df: DataFrame, layout, known: dict[str, str], default: str = "NULL") -> DataFrame:
+def project(df: DataFrame, layout, known: dict[str, str], default: str = "NULL") -> DataFrame:
     """The columns of a layout from SQL text; columns without any get the default."""
     return df.selectExpr(
         *[
@@ -41,7 +40,7 @@ _ORDER_EDIT = {
                         ELSE concat('order ', o_orderkey) END""",
 }
 
-_EVENT_K = "bigint(get_json_object(props, '$.k'))"
+EVENT_K = "bigint(get_json_object(props, '$.k'))"
 
 _EVENT_EDIT = {
     "wiki_db": "'events'",
@@ -52,84 +51,26 @@ _EVENT_EDIT = {
     "page_id": "event_id % 1000",
     "page_namespace": "event_type IN ('purchase', 'error')",
     "revision_id": "event_id",
-    "revision_minor_edit": f"{_EVENT_K} % 2 = 1",
+    "revision_minor_edit": f"{EVENT_K} % 2 = 1",
     "revision_text_bytes": "round(value * 100)",
-    "revision_text_bytes_diff": f"{_EVENT_K} - 50",
+    "revision_text_bytes_diff": f"{EVENT_K} - 50",
     "revision_is_identity_reverted": "event_type = 'error'",
-    "event_comment": f"if({_EVENT_K} % 4 = 0, '', event_type)",
+    "event_comment": f"if({EVENT_K} % 4 = 0, '', event_type)",
 }
 
-# Some rows are not revisions, made by bots, anonymous (or unknown to be), in other or
-# unknown namespaces, or have no readable time.
-_ORDER_RAW = {
-    "wiki_db": "'orders'",
-    "event_entity": "if(o_orderkey % 11 = 0, 'user', 'revision')",
-    "event_type": "'create'",
-    "event_timestamp": """if(o_orderkey % 97 = 0, 'junk',
-                            date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss.S'))""",
-    "event_comment": """if(o_orderkey % 5 > 1, concat('said "order" ', o_orderkey), '')""",
-    "event_user_id": "o_custkey",
-    "event_user_text": "concat('customer ', o_custkey)",
-    "event_user_is_bot_by": "if(o_orderkey % 13 = 0, 'name,group', '')",
-    "event_user_is_anonymous": """CASE WHEN o_orderkey % 17 = 0 THEN 'true'
-                                  WHEN o_orderkey % 17 > 1 THEN 'false' ELSE '' END""",
-    "event_user_revision_count": "o_orderkey % 50",
-    "page_id": "o_orderkey % 1000",
-    "page_namespace": """if(o_orderkey % 19 = 0, '',
-                           string(int(substring(o_orderpriority, 1, 1)) - 1))""",
-    "revision_id": "o_orderkey",
-    "revision_minor_edit": "o_orderkey % 3 = 0",
-    "revision_text_bytes": "bigint(round(o_totalprice))",
-    "revision_text_bytes_diff": """if(o_orderkey % 7 > 0,
-                                     string(bigint(round(o_totalprice)) - 200000), '')""",
-    "revision_is_identity_reverted": "o_orderstatus = 'F'",
-    "revision_is_identity_revert": "false",
-}
-
-# Some lines are bot edits, edits of another wiki, page creations, lines without a length,
-# and lines that are not JSON.
-_EVENT_CHANGE = f"""
-if(event_id % 101 = 0, '{{"wiki": broken', to_json(named_struct(
-  'wiki', if(event_id % 7 = 0, 'otherwiki', 'mainwiki'),
-  'type', if(event_id % 5 = 0, 'new', 'edit'),
-  'bot', if(event_id % 11 < 8, event_id % 11 = 0, NULL),
-  'user', string(user_id),
-  'title', concat('page ', event_id),
-  'namespace', if(event_id % 9 > 0, int(event_id % 3), NULL),
-  'timestamp', unix_timestamp(timestamp(ts)),
-  'length', if(event_id % 13 > 0, named_struct('old', 50L, 'new', {_EVENT_K}), NULL),
-  'comment', if(event_id % 4 > 0, event_type, NULL),
-  'minor', {_EVENT_K} % 2 = 1,
-  'tags', if(event_id % 6 = 0, array('mobile', 'mw-revert'), NULL)
-))) AS value
-"""
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders_as_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is an edit of its customer."""
-    return _project(_table(spark, sf_dir, "orders"), schema.CLEAN, _ORDER_EDIT)
+    return project(table(spark, sf_dir, "orders"), schema.CLEAN, _ORDER_EDIT)
 
 
 def events_as_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event is an edit of its user."""
-    return events_to_edits(_table(spark, sf_dir, "events"))
+    return events_to_edits(table(spark, sf_dir, "events"))
 
 
 def events_to_edits(events: DataFrame) -> DataFrame:
-    return _project(events, schema.CLEAN, _EVENT_EDIT)
-
-
-def orders_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the text cells of the raw history, with rows that cleaning has to drop."""
-    orders = _table(spark, sf_dir, "orders")
-    as_text = schema.struct(", ".join(f"{c} string" for c in schema.RAW.fieldNames()))
-    return _project(orders, as_text, _ORDER_RAW, default="''")
-
-
-def events_as_changes(events: DataFrame) -> DataFrame:
-    """Events as change-feed JSON lines in a ``value`` column; works on a stream too."""
-    return events.selectExpr(_EVENT_CHANGE)
+    return project(events, schema.CLEAN, _EVENT_EDIT)

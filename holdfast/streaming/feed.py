@@ -3,7 +3,7 @@ of lines as well as on a stream of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,12 @@ from holdfast.operators.logreg import LogRegModel
 # Fixed value: the tag the feed puts on an edit that undoes earlier ones.
 REVERT_TAG = "mw-revert"
 
+# Tags are a list, or the text of one.
+_TAGGED = f"""
+if(startswith(tags, '['), array_contains(from_json(tags, 'array<string>'), '{REVERT_TAG}'),
+   contains(tags, '{REVERT_TAG}'))
+"""
+
 _CORRUPT = "_corrupt"
 
 
@@ -32,28 +38,48 @@ def _parse(records: DataFrame, layout: T.StructType) -> DataFrame:
 
 
 def parse_changes(lines: DataFrame) -> DataFrame:
-    """Raw change lines to columns; lines that are not JSON are skipped."""
+    """The fields of each change line as text, whatever their JSON type; lines that are not
+    a JSON object are skipped. Objects and arrays are text in JSON again."""
     return _parse(lines, schema.CHANGE).filter(~F.col("corrupt")).drop("corrupt")
 
 
+def feed_counts(lines: DataFrame) -> DataFrame:
+    """One row: how many ``lines`` there are, and how many are ``unreadable`` and skipped."""
+    return _parse(lines, schema.CHANGE).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if("corrupt").alias("unreadable")
+    )
+
+
+def is_set(field: str) -> Column:
+    """Whether a field counts as true: not missing, false, zero, or empty."""
+    return F.expr(
+        f"coalesce({field} NOT IN ('', 'false', '[]', '{{}}') "
+        f"AND coalesce(try_cast({field} AS double) <> 0, true), false)"
+    )
+
+
+def whole(text: str) -> Column:
+    """A field as a whole number, cut towards zero; 0 if it is missing or no number."""
+    cut = f"try_cast(try_cast({text} AS double) AS bigint)"
+    return F.expr(f"coalesce(try_cast({text} AS bigint), {cut}, 0L)")
+
+
 def feed_filter(changes: DataFrame, wiki: str) -> DataFrame:
     """Edits of one wiki that are not marked as made by a bot."""
-    made_by_bot = F.coalesce("bot", F.lit(False))
-    return changes.filter((F.col("wiki") == wiki) & (F.col("type") == "edit") & ~made_by_bot)
+    return changes.filter((F.col("wiki") == wiki) & (F.col("type") == "edit") & ~is_set("bot"))
 
 
 def feed_envelope(changes: DataFrame) -> DataFrame:
-    zero = F.lit(0).cast("bigint")
-    new, old = F.coalesce("length.new", zero), F.coalesce("length.old", zero)
+    length = {k: f"get_json_object(length, '$.{k}')" for k in ("new", "old")}
     return changes.select(
         "user",
         "title",
-        F.coalesce("namespace", F.lit(0)).alias("namespace"),
-        F.coalesce("timestamp", zero).alias("ts"),
-        (new - old).alias("bytes_diff"),
+        whole("namespace").cast("int").alias("namespace"),
+        whole("timestamp").alias("ts"),
+        (whole(length["new"]) - whole(length["old"])).alias("bytes_diff"),
         F.coalesce("comment", F.lit("")).alias("comment"),
-        flag(F.col("minor")).cast("int").alias("minor"),
-        flag(F.array_contains("tags", REVERT_TAG)).cast("int").alias("is_revert"),
+        flag(is_set("minor")).cast("int").alias("minor"),
+        flag(F.expr(_TAGGED)).cast("int").alias("is_revert"),
     )
 
 
@@ -71,7 +97,8 @@ def parse_envelope(records: DataFrame) -> DataFrame:
 # What a single edit says about each feature; 0 where it says nothing. ``revert_rate`` here
 # is whether the edit is a revert, while the batch feature is whether edits were reverted
 # later. That difference is part of the contract.
-_HOUR = "hour(timestamp_seconds(ts))"
+# The hour is that of UTC, whatever the session's time zone.
+_HOUR = "pmod(ts div 3600, 24)"
 _PROXIES = {
     "velocity": "0",
     "revert_rate": "is_revert",

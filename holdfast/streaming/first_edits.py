@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from holdfast.functions.scalars import DAY_SECONDS
 from holdfast.operators.ranking import USER
 from holdfast.shipping import ship_package
 
@@ -33,6 +34,11 @@ _STATE = T.StructType(
 )
 
 
+def _sort_key(micros: int, revision: str | None) -> tuple[int, int, str]:
+    """As the batch job orders edits: a missing id comes first, shorter ids before longer."""
+    return (micros, -1, "") if revision is None else (micros, len(revision), revision)
+
+
 def _earliest(chunk: pd.DataFrame, known: list[tuple], n: int) -> tuple[list[tuple], list[int]]:
     """The first ``n`` sort keys of ``known`` and ``chunk``, and the chunk's rows in them.
 
@@ -45,18 +51,24 @@ def _earliest(chunk: pd.DataFrame, known: list[tuple], n: int) -> tuple[list[tup
         latest = min(latest, np.partition(micros, n - 1)[n - 1])
     rows = np.flatnonzero(micros <= latest)
     revisions = chunk["revision_id"].to_numpy()[rows]
-    fresh = [(int(micros[i]), len(r), r, int(i)) for i, r in zip(rows, revisions)]
+    fresh = [(*_sort_key(int(micros[i]), r), int(i)) for i, r in zip(rows, revisions)]
     first = sorted([(*key, -1) for key in known] + fresh)[:n]
     return [key for *key, _ in first], [i for *_, i in first if i >= 0]
 
 
-def first_edits_stream(edits: DataFrame, n: int, shards: int = 1) -> DataFrame:
+def first_edits_stream(
+    edits: DataFrame, n: int, shards: int = 4, idle_days: int = 30
+) -> DataFrame:
     """``edits`` without those that can not be among the first ``n`` of their editor.
 
     A batch is as large as the source's limit per trigger allows, and that bounds what one
     editor can bring to one task. Use more ``shards`` if it is still too much. The cost per
     editor and batch is mostly that of passing columns to Python, so all columns but the
     sort key travel as one.
+
+    The state of an editor without edits for ``idle_days`` (by the clock, so that late edits
+    are not lost) is dropped. An editor who comes back may then bring up to ``n`` edits
+    more into the result, which changes nothing in what the batch job makes of it.
     """
     ship_package(edits.sparkSession)
     packed = [c for c in edits.columns if c not in (USER, "ts", "revision_id")]
@@ -65,15 +77,20 @@ def first_edits_stream(edits: DataFrame, n: int, shards: int = 1) -> DataFrame:
     def keep(
         key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         known = []
         if state.exists:
-            known = [(m, len(r), r) for m, r in zip(*state.get)]
+            known = [_sort_key(m, r) for m, r in zip(*state.get)]
         kept = []
         for chunk in chunks:
             known, rows = _earliest(chunk, known, n)
             if rows:
                 kept.append(chunk.iloc[rows])
-        state.update(([m for m, _, _ in known], [r for _, _, r in known]))
+        revisions = [None if length < 0 else r for _, length, r in known]
+        state.update(([m for m, _, _ in known], revisions))
+        state.setTimeoutDuration(idle_days * DAY_SECONDS * 1000)
         yield from kept
 
     arriving = edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull()).select(
@@ -84,7 +101,7 @@ def first_edits_stream(edits: DataFrame, n: int, shards: int = 1) -> DataFrame:
         F.pmod(F.xxhash64("revision_id"), F.lit(shards)).alias("_shard"),
     )
     kept = arriving.groupBy(USER, "_shard").applyInPandasWithState(
-        keep, arriving.schema, _STATE, "append", GroupStateTimeout.NoTimeout
+        keep, arriving.schema, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
     unpacked = kept.select(
         USER,

@@ -1,9 +1,8 @@
 import math
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import Window
-from pyspark.sql import functions as F
 
 from holdfast import schema
 from holdfast.config import FeatureSpec
@@ -186,56 +185,66 @@ def test_result_does_not_depend_on_partitioning(spark):
     assert results[0] == results[1]
 
 
-def test_equals_a_plan_of_many_joins(spark):
-    """The definitions, one grouping each, without the closed forms."""
-    n, horizon = 5, 180 * 86400
+def test_label_and_diversity_by_hand(spark):
+    """Each editor's edits as a sorted list in plain Python."""
+    n, horizon = 5, timedelta(days=180)
+    histories = defaultdict(list)
     edits = views.orders_as_edits(spark, SF_SMALL)
-    w = Window.partitionBy("event_user_id").orderBy("ts", F.length("revision_id"), "revision_id")
-    ranked = edits.withColumn("edit_rank", F.row_number().over(w))
-    first = ranked.filter(F.col("edit_rank") <= n)
-    bounds = (
-        first.groupBy("event_user_id")
-        .agg(F.max("ts").alias("last"), F.count("*").alias("n"))
-        .filter("n >= 3")
-    )
-    spaces = first.groupBy("event_user_id", "page_namespace").count()
-    spaces = spaces.join(bounds, "event_user_id").withColumn("p", F.col("count") / F.col("n"))
-    entropy = spaces.groupBy("event_user_id").agg(F.sum(-F.col("p") * F.log2("p")).alias("h"))
-    kept = (
-        ranked.filter(F.col("edit_rank") > n)
-        .join(bounds, "event_user_id")
-        .groupBy("event_user_id")
-        .agg(
-            F.max(
-                (F.unix_timestamp("ts") - F.unix_timestamp("last") <= horizon).cast("int")
-            ).alias("kept")
+    for r in edits.collect():
+        histories[r.event_user_id].append((r.ts, len(r.revision_id), r.revision_id, r.page_namespace))
+    want = {}
+    for user, history in histories.items():
+        history.sort()
+        spaces = Counter(space for *_, space in history[:n])
+        if len(history) < 3:
+            continue
+        shares = [count / spaces.total() for count in spaces.values()]
+        stays = len(history) > n and history[n][0] - history[n - 1][0] <= horizon
+        want[user] = (0 if stays else 1, -sum(p * math.log2(p) for p in shares))
+    got = features.editor_features(edits, FeatureSpec(window=n)).collect()
+    assert {r.event_user_id: r.dropout for r in got} == {u: d for u, (d, _) in want.items()}
+    for r in got:
+        assert r.namespace_diversity == pytest.approx(want[r.event_user_id][1], abs=1e-9)
+
+
+def hot_editor(spark):
+    """One editor holds nearly all rows, many of them at one time."""
+    start = datetime(2023, 1, 1)
+    rows = [{"event_user_id": "hot", "ts": start + timedelta(minutes=7 * i)} for i in range(500)]
+    rows += [{"event_user_id": "hot", "ts": start + timedelta(days=50)}] * 400
+    rows += daily("cold", 5) + daily("mild", 12)
+    return edits_frame(spark, rows).repartition(5)
+
+
+@pytest.mark.parametrize("slices", [1, 7, 40])
+def test_rank_of_a_hot_editor(spark, slices):
+    df = hot_editor(spark)
+    ranked = ranking.edit_rank(df, slices).collect()
+    assert len(ranked) == 917
+    for user, n in (("hot", 900), ("cold", 5), ("mild", 12)):
+        own = sorted(
+            (r.ts, len(r.revision_id), r.revision_id, r.edit_rank) for r in ranked if r.event_user_id == user
         )
-    )
-    want = {
-        r.event_user_id: (1 - (r.kept or 0), r.h)
-        for r in bounds.join(entropy, "event_user_id").join(kept, "event_user_id", "left").collect()
-    }
-    got = {
-        r.event_user_id: (r.dropout, r.namespace_diversity)
-        for r in features.editor_features(edits, FeatureSpec(window=n)).collect()
-    }
-    assert got.keys() == want.keys()
-    for user, (dropout, h) in want.items():
-        assert got[user][0] == dropout
-        assert got[user][1] == pytest.approx(h, abs=1e-9)
+        assert [rank for *_, rank in own] == list(range(1, n + 1))
 
 
-def test_sliced_rank_of_a_hot_editor(spark):
-    """One editor holds nearly all rows and spans many slices."""
-    start = datetime(2023, 1, 1)
-    rows = [{"event_user_id": "hot", "ts": start + timedelta(minutes=7 * i)} for i in range(900)]
-    rows += daily("cold", 5)
-    df = edits_frame(spark, rows).repartition(5)
-    ranked = ranking.edit_rank(df, slice_seconds=3600).collect()
-    hot = sorted((r.ts, r.edit_rank) for r in ranked if r.event_user_id == "hot")
-    assert [rank for _, rank in hot] == list(range(1, 901))
-    after = ranking.post_window(df, 10).collect()
-    assert len(after) == 890 and {r.event_user_id for r in after} == {"hot"}
+def test_slices_split_a_hot_time_and_need_few_offsets(spark):
+    ranked = ranking.sliced_ranks(hot_editor(spark), 20)
+    same_time = ranked.filter("ts = '2023-02-20 00:00:00'")
+    assert same_time.select("_slice").distinct().count() > 5
+    assert max(r["count"] for r in ranked.groupBy("_slice").count().collect()) < 200
+    assert 10 < ranking.slice_offsets(ranked).count() < 20
+
+
+def test_edits_after_the_window(spark):
+    df = hot_editor(spark)
+    after = ranking.post_window(df, 10)
+    assert {r.event_user_id: r["count"] for r in after.groupBy("event_user_id").count().collect()} == {
+        "hot": 890,
+        "mild": 2,
+    }
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
 
 
 @pytest.mark.parametrize("window", [3, 10, 15, 16, 300])

@@ -1,7 +1,9 @@
 import math
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -63,8 +65,8 @@ def test_auc_in_slices_is_the_same(spark):
     pairs += [(i % 3 == 0, 0.50007) for i in range(200)]
     pairs = [(int(y), s) for y, s in pairs + [(0, 0.0), (1, 1.0)]]
     want = pairwise(pairs)
-    for per_slice in (1, 7, 60, 10**6):
-        assert auc_of(spark, pairs, distinct_per_slice=per_slice) == pytest.approx(want, abs=1e-12)
+    for slices in (1, 2, 7, 64, 500):
+        assert auc_of(spark, pairs, slices=slices) == pytest.approx(want, abs=1e-12)
     builtin = BinaryClassificationEvaluator(
         rawPredictionCol="score", labelCol="dropout", numBins=0
     ).evaluate(scored_frame(spark, pairs))
@@ -76,6 +78,15 @@ def test_auc_corner_cases(spark):
     assert math.isnan(auc_of(spark, [(1, 0.3), (1, 0.4)]))
 
 
+def test_missing_scores_are_the_lowest_and_all_cells_add_up(spark):
+    pairs = [(1, None), (0, float("nan")), (1, 0.9), (0, 0.2), (1, 0.1), (0, 0.7)]
+    row = evaluate.evaluate_binary(scored_frame(spark, pairs)).first()
+    assert (row.tp, row.fp, row.tn, row.fn) == (1, 1, 2, 2)
+    known = [(y, -1.0 if s is None or s != s else s) for y, s in pairs]
+    assert row.auc_roc == pytest.approx(pairwise(known))
+    assert auc_of(spark, pairs, slices=5) == pytest.approx(pairwise(known))
+
+
 def test_threshold_is_inclusive_and_empty_denominators_give_zero(spark):
     row = evaluate.evaluate_binary(scored_frame(spark, [(1, 0.5), (0, 0.49)])).first()
     assert (row.tp, row.fp, row.tn, row.fn) == (1, 0, 1, 0)
@@ -117,6 +128,17 @@ def test_split_and_sample_depend_on_the_key_alone(spark):
     assert vectors.sample_rows(df, 1.0, 1) is df
 
 
+def test_split_by_share_and_seed(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("event_user_id"))
+    picked = {
+        (share, seed): {r[0] for r in vectors.train_test_split(df, share=share, seed=seed)[0].collect()}
+        for share, seed in ((0.8, 0), (0.8, 1), (0.25, 0), (0.0, 0), (1.0, 0))
+    }
+    assert picked[0.25, 0] < picked[0.8, 0] != picked[0.8, 1]
+    assert 1100 < len(picked[0.25, 0]) < 1400
+    assert (len(picked[0.0, 0]), len(picked[1.0, 0])) == (0, 5000)
+
+
 def test_samples_take_turns(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("event_user_id"))
     turns = [
@@ -160,6 +182,14 @@ def test_logreg_samples_large_tables(blobs):
     assert all(50 < n < 160 for n in rows) and rows[0] != rows[1]
 
 
+def test_logreg_caches_only_rows_that_an_epoch_takes(blobs, monkeypatch):
+    """The result is that of taking turns through the whole table."""
+    spec = LogRegSpec(epochs=3, batch=1, batches=60)
+    few = logreg.fit(blobs, spec, FEATURES)
+    monkeypatch.setattr(logreg, "in_turn", lambda s, f, t: vectors.in_turn(s, f if f < 0.2 else 1.0, t))
+    assert logreg.fit(blobs, spec, FEATURES).weights == pytest.approx(few.weights, abs=1e-12)
+
+
 def test_logreg_saved_form(blobs):
     model = logreg.fit(blobs, LogRegSpec(epochs=2), FEATURES)
     again = logreg.LogRegModel.from_dict(model.to_dict(), FEATURES)
@@ -210,7 +240,8 @@ def test_ties_go_to_the_lowest_center(spark):
 
 
 def test_center_without_points_stays(spark):
-    moved, cost = kmeans.step(points(spark, [0.0, 1.0]), ["a"], [[0.5], [99.0]])
+    table = kmeans.as_points(points(spark, [0.0, 1.0]), ["a"])
+    moved, cost = kmeans.step(table, [[0.5], [99.0]])
     assert moved == [[0.5], [99.0]] and cost == 0.5
 
 
@@ -258,6 +289,56 @@ def test_network_learns_and_repeats(blobs):
     )
 
 
-def test_more_rows_get_more_workers(blobs):
-    model = mlp.fit(blobs, MLPSpec(epochs=2, workers=1, rows_per_worker=100), FEATURES)
-    assert np.isfinite(model.weights).all()
+@pytest.mark.parametrize("workers", [1, 3])
+def test_network_does_not_depend_on_batches_or_partitions(spark, blobs, workers):
+    spec = MLPSpec(epochs=2, batch=7, workers=workers)
+    want = mlp.fit(blobs, spec, FEATURES)
+    try:
+        for records in (1, 13, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            got = mlp.fit(blobs.repartition(9), spec, FEATURES)
+            assert got.weights == pytest.approx(want.weights, abs=1e-12)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # More rows train more steps of as many copies, not more copies.
+    shares = blobs.groupBy(mlp.worker_of(F.col("event_user_id"), workers)).count()
+    assert shares.count() == workers
+
+
+def test_a_partition_may_hold_several_copies(spark, blobs):
+    """Whatever the range partitioner does with few keys."""
+    spec = MLPSpec(epochs=1, batch=16, workers=4, validation_split=0.0)
+    rows = np.array([(r.a, r.b, r.dropout) for r in blobs.collect()])
+    flat = mlp.initial_weights(2, spec)
+
+    def batch(worker, part):
+        return pa.RecordBatch.from_pydict(
+            {
+                "_worker": [worker] * len(part),
+                "x": part[:, :2].tolist(),
+                "_y": part[:, 2].tolist(),
+                "_held_out": [False] * len(part),
+            }
+        )
+
+    run = mlp._local_epoch(flat, spec, 0)
+    alone = [list(run([batch(w, rows[w * 100 : w * 100 + 100])])) for w in (0, 1)]
+    joined = list(run([batch(0, rows[:60]), batch(0, rows[60:100]), batch(1, rows[100:200])]))
+    assert [b.to_pydict() for b in joined] == [b.to_pydict() for parts in alone for b in parts]
+
+
+def largest_method(df):
+    session = df.sparkSession
+    text = session._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)), default=0)
+
+
+def test_plans_do_not_grow_with_the_number_of_centers(blobs):
+    sizes, texts = [], []
+    for k in (4, 64):
+        centers = [[i / k, -i / k] for i in range(k)]
+        near = kmeans.with_nearest(blobs, {"a": "a", "b": "b"}, centers)
+        sizes.append(largest_method(near.groupBy("cluster").count()))
+        texts.append(len(near._jdf.queryExecution().optimizedPlan().toString()))
+    assert sizes[0] == sizes[1] < 8000
+    assert abs(texts[0] - texts[1]) < 10

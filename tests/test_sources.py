@@ -62,10 +62,33 @@ def test_cells_that_do_not_parse_become_null(spark, tmp_path):
     assert files.read_revision_tsv(spark, path).first().revision_text_bytes is None
 
 
-def test_wrong_number_of_cells_is_refused(spark, tmp_path):
-    path = land(tmp_path / "raw", [raw_line() + "\textra"])
-    with pytest.raises(ValueError, match="71 tab-separated cells.*declares 70"):
-        files.read_revision_tsv(spark, path)
+def test_lines_with_other_cells_are_rejected_wherever_they_are(spark, tmp_path):
+    """Good lines in one file, and others deep in the second."""
+    path = land(tmp_path / "raw", [raw_line(revision_id=f"a{i}") for i in range(500)], "1.tsv.bz2")
+    odd = [raw_line(revision_id=f"b{i}") for i in range(40)]
+    odd += [raw_line(revision_text_bytes="many") + "\textra", "one cell", "two\tcells"]
+    land(tmp_path / "raw", odd, "2.tsv.bz2")
+    lines = files.read_raw_lines(spark, path)
+    assert files.read_revision_tsv(spark, path).count() == 540
+    assert {(r.cells, r.first_cell) for r in files.rejected(lines).collect()} == {
+        (71, ""),
+        (1, "one cell"),
+        (2, "two"),
+    }
+    with pytest.raises(ValueError, match="3 of 543 lines"):
+        jobs.run_clean(spark, path, str(tmp_path / "clean"))
+    counts = jobs.run_clean(spark, path, str(tmp_path / "clean"), max_rejected=3)
+    assert counts == {"lines": 543, "rejected": 3}
+    assert files.read_clean(spark, str(tmp_path / "clean")).count() == 540
+
+
+def test_jobs_refuse_another_time_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(RuntimeError, match="must be UTC"):
+            jobs.run_clean(spark, str(tmp_path), str(tmp_path / "clean"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_jobs_from_raw_files_to_report(spark, tmp_path):

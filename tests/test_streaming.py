@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks import raw
 from holdfast import schema
 from holdfast.config import FeatureSpec, LogRegSpec
 from holdfast.operators import features, logreg
@@ -67,8 +68,49 @@ def test_envelope_defaults(spark):
     assert (got.minor, got.is_revert, got.title) == (0, 0, None)
 
 
+@pytest.mark.parametrize(
+    "fields, expected",
+    [
+        ({"minor": 1}, {"minor": 1}),
+        ({"minor": 0}, {"minor": 0}),
+        ({"timestamp": 1700000000.0}, {"ts": 1700000000}),
+        ({"timestamp": "1700000001"}, {"ts": 1700000001}),
+        ({"namespace": "1"}, {"namespace": 1}),
+        ({"namespace": None}, {"namespace": 0}),
+        ({"length": {"old": 1, "new": 2.0}}, {"bytes_diff": 1}),
+        ({"length": {"new": "9"}}, {"bytes_diff": 9}),
+        ({"length": None}, {"bytes_diff": 0}),
+        ({"tags": "mw-revert"}, {"is_revert": 1}),
+        ({"tags": []}, {"is_revert": 0}),
+        ({"tags": ["mw-reverted"]}, {"is_revert": 0}),
+        ({"bot": 0}, {}),
+        ({"bot": ""}, {}),
+    ],
+)
+def test_fields_of_other_types_are_kept(spark, fields, expected):
+    (got,) = envelopes(spark, {**EDIT, **fields})
+    assert {k: got[k] for k in expected} == expected and not got.corrupt
+
+
+def test_skipped_lines_are_counted(spark):
+    counts = feed.feed_counts(lines(spark, EDIT, "{broken", {**EDIT, "bot": 1}, "")).first()
+    assert (counts["lines"], counts.unreadable) == (4, 2)
+
+
+def test_hour_of_the_stream_does_not_depend_on_the_time_zone(spark):
+    parsed = feed.parse_envelope(feed.normalize_feed(lines(spark, EDIT), "w"))
+    hours = []
+    try:
+        for zone in ("America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            hours.append(feed.partial_features(parsed).first().peak_hour_sin)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert hours[0] == hours[1]
+
+
 def test_feed_drops_other_edits(spark):
-    dropped = [{**EDIT, "bot": True}, {**EDIT, "wiki": "x"}, {**EDIT, "type": "new"}, "{broken"]
+    dropped = [{**EDIT, "bot": True}, {**EDIT, "bot": 1}, {**EDIT, "wiki": "x"}, {**EDIT, "type": "new"}, "{broken"]
     assert envelopes(spark, *dropped) == []
 
 
@@ -92,7 +134,7 @@ def test_partial_features(spark):
 def test_scored_stream_equals_batch_and_resumes(spark, model, tmp_path):
     """Two arrivals, two runs with one checkpoint: every record is scored once."""
     table = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    records = feed.normalize_feed(views.events_as_changes(table), "mainwiki")
+    records = feed.normalize_feed(raw.events_as_changes(table), "mainwiki")
     arrivals, out, checkpoint, saved = (str(tmp_path / n) for n in ("in", "out", "check", "model"))
     files.save_json(spark, model.to_dict(), saved)
     for part in (0, 1):
@@ -147,3 +189,23 @@ def test_first_edits_of_a_shuffled_stream_equal_the_batch(spark, tmp_path, shard
     assert kept.count() < edits.count()
     want = sorted(features.editor_features(edits, spec).collect())
     assert sorted(features.editor_features(kept, spec).collect()) == want
+
+
+def test_missing_revision_ids_and_evicted_editors(spark, tmp_path):
+    """Ids that are NULL order as in the batch job, and state that was dropped costs rows only."""
+    spec = FeatureSpec(horizon_days=1, window=3)
+    edits = views.events_as_edits(spark, SF_SMALL).withColumn(
+        "revision_id",
+        F.when(F.xxhash64("revision_id") % 3 != 0, F.col("revision_id")),
+    )
+    arrivals, out = str(tmp_path / "in"), str(tmp_path / "out")
+    edits.repartition(3, F.xxhash64("ts")).write.parquet(arrivals)
+    stream = endpoints.table_source(
+        spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1
+    )
+    kept = first_edits_stream(stream, spec.window + 1, idle_days=0)
+    sink = endpoints.file_sink(kept, out, str(tmp_path / "check"), available_now=True)
+    endpoints.run_to_end(sink)
+    kept = spark.read.schema(schema.CLEAN).parquet(out)
+    want = sorted(features.editor_features(edits, spec).collect())
+    assert sorted(features.editor_features(kept, spec).collect()) == want
