@@ -54,9 +54,8 @@ def drop_leaking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (four bytes an id), and digests of ids and decoded text."""
-    ids = docs.select("doc_id", bpe.encoded(docs, TOKENIZER).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decoded(ids, TOKENIZER).alias("decoded"))
-    return both.select(
+    coded = docs.select("doc_id", bpe.coded(docs, TOKENIZER).alias("coded"))
+    return coded.select("doc_id", "coded.*").select(
         "doc_id",
         bpe.n_tokens(F.col("ids")).alias("n_tokens"),
         "ids",

@@ -162,7 +162,7 @@ class Index:
         place = np.arange(lengths.sum()) + np.repeat(self.block_bounds[term] - first, lengths)
         key = np.repeat(cell, lengths) * self.n_blocks + self.block_of[place]
         bound = np.bincount(key, self.block_max[place], n_cells * self.n_blocks)
-        bound = bound.reshape(n_cells, self.n_blocks)
+        bound = bound.reshape(n_cells, self.n_blocks).astype(float)
         bound[:-1] += bound[1:].copy()
         bound += self.rest
         return np.nonzero(bound >= self.spec.threshold - 1e-9)

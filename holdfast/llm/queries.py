@@ -65,8 +65,7 @@ def op2_token_counts(spark, sf_dir, path=public_tokenizers.path("byte_bpe_50k.js
 
 def op3_bpe(spark, sf_dir, path=public_tokenizers.path("word_bpe_49k.json")):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", bpe.encoded(docs, path).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decoded(ids, path).alias("decoded"))
+    both = docs.select("doc_id", bpe.coded(docs, path).alias("coded")).select("doc_id", "coded.*")
     return both.select(
         "doc_id",
         bpe.n_tokens(F.col("ids")).alias("n_tokens"),

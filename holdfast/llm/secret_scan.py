@@ -14,9 +14,8 @@ ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))"
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
-#: Runs shorter than the shortest valid match never pass, so they need not be matched.
+#: Of access (AKIA[A-Z0-9]+, 20 characters) and hex ([0-9a-f]+, 24), shorter runs never pass,
+#: so they need not be matched.
 PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 SHORTEST_VALUE = 6
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}"
@@ -78,11 +77,12 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def _pairs(s: Column) -> Column:
-    """Codes of the pairs of neighbouring ASCII characters."""
+    """Codes of the pairs of neighbouring ASCII characters, without regard to case."""
+    lower = F.lower(s)
     return F.transform(
         F.sequence(F.lit(1), F.length(s) - 1),
-        lambda i: F.ascii(F.substring(s, i, F.lit(1))) * _SIZE
-        + F.ascii(F.substring(s, i + 1, F.lit(1))),
+        lambda i: F.ascii(F.substring(lower, i, F.lit(1))) * _SIZE
+        + F.ascii(F.substring(lower, i + 1, F.lit(1))),
     )
 
 

@@ -128,6 +128,9 @@ def token_count(df: DataFrame, path: str, text_column: str = "text") -> Column:
 
     @F.arrow_udf("bigint")
     def counted(texts: pa.Array) -> pa.Array:
-        return pa.array(_counter(content.value).count(texts.to_pylist()), pa.int64())
+        counter = _counter(content.value)
+        # A few rows at a time, so that Python holds only those as objects.
+        some = (texts.slice(i, 512).to_pylist() for i in range(0, len(texts), 512))
+        return pa.array([n for rows in some for n in counter.count(rows)], pa.int64())
 
     return counted(F.coalesce(text_column, F.lit("")))

@@ -10,8 +10,11 @@ import corpus_pipeline
 from checks import compare
 from holdfast.llm import queries
 
-from . import test_line_dedup, test_near_dedup, test_repeats, test_secret_scan
 from .helpers import sha
+from .test_line_dedup import brute as brute_lines
+from .test_near_dedup import brute_classes
+from .test_repeats import brute as brute_repeats
+from .test_secret_scan import brute as brute_secrets
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
@@ -29,7 +32,7 @@ def texts(spark, sf_dir, name="documents"):
 def test_secrets(spark, sf_small):
     docs = texts(spark, sf_small)
     for r in queries.op1_secret_scan(spark, sf_small).collect():
-        want = test_secret_scan.brute(docs[r.doc_id])
+        want = brute_secrets(docs[r.doc_id])
         counts = Counter(kind for *_, kind in want)
         assert (r.n_assign, r.n_access, r.n_hex) == (counts["assign"], counts["access"], counts["hex"])
         assert r.base_sha256 == sha(",".join(f"{k}:{s}:{e}" for s, _, e, k in want))
@@ -37,7 +40,7 @@ def test_secrets(spark, sf_small):
 
 def test_substring_dedup(spark, sf_small):
     docs = texts(spark, sf_small)
-    want = dict(zip(docs, test_repeats.brute(docs.values(), 35)))
+    want = dict(zip(docs, brute_repeats(docs.values(), 35)))
     for r in queries.op6_substring_dedup(spark, sf_small).collect():
         n, removed, kept = want[r.doc_id]
         assert (r.n_words, r.n_removed, r.kept_sha256) == (n, removed, sha(kept))
@@ -46,7 +49,7 @@ def test_substring_dedup(spark, sf_small):
 def test_near_dedup(spark, sf_small):
     docs = texts(spark, sf_small)
     got = {r.doc_id: r.class_id for r in queries.op4_near_dedup(spark, sf_small).collect()}
-    assert got == test_near_dedup.brute_classes(list(docs.items()))
+    assert got == brute_classes(list(docs.items()))
 
 
 def test_decontamination(spark, sf_small):
@@ -66,10 +69,10 @@ def test_pipeline_stages(spark, sf_small):
     whole, good, cut, single, clean = ({r.doc_id: r for r in k.collect()} for k in kept)
     labels = {r.doc_id: r.quality for r in queries.table(spark, sf_small, "labels").collect()}
     assert all(labels.get(i, 0) == 0 for i in whole.keys() - good.keys())
-    want = test_line_dedup.brute([r.text for r in good.values()], corpus_pipeline.FREQUENT_LINE)
+    want = brute_lines([r.text for r in good.values()], corpus_pipeline.FREQUENT_LINE)
     assert {i: r.text for i, r in cut.items()} == dict(zip(good, (t for t, _, _ in want)))
     assert all(r.n_chars == len(r.text) for r in cut.values())
-    classes = test_near_dedup.brute_classes([(i, r.text) for i, r in cut.items()])
+    classes = brute_classes([(i, r.text) for i, r in cut.items()])
     assert single.keys() == set(classes.values())
     items = texts(spark, sf_small, "benchmark").values()
     assert clean.keys() == {i for i, r in single.items() if not any(t in r.text for t in items)}

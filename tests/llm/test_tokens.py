@@ -48,6 +48,9 @@ def test_ids_and_texts_equal_the_library(spark):
     ids = docs.select("doc_id", bpe.encoded(docs, WORDS).alias("ids"))
     both = ids.select("*", bpe.decoded(ids, WORDS).alias("back"), bpe.n_tokens(F.col("ids")).alias("n"))
     got = {r.doc_id: r for r in both.collect()}
+    at_once = docs.select("doc_id", bpe.coded(docs, WORDS).alias("c")).select("doc_id", "c.*")
+    for r in at_once.collect():
+        assert (r.ids, r.decoded) == (got[r.doc_id].ids, got[r.doc_id].back)
     decode = Tokenizer.from_file(WORDS).decode
     for i, want in enumerate(library(WORDS, rows)):
         assert np.frombuffer(got[i].ids, "<u4").tolist() == want
