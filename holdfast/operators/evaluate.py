@@ -72,7 +72,9 @@ def _with_slice(counts: DataFrame, slices: int) -> DataFrame:
     """
     at = [i / slices for i in range(1, slices)]
     cuts = counts.agg(F.percentile_approx("score", at, 10000)).first()[0] if at else []
-    edges = [-math.inf, *sorted(set(cuts or []) - {-math.inf, math.inf}), math.inf]
+    # At least one cut, as the bucketizer wants it.
+    inner = sorted(set(cuts or []) - {-math.inf, math.inf}) or [0.0]
+    edges = [-math.inf, *inner, math.inf]
     return Bucketizer(splits=edges, inputCol="score", outputCol="slice").transform(counts)
 
 

@@ -57,7 +57,7 @@ def _earliest(chunk: pd.DataFrame, known: list[tuple], n: int) -> tuple[list[tup
 
 
 def first_edits_stream(
-    edits: DataFrame, n: int, shards: int = 4, idle_days: int = 30
+    edits: DataFrame, n: int, shards: int = 2, idle_days: int = 365
 ) -> DataFrame:
     """``edits`` without those that can not be among the first ``n`` of their editor.
 
@@ -66,9 +66,10 @@ def first_edits_stream(
     editor and batch is mostly that of passing columns to Python, so all columns but the
     sort key travel as one.
 
-    The state of an editor without edits for ``idle_days`` (by the clock, so that late edits
-    are not lost) is dropped. An editor who comes back may then bring up to ``n`` edits
-    more into the result, which changes nothing in what the batch job makes of it.
+    The watermark is ``idle_days`` behind the newest edit. The state of an editor whose last
+    edit it has passed is dropped. An editor who comes back may then bring up to ``n`` edits
+    more into the result, which changes nothing in what the batch job makes of it. Edits that
+    arrive later than that are lost, so it should exceed any delay of the feed.
     """
     ship_package(edits.sparkSession)
     packed = [c for c in edits.columns if c not in (USER, "ts", "revision_id")]
@@ -90,22 +91,25 @@ def first_edits_stream(
                 kept.append(chunk.iloc[rows])
         revisions = [None if length < 0 else r for _, length, r in known]
         state.update(([m for m, _, _ in known], revisions))
-        state.setTimeoutDuration(idle_days * DAY_SECONDS * 1000)
+        end = known[-1][0] // 1000 + idle_days * DAY_SECONDS * 1000
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
         yield from kept
 
-    arriving = edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull()).select(
+    ranked = edits.filter(F.col(USER).isNotNull() & F.col("ts").isNotNull())
+    arriving = ranked.withWatermark("ts", f"{idle_days} days").select(
         USER,
+        "ts",
         F.unix_micros("ts").alias("_micros"),
         "revision_id",
         F.to_json(F.struct(*packed)).alias("_packed"),
         F.pmod(F.xxhash64("revision_id"), F.lit(shards)).alias("_shard"),
     )
     kept = arriving.groupBy(USER, "_shard").applyInPandasWithState(
-        keep, arriving.schema, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        keep, arriving.schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     unpacked = kept.select(
         USER,
-        F.timestamp_micros("_micros").alias("ts"),
+        "ts",
         "revision_id",
         F.from_json("_packed", packed_type).alias("_other"),
     ).select(USER, "ts", "revision_id", "_other.*")

@@ -199,11 +199,14 @@ def test_missing_revision_ids_and_evicted_editors(spark, tmp_path):
         F.when(F.xxhash64("revision_id") % 3 != 0, F.col("revision_id")),
     )
     arrivals, out = str(tmp_path / "in"), str(tmp_path / "out")
-    edits.repartition(3, F.xxhash64("ts")).write.parquet(arrivals)
+    days = edits.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()
+    assert len(days) > 20
+    for day in days:  # one file a day, in the order of time
+        edits.filter(F.to_date("ts") == F.lit(day.d)).coalesce(1).write.mode("append").parquet(arrivals)
     stream = endpoints.table_source(
         spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1
     )
-    kept = first_edits_stream(stream, spec.window + 1, idle_days=0)
+    kept = first_edits_stream(stream, spec.window + 1, idle_days=2)
     sink = endpoints.file_sink(kept, out, str(tmp_path / "check"), available_now=True)
     endpoints.run_to_end(sink)
     kept = spark.read.schema(schema.CLEAN).parquet(out)
