@@ -5,6 +5,84 @@ from __future__ import annotations
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_KEYWORDS = _either_case("password|passwd|secret|token|api_?key")
+_ASSIGN = rf"""({_KEYWORDS})["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""".replace("\\'", "''")
+_KINDS = {"assign": _ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
+_LEAST = {"assign": 6, "access": 20, "hex": 24}
+_CANDIDATE = "[A-Za-z0-9+/_=-]+"
+
+
+def _places(name: str, pattern: str) -> str:
+    """Matches with their places: the lengths of all matches and gaps before them."""
+    return f"""
+{name}_cut AS (
+  SELECT r, i, gaps[i] AS gap, found[i] AS m
+  FROM (SELECT r, string_split_regex(t, '{pattern}') AS gaps,
+               regexp_extract_all(t, '{pattern}') AS found FROM docs),
+       unnest(range(1, len(found) + 1)) AS u(i)),
+{name} AS (
+  SELECT r, m, CAST(sum(length(gap)) OVER w + sum(length(m)) OVER w - length(m) AS BIGINT) AS s
+  FROM {name}_cut WINDOW w AS (PARTITION BY r ORDER BY i))"""
+
+
+def _base(order: int, kind: str) -> str:
+    value = f"regexp_extract(m, '{_ASSIGN}', 2)" if kind == "assign" else "m"
+    return (
+        f"SELECT r, s, {order} AS k, s + length(m) AS e, '{kind}' AS kind, {value} AS value "
+        f"FROM {kind} WHERE length({value}) >= {_LEAST[kind]}"
+    )
+
+
+OP1 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+{",".join(_places(kind, pattern) for kind, pattern in _KINDS.items())},
+{_places("candidate", _CANDIDATE)},
+base AS ({" UNION ALL ".join(_base(i, kind) for i, kind in enumerate(_KINDS))}),
+samples AS (
+  SELECT DISTINCT label, lower(v) AS v, v AS v0 FROM (
+    SELECT 1 AS label, value AS v FROM base UNION ALL
+    SELECT 0, unnest(regexp_extract_all(t, '[A-Za-z]{{12,}}')) FROM docs)
+  WHERE length(v) >= 12),
+pairs AS (
+  SELECT label, substr(v, i, 2) AS p, count(*) AS n
+  FROM samples, unnest(range(1, length(v))) AS u(i) GROUP BY ALL),
+totals AS (SELECT label, p[1] AS a, sum(n) AS n FROM pairs GROUP BY ALL),
+tried AS (
+  SELECT c.*, lower(m) AS v FROM candidate c
+  WHERE length(m) >= 20 AND regexp_matches(m, '[A-Za-z]')
+    AND (SELECT count(DISTINCT label) FROM samples) = 2),
+scored AS (
+  SELECT r, s, s + length(m) AS e,
+    sum(ln((coalesce(p1.n, 0) + 0.5) / (coalesce(t1.n, 0) + 64)) -
+        ln((coalesce(p0.n, 0) + 0.5) / (coalesce(t0.n, 0) + 64))) AS ratio
+  FROM (SELECT *, substr(v, i, 2) AS p FROM tried, unnest(range(1, length(v))) AS u(i)) x
+  LEFT JOIN pairs p1 ON p1.label = 1 AND p1.p = x.p
+  LEFT JOIN pairs p0 ON p0.label = 0 AND p0.p = x.p
+  LEFT JOIN totals t1 ON t1.label = 1 AND t1.a = x.p[1]
+  LEFT JOIN totals t0 ON t0.label = 0 AND t0.a = x.p[1]
+  GROUP BY r, s, m, v),
+spans AS (
+  SELECT r, s, k, e, kind FROM base UNION ALL
+  SELECT r, s, 3, e, 'random' FROM scored WHERE ratio >= 10 AND NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.r = scored.r AND b.s < scored.e AND scored.s < b.e)),
+told AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+    count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base_text,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_text, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (r)
+"""
+
 OP5 = f"""
 WITH cut AS (
   SELECT page_id, url, row_number() OVER () AS r,
@@ -30,6 +108,30 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (r)
 """
 
+OP6 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+runs AS (
+  SELECT r, p, array_to_string(list_slice(words, p, p + 34), ' ') AS run
+  FROM docs, unnest(range(1, len(words) - 33)) AS u(p)),
+starts AS (
+  SELECT r, p FROM runs WHERE run IN (SELECT run FROM runs GROUP BY run HAVING count(*) > 1)),
+placed AS (SELECT r, i, words[i] AS word FROM docs, unnest(range(1, len(words) + 1)) AS u(i)),
+marked AS (
+  SELECT r, i, word, max(p) OVER (
+    PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS removed
+  FROM (SELECT x.*, y.p FROM placed x LEFT JOIN starts y ON x.r = y.r AND x.i = y.p)),
+done AS (
+  SELECT r, count(*) AS n_words, count(*) FILTER (removed) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS kept
+  FROM marked GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN done USING (r)
+"""
+
 OP9 = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -58,7 +160,9 @@ FROM docs WINDOW same AS (PARTITION BY body)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_secret_scan": OP1,
     "op5_url_filters": OP5,
+    "op6_substring_dedup": OP6,
     "op9_line_dedup": OP9,
     "op10_exact_dedup": OP10,
 }
