@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import words
 from holdfast.shipping import ship_package
+from holdfast.workspace import materialize
 
 ANCHOR = 8
 _TABLE = words.byte_table()
@@ -229,6 +230,8 @@ def remove_repeats(
     texts = rows.groupBy("a", "b").agg(
         F.min("id0").alias("lead"), F.count(F.lit(1)).alias("copies")
     )
+    # Stored, so that the join with its copies can split those of a very frequent text.
+    texts = materialize(texts, "texts")
     # Texts of one id are told apart by number, which compresses better than a hash.
     number = F.row_number().over(Window.partitionBy("id0").orderBy("a", "b"))
     known = rows.select(*_KEY).distinct().withColumn("version", number.cast("bigint"))
