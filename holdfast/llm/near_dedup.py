@@ -401,12 +401,13 @@ def near_duplicates(
     # Texts of one id belong together even where no link joins them.
     by_text = placed.select("id0", "a", "b", F.coalesce("component", "lead").alias("class"))
     split = by_text.groupBy("id0").agg(F.min("class").alias("class_id"))
-    result = by_text.drop("class").join(split, "id0")
+    # Stored, as the sizes are, so that the join can split the rows of a very large class.
+    result = materialize(by_text.drop("class").join(split, "id0"), "result")
     size = result.groupBy("class_id").agg(
         F.count(F.lit(1)).alias("class_size"),
         F.count_distinct("a", "b").alias("n_texts"),
     )
-    return result.join(size, "class_id").select(
+    return result.join(materialize(size, "size"), "class_id").select(
         F.col("id0").alias("id"),
         "a",
         "b",
