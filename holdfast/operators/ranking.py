@@ -71,12 +71,12 @@ def _rank_in_slice(user_at: int):
     return run
 
 
-def sliced_ranks(edits: DataFrame, slices: int | None = None) -> DataFrame:
+def ranked_in_slices(edits: DataFrame, slices: int | None = None) -> DataFrame:
     """Rankable edits with ``_slice``, ``_rank`` (inside editor and slice) and ``_last``.
 
     The whole order by editor, time and id is cut into about equal slices, so an editor with
-    very many edits, or very many edits at one time, spread over several. The table is stored:
-    both readers must see the same slices.
+    very many edits, or very many edits at one time, spread over several. That is the only
+    shuffle. Cuts are drawn anew whenever this is evaluated.
     """
     rows = _rankable(edits)
     order = [USER, *_ORDER]
@@ -94,8 +94,12 @@ def sliced_ranks(edits: DataFrame, slices: int | None = None) -> DataFrame:
         ]
     )
     ship_package(edits.sparkSession)
-    ranked = cut.mapInArrow(_rank_in_slice(cut.columns.index(USER)), layout)
-    return materialize(ranked, "sliced_ranks")
+    return cut.mapInArrow(_rank_in_slice(cut.columns.index(USER)), layout)
+
+
+def sliced_ranks(edits: DataFrame, slices: int | None = None) -> DataFrame:
+    """The stored result of :func:`ranked_in_slices`: all readers see the same slices."""
+    return materialize(ranked_in_slices(edits, slices), "sliced_ranks")
 
 
 def slice_offsets(ranked: DataFrame) -> DataFrame:

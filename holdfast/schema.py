@@ -148,6 +148,7 @@ ENVELOPE = struct(
     """
 )
 
+# The columns of the scored stream.
 SCORED = struct("user string, title string, ts bigint, dropout_risk double")
 
 _FEATURE_MAP = T.MapType(T.StringType(), T.DoubleType())

@@ -11,7 +11,10 @@ TRIGGER = "60 seconds"
 
 
 def kafka_options(bootstrap: str, api_key: str, api_secret: str) -> dict[str, str]:
-    """Connection options for a broker that authenticates with a key over TLS."""
+    """Connection options for a broker that authenticates with a key over TLS.
+
+    Fixed values: names and the login line are those of the Kafka client.
+    """
     return {
         "kafka.bootstrap.servers": bootstrap,
         "kafka.security.protocol": "SASL_SSL",

@@ -228,6 +228,12 @@ def test_rank_of_a_hot_editor(spark, slices):
         assert [rank for *_, rank in own] == list(range(1, n + 1))
 
 
+def test_ranking_shuffles_rows_once(spark):
+    plan = ranking.ranked_in_slices(hot_editor(spark), 20)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Exchange rangepartitioning") == 1 and "Exchange hash" not in text
+
+
 def test_slices_split_a_hot_time_and_need_few_offsets(spark):
     ranked = ranking.sliced_ranks(hot_editor(spark), 20)
     same_time = ranked.filter("ts = '2023-02-20 00:00:00'")
