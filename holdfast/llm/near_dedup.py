@@ -355,7 +355,7 @@ def near_duplicates(
     n_texts different texts of the class. kept marks the row that stays, that with class_id.
     id, a and b identify a row, see ``keyed``.
 
-    Texts are compared as lower-case words without regard to blanks. Copies of a text are one
+    Texts are compared as words in lower case (ASCII and Latin-1) without regard to blanks. Copies of a text are one
     text before anything else happens. NULL counts as empty; empty texts form one class of
     their own; texts without five words are one shingle. Rows with the same id count as one
     document and share a class; a NULL id gets a stand-in from its text, which is negative.

@@ -20,9 +20,11 @@ def byte_table(lower: bool = False, punctuation: bool = True) -> np.ndarray:
     """What each byte of a word counts as; 0 separates words.
 
     Blanks separate; without ``punctuation`` all ASCII but letters and digits does.
-    ``lower`` makes A-Z equal to a-z. Bytes of other characters stay.
+    ``lower`` makes A-Z equal to a-z, and with them the letters of Latin-1 (É and é). Bytes of
+    other characters stay.
     """
     table = np.arange(256, dtype=np.uint8)
+    table[0] = 0xFF  # NUL is part of a word; UTF-8 has no such byte
     table[list(BLANKS)] = 0
     if not punctuation:
         for byte in range(128):
@@ -86,8 +88,17 @@ class Block:
         return at, span_hashes(self.hashes, at, at + n)
 
 
+def _lower_latin1(data: np.ndarray, codes: np.ndarray) -> None:
+    """In UTF-8 the letters À to Þ are C3 80 to C3 9E, their lower case lies 32 higher; 97 is ×."""
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    upper = (data[second] <= 0x9E) & (data[second] != 0x97)
+    codes[second[upper]] += 32
+
+
 def _split(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> Block:
     codes = table[data]
+    if table[ord("A")] == ord("a"):
+        _lower_latin1(data, codes)
     inside = codes != 0
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]

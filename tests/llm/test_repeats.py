@@ -35,7 +35,8 @@ def passages(seed, n, window):
             parts += [rng.choice(shared), prose(rng.randrange(10**6), rng.randrange(30))]
         texts.append(rng.choice([" ", "\n", "\t "]).join(x for p in parts for x in p))
     loop = " ".join(["again"] * 3 * window)
-    return texts + [texts[0], loop, " ".join(prose(7, 20) * 4)]
+    with_nul = " ".join(prose(8, 20)) + " \x00 a\x00b " + " ".join(prose(9, 60))
+    return texts + [texts[0], loop, " ".join(prose(7, 20) * 4), with_nul, with_nul + " end"]
 
 
 @pytest.mark.parametrize("window", [35, 9, 8, 3, 1])
