@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import bpe, decontaminate, line_dedup, near_dedup, quality
+from holdfast.llm.rows import whole_row
 from holdfast.workspace import materialize, use_local_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -28,9 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
     measured = docs.select("doc_id", quality.statistics(docs).alias("x"))
     model = quality.fit(materialize(measured, "measured"), labels)
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), quality.statistics(docs).alias("x")
-    )
+    rows = docs.select(whole_row(docs), quality.statistics(docs).alias("x"))
     scored = rows.select("row", quality.score(rows, model, F.col("x")).alias("score"))
     return scored.where(F.col("score") >= QUALITY_THRESHOLD).select("row.*")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm import words
+from holdfast.llm.rows import whole_row
 from holdfast.shipping import ship_package
 from holdfast.workspace import materialize
 
@@ -356,7 +357,7 @@ def drop_leaking(
     indexes = build(benchmark, spec)
     for i, index in enumerate(indexes):
         rows = docs.select(
-            F.struct(*docs.columns).alias("row"), leaks(docs, index, text_column).alias("found")
+            whole_row(docs), leaks(docs, index, text_column).alias("found")
         )
         docs = rows.where(F.size("found") == 0).select("row.*")
         if i + 1 < len(indexes):

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.llm.rows import whole_row
 from holdfast.workspace import materialize, new_path, remove
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -157,7 +158,7 @@ def drop_frequent_lines(
         .groupBy("key")
         .agg(F.collect_set(F.struct(*HASH)).alias("flagged"))
     )
-    rows = docs.select(key, F.struct(*docs.columns).alias("row"), body.alias("body"))
+    rows = docs.select(key, whole_row(docs), body.alias("body"))
     marked = rows.join(flagged.hint("shuffle_hash"), "key", "left")
     with_key = F.zip_with(
         lines(F.col("body")),

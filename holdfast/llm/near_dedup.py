@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import words
 from holdfast.llm.components import components
+from holdfast.llm.rows import whole_row
 from holdfast.shipping import ship_package
 from holdfast.workspace import materialize
 
@@ -440,5 +441,5 @@ def drop_near_duplicates(
     """The rows of ``docs`` that stay, one of each class; columns may have any name."""
     found = near_duplicates(docs, id_column, text_column, spec)
     stays = found.where("kept").select(F.col("id").alias("id0"), "a", "b").distinct()
-    rows = keyed(docs, id_column, text_column, F.struct(*docs.columns).alias("row"))
+    rows = keyed(docs, id_column, text_column, whole_row(docs))
     return rows.join(stays, ["id0", "a", "b"], "left_semi").select("row.*")

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm.rows import whole_row
+
 #: The three kinds of pattern, in the order of their listing.
 ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))"
@@ -167,7 +169,7 @@ def scan(docs: DataFrame, text_column: str = "text", spec: MarkovSpec | None = N
     spec = spec or MarkovSpec()
     ratios = train(labelled_samples(docs, text_column), spec)
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.coalesce(text_column, F.lit("")).alias("body")
+        whole_row(docs), F.coalesce(text_column, F.lit("")).alias("body")
     )
     body = F.col("body")
     found = rows.select("row", "body", *[s.alias(k) for k, s in base_spans(body).items()])

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm.rows import whole_row
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -101,7 +103,7 @@ def judge(
         .groupBy("url")
         .agg(F.max(rank).alias("best"))
     )
-    rows = pages.select(F.struct(*pages.columns).alias("row"), F.col(url_column).alias("url"))
+    rows = pages.select(whole_row(pages), F.col(url_column).alias("url"))
     return rows.join(best, "url", "left").select(
         "row",
         host_of(F.col("url")).alias("host"),
