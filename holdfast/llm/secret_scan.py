@@ -80,11 +80,10 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def _pairs(s: Column) -> Column:
     """Codes of the pairs of neighbouring ASCII characters, without regard to case."""
-    lower = F.lower(s)
-    return F.transform(
-        F.sequence(F.lit(1), F.length(s) - 1),
-        lambda i: F.ascii(F.substring(lower, i, F.lit(1))) * _SIZE
-        + F.ascii(F.substring(lower, i + 1, F.lit(1))),
+    codes = F.transform(F.split(F.lower(s), ""), lambda c: F.ascii(c))
+    n = F.length(s) - 1
+    return F.zip_with(
+        F.slice(codes, 1, n), F.slice(codes, 2, n), lambda left, right: left * _SIZE + right
     )
 
 
