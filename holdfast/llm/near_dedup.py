@@ -19,6 +19,9 @@ from holdfast.workspace import materialize
 
 _TABLE = words.byte_table(lower=True)
 _VARIATES = 1 << 16
+#: Bytes of text in a part of a band, and columns of shingles that are compared at a time.
+_PART_BYTES = 8 << 20
+_COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -314,8 +317,8 @@ def candidate_pairs(held: DataFrame, signed: DataFrame, spec: NearSpec) -> DataF
     their signatures, in memory, and pass on only pairs that hold them together and their
     closest partners: as many pairs as members, not as pairs of members. A band with more than
     ``group`` members is dealt out to parts of about that size by hash, differently in every
-    band, so that no task gets more than others and members that one band separates meet in
-    others.
+    band, so that no task gets more than others; members of different parts that no link joins
+    meet in ``open_links``.
     """
     part = F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("n") / spec.group)).alias("part")
     dealt = held.select("band", "id", part)
@@ -344,6 +347,173 @@ def verified_links(
     return compared.where(F.col("similarity") >= spec.similarity)
 
 
+def _elements(profile) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A profile as a set: a shingle of frequency n is n elements. Hash, weight, is it the first."""
+    hashes, tf, weight = profile
+    at = np.repeat(np.arange(len(hashes)), tf)
+    level = np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf)
+    keys = np.where(level == 0, hashes[at], words.mix(hashes[at] ^ words.mix(level.astype(np.uint64))))
+    return keys, weight[at], level == 0
+
+
+def _close(profiles: list, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Which texts of ``left`` and ``right`` may be as similar as ``least``: products of matrices
+    over shingles, a few columns at a time, in single precision."""
+    parts = [_elements(p) for p in profiles]
+    sizes = [len(k) for k, _, _ in parts]
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    keys, weight, first = (np.concatenate(x) for x in zip(*parts))
+    sums = np.array([[w.sum(), f.sum()] for _, w, f in parts])
+    unique, column, held = np.unique(keys, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(held > 1)
+    number = np.full(len(unique), -1)
+    number[shared] = np.arange(len(shared))
+    column = number[column]
+    order = np.argsort(column, kind="stable")
+    order = order[np.searchsorted(column[order], 0) :]
+    owner, column, weight, first = (x[order] for x in (owner, column, weight, first))
+    common = np.zeros((2, len(left), len(right)), np.float32)
+    for low in range(0, len(shared), _COLUMNS):
+        a, b = np.searchsorted(column, [low, low + _COLUMNS])
+        for i, x in enumerate((weight, first)):
+            m = np.zeros((len(parts), min(_COLUMNS, len(shared) - low)), np.float32)
+            m[owner[a:b], column[a:b] - low] = np.sqrt(x[a:b])
+            common[i] += m[left] @ m[right].T
+    total = sums[left].T[:, :, None] + sums[right].T[:, None, :] - common
+    # The margin is far above the rounding of the sums; the exact comparison follows.
+    return (common >= (least - 1e-3) * total).any(0)
+
+
+def _links_of_block(rows: dict, weights: np.ndarray, spec: NearSpec) -> list[tuple[int, int]]:
+    """Links that join classes: all pairs of the two sides in different classes are compared on
+    their texts, save those that links found before already join."""
+    side = np.array(rows["side"])
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    group = np.array(rows["class"])
+    if not len(left) or not len(right):
+        return []
+    profiles = [_profile(t, weights, spec) for t in rows["body"]]
+    close = _close(profiles, left, right, spec.similarity)
+    close &= group[left][:, None] != group[right][None, :]
+    found, parent = [], {}
+
+    def root(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    for i, j in zip(*(at.tolist() for at in np.nonzero(close))):
+        i, j = int(left[i]), int(right[j])
+        x, y = root(int(group[i])), root(int(group[j]))
+        if x != y and similarity(profiles[i], profiles[j]) >= spec.similarity:
+            parent[x] = y
+            found.append((rows["id"][i], rows["id"][j]))
+    return found
+
+
+def _block_links(weights: Broadcast, spec: NearSpec):
+    """The task side of ``open_links``: rows come ordered by block; the last block of a batch
+    waits for the next batch."""
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        found = _links_of_block(rows.to_pydict(), weights.value, spec)
+        u, v = (pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([u, v], names=["u", "v"])
+
+    def run(batches):
+        waiting = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+            if not rows.num_rows:
+                continue
+            keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "x", "y")])
+            starts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            starts = [0, *starts.tolist()]
+            for start, end in zip(starts, starts[1:]):
+                yield links(rows.slice(start, end - start))
+            waiting = rows.slice(starts[-1])
+        if waiting is not None:
+            yield links(waiting)
+
+    return run
+
+
+def open_links(
+    held: DataFrame,
+    texts: DataFrame,
+    classes: DataFrame,
+    weights: Broadcast,
+    spec: NearSpec,
+) -> DataFrame:
+    """Links (u, v) between texts that share a band and that ``classes`` (node, component) does
+    not join yet.
+
+    ``held`` is as in ``candidate_pairs``, ``texts`` (id, body). Every two members of a band whose
+    pairs were not all candidates meet here on their texts, unless they are in one class. The
+    members outside a band's largest class meet each other and that class: both are dealt to
+    parts of bounded number and bytes, and each two parts are a block of their own, so that no
+    task holds more than two parts. Bands with the same members are one.
+    """
+    classes = classes.select(F.col("node").alias("id"), "component")
+    labelled = held.where(F.col("n") > spec.group).select("band", "id").distinct()
+    labelled = labelled.join(classes, "id", "left")
+    labelled = labelled.select("band", "id", F.coalesce("component", "id").alias("class"))
+    lengths = texts.groupBy("id").agg(F.sum(F.octet_length("body")).alias("bytes"))
+    labelled = labelled.join(lengths, "id")
+    code = F.xxhash64("id").cast("decimal(20,0)")
+    counted = labelled.groupBy("band", "class").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.sum(code).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("xor"),
+    )
+    top = F.max(F.struct("n", "class", "bytes")).alias("top")
+    bands = counted.groupBy("band").agg(
+        top,
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("sum").alias("sum"),
+        F.bit_xor("xor").alias("xor"),
+    )
+    bands = bands.where("n > top.n").groupBy("n", "sum", "xor").agg(
+        F.min_by(F.struct("top", "bytes"), "band").alias("of"), F.min("band").alias("band")
+    )
+
+    def parts(n, size):
+        return F.ceil(F.greatest(n / spec.group, size / F.lit(_PART_BYTES)))
+
+    bands = bands.select(
+        "band",
+        F.col("of.top.class").alias("largest"),
+        parts(F.col("n") - F.col("of.top.n"), F.col("of.bytes") - F.col("of.top.bytes")).alias("r"),
+        parts(F.col("of.top.n"), F.col("of.top.bytes")).alias("s"),
+    )
+    rest = F.col("class") != F.col("largest")
+    hashed = F.xxhash64("band", "id")
+    own = F.when(rest, F.pmod(hashed, F.col("r"))).otherwise(F.col("r") + F.pmod(hashed, F.col("s")))
+    others = F.sequence(F.lit(0).cast("bigint"), F.when(rest, F.col("r") + F.col("s")).otherwise(F.col("r")) - 1)
+    blocks = (
+        labelled.join(materialize(bands, "open"), "band")
+        .select("band", "id", "class", own.alias("own"), F.explode(others).alias("other"))
+        .select(
+            "band",
+            F.least("own", "other").alias("x"),
+            F.greatest("own", "other").alias("y"),
+            F.expr("CASE WHEN own < other THEN 0 WHEN own > other THEN 1 ELSE 2 END").alias("side"),
+            "id",
+            "class",
+        )
+    )
+    return (
+        blocks.join(texts.select("id", "body"), "id")
+        .select("band", "x", "y", "side", "id", "class", "body")
+        .repartition("band", "x", "y")
+        .sortWithinPartitions("band", "x", "y")
+        .mapInArrow(_block_links(weights, spec), "u bigint, v bigint")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -393,8 +563,9 @@ def near_duplicates(
     bodies = materialize(bodies.dropDuplicates(["id", "a", "b"]), "bodies")
 
     pairs = materialize(candidate_pairs(held, signed.select("id", "signature"), spec), "pairs")
-    links = verified_links(pairs, bodies, weights, spec)
-    classes = components(links.select("u", "v"))
+    links = materialize(verified_links(pairs, bodies, weights, spec).select("u", "v"), "links")
+    more = open_links(held, bodies, components(links), weights, spec)
+    classes = components(links.union(more))
 
     placed = members.join(texts, ["a", "b"]).join(
         classes.select(F.col("node").alias("lead"), "component"), "lead", "left"

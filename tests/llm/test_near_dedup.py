@@ -157,3 +157,31 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {x: union.find(x) for x in union.parent}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def template_family(seed, members, linked, n=600, edits=8):
+    """Texts of similarity 0.74 to 0.79 to each other, of which the first ``linked`` are pairs
+    that share two edits and so reach 0.817. Each edit changes five shingles."""
+    rng, base, places = random.Random(seed), prose(seed, n, 10**6), range(7, n - 7, 5)
+    chosen, texts = [], []
+    while len(chosen) < members:
+        second = len(chosen) < linked and len(chosen) % 2
+        kept = sorted(chosen[-1])[:2] if second else []
+        own = [k for k in places if not second or k not in chosen[-1]]
+        at = {*kept, *rng.sample(own, edits - len(kept))}
+        if all(len(at & other) < 3 for other in chosen):
+            before = texts[-1] if kept else None
+            texts.append([f"edit{rng.random()}" if k in at else w for k, w in enumerate(base)])
+            for k in kept:
+                texts[-1][k] = before[k]
+            chosen.append(at)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_links_in_an_oversized_band_are_found(spark):
+    """Bands of many times ``group`` members: near copies that no part holds together."""
+    rows = template_family(21, 160, 60)
+    want = brute_classes(rows)
+    assert len(set(want.values())) == 130
+    found = near_duplicates(docs_frame(spark, rows), spec=NearSpec(group=5))
+    assert {r.id: r.class_id for r in found.collect()} == want
