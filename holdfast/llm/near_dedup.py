@@ -449,14 +449,15 @@ def open_links(
     """Links (u, v) between texts that share a band and that ``classes`` (node, component) does
     not join yet.
 
-    ``held`` is as in ``candidate_pairs``, ``texts`` (id, body). Every two members of a band whose
-    pairs were not all candidates meet here on their texts, unless they are in one class. The
+    ``held`` is as in ``candidate_pairs``, ``texts`` (id, body). In bands of up to ``partners`` + 1
+    all pairs were candidates. Every two members of a larger one meet here on their texts,
+    unless they are in one class, so only what is connected already goes uncompared. The
     members outside a band's largest class meet each other and that class: both are dealt to
     parts of bounded number and bytes, and each two parts are a block of their own, so that no
     task holds more than two parts. Bands with the same members are one.
     """
     classes = classes.select(F.col("node").alias("id"), "component")
-    labelled = held.where(F.col("n") > spec.group).select("band", "id").distinct()
+    labelled = held.where(F.col("n") > spec.partners + 1).select("band", "id").distinct()
     labelled = labelled.join(classes, "id", "left")
     labelled = labelled.select("band", "id", F.coalesce("component", "id").alias("class"))
     lengths = texts.groupBy("id").agg(F.sum(F.octet_length("body")).alias("bytes"))
@@ -533,7 +534,7 @@ def near_duplicates(
 
     Samples and bands find the candidates, so a link is missed with a small chance (about 1 in
     1,000 at 0.8, less above). Of a group that hangs together by many links, enough are
-    verified to hold it together; the others are not listed.
+    verified to hold it together; a pair is skipped only when it is connected already.
     """
     spec = spec or NearSpec()
     spark = docs.sparkSession

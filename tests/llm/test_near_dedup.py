@@ -185,3 +185,10 @@ def test_links_in_an_oversized_band_are_found(spark):
     assert len(set(want.values())) == 130
     found = near_duplicates(docs_frame(spark, rows), spec=NearSpec(group=5))
     assert {r.id: r.class_id for r in found.collect()} == want
+
+
+def test_a_link_behind_closer_partners_is_found(spark):
+    """One part holds the family; its spanning forest and closest partners fail the exact test."""
+    rows = template_family(21, 160, 60)
+    found = near_duplicates(docs_frame(spark, rows))
+    assert {r.id: r.class_id for r in found.collect()} == brute_classes(rows)
