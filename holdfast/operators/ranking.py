@@ -158,15 +158,26 @@ def first_window(edits: DataFrame, n: int) -> DataFrame:
 
 
 def post_window(edits: DataFrame, n: int) -> DataFrame:
-    """Edits that come after their editor's ``n``-th.
+    """Edits of a rank above ``n``, without ``edit_rank``.
 
     Each is compared with the ``n``-th, which the limited plan of :func:`first_edits` finds, so
-    no whole history is ranked. Rows that repeat time and id of the ``n``-th are not after it.
+    no whole history is ranked. Of the rows that repeat time and id of the ``n``-th, as many as
+    lie within the first ``n`` are left out; only such rows are numbered.
     """
-    nth = first_edits(edits, n).filter(F.col("edit_rank") == n)
     place = F.struct(*[F.col(c) for c in _ORDER])
-    later = _rankable(edits).join(nth.select(USER, place.alias("_nth")), USER)
-    return later.filter(place > F.col("_nth")).select(*edits.columns)
+    first = first_edits(edits, n).select(USER, place.alias("_place"), "edit_rank")
+    nth = first.groupBy(USER, "_place").agg(
+        F.count(F.lit(1)).alias("_within"), F.max("edit_rank").alias("_rank")
+    )
+    nth = nth.filter(F.col("_rank") == n).select(USER, F.col("_place").alias("_nth"), "_within")
+    later = _rankable(edits).join(nth, USER)
+    repeats = Window.partitionBy(USER).orderBy(F.lit(0))
+    tied = later.filter(place == F.col("_nth")).withColumn("_rank", F.row_number().over(repeats))
+    return (
+        later.filter(place > F.col("_nth"))
+        .select(*edits.columns)
+        .union(tied.filter(F.col("_rank") > F.col("_within")).select(*edits.columns))
+    )
 
 
 def with_neighbours(edits: DataFrame, n: int) -> DataFrame:

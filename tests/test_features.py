@@ -253,6 +253,21 @@ def test_edits_after_the_window(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_repeats_of_the_last_edit_of_the_window_come_after_it(spark):
+    start = datetime(2023, 1, 1)
+    rows = [
+        {"event_user_id": user, "ts": start + timedelta(days=day), "revision_id": f"{day}"}
+        for user, days in (("again", [0, 1, 2, 2, 2, 2, 3]), ("within", [0, 2, 2]), ("few", [0, 2]))
+        for day in days
+    ]
+    df = edits_frame(spark, rows)
+    for n in (2, 3, 4, 6, 7):
+        want = ranking.edit_rank(df).filter(f"edit_rank > {n}")
+        keys = ["event_user_id", "ts", "revision_id"]
+        after = [tuple(r) for r in ranking.post_window(df, n).select(*keys).collect()]
+        assert sorted(after) == sorted(tuple(r) for r in want.select(*keys).collect())
+
+
 @pytest.mark.parametrize("window", [3, 10, 15, 16, 300])
 def test_most_frequent_hour_for_any_window(spark, window):
     """Counts per hour up to the whole window, in every hour of the day."""
