@@ -1,11 +1,10 @@
-"""Repeated passages: suffixes of words, grouped by prefixes of varying length.
-
-A suffix matters up to the depth of ``window`` words. Its prefix runs to the end of the
-smallest-hashed run of ``ANCHOR`` words within that depth, so that equal suffixes have equal
-prefixes, and prefixes split all suffixes into small groups. A prefix whose last words occur
-once in the corpus is a subtree with one leaf and is cut off before any suffix is built. In
-the other groups suffixes are sorted by the rest of their path; those that agree to full depth
-hang below one deep internal node and are repeats, and runs of them are maximal repeats.
+"""Repeated passages: counts of hashed windows of words, in place of a suffix tree.
+
+The key of a window of ``window`` words is the hash of its anchor (the smallest-hashed run of
+``ANCHOR`` words within it, so that equal windows have equal anchors) and the hash of all its
+words. Windows whose anchor occurs once in the corpus cannot repeat and are left out before
+any is sent. Of the others, those whose key occurs twice or more are repeats, and the stretches
+that they cover, merged, are removed.
 """
 
 from __future__ import annotations
