@@ -159,10 +159,79 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM docs WINDOW same AS (PARTITION BY body)
 """
 
+
+
+def _told(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    columns = ["doc_id", "source", "lang", "n_chars", text]
+    return f"sha256({' || '.join(map(_told, columns))})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of trees by level, from leaves (tree, pos, h); and the runs of nodes with a parent."""
+    return f"""
+{name}(tree, level, pos, h) AS (
+  SELECT tree, 0, pos, h FROM ({leaves})
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}) WHERE n > 1
+  GROUP BY tree, level, pos // 3),
+{name}_top AS (SELECT tree, max(level) AS top, arg_max(h, level) AS root FROM {name} GROUP BY tree),
+{name}_runs AS (
+  SELECT tree, level, pos // 3 AS run, list(h ORDER BY pos) AS hs
+  FROM {name} JOIN {name}_top USING (tree) WHERE level < top GROUP BY ALL)"""
+
+
+def _climb(name: str, tree: str, start: str) -> str:
+    """From rows (r, tree, pos, cur, path) to the roots: the digest folded and the siblings met."""
+    return f"""
+{name}(r, tree, level, pos, cur, path) AS (
+  SELECT r, tree, 0, pos, cur, path FROM ({start})
+  UNION ALL
+  SELECT r, c.tree, c.level + 1, pos // 3,
+    sha256(array_to_string(hs[:pos % 3], '') || cur || array_to_string(hs[pos % 3 + 2:], '')),
+    path || array_to_string(hs[:pos % 3], '') || array_to_string(hs[pos % 3 + 2:], '')
+  FROM {name} c JOIN {tree}_runs x ON x.tree = c.tree AND x.level = c.level AND run = pos // 3)"""
+
+
+OP11 = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+docs AS (
+  SELECT row_number() OVER () AS r, *, coalesce('=' || source, '') AS tree,
+    CASE WHEN xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1])), 4294967295) % 2 = 0
+      THEN replace(text, chr(10), '') ELSE text END AS changed
+  FROM documents, crc_table),
+hashed AS (SELECT r, doc_id, tree, {_leaf("text")} AS leaf, {_leaf("changed")} AS other FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, other) - 1 AS pos FROM hashed),
+{_tree("nodes", "SELECT tree, pos, leaf AS h FROM placed")},
+sources AS (SELECT tree, root, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes_top),
+{_tree("above", "SELECT 0 AS tree, pos, root AS h FROM sources")},
+{_climb("inside", "nodes", "SELECT r, tree, pos, other AS cur, '' AS path FROM placed")},
+done AS (SELECT r, tree, cur, path FROM inside JOIN nodes_top USING (tree) WHERE level = top),
+{_climb("outside", "above",
+        "SELECT r, 0 AS tree, pos, cur, path FROM done JOIN sources USING (tree)")},
+folded AS (SELECT r, cur, path FROM outside WHERE level = (SELECT top FROM above_top))
+SELECT doc_id, leaf, n.root AS subroot, a.root, sha256(path) AS proof_sha256,
+  cur AS folded_root, cur = a.root AS verified
+FROM placed p JOIN nodes_top n USING (tree) JOIN folded USING (r), above_top a
+"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": OP1,
     "op5_url_filters": OP5,
     "op6_substring_dedup": OP6,
     "op9_line_dedup": OP9,
     "op10_exact_dedup": OP10,
+    "op11_merkle_manifest": OP11,
 }

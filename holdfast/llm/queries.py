@@ -14,6 +14,7 @@ from holdfast.llm import (
     decontaminate,
     exact_dedup,
     line_dedup,
+    merkle,
     near_dedup,
     quality,
     repeats,
@@ -123,6 +124,22 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    changed = merkle.without_newlines(F.col("text"), F.col("doc_id"))
+    tree = merkle.manifest(docs, checked={"text": changed})
+    root = F.lit(tree.root).cast("string")
+    return merkle.proofs(tree).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -136,6 +153,7 @@ QUERIES: dict[str, Query] = {
         op8_decontaminate,
         op9_line_dedup,
         op10_exact_dedup,
+        op11_merkle_manifest,
     )
 }
 
