@@ -227,6 +227,51 @@ SELECT doc_id, leaf, n.root AS subroot, a.root, sha256(path) AS proof_sha256,
 FROM placed p JOIN nodes_top n USING (tree) JOIN folded USING (r), above_top a
 """
 
+
+def _vectors(scale: int) -> str:
+    """Usable rows, numbered, and their floored components."""
+    return f"""
+used AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+    embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)"""
+
+
+_INNER = "list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))"
+
+OP12 = f"""
+WITH {_vectors(256)},
+rows AS (
+  SELECT r, vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM used WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+    CAST({_INNER} AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT r, anchor_id, other, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.r, p.other ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.r = p.r AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+  negative_score
+FROM negatives WHERE rank <= 10
+"""
+
+OP13 = f"""
+WITH {_vectors(1024)}
+SELECT a.vec_id AS query_id, CAST(row_number() OVER best AS INTEGER) AS rank, b.vec_id,
+  CAST({_INNER} AS BIGINT) AS score
+FROM used a JOIN used b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+WINDOW best AS (PARTITION BY a.r ORDER BY {_INNER} DESC, b.vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": OP1,
     "op5_url_filters": OP5,
@@ -234,4 +279,6 @@ ORACLE: dict[str, str] = {
     "op9_line_dedup": OP9,
     "op10_exact_dedup": OP10,
     "op11_merkle_manifest": OP11,
+    "op12_hard_negatives": OP12,
+    "op13_exact_topk": OP13,
 }

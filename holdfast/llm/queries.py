@@ -13,6 +13,7 @@ from holdfast.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     line_dedup,
     merkle,
     near_dedup,
@@ -20,6 +21,7 @@ from holdfast.llm import (
     repeats,
     secret_scan,
     token_counts,
+    topk,
     url_filter,
 )
 from holdfast.llm.oracle import ORACLE
@@ -140,6 +142,16 @@ def op11_merkle_manifest(spark, sf_dir):
     )
 
 
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, label)
+
+
+def op13_exact_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -154,6 +166,8 @@ QUERIES: dict[str, Query] = {
         op9_line_dedup,
         op10_exact_dedup,
         op11_merkle_manifest,
+        op12_hard_negatives,
+        op13_exact_topk,
     )
 }
 
