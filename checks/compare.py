@@ -49,6 +49,7 @@ def _rows(names: list[str], rows) -> list[tuple]:
 
 _SAME_TYPE = {
     "bigint": "BIGINT",
+    "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
