@@ -15,6 +15,7 @@ from checks.queries import (
     IN_TURNS,
     KMEANS,
     LOGREG,
+    MINI_BATCHES,
     ONE_COPY,
     SNAPSHOT,
     THREE_EPOCHS,
@@ -306,11 +307,12 @@ def _turn(epoch: int, spec: LogRegSpec) -> str:
     """Whether a row belongs to the stretch of the hash order that an epoch takes."""
     slot = f"CAST({hash32(f"x.u || ':{spec.seed}'")} AS BIGINT)"
     n = "(SELECT n FROM scaler)"
-    size = f"CAST(floor({spec.batch * spec.batches}.0 / {n} * 4294967296.0) AS BIGINT)"
+    rows = f"({spec.batches} * CAST(ceil({n} / {spec.batches * (spec.epochs - 1)}.0) AS BIGINT))"
+    size = f"CAST(floor(CAST({rows} AS DOUBLE) / {n} * 4294967296.0) AS BIGINT)"
     low = f"({epoch} * {size} % 4294967296)"
     high = f"({low} + {size})"
     return (
-        f"CASE WHEN {n} <= {spec.batch * spec.batches} THEN TRUE"
+        f"CASE WHEN {n} <= {rows} THEN TRUE"
         f" WHEN {high} <= 4294967296 THEN {slot} >= {low} AND {slot} < {high}"
         f" ELSE {slot} >= {low} OR {slot} < {high} - 4294967296 END"
     )
@@ -322,7 +324,7 @@ def logreg_ctes(spec: LogRegSpec = LOGREG) -> list[str]:
     ctes = [f"w0 AS MATERIALIZED (SELECT CAST(0 AS DOUBLE) AS b, {start})"]
     for e in range(spec.epochs):
         sums = ", ".join(f"sum(err * {f}) / count(*) AS g_{f}" for f in F)
-        where = "" if spec.batch * spec.batches > 10**5 else f"WHERE {_turn(e, spec)}"
+        where = f"WHERE {_turn(e, spec)}" if spec == IN_TURNS else ""
         ctes.append(
             f"""
 g{e} AS MATERIALIZED (
@@ -403,7 +405,7 @@ scored_known AS (
 """
 
 
-# The network: three layers, Adam afresh each epoch, all rows of a copy in one step.
+# The network: three layers, and the state of each copy as lists of numbers.
 
 
 def _net(weights: list[str], n: int, hidden: tuple[int, int]):
@@ -436,58 +438,107 @@ def _start(spec: MLPSpec) -> list[str]:
     return [f"CAST({float(w)!r} AS DOUBLE)" for w in initial_weights(len(F), spec)]
 
 
-def mlp_ctes(spec: MLPSpec) -> list[str]:
-    """One step a copy and epoch; copies are averaged by their rows."""
+def _params(at: str, size: int) -> list[str]:
+    return [f"{at}.p[{i + 1}]" for i in range(size)]
+
+
+def _zipped(text: str, *lists: str) -> str:
+    """A list from ``text`` over x[1], x[2], ... of some lists."""
+    return f"list_transform(list_zip({', '.join(lists)}), lambda x: {text})"
+
+
+def _step(e: int, s: int, spec: MLPSpec, size: int) -> list[str]:
+    """Step s of an epoch: each copy's gradient over its next rows, and its state after Adam."""
     h1, h2 = spec.hidden
+    before = f"e{e}s{s}"
+    weights = _params("x", size)
+    _, (w2, _), (w3, _) = _net(weights, len(F), spec.hidden)
+    rows = _forward(
+        f"(SELECT * FROM dealt WHERE step = {s}) d JOIN {before} USING (worker)",
+        weights,
+        spec.hidden,
+        "*",
+    )
+    d2 = ", ".join(f"dz * {w3[k][0]} * CAST(a2_{k} > 0 AS INTEGER) AS d2_{k}" for k in range(h2))
+    d1 = ", ".join(
+        "(" + " + ".join(f"d2_{k} * {w2[j][k]}" for k in range(h2)) + ")"
+        f" * CAST(a1_{j} > 0 AS INTEGER) AS d1_{j}"
+        for j in range(h1)
+    )
+    grads = [f"{f} * d1_{j}" for f in F for j in range(h1)]
+    grads += [f"d1_{j}" for j in range(h1)]
+    grads += [f"greatest(a1_{j}, 0) * d2_{k}" for j in range(h1) for k in range(h2)]
+    grads += [f"d2_{k}" for k in range(h2)]
+    grads += [f"greatest(a2_{k}, 0) * dz" for k in range(h2)] + ["dz"]
+    means = ", ".join(f"avg({g})" for g in grads)
+    moved = _zipped(
+        f"x[1] - {spec.learning_rate} * (x[2] / (1 - pow(0.9, t)))"
+        " / (sqrt(x[3] / (1 - pow(0.999, t))) + 1e-7)",
+        "p",
+        "m",
+        "v",
+    )
+    return [
+        f"""
+{before}g AS MATERIALIZED (
+  SELECT worker, [{means}] AS g FROM (
+    SELECT x.*, {d1} FROM (SELECT x.*, {d2} FROM (
+      SELECT x.*, {_sigmoid('z')} - y AS dz FROM {rows} x) x) x)
+  GROUP BY worker)""",
+        f"""
+e{e}s{s + 1} AS MATERIALIZED (
+  SELECT worker, {moved} AS p, m, v, t FROM (
+    SELECT worker, p, {_zipped('0.9 * x[1] + 0.1 * x[2]', 'm', 'g')} AS m,
+           {_zipped('0.999 * x[1] + 0.001 * x[2] * x[2]', 'v', 'g')} AS v, t + 1 AS t
+    FROM {before} JOIN {before}g USING (worker))
+  UNION ALL SELECT * FROM {before} WHERE worker NOT IN (SELECT worker FROM {before}g))""",
+    ]
+
+
+def mlp_ctes(spec: MLPSpec, steps: int = 1, batch: str | None = None) -> list[str]:
+    """Copies that take up to ``steps`` steps an epoch, each over ``batch`` rows (all, if there
+    is one step), and are averaged by their rows, as is the state of their optimiser."""
     size = len(_start(spec))
-    names = [f"p{i}" for i in range(size)]
-    first = ", ".join(f"{w} AS {n}" for w, n in zip(_start(spec), names))
-    ctes = [f"p0 AS MATERIALIZED (SELECT {first})"]
-    worker = f"{hash32("u || ':worker'")} % {spec.workers} AS worker"
+    zeros = f"list_transform(range({size}), lambda i: CAST(0 AS DOUBLE))"
+    of_worker = f"{hash32("u || ':worker'")} % {spec.workers}"
+    step = f"(place // {batch})" if batch else "0"
+    averaged = ", ".join(
+        f"(SELECT list(x ORDER BY i) FROM (SELECT i, sum(n * {c}[i]) / sum(n) AS x"
+        f" FROM last, unnest(range(1, {size + 1})) AS u(i) GROUP BY i)) AS {c}"
+        for c in "pmv"
+    )
+    ctes = [
+        f"""
+dealt AS MATERIALIZED (
+  SELECT *, {step} AS step FROM (
+    SELECT *, {of_worker} AS worker, row_number() OVER (
+      PARTITION BY {of_worker} ORDER BY {hash32("u || ':order'")}, u) - 1 AS place
+    FROM train WHERE NOT {hash32("u || ':held out'")} / 4294967296.0 < {spec.validation_split}))""",
+        "sizes AS (SELECT worker, count(*) AS n FROM dealt GROUP BY worker)",
+        f"""
+net0 AS MATERIALIZED (
+  SELECT [{", ".join(_start(spec))}] AS p, {zeros} AS m, {zeros} AS v, CAST(0 AS DOUBLE) AS t)""",
+    ]
     for e in range(spec.epochs):
-        weights = [f"x.{n}" for n in names]
-        _, (w2, _), (w3, _) = _net(weights, len(F), spec.hidden)
-        rows = _forward(f"(SELECT *, {worker} FROM train), p{e}", weights, spec.hidden, "*")
-        d2 = ", ".join(
-            f"dz * {w3[k][0]} * CAST(a2_{k} > 0 AS INTEGER) AS d2_{k}" for k in range(h2)
-        )
-        d1 = ", ".join(
-            "(" + " + ".join(f"d2_{k} * {w2[j][k]}" for k in range(h2)) + ")"
-            f" * CAST(a1_{j} > 0 AS INTEGER) AS d1_{j}"
-            for j in range(h1)
-        )
-        grads = [f"{f} * d1_{j}" for f in F for j in range(h1)]
-        grads += [f"d1_{j}" for j in range(h1)]
-        grads += [f"greatest(a1_{j}, 0) * d2_{k}" for j in range(h1) for k in range(h2)]
-        grads += [f"d2_{k}" for k in range(h2)]
-        grads += [f"greatest(a2_{k}, 0) * dz" for k in range(h2)] + ["dz"]
-        means = ", ".join(f"avg({g}) AS g{i}" for i, g in enumerate(grads))
+        ctes.append(f"e{e}s0 AS MATERIALIZED (SELECT worker, p, m, v, t FROM sizes, net{e})")
+        for s in range(steps):
+            ctes += _step(e, s, spec, size)
+        last = f"last AS (SELECT * FROM e{e}s{steps} JOIN sizes USING (worker))"
         ctes.append(
             f"""
-grad{e} AS MATERIALIZED (
-  SELECT worker, count(*) AS n, {means} FROM (
-    SELECT x.*, {d1} FROM (SELECT x.*, {d2} FROM (
-      SELECT x.*, {_sigmoid('z')} - y AS dz FROM {rows} x) x) x)
-  GROUP BY worker)"""
-        )
-        # After one step the moments of Adam are the gradient and its square.
-        moved = ", ".join(
-            f"sum(n * (p{i} - {spec.learning_rate} * g{i} / (abs(g{i}) + 1e-7))) / sum(n) AS p{i}"
-            for i in range(size)
+net{e + 1} AS MATERIALIZED (
+  WITH {last} SELECT {averaged}, (SELECT sum(n * t) / sum(n) FROM last) AS t)"""
         )
-        ctes.append(f"p{e + 1} AS MATERIALIZED (SELECT {moved} FROM grad{e}, p{e})")
     return ctes
 
 
-def mlp_weights(spec: MLPSpec) -> str:
+def mlp_weights(spec: MLPSpec, **steps) -> str:
     size = len(_start(spec))
     return with_(
         *FEATS,
-        *mlp_ctes(spec),
-        select=" UNION ALL ".join(
-            f"SELECT {big(str(i), 'id')}, {r6(f'p{i}', 'weight')} FROM p{spec.epochs}"
-            for i in range(size)
-        ),
+        *mlp_ctes(spec, **steps),
+        select=f"""SELECT {big('i', 'id')}, {r6('p[i + 1]', 'weight')}
+                   FROM net{spec.epochs}, unnest(range({size})) AS u(i)""",
     )
 
 
@@ -495,8 +546,8 @@ NET_SCORED = f"""
 net_scored AS MATERIALIZED (
   SELECT u, CAST(y AS BIGINT) AS dropout, {_sigmoid('z')} AS score FROM {
     _forward(
-        f"test, p{TWO_COPIES.epochs}",
-        [f"x.p{i}" for i in range(len(_start(TWO_COPIES)))],
+        f"test, net{TWO_COPIES.epochs}",
+        _params("x", len(_start(TWO_COPIES))),
         TWO_COPIES.hidden,
         "*",
     )})
@@ -627,6 +678,13 @@ proxies AS (
 """
 
 
+SCALED_FEED = (
+    'scaled_feed AS (SELECT "user", title, ts, '
+    + ", ".join(f"(p.{f} - m_{f}) / s_{f} AS {f}" for f in F)
+    + " FROM proxies p, scaler)"
+)
+
+
 # Whole envelopes, envelopes with two fields, and broken ones; unknown features count as 0.
 BAD_ENVELOPES = f"""
 bad AS (
@@ -688,7 +746,104 @@ def summary(columns: str = "", more: list[str] = (), source: str = "") -> str:
     )
 
 
+_FRAMED = FEED.replace(
+    "FROM events",
+    "FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 20 = 9)",
+).replace("WHERE event_id", "WHERE event_id % 6 <> 5 AND event_id")
+_CLEAN_FIELDS = ", ".join(map(_clean_column, CLEAN.fieldNames()))
+# Every pair of points.
+_PAIRS = f"""
+pairs AS (
+  SELECT a.u, x.cluster AS own, y.cluster AS other, count(*) AS n,
+         sum({" + ".join(f"pow(a.{f} - b.{f}, 2)" for f in F)}) AS total
+  FROM points a JOIN assigned x ON x.u = a.u, points b JOIN assigned y ON y.u = b.u
+  GROUP BY ALL),
+sides AS (
+  SELECT u, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a,
+         min(CASE WHEN own <> other THEN total / n END) AS b,
+         max(CASE WHEN own = other THEN n END) AS size
+  FROM pairs GROUP BY u)
+"""
+_OF_PAIRS = """avg(CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0.0
+                    ELSE (b - a) / greatest(a, b) END)"""
+
 ORACLE: dict[str, str] = {
+    "quarantine_counts": with_(
+        RAW,
+        CLEANED,
+        select="""
+          SELECT 'accepted' AS status, count(ts) AS n FROM cleaned UNION ALL
+          SELECT 'malformed_time', count(*) FROM cleaned WHERE ts IS NULL UNION ALL
+          SELECT 'rejected', count(*) FROM orders WHERE o_orderkey % 50 = 0""",
+    ),
+    "quarantine_accepted": with_(
+        RAW, CLEANED, select=f"SELECT {_CLEAN_FIELDS} FROM cleaned WHERE ts IS NOT NULL"
+    ),
+    "quarantined": with_(
+        RAW,
+        CLEANED,
+        select="""
+          SELECT revision_id, 'junk' AS time, CAST(NULL AS BIGINT) AS cells
+          FROM cleaned WHERE ts IS NULL UNION ALL
+          SELECT CAST(o_orderkey AS VARCHAR), NULL, 71 FROM orders WHERE o_orderkey % 50 = 0""",
+    ),
+    "landing_faults": with_(
+        """
+landed AS (
+  SELECT CASE WHEN o_orderkey % 97 > 0 THEN date_trunc('month', o_orderdate) END AS m,
+         length('order number ' || o_orderkey) + 1 AS bytes
+  FROM orders),
+sized AS (
+  SELECT m, CASE WHEN month(m) = 7 THEN 1 ELSE sum(bytes) END AS bytes
+  FROM landed WHERE m IS NULL OR month(m) NOT IN (5, 10) GROUP BY m)""",
+        months_cte(
+            "SELECT least(CAST(o_orderdate AS TIMESTAMP), TIMESTAMP '1997-12-01') AS t FROM orders"
+        ),
+        select=f"""
+          SELECT CASE WHEN s.bytes IS NULL THEN 'missing' WHEN s.bytes < 15 THEN 'empty'
+                      ELSE 'size' END AS fault,
+                 {big('year(x.m)', 'year')}, {big('month(x.m)', 'month')},
+                 {big('coalesce(s.bytes, 0)', 'bytes')}
+          FROM months x LEFT JOIN sized s ON s.m = x.m
+          WHERE s.bytes IS NULL OR s.bytes < 15 OR month(x.m) = 3
+          UNION ALL
+          SELECT 'unexpected', year(m), month(m), CAST(bytes AS BIGINT) FROM sized s
+          WHERE NOT EXISTS (SELECT 1 FROM months x WHERE x.m = s.m)""",
+    ),
+    "silhouette": with_(
+        *CLUSTERED,
+        ASSIGNED,
+        _PAIRS,
+        select=f"""SELECT {r6(_OF_PAIRS, 'silhouette')},
+                   (SELECT {r6(_SILHOUETTE, 's')} FROM assigned) AS simplified FROM sides""",
+    ),
+    "feed_framed": with_(
+        _FRAMED,
+        select=f"""SELECT "user", title, {big('namespace')}, {big('ts')}, {big('bytes_diff')},
+                   comment, {big('minor')}, {big('is_revert')}, FALSE AS corrupt FROM feed""",
+    ),
+    "feed_events": """
+      SELECT CASE WHEN event_id % 10 < 9 THEN CAST(event_id AS VARCHAR) END AS id,
+             CASE WHEN event_id % 6 = 5 THEN 'canary' ELSE 'message' END AS event,
+             CASE WHEN event_id % 101 <> 0 THEN 'page ' || event_id END AS title
+      FROM (SELECT * FROM events UNION ALL
+            SELECT * FROM events WHERE event_id % 20 IN (3, 9))""",
+    "feed_resume_point": """
+      SELECT CAST(max(event_id) AS VARCHAR) AS id FROM events WHERE event_id % 20 = 3""",
+    "top_risk_by_archetype": with_(
+        *BOTH,
+        f"""
+everyone AS (
+  SELECT u, round({_sigmoid('z')}, 6) AS score
+  FROM (SELECT x.u, {_z(END)} AS z
+        FROM (SELECT * FROM train UNION ALL SELECT * FROM test) x, {END})),
+placed AS (
+  SELECT cluster, u, score,
+         row_number() OVER (PARTITION BY cluster ORDER BY score DESC, u) AS place
+  FROM everyone JOIN assigned USING (u))""",
+        select=f"""SELECT {big('cluster')}, {big('place')}, {USER}, {r6('score')} FROM placed
+                   WHERE place <= 5""",
+    ),
     "read_revision_tsv": with_(RAW, select=f"SELECT {RAW_COLUMNS} FROM raw"),
     "raw_accepted": with_(RAW, select=f"SELECT {RAW_COLUMNS} FROM raw"),
     "raw_rejects": f"""SELECT 'orders' AS first_cell, {big('71', 'cells')},
@@ -839,6 +994,9 @@ ORACLE: dict[str, str] = {
     ),
     "mlp_weights": mlp_weights(ONE_COPY),
     "mlp_weights_two_copies": mlp_weights(TWO_COPIES),
+    "mlp_weights_mini_batches": mlp_weights(
+        MINI_BATCHES, steps=4, batch="(SELECT ceil(count(*) / 6) FROM train)"
+    ),
     "mlp_metrics": with_(
         *FEATS,
         *NETWORK,
@@ -913,9 +1071,16 @@ FROM events WHERE event_id % 7 NOT IN (0, 1)""",
         *FITTED,
         FEED,
         PROXIES,
-        "scaled_feed AS (SELECT \"user\", title, ts, "
-        + ", ".join(f"(p.{f} - m_{f}) / s_{f} AS {f}" for f in F)
-        + " FROM proxies p, scaler)",
+        SCALED_FEED,
+        select=f"""SELECT "user", title, {big('ts')}, {r6(_sigmoid('z'), 'dropout_risk')}
+                   FROM (SELECT x."user", x.title, x.ts, {_z(END)} AS z
+                         FROM scaled_feed x, {END})""",
+    ),
+    "stream_scores_table": with_(
+        *FITTED,
+        FEED,
+        PROXIES,
+        SCALED_FEED,
         select=f"""SELECT "user", title, {big('ts')}, {r6(_sigmoid('z'), 'dropout_risk')}
                    FROM (SELECT x."user", x.title, x.ts, {_z(END)} AS z
                          FROM scaled_feed x, {END})""",

@@ -6,6 +6,7 @@ another engine: integers as bigint, times as microseconds, doubles to six places
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -29,7 +30,7 @@ from holdfast.operators import (
 )
 from holdfast.plans import jobs, report
 from holdfast.sources import files, manifest, views
-from holdfast.streaming import endpoints, feed
+from holdfast.streaming import endpoints, feed, framing
 from holdfast.streaming.first_edits import first_edits_stream
 from holdfast.workspace import materialize, new_path
 
@@ -40,15 +41,19 @@ WINDOW = 10
 EVENT_SPEC = FeatureSpec(horizon_days=1)
 LOGREG, KMEANS = LogRegSpec(), KMeansSpec()
 THREE_EPOCHS = LogRegSpec(epochs=3)
-# At most 400 rows an epoch, so that turns go through the table more than once.
-IN_TURNS = LogRegSpec(epochs=7, batch=4, batches=100)
+# The batch follows from the number of rows, so that six epochs go once through the table and
+# the seventh begins again.
+IN_TURNS = LogRegSpec(epochs=7, batches=100)
 # Tolerances below any possible change: always three iterations.
 THREE_ITERATIONS = KMeansSpec(iters=3, shift_tol=0.0, cost_tol=0.0)
-# Networks that SQL can follow: no dropout, all rows in one batch, one step an epoch.
+# Networks that SQL can follow: no dropout. First, all rows in one batch, one step an epoch.
 ONE_COPY = MLPSpec(
     hidden=(4, 3), dropout=0.0, epochs=3, batch=10**9, workers=1, validation_split=0.0
 )
 TWO_COPIES = replace(ONE_COPY, workers=2)
+# Some steps an epoch, whatever the size of the table (see ``mini_batches``), and a held-out
+# share. Two copies hold half of the rows each, so they take three or four steps.
+MINI_BATCHES = replace(ONE_COPY, hidden=(3, 2), workers=2, validation_split=0.1)
 UNTRAINED = MLPSpec(hidden=(8, 4))
 CENSOR_AFTER = "1999-06-30 00:00:00"
 BASE_URL = "https://history.example.org/dumps"
@@ -93,6 +98,8 @@ def split(spark, sf_dir):
 
 def fitted_logreg(spark, sf_dir, spec=LOGREG):
     train, test = split(spark, sf_dir)
+    if spec == IN_TURNS:
+        spec = replace(spec, batch=-(-train.count() // (spec.batches * (spec.epochs - 1))))
     return logreg.fit(train, spec), test
 
 
@@ -166,6 +173,53 @@ def raw_accepted(spark, sf_dir):
     return tidy(files.accepted(lines))
 
 
+def stored_by_status(spark, sf_dir) -> str:
+    path = new_path(spark, "by_status")
+    files.write_by_status(clean.with_status(history_with_an_odd_file(spark, sf_dir)), path)
+    return path
+
+
+def quarantine_counts(spark, sf_dir):
+    path = stored_by_status(spark, sf_dir)
+    status = [clean.ACCEPTED, clean.MALFORMED_TIME, clean.REJECTED_LINE]
+    counted = [
+        files.read_status(spark, path, s).agg(F.lit(s).alias("status"), F.count(F.lit(1)).alias("n"))
+        for s in status
+    ]
+    return functools.reduce(DataFrame.unionAll, counted)
+
+
+def quarantine_accepted(spark, sf_dir):
+    path = stored_by_status(spark, sf_dir)
+    return tidy(files.read_status(spark, path, clean.ACCEPTED).drop("time", "line"))
+
+
+def quarantined(spark, sf_dir):
+    """What can be looked into: the text of the time, or of the line."""
+    path = stored_by_status(spark, sf_dir)
+    times = files.read_status(spark, path, clean.MALFORMED_TIME)
+    lines = files.read_status(spark, path, clean.REJECTED_LINE)
+    at = schema.RAW.fieldNames().index("revision_id")
+    revision = F.split("line", "\t").getItem(at).alias("revision_id")
+    cells = F.size(F.split("line", "\t", -1)).cast("bigint").alias("cells")
+    found = times.select("revision_id", "time", F.lit(None).cast("bigint").alias("cells"))
+    return found.unionByName(lines.select(revision, "time", cells))
+
+
+def landing_faults(spark, sf_dir):
+    """Months up to 1997 are expected, and for those of March a size that is wrong."""
+    path = new_path(spark, "landed")
+    raw.land_by_month(spark.read.parquet(f"{sf_dir}/orders.parquet"), path)
+    until = F.least("last_month", F.lit("1997-12-01").cast("date")).alias("last_month")
+    bounds = manifest.observed_bounds(orders(spark, sf_dir)).select("first_month", until)
+    expected = manifest.month_manifest(bounds, BASE_URL, WIKI, SNAPSHOT).withColumn(
+        "size", F.when(F.col("month") == 3, F.lit(1).cast("bigint")).otherwise(F.col("size"))
+    )
+    landed = manifest.landed_files(spark, path, r"ym=(\d{4})-(\d{2})/")
+    faults = manifest.landing_faults(expected, landed)
+    return tidy(faults.select("fault", "year", "month", "bytes"))
+
+
 def clean_month_range(spark, sf_dir):
     path = new_path(spark, "clean")
     files.write_clean(clean.clean(typed_raw(spark, sf_dir)), path)
@@ -382,6 +436,23 @@ def mlp_weights_of(spec) -> Query:
     return query
 
 
+def mlp_weights_mini_batches(spark, sf_dir):
+    train, _ = split(spark, sf_dir)
+    model = mlp.fit(train, replace(MINI_BATCHES, batch=-(-train.count() // 6)))
+    rows = [(i, float(w)) for i, w in enumerate(model.weights)]
+    return tidy(spark.createDataFrame(rows, "id int, weight double"))
+
+
+def mlp_default_history(spark, sf_dir):
+    """Losses of each epoch of the network as it ships, on training and held-out rows."""
+    train, _ = split(spark, sf_dir)
+    model = mlp.fit(train, MLPSpec())
+    rows = [(h["epoch"], h["log_loss"], h["val_log_loss"]) for h in model.history]
+    return tidy(
+        spark.createDataFrame(rows, "epoch int, log_loss double, val_log_loss double")
+    )
+
+
 def mlp_metrics(spark, sf_dir):
     model, test = fitted_mlp(spark, sf_dir)
     return tidy(evaluate.evaluate_binary(model.score(test)))
@@ -424,6 +495,14 @@ def wcss(spark, sf_dir):
     )
 
 
+def silhouette(spark, sf_dir):
+    """That of all points by all points, and the one by centers."""
+    model, table = fitted_kmeans(spark, sf_dir)
+    assigned = model.assign(table)
+    simplified = kmeans.simplified_silhouette(assigned).toDF("simplified")
+    return tidy(kmeans.silhouette(assigned, model.scaler).join(simplified))
+
+
 def simplified_silhouette(spark, sf_dir):
     model, table = fitted_kmeans(spark, sf_dir)
     return tidy(kmeans.simplified_silhouette(model.assign(table)))
@@ -480,6 +559,40 @@ def feed_envelope(spark, sf_dir):
     return tidy(run_on_envelopes(spark, sf_dir, lambda envelopes: envelopes))
 
 
+def landed_blocks(spark, sf_dir) -> str:
+    """Blocks of the framed feed; after a break, some come again."""
+    path = new_path(spark, "blocks")
+    blocks = raw.events_as_blocks(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    raw.land_blocks(blocks, path)
+    raw.land_blocks(blocks.filter("event_id % 20 IN (3, 9)"), path)
+    return path
+
+
+def feed_framed(spark, sf_dir):
+    """From blocks to envelopes: what came twice counts once, if it has an id."""
+    blocks = framing.framed_source(spark, landed_blocks(spark, sf_dir))
+    changes = framing.messages(framing.parse_events(blocks))
+    lines = framing.without_replays(changes, delay="60 days")
+    out = new_path(spark, "envelopes")
+    result = feed.parse_envelope(feed.normalize_feed(lines, "mainwiki"))
+    endpoints.run_to_end(
+        endpoints.file_sink(result, out, new_path(spark, "checkpoint"), available_now=True)
+    )
+    return tidy(spark.read.schema(result.schema).parquet(out))
+
+
+def feed_events(spark, sf_dir):
+    """Every event with its type and id."""
+    events = framing.parse_events(framing.read_framed(spark, landed_blocks(spark, sf_dir)))
+    title = F.get_json_object("data", "$.title").alias("title")
+    return events.select("id", "event", title)
+
+
+def feed_resume_point(spark, sf_dir):
+    blocks = framing.read_framed(spark, landed_blocks(spark, sf_dir))
+    return framing.resume_point(framing.parse_events(blocks))
+
+
 def feed_coerced(spark, sf_dir):
     """Lines whose fields come as numbers, texts and flags of other kinds than usual."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -513,6 +626,21 @@ def stream_scores(spark, sf_dir):
     )
 
 
+def stream_scores_table(spark, sf_dir):
+    """Scores in a catalogue table, a few files a batch."""
+    model, _ = fitted_logreg(spark, sf_dir)
+    records = endpoints.text_source(spark, run_feed(spark, sf_dir), maxFilesPerTrigger=3)
+    scores = feed.score_stream(feed.partial_features(feed.parse_envelope(records)), model)
+    path = new_path(spark, "table")
+    table = f"scored_{path.split('/')[-2]}"
+    endpoints.run_to_end(
+        endpoints.table_sink(
+            scores, table, new_path(spark, "checkpoint"), available_now=True, path=path
+        )
+    )
+    return tidy(spark.table(table).drop("batch_id"))
+
+
 def stream_first_features(spark, sf_dir):
     """First edits kept by a stateful stream, then the batch feature job on what it kept."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -662,6 +790,14 @@ def top_risk(spark, sf_dir):
     return tidy(report.top_risk(scored, 20).select(USER, "score"))
 
 
+def top_risk_by_archetype(spark, sf_dir):
+    table = stored_features(spark, sf_dir)
+    train, _ = vectors.train_test_split(table)
+    scored = logreg.fit(train, LOGREG).score(table).withColumn("score", F.round("score", 6))
+    placed = report.top_risk_by_archetype(kmeans.fit(table, KMEANS).assign(scored), 5)
+    return tidy(placed.select("cluster", "place", USER, "score"))
+
+
 QUERIES: dict[str, Query] = {
     "read_revision_tsv": read_revision_tsv,
     "only_revisions": only_revision_ids(clean.only_revisions),
@@ -672,11 +808,15 @@ QUERIES: dict[str, Query] = {
     "raw_rejects": raw_rejects,
     "raw_line_counts": raw_line_counts,
     "raw_accepted": raw_accepted,
+    "quarantine_counts": quarantine_counts,
+    "quarantine_accepted": quarantine_accepted,
+    "quarantined": quarantined,
     "clean_orders": clean_orders,
     "clean_orders_as_landed": clean_orders_as_landed,
     "clean_month_range": clean_month_range,
     "month_manifest": month_manifest,
     "month_missing": month_missing,
+    "landing_faults": landing_faults,
     "edit_rank": edit_rank,
     "edit_rank_events": edit_rank_events,
     "first_window": first_window,
@@ -724,6 +864,8 @@ QUERIES: dict[str, Query] = {
     "mlp_scores": mlp_scores,
     "mlp_weights": mlp_weights_of(ONE_COPY),
     "mlp_weights_two_copies": mlp_weights_of(TWO_COPIES),
+    "mlp_weights_mini_batches": mlp_weights_mini_batches,
+    "mlp_default_history": mlp_default_history,
     "mlp_metrics": mlp_metrics,
     "kmeans_init": kmeans_init,
     "kmeans_centers_3it": kmeans_centers_of(THREE_ITERATIONS),
@@ -731,15 +873,20 @@ QUERIES: dict[str, Query] = {
     "kmeans_iterations": kmeans_iterations,
     "kmeans_assign": kmeans_assign,
     "wcss": wcss,
+    "silhouette": silhouette,
     "simplified_silhouette": simplified_silhouette,
     "cluster_profile": cluster_profile,
     "feed_filter": feed_filter,
     "feed_envelope": feed_envelope,
     "feed_coerced": feed_coerced,
+    "feed_framed": feed_framed,
+    "feed_events": feed_events,
+    "feed_resume_point": feed_resume_point,
     "feed_counts": feed_counts,
     "stream_malformed": stream_malformed,
     "stream_partial_features": stream_partial_features,
     "stream_scores": stream_scores,
+    "stream_scores_table": stream_scores_table,
     "stream_first_features": stream_first_features,
     "cohort_summary": cohort_summary,
     "model_compare": model_compare,
@@ -756,4 +903,5 @@ QUERIES: dict[str, Query] = {
     "summary_with_network": summary_of(True),
     "survival_curve": survival_curve,
     "top_risk": top_risk,
+    "top_risk_by_archetype": top_risk_by_archetype,
 }

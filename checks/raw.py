@@ -81,6 +81,43 @@ def write_revision_tsv(raw: DataFrame, path: str, mode: str = "errorifexists") -
     )
 
 
+# Blocks of the feed: some with comments, of other types, without an id, with their data on two
+# lines or after a block of nothing but a comment.
+_EVENT_BLOCK = """
+concat(if(event_id % 50 = 1, ':ping\n\n', ''), concat_ws('\n',
+  if(event_id % 8 = 0, ': kept alive', NULL),
+  CASE event_id % 6 WHEN 5 THEN 'event: canary' WHEN 4 THEN NULL ELSE 'event: message' END,
+  if(event_id % 10 < 9, concat('id:', event_id), NULL),
+  if(event_id % 12 = 0, 'retry: 100', NULL),
+  if(event_id % 3 = 0, concat('data: {\ndata:', substring(value, 2)), concat('data: ', value))
+)) AS value
+"""
+
+
+def events_as_blocks(events: DataFrame) -> DataFrame:
+    """Events as blocks of the framed feed, with their ``event_id``."""
+    lines = events.selectExpr("event_id", _EVENT_CHANGE)
+    return lines.selectExpr("event_id", _EVENT_BLOCK)
+
+
+def land_blocks(blocks: DataFrame, path: str) -> None:
+    """Land blocks in one more file, in the order of their ids."""
+    one = blocks.coalesce(1).sortWithinPartitions("event_id").select("value")
+    one.write.mode("append").option("lineSep", "\n\n").text(path)
+
+
+def land_by_month(orders: DataFrame, path: str) -> None:
+    """One text file per month of orders. Months 5 and 10 are left out, those of months 7 are
+    empty but for a line end, and orders whose key is a multiple of 97 have no month."""
+    month = F.when(F.expr("o_orderkey % 97 > 0"), F.date_format("o_orderdate", "yyyy-MM"))
+    text = F.concat(F.lit("order number "), "o_orderkey").alias("value")
+    rows = orders.select(month.alias("ym"), text)
+    number = F.coalesce(F.substring("ym", 6, 2).cast("int"), F.lit(0))
+    empty = rows.filter(number == 7).select("ym", F.lit("").alias("value")).distinct()
+    full = rows.filter(~number.isin(5, 7, 10))
+    full.unionByName(empty).repartition("ym").write.partitionBy("ym").text(path)
+
+
 # The same fields in other JSON types: flags as numbers or texts, numbers as texts or with
 # decimals, tags as one text, a length without one side.
 _ODD_CHANGE = f"""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import schema
+from holdfast.sources.files import LINE, REJECTED
 
 MAIN_AND_TALK = (0, 1)
 
@@ -52,6 +53,41 @@ def prune(df: DataFrame) -> DataFrame:
     return df.select(*schema.CLEAN.fieldNames())
 
 
+#: What became of a raw line that is kept, see :func:`with_status`.
+ACCEPTED, MALFORMED_TIME, REJECTED_LINE = "accepted", "malformed_time", "rejected"
+
+
+def with_status(lines: DataFrame, namespaces=MAIN_AND_TALK) -> DataFrame:
+    """Clean edits and what is quarantined, with a ``status``, in one pass and without a shuffle.
+
+    ``lines`` are those of ``files.read_raw_lines``. A line that does not fit the layout is
+    ``rejected`` and has only its text (``line``); an edit that the filters keep but whose time
+    is missing or unreadable is ``malformed_time`` and has the text of its time (``time``).
+    """
+    bad = F.col(REJECTED)
+    kept = lines.filter(
+        bad
+        | (
+            is_revision()
+            & is_human()
+            & is_registered()
+            & F.col("page_namespace").isin(*namespaces)
+        )
+    )
+    timed = parse_time(kept)
+    status = (
+        F.when(bad, REJECTED_LINE)
+        .when(F.col("ts").isNull(), MALFORMED_TIME)
+        .otherwise(ACCEPTED)
+    )
+    return timed.select(
+        *[F.when(~bad, F.col(c)).alias(c) for c in schema.CLEAN.fieldNames()],
+        F.when(status == MALFORMED_TIME, F.col("event_timestamp")).alias("time"),
+        F.when(bad, F.col(LINE)).alias("line"),
+        status.alias("status"),
+    )
+
+
 def clean(raw: DataFrame, namespaces=MAIN_AND_TALK) -> DataFrame:
     """Raw history to clean edits. Map-only: one scan, one filter, one projection."""
     kept = keep_namespaces(drop_anonymous(drop_bots(only_revisions(raw))), namespaces)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from holdfast import schema
 from holdfast.config import KMeansSpec
+from holdfast.functions.scalars import sql_double
 from holdfast.operators.vectors import KEY, Scaler, fit_scaler, pick_rows
 from holdfast.shipping import ship_package
 
@@ -193,6 +194,56 @@ def simplified_silhouette(assigned: DataFrame) -> DataFrame:
     return assigned.agg(F.avg(silhouette_of_point()).alias("silhouette"))
 
 
+def cluster_moments(assigned: DataFrame, scaler: Scaler) -> DataFrame:
+    """Per cluster the number of points, the sum of each scaled coordinate, and the sum of
+    squared lengths: all that mean squared distances to a cluster need."""
+    scaled = scaler.sql()
+    squares = " + ".join(f"pow({text}, 2)" for text in scaled.values())
+    return assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"sum({squares})").alias("squares"),
+        *[F.expr(f"sum({text})").alias(f"sum_{f}") for f, text in scaled.items()],
+    )
+
+
+def silhouette(assigned: DataFrame, scaler: Scaler) -> DataFrame:
+    """The silhouette over all rows, by squared distances between points.
+
+    A point's mean squared distance to the points of a cluster follows from the cluster's
+    moments, so no pair of points is formed: one pass for the moments, one row per cluster,
+    and one for the mean. A point alone in its cluster counts as 0, as do points if there is
+    one cluster only.
+    """
+    scaled = scaler.sql()
+    own_squares = F.expr(" + ".join(f"pow({text}, 2)" for text in scaled.values()))
+    moments = cluster_moments(assigned, scaler).collect()
+
+    def total(m) -> Column:
+        """The sum of squared distances from a row to all points of a cluster."""
+        dot = " + ".join(f"{text} * {sql_double(m[f'sum_{f}'])}" for f, text in scaled.items())
+        sum_ = m["n"] * own_squares - 2 * F.expr(dot) + F.lit(m["squares"])
+        return F.greatest(sum_, F.lit(0.0))
+
+    inside, outside, sizes = F.lit(None), [], F.lit(None)
+    for m in moments:
+        own = F.col("cluster") == m["cluster"]
+        inside = F.when(own, total(m) / max(m["n"] - 1, 1)).otherwise(inside)
+        sizes = F.when(own, F.lit(m["n"])).otherwise(sizes)
+        outside.append(F.when(~own, total(m) / m["n"]))
+    if len(moments) < 2:
+        return assigned.agg(
+            F.when(F.count(F.lit(1)) > 0, F.lit(0.0)).alias("silhouette")
+        )
+    of_point = assigned.select(
+        inside.alias("a"), F.least(*outside).alias("b"), sizes.alias("size")
+    )
+    larger = F.greatest("a", "b")
+    value = F.when((F.col("size") == 1) | (larger == 0), 0.0).otherwise(
+        (F.col("b") - F.col("a")) / larger
+    )
+    return of_point.agg(F.avg(value).alias("silhouette"))
+
+
 def cluster_profile(
     assigned: DataFrame, features: list[str] = schema.FEATURE_COLS
 ) -> DataFrame:

@@ -5,7 +5,9 @@ Spark averages the copies weighted by row count. Shares and the order of rows in
 from hashes of the keys, and mini-batches are cut from that order, so that neither the number
 of rows nor the partitioning of the input nor the size of Arrow batches changes the result.
 The weights leave the tasks as one row per parameter and are summed by the shuffle, so the
-driver sees one set of weights however many copies there are.
+driver sees one set of weights however many copies there are. The state of the optimiser (two
+moments a parameter, and the number of steps) is averaged in the same way and goes on in the
+next epoch.
 """
 
 from __future__ import annotations
@@ -90,25 +92,39 @@ def _gradient(flat, x, y, spec: MLPSpec, rng) -> np.ndarray:
     return np.concatenate([g.ravel() for g in grads])
 
 
-class _Adam:
-    def __init__(self, size: int, rate: float):
-        self.m, self.v, self.t, self.rate = np.zeros(size), np.zeros(size), 0, rate
+@dataclass
+class _State:
+    """Weights, and the state of Adam: both moments and the (averaged) number of steps."""
 
-    def update(self, flat: np.ndarray, g: np.ndarray) -> np.ndarray:
-        self.t += 1
-        self.m = 0.9 * self.m + 0.1 * g
-        self.v = 0.999 * self.v + 0.001 * g * g
-        m = self.m / (1 - 0.9**self.t)
-        v = self.v / (1 - 0.999**self.t)
-        return flat - self.rate * m / (np.sqrt(v) + 1e-7)
+    w: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    t: float = 0.0
+
+    @classmethod
+    def start(cls, w: np.ndarray):
+        return cls(w, np.zeros(len(w)), np.zeros(len(w)))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.w, self.m, self.v, [self.t]])
+
+    @classmethod
+    def of(cls, flat: np.ndarray):
+        w, m, v = flat[:-1].reshape(3, -1)
+        return cls(w, m, v, float(flat[-1]))
+
+    def after(self, g: np.ndarray, rate: float):
+        t = self.t + 1
+        m, v = 0.9 * self.m + 0.1 * g, 0.999 * self.v + 0.001 * g * g
+        scaled = (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-7)
+        return _State(self.w - rate * scaled, m, v, t)
 
 
 class _Copy:
     """One copy in training: takes rows in order, steps whenever a mini-batch is full."""
 
-    def __init__(self, flat: np.ndarray, spec: MLPSpec, epoch: int, worker: int):
-        self.start, self.w, self.spec = flat, flat, spec
-        self.adam = _Adam(len(flat), spec.learning_rate)
+    def __init__(self, start: _State, spec: MLPSpec, epoch: int, worker: int):
+        self.start, self.state, self.spec = start.w, start, spec
         self.rng = np.random.default_rng([spec.seed, epoch, worker])
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.n_waiting = self.seen = self.held_out = 0
@@ -131,24 +147,26 @@ class _Copy:
     def _step(self) -> None:
         x, y = (np.concatenate(part) for part in zip(*self.waiting))
         self.waiting, self.n_waiting = [], 0
-        self.train_loss += _log_loss(forward(self.w, x, self.spec.hidden), y)
-        self.w = self.adam.update(self.w, _gradient(self.w, x, y, self.spec, self.rng))
+        self.train_loss += _log_loss(forward(self.state.w, x, self.spec.hidden), y)
+        g = _gradient(self.state.w, x, y, self.spec, self.rng)
+        self.state = self.state.after(g, self.spec.learning_rate)
         self.seen += len(y)
 
     def rows(self) -> pa.RecordBatch:
-        """Each parameter times the rows seen, and the losses before each step."""
+        """Each number of the state times the rows seen, and the losses before each step."""
         if self.n_waiting:
             self._step()
-        ids = np.concatenate([np.arange(len(self.w)), [_TRAIN_LOSS, _VAL_LOSS]])
-        sums = np.concatenate([self.w * self.seen, [self.train_loss, self.val_loss]])
-        counts = np.concatenate([np.full(len(self.w), self.seen), [self.seen, self.held_out]])
+        flat = self.state.flat()
+        ids = np.concatenate([np.arange(len(flat)), [_TRAIN_LOSS, _VAL_LOSS]])
+        sums = np.concatenate([flat * self.seen, [self.train_loss, self.val_loss]])
+        counts = np.concatenate([np.full(len(flat), self.seen), [self.seen, self.held_out]])
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int32()), pa.array(sums), pa.array(counts, pa.int64())],
             names=["id", "total", "n"],
         )
 
 
-def _local_epoch(flat: np.ndarray, spec: MLPSpec, epoch: int, train: bool = True):
+def _local_epoch(start: _State, spec: MLPSpec, epoch: int, train: bool = True):
     """The task side of one epoch: ordered rows in, weighted parameters out. A partition may
     hold the shares of several copies, one after the other."""
 
@@ -165,7 +183,7 @@ def _local_epoch(flat: np.ndarray, spec: MLPSpec, epoch: int, train: bool = True
                     if copy is not None:
                         yield copy.rows()
                     current = int(workers[low])
-                    copy = _Copy(flat, spec, epoch, current)
+                    copy = _Copy(start, spec, epoch, current)
                 if high > low:
                     copy.take(x[low:high], y[low:high], held_out[low:high], train)
         if copy is not None:
@@ -241,12 +259,12 @@ def fit(
 
     def epoch_means(epoch: int, training: bool = True) -> dict[int, float]:
         parts = rows.mapInArrow(
-            _local_epoch(flat, spec, epoch, training), "id int, total double, n bigint"
+            _local_epoch(state, spec, epoch, training), "id int, total double, n bigint"
         )
         mean = F.try_divide(F.sum("total"), F.sum("n")).alias("mean")
         return {r["id"]: r["mean"] for r in parts.groupBy("id").agg(mean).collect()}
 
-    flat = initial_weights(len(features), spec)
+    state = _State.start(initial_weights(len(features), spec))
     history: list[dict] = []
     started = time.monotonic()
     try:
@@ -254,15 +272,15 @@ def fit(
             means = epoch_means(epoch)
             if history:
                 history[-1]["val_log_loss"] = means.get(_VAL_LOSS)
-            trained = [means.get(i) for i in range(len(flat))]
+            trained = [means.get(i) for i in range(len(state.flat()))]
             if trained[0] is not None:
-                flat = np.array(trained)
+                state = _State.of(np.array(trained))
             history.append({"epoch": epoch, "log_loss": means.get(_TRAIN_LOSS)})
         if history:
             history[-1]["val_log_loss"] = epoch_means(spec.epochs, False).get(_VAL_LOSS)
     finally:
         rows.unpersist()
-    return MLPModel(scaler, flat, spec.hidden, time.monotonic() - started, history)
+    return MLPModel(scaler, state.w, spec.hidden, time.monotonic() - started, history)
 
 
 def worker_of(key: Column, workers: int) -> Column:

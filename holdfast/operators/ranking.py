@@ -6,17 +6,10 @@ numbers). Edits without a user or without a time are never ranked.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from holdfast.shipping import ship_package
-from holdfast.workspace import materialize
 
 USER = "event_user_id"
 _ORDER = ["ts", "_id_length", "revision_id"]
@@ -34,113 +27,96 @@ def _rankable(edits: DataFrame) -> DataFrame:
     )
 
 
-def _by_user():
-    return Window.partitionBy(USER).orderBy(*_ORDER)
-
-
-def _rank_in_slice(user_at: int):
-    """The task side of :func:`edit_rank`: rows of a slice come in order; each gets its number
-    among its editor's rows of the slice, and the last row of the slice is marked."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        user, count, waiting = None, 0, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if waiting is not None:
-                yield waiting
-            users = batch.column(user_at)
-            new = np.ones(len(users), bool)
-            if len(users) > 1:
-                new[1:] = pc.not_equal(users[1:], users[:-1]).to_numpy(zero_copy_only=False)
-            at = np.arange(len(users))
-            first = np.maximum.accumulate(np.where(new, at, 0))
-            rank = at - first + 1
-            if users[0].as_py() == user:
-                rank[first == 0] += count
-            user, count = users[-1].as_py(), int(rank[-1])
-            last = np.zeros(len(users), bool)
-            columns = [*batch.columns, pa.array(rank), pa.array(last)]
-            names = [*batch.schema.names, "_rank", "_last"]
-            waiting = pa.RecordBatch.from_arrays(columns, names=names)
-        if waiting is not None:
-            last = np.zeros(waiting.num_rows, bool)
-            last[-1] = True
-            yield waiting.set_column(waiting.num_columns - 1, "_last", pa.array(last))
-
-    return run
-
-
-def ranked_in_slices(edits: DataFrame, slices: int | None = None) -> DataFrame:
-    """Rankable edits with ``_slice``, ``_rank`` (inside editor and slice) and ``_last``.
-
-    The whole order by editor, time and id is cut into about equal slices, so an editor with
-    very many edits, or very many edits at one time, spread over several. That is the only
-    shuffle. Cuts are drawn anew whenever this is evaluated.
-    """
-    rows = _rankable(edits)
-    order = [USER, *_ORDER]
-    n = slices or int(edits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = (
-        rows.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    layout = T.StructType(
-        [
-            *cut.schema.fields,
-            T.StructField("_rank", T.LongType()),
-            T.StructField("_last", T.BooleanType()),
-        ]
-    )
-    ship_package(edits.sparkSession)
-    return cut.mapInArrow(_rank_in_slice(cut.columns.index(USER)), layout)
+def _by_user(ties: Iterable[Column] = ()):
+    return Window.partitionBy(USER).orderBy(*_ORDER, *ties)
+
+
+def _every_column(edits: DataFrame) -> list[Column]:
+    """An order of edits that agree in time and id, from what else they hold."""
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in edits.columns])]
 
 
-def sliced_ranks(edits: DataFrame, slices: int | None = None) -> DataFrame:
-    """The stored result of :func:`ranked_in_slices`: all readers see the same slices."""
-    return materialize(ranked_in_slices(edits, slices), "sliced_ranks")
+_PLACE = [USER, *_ORDER]
+#: Rows of the sample that lie between two cuts.
+_PER_CUT = 20
 
 
-def slice_offsets(ranked: DataFrame) -> DataFrame:
-    """(editor, slice, offset): how many edits of an editor lie in earlier slices, for the
-    slices that begin with an editor who is also in the slice before.
+def cut_points(edits: DataFrame, slices: int) -> list[Row]:
+    """Places in the order by editor, time and id that cut the edits into about equal slices.
 
-    There is at most one such row per slice: an editor in several slices is the last one of
-    each but the last. Windows run over one row per slice.
+    They are drawn from the ``20 * slices`` rows whose hash is smallest, the same ones on any
+    partitioning, so what the driver sees is bounded. They decide only how evenly work is dealt.
     """
-    ends = ranked.filter("_last").select(USER, "_slice", "_rank")
-    begins = ranked.filter("_rank = 1").join(
-        ends.select(USER).distinct().withColumnRenamed(USER, "_user"),
-        F.col(USER) == F.col("_user"),
-        "left_semi",
+    rows = _rankable(edits).select(*_PLACE)
+    sample = rows.orderBy(F.xxhash64(*_PLACE), *_PLACE).limit(_PER_CUT * slices)
+    ordered = sample.orderBy(*_PLACE).collect()
+    every = max(1, len(ordered) // slices)
+    return ordered[every::every]
+
+
+def _slice_of(cuts: list[Row]) -> Column:
+    """How many cuts lie at or before a row; 0 for editors that no cut falls in, as they lie in
+    one slice anyway."""
+    editors = sorted({cut[USER] for cut in cuts})
+    if not editors:
+        return F.lit(0)
+    # A search by halves over the cuts, for the rows of those editors alone.
+    listed = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(_PLACE, cut)]) for cut in cuts])
+    place = F.struct(*_PLACE)
+    n = len(cuts)
+    steps = [F.lit(1 << i) for i in reversed(range(n.bit_length()))]
+    found = F.aggregate(
+        F.array(*steps),
+        F.lit(0),
+        lambda low, step: F.when(
+            (low + step <= n) & (F.try_element_at(listed, low + step) <= place), low + step
+        ).otherwise(low),
+    )
+    return F.when(F.col(USER).isin(*editors), found).otherwise(0)
+
+
+def sliced(edits: DataFrame, slices: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rankable edits with their ``_slice``, and the number of an editor's edits in earlier
+    slices (editor, ``_slice``, ``_offset``) for the editors whom a cut falls in. There are
+    fewer such rows than twice the slices."""
+    n = slices or int(edits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = cut_points(edits, n)
+    rows = _rankable(edits).withColumn("_slice", _slice_of(cuts))
+    cut_editors = sorted({cut[USER] for cut in cuts})
+    counts = (
+        rows.filter(F.col(USER).isin(*cut_editors) if cut_editors else F.lit(False))
+        .groupBy(USER, "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    known = begins.select(USER, "_slice", F.lit(0).cast("bigint").alias("_rank")).unionByName(ends)
-    totals = known.groupBy(USER, "_slice").agg(F.max("_rank").alias("_rank"))
     before = (
         Window.partitionBy(USER).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    shifted = totals.withColumn("_offset", F.sum("_rank").over(before))
-    return shifted.filter("_offset > 0").select(USER, "_slice", "_offset")
+    offsets = counts.select(USER, "_slice", F.sum("_n").over(before).alias("_offset"))
+    return rows, offsets.filter(F.col("_offset").isNotNull())
 
 
-def edit_rank(edits: DataFrame, slices: int | None = None) -> DataFrame:
+def edit_rank(
+    edits: DataFrame, slices: int | None = None, ties: Iterable[Column] = ()
+) -> DataFrame:
     """All edits with their ``edit_rank``.
 
-    An editor's whole history is never gathered in one task: edits are ranked in slices of the
-    order that are shifted by the number of edits before them. Rows are shuffled once. Use
-    :func:`first_edits` when only the first few ranks matter.
+    An editor's whole history is never gathered in one task: the order is cut at explicit
+    points, edits are numbered in generated code by editor and slice, and slices are shifted by
+    the number of the editor's edits before them. Rows are shuffled once and never leave the
+    JVM. Edits that agree in time and id are numbered in the order of ``ties``, if given; they
+    lie in one slice. Use :func:`first_edits` when only the first few ranks matter.
     """
-    ranked = sliced_ranks(edits, slices)
-    shift = F.coalesce("_offset", F.lit(0))
+    rows, offsets = sliced(edits, slices)
+    inside = Window.partitionBy(USER, "_slice").orderBy(*_ORDER, *ties)
     return (
-        ranked.join(slice_offsets(ranked), [USER, "_slice"], "left")
-        .withColumn("edit_rank", F.col("_rank") + shift)
+        rows.withColumn("_rank", F.row_number().over(inside))
+        .join(F.broadcast(offsets), [USER, "_slice"], "left")
+        .withColumn("edit_rank", F.col("_rank") + F.coalesce("_offset", F.lit(0)))
         .select(*edits.columns, "edit_rank")
     )
 
 
-def first_edits(edits: DataFrame, n: int) -> DataFrame:
+def first_edits(edits: DataFrame, n: int, ties: Iterable[Column] = ()) -> DataFrame:
     """Edits of rank 1 to ``n`` with ``edit_rank``.
 
     Ranking is the only window under the filter, so Spark limits the groups before the
@@ -148,36 +124,23 @@ def first_edits(edits: DataFrame, n: int) -> DataFrame:
     """
     return (
         _rankable(edits)
-        .withColumn("edit_rank", F.row_number().over(_by_user()))
+        .withColumn("edit_rank", F.row_number().over(_by_user(ties)))
         .filter(F.col("edit_rank") <= n)
     )
 
 
 def first_window(edits: DataFrame, n: int) -> DataFrame:
-    return first_edits(edits, n).drop("_id_length")
+    """Edits of rank 1 to ``n``; of edits that agree in time and id the same ones each time."""
+    return first_edits(edits, n, _every_column(edits)).drop("_id_length")
 
 
-def post_window(edits: DataFrame, n: int) -> DataFrame:
-    """Edits of a rank above ``n``, without ``edit_rank``.
+def post_window(edits: DataFrame, n: int, slices: int | None = None) -> DataFrame:
+    """Edits of a rank above ``n``, without ``edit_rank``: those that :func:`first_window` leaves.
 
-    Each is compared with the ``n``-th, which the limited plan of :func:`first_edits` finds, so
-    no whole history is ranked. Of the rows that repeat time and id of the ``n``-th, as many as
-    lie within the first ``n`` are left out; only such rows are numbered.
+    Rows are shuffled once, by editor and slice, and nothing is joined by editor.
     """
-    place = F.struct(*[F.col(c) for c in _ORDER])
-    first = first_edits(edits, n).select(USER, place.alias("_place"), "edit_rank")
-    nth = first.groupBy(USER, "_place").agg(
-        F.count(F.lit(1)).alias("_within"), F.max("edit_rank").alias("_rank")
-    )
-    nth = nth.filter(F.col("_rank") == n).select(USER, F.col("_place").alias("_nth"), "_within")
-    later = _rankable(edits).join(nth, USER)
-    repeats = Window.partitionBy(USER).orderBy(F.lit(0))
-    tied = later.filter(place == F.col("_nth")).withColumn("_rank", F.row_number().over(repeats))
-    return (
-        later.filter(place > F.col("_nth"))
-        .select(*edits.columns)
-        .union(tied.filter(F.col("_rank") > F.col("_within")).select(*edits.columns))
-    )
+    ranked = edit_rank(edits, slices, _every_column(edits))
+    return ranked.filter(F.col("edit_rank") > n).select(*edits.columns)
 
 
 def with_neighbours(edits: DataFrame, n: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast import schema
@@ -77,6 +77,20 @@ def summary(features: DataFrame, logreg: dict, kmeans: dict, mlp: dict | None =
     return out
 
 
+def top_risk_by_archetype(
+    scored: DataFrame, k: int, score: str = "score", cluster: str = "cluster"
+) -> DataFrame:
+    """The ``k`` editors of each cluster who are most likely to leave, with their ``place``.
+
+    ``scored`` has a score and a cluster per editor: both models add columns, so nothing is
+    joined. There are a handful of clusters and each may hold most editors; Spark limits the
+    groups before the shuffle, so a task sends ``k`` rows a cluster. Ties go by editor id. A
+    missing score comes last.
+    """
+    order = Window.partitionBy(cluster).orderBy(F.desc_nulls_last(score), "event_user_id")
+    return scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+
+
 def top_risk(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The ``k`` editors most likely to leave."""
     return scored.orderBy(F.desc(score), "event_user_id").limit(k)

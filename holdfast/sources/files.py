@@ -93,6 +93,21 @@ def write_clean(df: DataFrame, path: str, grouped_by_month: bool = False) -> Non
     df.write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
+def write_by_status(df: DataFrame, path: str) -> None:
+    """Write edits and what is quarantined in one pass, partitioned by status, year and month.
+
+    Each task writes what it reads. A reader of accepted months lists only their folders.
+    """
+    df.write.mode("overwrite").partitionBy("status", "year", "month").parquet(path)
+
+
+def read_status(spark: SparkSession, path: str, status: str) -> DataFrame:
+    """What :func:`write_by_status` wrote under a status: clean edits, ``time`` and ``line``."""
+    more = [T.StructField(c, T.StringType()) for c in ("time", "line", "status")]
+    layout = T.StructType([*schema.CLEAN.fields, *more])
+    return spark.read.schema(layout).parquet(path).filter(F.col("status") == status).drop("status")
+
+
 def read_clean(
     spark: SparkSession,
     path: str,

@@ -83,6 +83,70 @@ def write_transfer_list(manifest: DataFrame, path: str) -> None:
     )
 
 
+def landed_files(spark, path: str, month_pattern: str = r"(\d{4})-(\d{2})[^/]*$") -> DataFrame:
+    """Files under ``path`` with the ``year`` and ``month`` that their path names (NULL if none),
+    and their size. Only the listing is read, never a file.
+
+    ``month_pattern`` has a group for the year and one for the month, and applies to the path
+    below ``path``.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+    )
+    # The part of the path that lies below the folder, wherever the folder's own name ends.
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index("path", f"/{root}/", -1)
+    year, month = (
+        F.nullif(F.regexp_extract(below, month_pattern, i), F.lit("")).cast("int") for i in (1, 2)
+    )
+    return files.select(
+        below.alias("name"),
+        "length",
+        year.alias("year"),
+        month.alias("month"),
+    )
+
+
+def landing_faults(manifest: DataFrame, landed: DataFrame, min_bytes: int = 15) -> DataFrame:
+    """What is wrong with a landing: ``fault``, ``year``, ``month``, ``name``, ``bytes``.
+
+    ``missing``: a month of the manifest without a file; ``empty``: one whose files have fewer
+    than ``min_bytes`` together (an empty bz2 file has 14); ``size``: one whose files do not add
+    up to the size that the manifest states; ``unexpected``: a file of a month that the manifest
+    does not have, or of none.
+    """
+    sizes = (
+        landed.filter(F.col("year").isNotNull())
+        .groupBy("year", "month")
+        .agg(F.sum("length").alias("bytes"))
+    )
+    both = manifest.join(sizes, ["year", "month"], "left")
+    fault = (
+        F.when(F.col("bytes").isNull(), "missing")
+        .when(F.col("bytes") < min_bytes, "empty")
+        .when((F.col("size") >= 0) & (F.col("size") != F.col("bytes")), "size")
+    )
+    expected = manifest.select("year", "month")
+    unexpected = landed.join(expected, ["year", "month"], "left_anti").select(
+        F.lit("unexpected").alias("fault"),
+        "year",
+        "month",
+        "name",
+        F.col("length").alias("bytes"),
+    )
+    wrong = both.select(
+        fault.alias("fault"),
+        "year",
+        "month",
+        F.element_at(F.split("url", "/"), -1).alias("name"),
+        F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
+    )
+    return wrong.filter(F.col("fault").isNotNull()).unionByName(unexpected)
+
+
 def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     """Manifest rows for whose month no clean edit has landed."""
     have = landed.filter(F.col("year").isNotNull()).select("year", "month").distinct()

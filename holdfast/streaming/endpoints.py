@@ -75,6 +75,41 @@ def file_sink(
     return _start(writer, checkpoint, available_now, trigger)
 
 
+def replace_batch(batch: DataFrame, batch_id: int, table: str, **options) -> None:
+    """Put a batch into a catalogue table, in place of what an earlier attempt at the same
+    batch left there: the table is partitioned by ``batch_id`` and only that one is replaced.
+    ``options`` hold when the table is made, such as ``format`` and ``path``."""
+    rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        empty = rows.limit(0).write.partitionBy("batch_id").mode("ignore")
+        empty.saveAsTable(table, **{"format": "parquet", **options})
+    rows = rows.select(*spark.table(table).columns)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
+def table_sink(
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    available_now: bool = False,
+    trigger: str = TRIGGER,
+    replace=replace_batch,
+    **options,
+) -> StreamingQuery:
+    """Append to a catalogue table, each batch exactly once.
+
+    Spark may run a batch again after a failure, with the same id and the same rows. Every
+    batch is written as a whole under its id, so the second attempt replaces the first. Another
+    target needs a ``replace`` that does the same for it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        replace(batch, batch_id, table, **options)
+
+    return _start(df.writeStream.foreachBatch(write), checkpoint, available_now, trigger)
+
+
 def kafka_sink(
     records: DataFrame,
     topic: str,
