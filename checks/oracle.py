@@ -418,7 +418,9 @@ def _net(weights: list[str], n: int, hidden: tuple[int, int]):
     return layers
 
 
-def _forward(source: str, weights: list[str], hidden: tuple[int, int], keep: str) -> str:
+def _layers(name: str, source: str, weights: list[str], hidden: tuple[int, int]) -> list[str]:
+    """Statements that add the inputs of each layer, the last of them (``name``) adds z. They
+    are materialised, because one inside the other they make very large expressions."""
     (w1, b1), (w2, b2), (w3, b3) = _net(weights, len(F), hidden)
     a1 = [" + ".join([b1[j], *[f"x.{f} * {w1[i][j]}" for i, f in enumerate(F)]]) for j in range(hidden[0])]
     first = ", ".join(f"{text} AS a1_{j}" for j, text in enumerate(a1))
@@ -428,18 +430,20 @@ def _forward(source: str, weights: list[str], hidden: tuple[int, int], keep: str
     ]
     second = ", ".join(f"{text} AS a2_{k}" for k, text in enumerate(a2))
     z = " + ".join([b3[0], *[f"greatest(x.a2_{k}, 0) * {w3[k][0]}" for k in range(hidden[1])]])
-    return (
-        f"(SELECT x.*, {z} AS z FROM (SELECT x.*, {second} FROM "
-        f"(SELECT x.*, {first} FROM (SELECT {keep} FROM {source}) x) x) x)"
-    )
+    return [
+        f"{name}_1 AS MATERIALIZED (SELECT x.*, {first} FROM (SELECT * FROM {source}) x)",
+        f"{name}_2 AS MATERIALIZED (SELECT x.*, {second} FROM {name}_1 x)",
+        f"{name} AS MATERIALIZED (SELECT x.*, {z} AS z FROM {name}_2 x)",
+    ]
 
 
 def _start(spec: MLPSpec) -> list[str]:
     return [f"CAST({float(w)!r} AS DOUBLE)" for w in initial_weights(len(F), spec)]
 
 
-def _params(at: str, size: int) -> list[str]:
-    return [f"{at}.p[{i + 1}]" for i in range(size)]
+def _unpacked(source: str, size: int, keep: str) -> str:
+    """The weights as columns p0, p1, ..."""
+    return f"SELECT {keep}{', '.join(f'p[{i + 1}] AS p{i}' for i in range(size))} FROM {source}"
 
 
 def _zipped(text: str, *lists: str) -> str:
@@ -450,15 +454,10 @@ def _zipped(text: str, *lists: str) -> str:
 def _step(e: int, s: int, spec: MLPSpec, size: int) -> list[str]:
     """Step s of an epoch: each copy's gradient over its next rows, and its state after Adam."""
     h1, h2 = spec.hidden
-    before = f"e{e}s{s}"
-    weights = _params("x", size)
+    at = f"e{e}s{s}"
+    weights = [f"x.p{i}" for i in range(size)]
     _, (w2, _), (w3, _) = _net(weights, len(F), spec.hidden)
-    rows = _forward(
-        f"(SELECT * FROM dealt WHERE step = {s}) d JOIN {before} USING (worker)",
-        weights,
-        spec.hidden,
-        "*",
-    )
+    rows = f"(SELECT * FROM dealt WHERE step = {s}) d JOIN {at}p USING (worker)"
     d2 = ", ".join(f"dz * {w3[k][0]} * CAST(a2_{k} > 0 AS INTEGER) AS d2_{k}" for k in range(h2))
     d1 = ", ".join(
         "(" + " + ".join(f"d2_{k} * {w2[j][k]}" for k in range(h2)) + ")"
@@ -479,19 +478,21 @@ def _step(e: int, s: int, spec: MLPSpec, size: int) -> list[str]:
         "v",
     )
     return [
+        f"{at}p AS MATERIALIZED ({_unpacked(at, size, 'worker, ')})",
+        *_layers(f"{at}z", rows, weights, spec.hidden),
+        f"{at}dz AS MATERIALIZED (SELECT x.*, {_sigmoid('z')} - y AS dz FROM {at}z x)",
+        f"{at}d2 AS MATERIALIZED (SELECT x.*, {d2} FROM {at}dz x)",
+        f"{at}d1 AS MATERIALIZED (SELECT x.*, {d1} FROM {at}d2 x)",
+        f"{at}g AS MATERIALIZED (SELECT worker, [{means}] AS g FROM {at}d1 GROUP BY worker)",
         f"""
-{before}g AS MATERIALIZED (
-  SELECT worker, [{means}] AS g FROM (
-    SELECT x.*, {d1} FROM (SELECT x.*, {d2} FROM (
-      SELECT x.*, {_sigmoid('z')} - y AS dz FROM {rows} x) x) x)
-  GROUP BY worker)""",
+{at}m AS MATERIALIZED (
+  SELECT worker, p, {_zipped('0.9 * x[1] + 0.1 * x[2]', 'm', 'g')} AS m,
+         {_zipped('0.999 * x[1] + 0.001 * x[2] * x[2]', 'v', 'g')} AS v, t + 1 AS t
+  FROM {at} JOIN {at}g USING (worker))""",
         f"""
 e{e}s{s + 1} AS MATERIALIZED (
-  SELECT worker, {moved} AS p, m, v, t FROM (
-    SELECT worker, p, {_zipped('0.9 * x[1] + 0.1 * x[2]', 'm', 'g')} AS m,
-           {_zipped('0.999 * x[1] + 0.001 * x[2] * x[2]', 'v', 'g')} AS v, t + 1 AS t
-    FROM {before} JOIN {before}g USING (worker))
-  UNION ALL SELECT * FROM {before} WHERE worker NOT IN (SELECT worker FROM {before}g))""",
+  SELECT worker, {moved} AS p, m, v, t FROM {at}m
+  UNION ALL SELECT * FROM {at} WHERE worker NOT IN (SELECT worker FROM {at}g))""",
     ]
 
 
@@ -542,16 +543,18 @@ def mlp_weights(spec: MLPSpec, **steps) -> str:
     )
 
 
-NET_SCORED = f"""
-net_scored AS MATERIALIZED (
-  SELECT u, CAST(y AS BIGINT) AS dropout, {_sigmoid('z')} AS score FROM {
-    _forward(
-        f"test, net{TWO_COPIES.epochs}",
-        _params("x", len(_start(TWO_COPIES))),
+NET_SCORED = [
+    "net_end AS MATERIALIZED "
+    f"({_unpacked(f'net{TWO_COPIES.epochs}', len(_start(TWO_COPIES)), '')})",
+    *_layers(
+        "net_z",
+        "test, net_end",
+        [f"x.p{i}" for i in range(len(_start(TWO_COPIES)))],
         TWO_COPIES.hidden,
-        "*",
-    )})
-"""
+    ),
+    "net_scored AS MATERIALIZED (SELECT u, CAST(y AS BIGINT) AS dropout, "
+    f"{_sigmoid('z')} AS score FROM net_z)",
+]
 
 
 def renamed(ctes: list[str], prefix: str) -> list[str]:
@@ -564,7 +567,7 @@ def renamed(ctes: list[str], prefix: str) -> list[str]:
     return out
 
 
-NETWORK = [*mlp_ctes(TWO_COPIES), NET_SCORED, *renamed([CONFUSION, AUC, RATES], "net_")]
+NETWORK = [*mlp_ctes(TWO_COPIES), *NET_SCORED, *renamed([CONFUSION, AUC, RATES], "net_")]
 
 
 # K-Means.
@@ -989,13 +992,13 @@ placed AS (
         "feats_m AS MATERIALIZED (SELECT * FROM feats)",
         scaler_cte("feats_m"),
         scaled_cte("points", "feats_m"),
-        select=f"SELECT {USER}, {r6(_sigmoid('z'), 'score')} FROM "
-        + _forward("points", _start(UNTRAINED), UNTRAINED.hidden, "*"),
+        *_layers("net_z", "points", _start(UNTRAINED), UNTRAINED.hidden),
+        select=f"SELECT {USER}, {r6(_sigmoid('z'), 'score')} FROM net_z",
     ),
     "mlp_weights": mlp_weights(ONE_COPY),
     "mlp_weights_two_copies": mlp_weights(TWO_COPIES),
     "mlp_weights_mini_batches": mlp_weights(
-        MINI_BATCHES, steps=4, batch="(SELECT ceil(count(*) / 6) FROM train)"
+        MINI_BATCHES, steps=4, batch="(SELECT CAST(ceil(count(*) / 6) AS BIGINT) FROM train)"
     ),
     "mlp_metrics": with_(
         *FEATS,
