@@ -638,7 +638,7 @@ def stream_scores_table(spark, sf_dir):
             scores, table, new_path(spark, "checkpoint"), available_now=True, path=path
         )
     )
-    return tidy(spark.table(table).drop("batch_id"))
+    return tidy(endpoints.read_table(spark, table).drop("batch_id"))
 
 
 def stream_first_features(spark, sf_dir):

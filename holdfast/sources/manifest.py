@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The header line of a transfer list and its file name pattern.
 TRANSFER_HEADER = "TsvHttpData-1.0"
 FILE_PATTERN = "%s/%s/%s/%s.%s.%s.tsv.bz2"
+#: Year and month in the name of a history file, compressed or not.
+MONTH_IN_NAME = r"(\d{4})-(\d{2})\.tsv(?:\.\w+)?$"
 
 
 def month_manifest(
@@ -83,7 +85,7 @@ def write_transfer_list(manifest: DataFrame, path: str) -> None:
     )
 
 
-def landed_files(spark, path: str, month_pattern: str = r"(\d{4})-(\d{2})[^/]*$") -> DataFrame:
+def landed_files(spark, path: str, month_pattern: str = MONTH_IN_NAME) -> DataFrame:
     """Files under ``path`` with the ``year`` and ``month`` that their path names (NULL if none),
     and their size. Only the listing is read, never a file.
 

@@ -79,13 +79,24 @@ def replace_batch(batch: DataFrame, batch_id: int, table: str, **options) -> Non
     """Put a batch into a catalogue table, in place of what an earlier attempt at the same
     batch left there: the table is partitioned by ``batch_id`` and only that one is replaced.
     ``options`` hold when the table is made, such as ``format`` and ``path``."""
-    rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
-        empty = rows.limit(0).write.partitionBy("batch_id").mode("ignore")
-        empty.saveAsTable(table, **{"format": "parquet", **options})
-    rows = rows.select(*spark.table(table).columns)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        empty = batch.limit(0).withColumn("batch_id", F.lit(0).cast("bigint"))
+        writer = empty.write.partitionBy("batch_id").mode("ignore")
+        writer.saveAsTable(table, **{"format": "parquet", **options})
+    names = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch_id")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+        f"SELECT {names} FROM {{rows}}",
+        rows=batch,
+    )
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table that a stream writes, as of now. A stream has a session of its own,
+    so what this one remembers of the table's files may be old."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def table_sink(

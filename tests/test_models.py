@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from holdfast.config import KMeansSpec, LogRegSpec, MLPSpec
 from holdfast.operators import evaluate, kmeans, logreg, mlp, vectors
+from holdfast.plans import report
 
 FEATURES = ["a", "b"]
 
@@ -289,6 +291,122 @@ def test_network_learns_and_repeats(blobs):
     )
 
 
+def plain_network(rows, spec):
+    """The fit as loops over numpy arrays: rows are (key, x, y), scaled. Returns the weights and
+    the losses of each epoch."""
+
+    def number(text):
+        return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+
+    held = [r for r in rows if number(r[0] + ":held out") / 2**32 < spec.validation_split]
+    held_keys = {r[0] for r in held}
+    copies = [[] for _ in range(spec.workers)]
+    for r in sorted(rows, key=lambda r: (number(r[0] + ":order"), r[0])):
+        if r[0] not in held_keys:
+            copies[number(r[0] + ":worker") % spec.workers].append(r)
+    sizes = [len(rows[0][1]), *spec.hidden, 1]
+    rng = np.random.default_rng(spec.seed)
+    state = []
+    for n_in, n_out in zip(sizes, sizes[1:]):
+        limit = math.sqrt(6 / (n_in + n_out))
+        state += [rng.uniform(-limit, limit, (n_in, n_out)), np.zeros(n_out)]
+    state += [np.zeros_like(w) for w in state * 2]
+    steps, history = 0.0, []
+
+    def outputs(w, x, mask=1.0):
+        one = np.maximum(x @ w[0] + w[1], 0) * mask
+        two = np.maximum(one @ w[2] + w[3], 0)
+        return one, two, (two @ w[4] + w[5])[:, 0]
+
+    def loss(z, y):
+        return np.logaddexp(0, z) - z * y
+
+    for epoch in range(spec.epochs):
+        ends, seen, lost = [], [], 0.0
+        for worker, own in enumerate(copies):
+            rng = np.random.default_rng([spec.seed, epoch, worker])
+            w, m, v, t = state[:6], state[6:12], state[12:], steps
+            for at in range(0, len(own), spec.batch):
+                some = own[at : at + spec.batch]
+                x, y = np.array([r[1] for r in some]), np.array([r[2] for r in some])
+                lost += loss(outputs(w, x)[2], y).sum()
+                keep = rng.random((len(x), spec.hidden[0])) >= spec.dropout
+                mask = keep / (1 - spec.dropout)
+                one, two, z = outputs(w, x, mask)
+                up = (1 / (1 + np.exp(-z)) - y)[:, None] / len(y)
+                mid = up @ w[4].T * (two > 0)
+                low = mid @ w[2].T * mask * (x @ w[0] + w[1] > 0)
+                g = [x.T @ low, low.sum(0), one.T @ mid, mid.sum(0), two.T @ up, up.sum(0)]
+                t += 1
+                m = [0.9 * a + 0.1 * b for a, b in zip(m, g)]
+                v = [0.999 * a + 0.001 * b * b for a, b in zip(v, g)]
+                w = [
+                    p - spec.learning_rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-7)
+                    for p, a, b in zip(w, m, v)
+                ]
+            ends.append([*w, *m, *v, t])
+            seen.append(len(own))
+        *state, steps = (
+            sum(n * end[i] for n, end in zip(seen, ends)) / sum(seen) for i in range(19)
+        )
+        after = outputs(state[:6], np.array([r[1] for r in held]))[2]
+        history.append((lost / sum(seen), loss(after, np.array([r[2] for r in held])).mean()))
+    return np.concatenate([w.ravel() for w in state[:6]]), history
+
+
+@pytest.mark.parametrize(
+    "spec",
+    [
+        MLPSpec(hidden=(5, 4), dropout=0.0, batch=32, epochs=3, workers=1),
+        MLPSpec(hidden=(5, 4), dropout=0.5, batch=50, epochs=3, workers=3, validation_split=0.3),
+        MLPSpec(),
+    ],
+)
+def test_network_equals_plain_loops(blobs, spec):
+    """Several steps an epoch, dropout, a held-out share, and the state of the optimiser."""
+    model = mlp.fit(blobs, spec, FEATURES)
+    scaled = [
+        (r.event_user_id, [(r[f] - m) / s for f, m, s in zip(FEATURES, model.scaler.means, model.scaler.stds)], r.dropout)
+        for r in blobs.collect()
+    ]
+    weights, history = plain_network(scaled, spec)
+    assert model.weights == pytest.approx(weights, abs=1e-9)
+    for got, (train, held_out) in zip(model.history, history, strict=True):
+        assert got["log_loss"] == pytest.approx(train, abs=1e-9)
+        assert got["val_log_loss"] == pytest.approx(held_out, abs=1e-9)
+
+
+def test_silhouette_equals_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(c), *map(float, rng.normal(3 * c, 1, 2))) for c in [0] * 20 + [1] * 15 + [2]]
+    table = spark.createDataFrame(rows, "cluster int, a double, b double")
+    scaler = vectors.Scaler(["a", "b"], [0.5, -1.0], [2.0, 3.0], 0)
+    points_ = [(c, (a - 0.5) / 2, (b + 1) / 3) for c, a, b in rows]
+    total = 0.0
+    for i, (c, *x) in enumerate(points_):
+        means = {}
+        for other in {0, 1, 2}:
+            far = [math.dist(x, y) ** 2 for j, (d, *y) in enumerate(points_) if d == other and j != i]
+            means[other] = sum(far) / len(far) if far else None
+        inside, outside = means.pop(c), min(means.values())
+        total += 0.0 if inside is None else (outside - inside) / max(inside, outside)
+    got = kmeans.silhouette(table, scaler).first()[0]
+    assert got == pytest.approx(total / len(points_))
+    assert kmeans.silhouette(table.filter("cluster = 0"), scaler).first()[0] == 0.0
+    assert kmeans.silhouette(table.limit(0), scaler).first()[0] is None
+
+
+def test_risk_lists_are_limited_before_the_shuffle(spark):
+    rows = [(f"e{i:03}", i % 50 and 0, i / 200 if i % 9 else None) for i in range(200)]
+    table = spark.createDataFrame(rows, "event_user_id string, cluster int, score double")
+    found = report.top_risk_by_archetype(table.repartition(4), 3)
+    got = [(r.cluster, r.place, r.event_user_id) for r in found.orderBy("cluster", "place").collect()]
+    assert got[:3] == [(0, 1, "e199"), (0, 2, "e197"), (0, 3, "e196")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final, partial = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")
+    assert final < plan.index("Exchange hash") < partial
+
+
 @pytest.mark.parametrize("workers", [1, 3])
 def test_network_does_not_depend_on_batches_or_partitions(spark, blobs, workers):
     spec = MLPSpec(epochs=2, batch=7, workers=workers)
@@ -321,7 +439,7 @@ def test_a_partition_may_hold_several_copies(spark, blobs):
             }
         )
 
-    run = mlp._local_epoch(flat, spec, 0)
+    run = mlp._local_epoch(mlp._State.start(flat), spec, 0)
     alone = [list(run([batch(w, rows[w * 100 : w * 100 + 100])])) for w in (0, 1)]
     joined = list(run([batch(0, rows[:60]), batch(0, rows[60:100]), batch(1, rows[100:200])]))
     assert [b.to_pydict() for b in joined] == [b.to_pydict() for parts in alone for b in parts]

@@ -3,6 +3,7 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast import schema
 from holdfast.operators import clean
@@ -182,3 +183,63 @@ def test_kafka_options():
     assert options["kafka.security.protocol"] == "SASL_SSL"
     assert options["kafka.sasl.mechanism"] == "PLAIN"
     assert "username='key' password='secret'" in options["kafka.sasl.jaas.config"]
+
+
+def test_landing_faults_of_named_files(spark, tmp_path):
+    folder = tmp_path / "landed"
+    (folder / "more").mkdir(parents=True)
+    for name, size in {
+        "w.2026-03.2021-01.tsv.bz2": 100,
+        "more/w.2026-03.2021-02.tsv.bz2": 14,
+        "w.2026-03.2021-04.tsv.bz2": 90,
+        "w.2026-03.2021-09.tsv.bz2": 50,
+        "README": 3,
+    }.items():
+        (folder / name).write_bytes(b"x" * size)
+    bounds = manifest.month_bounds(spark, "2021-01", "2021-04")
+    expected = manifest.month_manifest(bounds, "https://x.example/d", "w", "2026-03")
+    expected = expected.withColumn("size", F.when(F.col("month") == 4, 91).otherwise(-1).cast("bigint"))
+    landed = manifest.landed_files(spark, f"{folder}/")
+    assert "content" not in landed.columns
+    got = {(r.fault, r.month, r.name.rsplit("/")[-1], r.bytes) for r in manifest.landing_faults(expected, landed).collect()}
+    assert got == {
+        ("empty", 2, "w.2026-03.2021-02.tsv.bz2", 14),
+        ("missing", 3, "w.2026-03.2021-03.tsv.bz2", 0),
+        ("size", 4, "w.2026-03.2021-04.tsv.bz2", 90),
+        ("unexpected", 9, "w.2026-03.2021-09.tsv.bz2", 50),
+        ("unexpected", None, "README", 3),
+    }
+
+
+def test_quarantine_is_written_in_one_pass(spark, tmp_path):
+    cells = dict.fromkeys(schema.RAW.fieldNames(), "")
+    good = {
+        **cells,
+        "event_entity": "revision",
+        "event_timestamp": "2023-05-06 07:08:09.0",
+        "event_user_is_anonymous": "false",
+        "page_namespace": "0",
+        "revision_id": "1",
+    }
+    lines = [
+        good,
+        {**good, "event_timestamp": "junk", "revision_id": "2"},
+        {**good, "event_timestamp": "", "revision_id": "3"},
+        {**good, "event_user_is_bot_by": "name", "event_timestamp": "junk"},
+    ]
+    text = ["\t".join(x.values()) for x in lines] + ["too\tfew", "\t".join(good.values()) + "\tmore"]
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.tsv").write_text("\n".join(text) + "\n")
+    path = f"{tmp_path}/out"
+    raw_lines = files.read_raw_lines(spark, f"{tmp_path}/raw", pattern="*.tsv")
+    found = clean.with_status(raw_lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+    files.write_by_status(found, path)
+    (accepted,) = files.read_status(spark, path, clean.ACCEPTED).collect()
+    assert (accepted.revision_id, accepted.year, accepted.month) == ("1", 2023, 5)
+    times = files.read_status(spark, path, clean.MALFORMED_TIME).collect()
+    assert sorted((r.revision_id, r.time, r.ts) for r in times) == [("2", "junk", None), ("3", None, None)]
+    rejected = files.read_status(spark, path, clean.REJECTED_LINE).collect()
+    assert sorted(r.line for r in rejected) == sorted(text[-2:])
+    assert all(r.revision_id is None for r in rejected)
