@@ -1,4 +1,8 @@
-"""Benchmark decontamination: passages query a BM25 index of test items."""
+"""Benchmark decontamination: passages query a BM25 index of test items.
+
+Every item is looked for in passages whose length follows from its own, so whether a document
+holds it depends neither on other items nor on how items are dealt to indexes.
+"""
 
 from __future__ import annotations
 
@@ -29,8 +33,9 @@ class LeakSpec:
     ``overlap``: share of the three-word runs of the question, and of the answer, that the
     passage must hold. ``answer_share``: the last part of an item's words is its answer, if
     no question mark tells where the answer begins. ``passage_words``: passages are twice as
-    long, one begins every so many words; raised to the longest item, so that each item fits.
-    ``shard_bytes``: largest part of the items' text that one index holds.
+    long and one begins every so many words; for a longer item it is doubled until the item
+    fits. ``shard_bytes``: largest part of the items' text that is searched in one pass over the
+    documents. ``cells``: bounds of passages and blocks of items that are held at once.
     """
 
     threshold: float = 0.5
@@ -41,6 +46,15 @@ class LeakSpec:
     b: float = 0.75
     block_items: int = 2
     shard_bytes: int = 16 << 20
+    cells: int = 1 << 21
+
+
+def passage_words(n_words: int, spec: LeakSpec) -> int:
+    """How many words lie between the passages that an item of ``n_words`` is looked for in."""
+    step = spec.passage_words
+    while step < n_words:
+        step *= 2
+    return step
 
 
 @dataclass
@@ -71,8 +85,9 @@ def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.n
 
 
 class Index:
-    """Postings by term with impacts as shares of the item's own score, and their maxima over
-    blocks of items. An impact sum of 1 means that all terms of the item occur."""
+    """Items of one passage length: postings by term with impacts as shares of the item's own
+    score, and their maxima over blocks of items. An impact sum of 1 means that all terms of
+    the item occur."""
 
     def __init__(
         self,
@@ -81,16 +96,15 @@ class Index:
         n: int,
         mean: float,
         spec: LeakSpec,
+        step: int,
     ):
-        self.spec, self.ids = spec, [i for i, _ in items]
+        self.spec, self.ids, self.step = spec, [i for i, _ in items], step
         texts = pa.array([t for _, t in items], pa.string())
         term, item, impact = [], [], []
         self.parts: list[tuple[Runs, Runs]] = []
-        longest = 1
         for row, block in words.blocks(texts, _TABLE):
             for i in range(block.size):
                 h = block.hashes[block.first[i] : block.first[i + 1]]
-                longest = max(longest, len(h))
                 cut = self._answer_at(items[row + i][1], block, i)
                 self.parts.append((Runs.of(h[:cut]), Runs.of(h[cut:])))
                 t, tf = np.unique(h, return_counts=True)
@@ -101,7 +115,6 @@ class Index:
                 term.append(t)
                 item.append(np.full(len(t), row + i))
                 impact.append(own / own.sum() if len(t) else own)
-        self.passage_words = max(spec.passage_words, longest)
         empty = np.zeros(0)
         term = np.concatenate([empty.astype(np.uint64), *term])
         item = np.concatenate([empty.astype(np.int64), *item])
@@ -153,9 +166,23 @@ class Index:
     ) -> tuple[np.ndarray, np.ndarray]:
         """Cells and blocks: where a cell, with the cell after it, can reach the threshold.
 
-        ``cell`` and ``term`` are different pairs. The sum of block maxima bounds the score of
-        every item of the block, so what is left out cannot reach the threshold.
+        ``cell`` and ``term`` are different pairs, in order. The sum of block maxima bounds the
+        score of every item of the block, so what is left out cannot reach the threshold. Bounds
+        are made for some cells at a time, however long the text.
         """
+        some = max(1, self.spec.cells // max(self.n_blocks, 1))
+        found = []
+        for first in range(0, n_cells, some):
+            low, high = np.searchsorted(cell, [first, first + some + 1])
+            here, own = self._bounded(cell[low:high] - first, term[low:high], some + 1)
+            begins = here < min(some, n_cells - first)
+            found.append((here[begins] + first, own[begins]))
+        cells, blocks = zip(*found)
+        return np.concatenate(cells), np.concatenate(blocks)
+
+    def _bounded(
+        self, cell: np.ndarray, term: np.ndarray, n_cells: int
+    ) -> tuple[np.ndarray, np.ndarray]:
         narrow = ~self.wide[term]
         cell, term = cell[narrow], term[narrow]
         lengths = np.diff(self.block_bounds)[term]
@@ -233,7 +260,7 @@ class Index:
 
     def leaks(self, block: words.Block) -> list[list[dict]]:
         """Per text the verified items, each with its best passage."""
-        step = self.passage_words
+        step = self.step
         best: list[dict[int, dict]] = [{} for _ in range(block.size)]
         if not len(block.hashes) or not len(self.terms):
             return [[] for _ in best]
@@ -283,10 +310,27 @@ def _item_terms(batches):
             )
 
 
+def _indexes(
+    rows: list[tuple[int, str]], df: dict[int, int], n: int, mean: float, spec: LeakSpec
+) -> list[Index]:
+    """An index for each length of passages that the items need."""
+    sizes = [
+        size
+        for _, block in words.blocks(pa.array([t for _, t in rows], pa.string()), _TABLE)
+        for size in np.diff(block.first).tolist()
+    ]
+    steps = [passage_words(size, spec) for size in sizes]
+    return [
+        Index([row for row, own in zip(rows, steps) if own == step], df, n, mean, spec, step)
+        for step in sorted(set(steps))
+    ]
+
+
 def build(benchmark: DataFrame, spec: LeakSpec | None = None) -> list[Broadcast]:
-    """Indexes of the items (item_id, text), each of at most ``shard_bytes`` of text or one
+    """Indexes of the items (item_id, text), in parts of at most ``shard_bytes`` of text or one
     item; statistics of terms are those of all items. Items with NULL id or without words are
-    left out; of rows with the same id and text one is used."""
+    left out; of rows with the same id and text one is used. Each part is a pass over the
+    documents."""
     spec = spec or LeakSpec()
     spark = benchmark.sparkSession
     ship_package(spark)
@@ -307,23 +351,33 @@ def build(benchmark: DataFrame, spec: LeakSpec | None = None) -> list[Broadcast]
         counts = df.join(used, "term", "left_semi") if shards > 1 else df
         known = {r["term"] % (1 << 64): r["count"] for r in counts.collect()}
         rows = sorted((r.item_id, r.body) for r in part.collect())
-        index = Index(rows, known, size.n, size.mean or 0.0, spec)
-        out.append(spark.sparkContext.broadcast(index))
+        indexes = _indexes(rows, known, size.n, size.mean or 0.0, spec)
+        out.append(spark.sparkContext.broadcast(indexes))
     return out
 
 
+def _all_leaks(block: words.Block, indexes: list[Index]) -> list[list[dict]]:
+    """Per text the leaks of all indexes, by item."""
+    of_index = [index.leaks(block) for index in indexes]
+    return [
+        sorted((x for found in of_index for x in found[i]), key=lambda x: x["item_id"])
+        for i in range(block.size)
+    ]
+
+
 def leaks(df: DataFrame, index: Broadcast, text_column: str = "text") -> Column:
     """The verified leaks of each text as an array of structs; none for NULL or empty texts.
 
     Every passage of the whole text queries the index; all items above the threshold are
     retrieved; those stay of which the passage holds enough of question and answer. An item is
-    reported once a text, with its best passage. No shuffle.
+    reported once a text, with its best passage. No shuffle. A long text is searched some
+    passages at a time; a task holds its words' hashes.
     """
     ship_package(df.sparkSession)
 
     @F.arrow_udf(LEAKS)
     def found(texts: pa.Array) -> pa.Array:
-        rows = [x for _, b in words.blocks(texts, _TABLE) for x in index.value.leaks(b)]
+        rows = [x for _, b in words.blocks(texts, _TABLE) for x in _all_leaks(b, index.value)]
         kind = pa.struct(
             [("item_id", pa.int64())]
             + [(n, pa.float64()) for n in ("score", "question_overlap", "answer_overlap")]
