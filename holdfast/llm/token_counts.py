@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from holdfast.shipping import ship_package
 
 _NEVER = np.int64(1) << 40
 _SHIFT = 20
+#: Sequences of more symbols are merged alone, see ``BatchMerger.count_long``.
+_LONG = 1024
 
 
 class BatchMerger:
@@ -37,13 +40,79 @@ class BatchMerger:
         found = (self.keys[place] == pairs) & ~last
         return place, np.where(found, self.ranks[place], _NEVER)
 
+    def count_long(self, sequence: bytes) -> int:
+        """As :meth:`count` for one long sequence, in time that grows with its length.
+
+        A round again applies all occurrences of the lowest rank at once, but then looks only at
+        the neighbours of what it has joined: places wait by rank, and a place whose pair has
+        changed meanwhile is passed over.
+        """
+        symbols = self.of_byte[np.frombuffer(sequence, np.uint8)]
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        last = np.zeros(n, bool)
+        last[-1] = True
+        place, rank = self._lookup(symbols, last)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < _NEVER]
+            places = places[np.argsort(rank[places], kind="stable")]
+            own, starts = np.unique(rank[places], return_index=True)
+            for r, some in zip(own.tolist(), np.split(places, starts[1:])):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(some)
+
+        wait(np.arange(n))
+        left = n
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            chosen = np.unique(np.concatenate(waiting.pop(lowest)))
+            chosen = chosen[rank[chosen] == lowest]
+            if not len(chosen):
+                continue
+            # Of overlapping occurrences (aaa), every second one from the left.
+            new_run = np.append(True, after[chosen[:-1]] != chosen[1:])
+            run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(chosen)), 0))
+            chosen = chosen[(np.arange(len(chosen)) - run_start) % 2 == 0]
+            gone = after[chosen]
+            beyond = after[gone]
+            symbols[chosen] = self.merged[place[chosen]]
+            after[chosen] = beyond
+            inside = beyond < n
+            before[beyond[inside]] = chosen[inside]
+            rank[gone] = _NEVER
+            left -= len(chosen)
+            changed = np.unique(np.append(chosen, before[chosen]))
+            changed = changed[changed >= 0]
+            at_end = after[changed] >= n
+            rank[changed[at_end]] = _NEVER
+            changed = changed[~at_end]
+            pairs = symbols[changed] << _SHIFT | symbols[after[changed]]
+            found = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+            place[changed] = found
+            rank[changed] = np.where(self.keys[found] == pairs, self.ranks[found], _NEVER)
+            wait(changed)
+        return left
+
     def count(self, sequences: list[bytes]) -> np.ndarray:
         """Symbols of each non-empty sequence after all merges.
 
         The sequences are one ragged array. Each round applies to every sequence all
-        occurrences of its pair of lowest rank, and lets go of sequences without a pair.
+        occurrences of its pair of lowest rank, and lets go of sequences without a pair. Long
+        sequences, which take many rounds, are merged one by one.
         """
         lengths = np.array([len(s) for s in sequences], np.int64)
+        long = lengths > _LONG
+        if long.any():
+            counts = np.zeros(len(sequences), np.int64)
+            counts[~long] = self.count([s for s in sequences if len(s) <= _LONG])
+            counts[long] = [self.count_long(s) for s in sequences if len(s) > _LONG]
+            return counts
+        lengths = np.array([len(s) for s in sequences], np.int64)
         counts = lengths.copy()
         symbols = self.of_byte[np.frombuffer(b"".join(sequences), np.uint8)]
         names = np.arange(len(sequences))
@@ -120,7 +189,8 @@ def token_count(df: DataFrame, path: str, text_column: str = "text") -> Column:
     """Tokens of a text column of ``df`` under the byte-level tokenizer file at ``path``.
 
     Counts are those of the library with its defaults: special strings inside a text are one
-    token each, nothing is added or cut. NULL and empty texts have 0 tokens. The file is read
+    token each, nothing is added or cut. NULL and empty texts have 0 tokens. The time grows
+    with the length of a text, also of one that is a single very long word. The file is read
     on the driver and sent to the workers; it has a fixed size of one or two MB. No shuffle.
     """
     ship_package(df.sparkSession)

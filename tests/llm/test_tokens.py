@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -6,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from holdfast.llm import bpe, token_counts
+from holdfast.llm import bpe, queries, token_counts
 from holdfast.llm.vocabulary import read_file
 
-from .helpers import CLASHING, ODD_TEXTS, docs_frame
+from .helpers import CLASHING, ODD_TEXTS, docs_frame, sha
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 RANGES = [(0, 0x250), (0x300, 0x500), (0x600, 0x620), (0x900, 0x950), (0x1100, 0x1120)]
@@ -71,3 +72,45 @@ def test_nothing_to_encode(spark, rows):
     back = ids.select("ids", bpe.decoded(ids, WORDS).alias("back")).collect()
     assert [(bytes(r.ids), r.back) for r in back] == [(b"", "")] * len(rows)
     assert docs.select(token_counts.token_count(docs, BYTES)).collect() == [(0,)] * len(rows)
+
+
+def test_long_words_merge_as_short_ones():
+    counter, rng = token_counts.Counter(read_file(BYTES)), random.Random(7)
+    for alphabet in ("ab", "aab c", "etaoin", "é😀x"):
+        for n in (1, 2, 3, 50, 300):
+            word = "".join(rng.choices(alphabet, k=n)).encode()
+            assert counter.merger.count_long(word) == counter.merger.count([word])[0]
+
+
+def test_one_very_long_word(spark):
+    rng = random.Random(8)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=300_000))
+    rows = [word, "a" * 100_000, "short " + word[:3000] + " 12"]
+    docs = docs_frame(spark, rows)
+    began = time.monotonic()
+    got = docs.select("doc_id", token_counts.token_count(docs, BYTES).alias("n")).collect()
+    assert time.monotonic() - began < 60
+    assert {r.doc_id: r.n for r in got} == {i: len(x) for i, x in enumerate(library(BYTES, rows))}
+
+
+def test_query_of_token_counts(spark, sf_check):
+    docs = {r.doc_id: r.text or "" for r in queries.table(spark, sf_check, "documents").collect()}
+    want = dict(zip(docs, map(len, library(BYTES, docs.values()))))
+    rows = queries.op2_token_counts(spark, sf_check).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        n = want[r.doc_id]
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(docs[r.doc_id].encode()), n, n > 512)
+
+
+def test_query_of_codes_and_digests(spark, sf_check):
+    docs = {r.doc_id: r.text or "" for r in queries.table(spark, sf_check, "documents").collect()}
+    want = dict(zip(docs, library(WORDS, docs.values())))
+    decode = Tokenizer.from_file(WORDS).decode
+    rows = queries.op3_bpe(spark, sf_check).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = want[r.doc_id]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == sha(np.array(ids, "<u4").tobytes())
+        assert r.decoded_sha256 == sha(decode(ids, skip_special_tokens=False))
