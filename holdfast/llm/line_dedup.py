@@ -39,6 +39,25 @@ def distinct_hashes(keys: Column, min_length: int) -> Column:
     return F.transform(F.array_distinct(long_enough), key_hash)
 
 
+def contains(ordered: Column, value: Column) -> Column:
+    """Whether an ordered array holds a value: by halves, or one by one if it is short. NULL for
+    a NULL array."""
+    n = F.size(ordered)
+    powers = F.transform(
+        F.sequence(F.lit(0), F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")),
+        lambda i: F.call_function("shiftleft", F.lit(1), i),
+    )
+    place = F.aggregate(
+        F.reverse(powers),
+        F.lit(0),
+        lambda low, step: F.when(
+            (low + step <= n) & (F.try_element_at(ordered, low + step) <= value), low + step
+        ).otherwise(low),
+    )
+    by_halves = (place > 0) & (F.try_element_at(ordered, F.greatest(place, F.lit(1))) == value)
+    return F.when(n <= 16, F.array_contains(ordered, value)).otherwise(by_halves)
+
+
 def document_counts(docs: DataFrame, text_column: str, min_length: int, *by: Column) -> DataFrame:
     """Rows (by..., a, b, n): in how many rows of ``docs`` a line occurs."""
     keys = line_keys(F.coalesce(text_column, F.lit("")))
@@ -143,6 +162,7 @@ def drop_frequent_lines(
 
     Rows count as documents: repeated rows count again. A NULL text counts as empty, and an
     empty text is one empty line. A document that loses all its lines stays, with empty text.
+    A document of n lines costs n log n, however many of them go.
     """
     body = F.coalesce(text_column, F.lit(""))
     runs = index_lines(docs, text_column, min_docs, min_length, batches, fanout)
@@ -156,7 +176,7 @@ def drop_frequent_lines(
         held.select("key", "h.*")
         .join(frequent, HASH, "left_semi")
         .groupBy("key")
-        .agg(F.collect_set(F.struct(*HASH)).alias("flagged"))
+        .agg(F.array_sort(F.collect_set(F.struct(*HASH))).alias("flagged"))
     )
     rows = docs.select(key, whole_row(docs), body.alias("body"))
     marked = rows.join(flagged.hint("shuffle_hash"), "key", "left")
@@ -166,7 +186,7 @@ def drop_frequent_lines(
         lambda line, k: F.struct(line.alias("line"), key_hash(k).alias("h")),
     )
     kept = F.transform(
-        F.filter(with_key, lambda x: ~F.array_contains(F.col("flagged"), x["h"])),
+        F.filter(with_key, lambda x: ~contains(F.col("flagged"), x["h"])),
         lambda x: x["line"],
     )
     cut = F.when(F.col("flagged").isNull(), lines(F.col("body"))).otherwise(kept)

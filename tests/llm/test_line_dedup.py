@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -73,3 +74,27 @@ def test_novel_lines_are_those_no_run_holds(spark):
     runs = LineRuns(spark, settled=2, fanout=2)
     runs.add(document_counts(docs_frame(spark, ["old\nolder"]), "text", 1))
     assert runs.novel(docs_frame(spark, ["old\nnew", "NEW "])).first().n == 2
+
+
+def test_a_document_of_many_common_lines(spark):
+    rng = random.Random(3)
+    common = [f"common line {i}" for i in range(32_000)]
+    rows = []
+    for i in range(3):
+        own = [f"own {i} {j}" for j in range(0, 32_000, 7)]
+        lines = common + own
+        rng.shuffle(lines)
+        rows.append("\n".join(lines))
+    began = time.monotonic()
+    got = drop_frequent_lines(docs_frame(spark, rows), min_docs=3).collect()
+    assert time.monotonic() - began < 120
+    assert [(r.row.text, r.n_lines, r.n_dropped) for r in sorted(got, key=lambda r: r.row.doc_id)] == brute(rows, 3)
+
+
+def test_search_by_halves(spark):
+    rows = [sorted(random.Random(n).sample(range(200), n)) for n in (0, 1, 2, 15, 16, 17, 31, 32, 33, 100)]
+    df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "x array<int>")
+    numbers = F.sequence(F.lit(-1), F.lit(201))
+    found = df.select("x", F.filter(numbers, lambda v: line_dedup.contains(F.col("x"), v)).alias("y"))
+    for r in found.collect():
+        assert r.y == (r.x or [])
