@@ -1,6 +1,8 @@
+import bisect
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -77,3 +79,25 @@ def test_joined_order(spark):
     row = docs_frame(spark, ['token="' + "0a" * 20 + '"'])
     found = scan(row).select(joined(*[F.col(k) for k in KINDS]).alias("s")).first()
     assert found.s == "assign:0:47,hex:7:47"
+
+
+def test_many_spans_in_one_text(spark):
+    """Sixteen thousand matches, some of them inside candidates, in seconds."""
+    rng = random.Random(6)
+    parts = []
+    for i in range(16_000):
+        own = random_string(rng, 24)
+        parts.append([own, f"x/{own}/y", f"token={own}", f"Zq9{own.upper()}Kx"][i % 4])
+    text = "é ".join(parts)
+    docs = docs_frame(spark, [text, " ".join(["ordinaryidentifier"] * 50)])
+    began = time.monotonic()
+    (row,) = [r for r in scan(docs).collect() if r.row.doc_id == 0]
+    assert time.monotonic() - began < 90
+    base = brute(text)
+    assert spans_of(row, KINDS[:3]) == base and len(base) >= 16_000
+    taken = sorted((s, e) for s, _, e, _ in base)
+    starts = [s for s, _ in taken]
+    for span in row["random"]:
+        at = bisect.bisect_left(starts, span.end)
+        assert at == 0 or max(e for _, e in taken[max(0, at - 3) : at]) <= span.start
+    assert len(row["random"]) >= 3_900
