@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -93,3 +95,84 @@ def test_query_is_accurate_on_held_out_labels(spark, sf_check):
     known = {r.doc_id: r.quality for r in queries.table(spark, sf_check, "labels").collect()}
     right = [r.predicted == known[r.doc_id] for r in got if r.held_out and r.doc_id in known]
     assert np.mean(right) > 0.97
+
+
+def plain_statistics(text):
+    """The statistics of a text, one after the other."""
+    data = (text or "").encode()
+    blanks = b" \t\n\x0b\x0c\r"
+    body = bytes(b + 32 if 65 <= b <= 90 else b for b in data)
+    for a in range(0x80, 0x9F):
+        if a != 0x97:
+            body = body.replace(bytes([0xC3, a]), bytes([0xC3, a + 32]))
+    own, raw, at = [], [], 0
+    while at < len(data):
+        end = at
+        while end < len(data) and data[end] not in blanks:
+            end += 1
+        if end > at:
+            own.append(body[at:end])
+            raw.append(data[at:end])
+        at = end + 1
+    if not data:
+        return [0.0] * D
+    kinds = dict.fromkeys(quality._CLASSES, 0)
+    for b in data:
+        c = chr(b)
+        kind = (
+            "beyond_ascii" if b > 127 else "newline" if c == "\n" else "blank" if c.isspace()
+            else "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit()
+            else "stop" if c in ".," else "mark"
+        )
+        kinds[kind] += 1
+    n = max(len(own), 1)
+    lengths = [len(w) for w in own]
+    mean = sum(lengths) / n
+    deviation = math.sqrt(max(sum(x * x for x in lengths) / n - mean**2, 0))
+    triples = list(zip(own, own[1:], own[2:]))
+    marks = [w[-1] < 128 and not chr(w[-1]).isalnum() and chr(w[-1]) not in ".," and not chr(w[-1]).isspace() for w in raw]
+    shares = [kinds[k] / len(data) for k in quality._CLASSES]
+    shares += [
+        len(set(own)) / n,
+        max(Counter(own).values(), default=0) / n,
+        len(set(triples)) / len(triples) if triples else float(bool(own)),
+        sum(a == b for a, b in zip(own, own[1:])) / n,
+        sum(x == 1 for x in lengths) / n,
+        sum(marks) / n,
+    ]
+    sizes = [math.log1p(len(own)), math.log1p(mean), math.log1p(max(lengths, default=0)), deviation / max(mean, 1)]
+    return sizes + [math.asin(math.sqrt(min(x, 1.0))) for x in shares]
+
+
+def test_statistics_equal_plain_counts(spark):
+    rows = [*(t for t in ODD_TEXTS), "Go go GO. É é, 1 a! ?? x\nx x\n", "\x1c\x1d.", *(junk(i) for i in range(5))]
+    docs = docs_frame(spark, rows)
+    for r in docs.select("doc_id", quality.statistics(docs).alias("x")).collect():
+        assert r.x == pytest.approx(plain_statistics(rows[r.doc_id]), abs=1e-9), rows[r.doc_id]
+
+
+def test_query_equals_plain_discriminant(spark, sf_small):
+    """Scores of the query from densities with covariances that numpy estimates."""
+    docs = {r.doc_id: r.text for r in queries.table(spark, sf_small, "documents").collect()}
+    x = {i: np.array(plain_statistics(t)) for i, t in docs.items()}
+    labels = {r.doc_id: r.label for r in queries.quality_labels(spark, sf_small).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in docs}
+    rows = [[x[i] for i in docs if labels.get(i) == c and not held[i]] for c in (0, 1)]
+    covariances = [np.cov(np.array(r).T, bias=True) for r in rows]
+    n = [len(r) for r in rows]
+    pooled = sum(k * c for k, c in zip(n, covariances)) / sum(n)
+    target = np.diag(np.maximum(np.diag(pooled), 1e-6))
+    found = queries.op7_quality(spark, sf_small).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        density = []
+        for c in (0, 1):
+            full = 0.9 * covariances[c] + 0.1 * target
+            d = x[r.doc_id] - np.mean(rows[c], axis=0)
+            density.append(
+                math.log(n[c] / sum(n)) - 0.5 * np.linalg.slogdet(full)[1] - 0.5 * d @ np.linalg.solve(full, d)
+            )
+        gap = min(max(density[0] - density[1], -500), 500)
+        want = 1 / (1 + math.exp(gap))
+        assert r.score == pytest.approx(want, abs=1e-6)
+        assert r.held_out == held[r.doc_id] and r.predicted == int(r.score >= 0.7)
