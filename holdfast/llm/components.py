@@ -34,8 +34,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v): the smallest node it reaches.
 
-    Each round aggregates before it shuffles and joins a node with one row, so a node with any
-    number of links never meets in one task. Rounds are stored; there are about as many as the
+    Each round aggregates before it shuffles and joins a node with one row. Links are read from
+    stored tables, so that the join can split the links of a node with very many. Rounds are stored; there are about as many as the
     logarithm of the longest path. Loops and repeated links do no harm.
     """
     spark = edges.sparkSession

@@ -123,7 +123,7 @@ def _frequencies(spec: NearSpec):
 def idf_weights(texts: DataFrame, spec: NearSpec) -> np.ndarray:
     """Weight of each bucket of shingles: 1 for one in every document, up to 1 + idf_weight.
 
-    Counted over all rows of ``texts`` (body). The result has ``buckets`` entries whatever the
+    Shingles that are rarer than what falls into their bucket by chance weigh alike. Counted over all rows of ``texts`` (body). The result has ``buckets`` entries whatever the
     number of documents, which is the bound of what is collected and broadcast. The scale is
     relative to the number of buckets, so it does not drift as the corpus grows.
     """
@@ -279,14 +279,13 @@ def _profile(text: str, weights: np.ndarray, spec: NearSpec):
 
 
 def similarity(left, right) -> float:
-    """The greater of weighted (TF-IDF) and plain Jaccard similarity of two profiles."""
+    """Weighted (TF-IDF) Jaccard similarity of two profiles; what the samples estimate."""
     common, i, j = np.intersect1d(left[0], right[0], assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0
     shared = np.minimum(left[1][i], right[1][j]) * left[2][i]
     total = (left[1] * left[2]).sum() + (right[1] * right[2]).sum() - shared.sum()
-    plain = len(common) / (len(left[0]) + len(right[0]) - len(common))
-    return float(max(shared.sum() / total, plain))
+    return float(shared.sum() / total)
 
 
 def _verified(weights: Broadcast, spec: NearSpec):
@@ -347,23 +346,22 @@ def verified_links(
     return compared.where(F.col("similarity") >= spec.similarity)
 
 
-def _elements(profile) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A profile as a set: a shingle of frequency n is n elements. Hash, weight, is it the first."""
+def _elements(profile) -> tuple[np.ndarray, np.ndarray]:
+    """A profile as a set: a shingle of frequency n is n elements. Hash and weight."""
     hashes, tf, weight = profile
     at = np.repeat(np.arange(len(hashes)), tf)
     level = np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf)
     keys = np.where(level == 0, hashes[at], words.mix(hashes[at] ^ words.mix(level.astype(np.uint64))))
-    return keys, weight[at], level == 0
+    return keys, weight[at]
 
 
 def _close(profiles: list, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
     """Which texts of ``left`` and ``right`` may be as similar as ``least``: products of matrices
     over shingles, a few columns at a time, in single precision."""
     parts = [_elements(p) for p in profiles]
-    sizes = [len(k) for k, _, _ in parts]
-    owner = np.repeat(np.arange(len(parts)), sizes)
-    keys, weight, first = (np.concatenate(x) for x in zip(*parts))
-    sums = np.array([[w.sum(), f.sum()] for _, w, f in parts])
+    owner = np.repeat(np.arange(len(parts)), [len(k) for k, _ in parts])
+    keys, weight = (np.concatenate(x) for x in zip(*parts))
+    sums = np.array([w.sum() for _, w in parts])
     unique, column, held = np.unique(keys, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(held > 1)
     number = np.full(len(unique), -1)
@@ -371,17 +369,16 @@ def _close(profiles: list, left: np.ndarray, right: np.ndarray, least: float) ->
     column = number[column]
     order = np.argsort(column, kind="stable")
     order = order[np.searchsorted(column[order], 0) :]
-    owner, column, weight, first = (x[order] for x in (owner, column, weight, first))
-    common = np.zeros((2, len(left), len(right)), np.float32)
+    owner, column, weight = (x[order] for x in (owner, column, weight))
+    common = np.zeros((len(left), len(right)), np.float32)
     for low in range(0, len(shared), _COLUMNS):
         a, b = np.searchsorted(column, [low, low + _COLUMNS])
-        for i, x in enumerate((weight, first)):
-            m = np.zeros((len(parts), min(_COLUMNS, len(shared) - low)), np.float32)
-            m[owner[a:b], column[a:b] - low] = np.sqrt(x[a:b])
-            common[i] += m[left] @ m[right].T
-    total = sums[left].T[:, :, None] + sums[right].T[:, None, :] - common
+        m = np.zeros((len(parts), min(_COLUMNS, len(shared) - low)), np.float32)
+        m[owner[a:b], column[a:b] - low] = np.sqrt(weight[a:b])
+        common += m[left] @ m[right].T
+    total = sums[left][:, None] + sums[right][None, :] - common
     # The margin is far above the rounding of the sums; the exact comparison follows.
-    return (common >= (least - 1e-3) * total).any(0)
+    return common >= (least - 1e-3) * total
 
 
 def _links_of_block(rows: dict, weights: np.ndarray, spec: NearSpec) -> list[tuple[int, int]]:
@@ -530,10 +527,12 @@ def near_duplicates(
     Texts are compared as words in lower case (ASCII and Latin-1) without regard to blanks. Copies of a text are one
     text before anything else happens. NULL counts as empty; empty texts form one class of
     their own; texts without five words are one shingle. Rows with the same id count as one
-    document and share a class; a NULL id gets a stand-in from its text, which is negative.
+    document and share a class; a NULL id gets a stand-in from its text, which is negative. A
+    long text is one block of a task, which holds its shingles' hashes.
 
-    Samples and bands find the candidates, so a link is missed with a small chance (about 1 in
-    1,000 at 0.8, less above). Of a group that hangs together by many links, enough are
+    Two texts are linked if their weighted similarity reaches ``similarity``; a passage that one
+    of them repeats counts as often as it stands there. Samples and bands find the candidates, so
+    a link is missed with a small chance (about 1 in 1,000 at 0.8, less above). Of a group that hangs together by many links, enough are
     verified to hold it together; a pair is skipped only when it is connected already.
     """
     spec = spec or NearSpec()
