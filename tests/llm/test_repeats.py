@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from holdfast.llm import repeats
@@ -68,12 +69,69 @@ def test_minimum_of_runs():
         assert repeats._smallest(values, width).tolist() == want
 
 
-def test_a_batch_sends_one_row_of_a_repeated_key_to_its_group():
+def test_a_batch_sends_one_row_of_a_crowded_key_to_its_group():
     part = {
-        "anchor": np.array([5, 5, 5, 6], np.uint64),
+        "prefix": np.array([5, 5, 5, 6], np.uint64),
         "id0": np.array([9, 10, 11, 12]),
         "version": np.ones(4, np.int64),
         "place": np.arange(4),
     }
-    rows = repeats._rows([part], ["anchor"]).to_pylist()
-    assert [(r["salt"] == 0, r["weight"]) for r in rows] == [(True, 2), (False, 2), (False, 2), (True, 1)]
+    columns = repeats._merged([part], ["prefix"], 2, 9)
+    rows = list(zip(columns["salt"].to_pylist(), columns["weight"].to_pylist()))
+    assert [(salt == 0, weight) for salt, weight in rows] == [
+        (True, 9), (False, 9), (False, 9), (True, 1),
+    ]
+    assert set(repeats._merged([part], ["prefix"], 3, 9)["salt"].to_pylist()) == {0}
+
+
+@pytest.mark.parametrize("bound", [1, 2, 5])
+def test_prefixes_of_any_length_give_the_same(spark, bound):
+    rows = passages(2, 30, 9)
+    got = remove_repeats(docs_frame(spark, rows).repartition(4), window=9, bound=bound).collect()
+    want = brute(rows, 9)
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == [
+        (i, *b) for i, b in enumerate(want)
+    ]
+
+
+def test_nodes_at_depth_hold_all_suffixes_that_agree_so_far():
+    rng = np.random.default_rng(5)
+    for depth in (1, 2, 4, 7):
+        codes = rng.integers(0, 3, 300)
+        at = np.arange(len(codes) - depth)
+        node = rng.integers(0, 3, len(at))
+        keys = [(n, *codes[a : a + depth]) for n, a in zip(node.tolist(), at.tolist())]
+        seen = Counter(keys)
+        got = repeats.deep_suffixes(codes, at, node, depth)
+        assert sorted(got.tolist()) == [i for i, k in enumerate(keys) if seen[k] > 1]
+    assert not len(repeats.deep_suffixes(codes, at[:0], node[:0], 3))
+
+
+def test_groups_that_straddle_batches():
+    """A tree whose rows come in several batches, and a counted node in more than two."""
+    names = [c.split()[0] for c in repeats._SUFFIXES.split(", ")]
+    listed = [[1, 2, 3, 4], [1, 2, 3, 9], [7, 2, 3, 4]]
+    trees = [(4, 0, 0, i, 1, 10, 1, 2, 1, w) for i, w in enumerate(listed)]
+    counted = [(5, 8, 0, i, 1, 3, 1, 1, 0, None) for i in range(4)] + [(5, 9, 0, 9, 1, 0, 1, 1, 0, None)]
+    schema = pa.schema([(n, pa.int64()) for n in names[:-1]] + [("words", pa.list_(pa.int64()))])
+
+    def batch(*rows):
+        return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+
+    rows = trees + counted
+    for size in (1, 2, 3, len(rows)):
+        batches = [batch(*rows[i : i + size]) for i in range(0, len(rows), size)]
+        found = {tuple(r.values()) for b in repeats._tree_rows(3)(iter(batches)) for r in b.to_pylist()}
+        # Windows of three: 123 in texts 0 and 1, 234 in texts 0 and 2.
+        assert found == {(0, 1, 31), (1, 1, 30), (2, 1, 33)} | {(i, 1, 9) for i in range(4)}
+
+
+def test_a_long_text_that_repeats_itself(spark):
+    """400,000 words: a passage of 2,000 words that comes back among others."""
+    passage, filler = prose(3, 2000), prose(4, 396_000)
+    text = " ".join(filler[:200_000] + passage + filler[200_000:] + passage)
+    rows = [text, " ".join(passage[:34])]
+    got = remove_repeats(docs_frame(spark, rows)).collect()
+    want = brute(rows, 35)
+    assert want[0][1] >= 4000
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == dict(enumerate(want))
