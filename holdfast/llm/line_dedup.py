@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,82 +67,123 @@ def document_counts(docs: DataFrame, text_column: str, min_length: int, *by: Col
     return held.select(*names, "h.*").groupBy(*names, *HASH).agg(F.count(F.lit(1)).alias("n"))
 
 
+class BucketedTable:
+    """Rows (a, b, n) in numbered parts, each cut into the same buckets by hash and sorted there.
+
+    A bucket of one part is one file, so parts are joined and summed as they lie, without an
+    exchange. The files are under the shared folder; the table is known to this session only.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+        self.spark = spark
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.path = new_path(spark, name)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.exists = False
+
+    def append(self, rows: DataFrame) -> None:
+        """Add rows (a, b, n, part). Spark leaves the exchange out if they lie right already."""
+        placed = rows.repartition(self.buckets, *HASH).select(*HASH, "n", "part")
+        writer = placed.write.mode("append").partitionBy("part").option("path", self.path)
+        writer.bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(self.name)
+        self.exists = True
+
+    def read(self, *parts: int) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("part").isin(*parts)).select(*HASH, "n")
+
+    def drop_part(self, part: int) -> None:
+        remove(self.spark, f"{self.path}/part={part}")
+        self.spark.catalog.refreshTable(self.name)
+
+    def drop(self) -> None:
+        if self.exists:
+            self.spark.sql(f"DROP TABLE {self.name}")
+        self.exists = False
+        remove(self.spark, self.path)
+
+
 class LineRuns:
-    """An index of lines in levels of runs, each a stored table (a, b, n) sorted by hash.
+    """An index of lines in levels of runs (a, b, n), bucketed and sorted by hash.
 
     ``add`` takes the counts of a batch, leaves out by merge-anti-join what a run already
     holds as settled (in ``settled`` documents or more), and stores the rest as a new run.
     ``fanout`` runs of a level are merged into one of the next, so that there are only about
     ``fanout`` times the logarithm of the number of batches. Counts of a line add up over runs.
+    Runs have ``buckets`` buckets, as many as there are shuffle partitions if not given; anti-joins
+    and merges shuffle no run.
     """
 
-    def __init__(self, spark: SparkSession, settled: int, fanout: int = 4):
+    def __init__(
+        self, spark: SparkSession, settled: int, fanout: int = 4, buckets: int | None = None
+    ):
         self.spark, self.settled, self.fanout = spark, settled, fanout
-        self.levels: list[list[str]] = [[]]
+        self.table = BucketedTable(spark, "line_runs", buckets)
+        self.levels: list[list[int]] = [[]]
+        self._next = 0
 
-    def _stored(self) -> list[str]:
-        return [path for level in self.levels for path in level]
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("a bigint, b bigint, n bigint").parquet(*paths)
+    def _stored(self) -> list[int]:
+        return [run for level in self.levels for run in level]
 
     def _store(self, run: DataFrame, level: int) -> None:
-        path = new_path(self.spark, f"run-{level}")
-        run.select(*HASH, "n").sortWithinPartitions(*HASH).write.parquet(path)
+        self.table.append(run.withColumn("part", F.lit(self._next)))
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(self._next)
+        self._next += 1
 
-    def add(self, counts: DataFrame) -> None:
-        for path in self._stored():
-            known = self._read([path]).where(F.col("n") >= self.settled)
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """``counts`` without the lines that a run holds as settled."""
+        for run in self._stored():
+            known = self.table.read(run).where(F.col("n") >= self.settled)
             counts = counts.join(known.hint("merge"), HASH, "left_anti")
-        self._store(counts, 0)
+        return counts
+
+    def add(self, counts: DataFrame) -> None:
+        self._store(self.unsettled(counts), 0)
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fanout:
                 self._compact(level)
 
     def _compact(self, level: int) -> None:
         old, self.levels[level] = self.levels[level], []
-        self._store(self._summed(old), level + 1)
-        for path in old:
-            remove(self.spark, path)
+        self._store(self.summed(old), level + 1)
+        for run in old:
+            self.table.drop_part(run)
 
-    def _summed(self, paths: list[str]) -> DataFrame:
-        return self._read(paths).groupBy(*HASH).agg(F.sum("n").alias("n"))
+    def summed(self, runs: list[int]) -> DataFrame:
+        return self.table.read(*runs).groupBy(*HASH).agg(F.sum("n").alias("n"))
 
     def at_least(self, n: int) -> DataFrame:
         """Hashes of the lines in ``n`` documents or more, for n up to ``settled``."""
         if not self._stored():
             return self.spark.createDataFrame([], "a bigint, b bigint")
-        return self._summed(self._stored()).where(F.col("n") >= n).select(*HASH)
+        return self.summed(self._stored()).where(F.col("n") >= n).select(*HASH)
 
     def remove(self) -> None:
-        for path in self._stored():
-            remove(self.spark, path)
+        self.table.drop()
         self.levels = [[]]
 
     def novel(self, docs: DataFrame, text_column: str = "text", min_length: int = 1) -> DataFrame:
         """Hashes of the lines in ``docs`` that no run holds."""
         fresh = document_counts(docs, text_column, min_length)
-        runs = [self._read([path]).hint("merge") for path in self._stored()]
+        runs = [self.table.read(run).hint("merge") for run in self._stored()]
         return reduce(lambda left, run: left.join(run, HASH, "left_anti"), runs, fresh)
 
 
 def index_lines(
     docs: DataFrame, text_column: str, min_docs: int, min_length: int, batches: int, fanout: int
 ) -> LineRuns:
-    """The runs of all lines of ``docs``, added in ``batches`` by a hash of the text."""
+    """The runs of all lines of ``docs``, added in ``batches`` by a hash of the text.
+
+    The counts of all batches are bucketed as the runs are, by their only exchange."""
     spark = docs.sparkSession
-    batch = F.pmod(F.xxhash64(text_column), F.lit(batches)).alias("batch")
-    path = new_path(spark, "batches")
-    counts = document_counts(docs, text_column, min_length, batch)
-    counts.repartition(*HASH).write.partitionBy("batch").parquet(path)
-    stored = spark.read.schema("a bigint, b bigint, n bigint, batch bigint").parquet(path)
+    batch = F.pmod(F.xxhash64(text_column), F.lit(batches)).cast("int").alias("part")
     runs = LineRuns(spark, min_docs, fanout)
+    fresh = BucketedTable(spark, "line_batches", runs.table.buckets)
+    fresh.append(document_counts(docs, text_column, min_length, batch))
     for i in range(batches):
-        runs.add(stored.where(F.col("batch") == i).drop("batch"))
-    remove(spark, path)
+        runs.add(fresh.read(i))
+    fresh.drop()
     return runs
 
 

@@ -70,6 +70,22 @@ def test_runs_are_merged_level_by_level_and_counts_add_up(spark):
     assert {tuple(r) for r in runs.at_least(3).collect()} == want
 
 
+def test_runs_are_joined_and_merged_as_they_lie(spark):
+    """Neither an anti-join of a stored batch with the runs nor a merge of runs shuffles."""
+    runs = LineRuns(spark, settled=3, fanout=9)
+    for seed in range(3):
+        runs.add(document_counts(docs_frame(spark, texts(seed, 12)), "text", 1))
+    fresh = line_dedup.BucketedTable(spark, "fresh", runs.table.buckets)
+    counts = document_counts(docs_frame(spark, texts(9, 12)), "text", 1)
+    fresh.append(counts.withColumn("part", F.lit(0)))
+    for df, joins in ((runs.unsettled(fresh.read(0)), 3), (runs.summed([0, 1, 2]), 0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert plan.count("SortMergeJoin") == joins
+    fresh.drop()
+    runs.remove()
+
+
 def test_novel_lines_are_those_no_run_holds(spark):
     runs = LineRuns(spark, settled=2, fanout=2)
     runs.add(document_counts(docs_frame(spark, ["old\nolder"]), "text", 1))
