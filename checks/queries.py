@@ -31,7 +31,7 @@ from holdfast.operators import (
 from holdfast.plans import jobs, report
 from holdfast.sources import files, manifest, views
 from holdfast.streaming import endpoints, feed, framing
-from holdfast.streaming.first_edits import first_edits_stream
+from holdfast.streaming.first_edits import first_edits_stream, keep_state_on_disk
 from holdfast.workspace import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -643,6 +643,7 @@ def stream_scores_table(spark, sf_dir):
 
 def stream_first_features(spark, sf_dir):
     """First edits kept by a stateful stream, then the batch feature job on what it kept."""
+    keep_state_on_disk(spark)
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
     stream = endpoints.table_source(spark, sf_dir, "events.parquet", table.schema)
     kept = first_edits_stream(views.events_to_edits(stream), EVENT_SPEC.window + 1)

@@ -10,7 +10,7 @@ from holdfast.operators import features, logreg
 from holdfast.plans import jobs
 from holdfast.sources import files, views
 from holdfast.streaming import endpoints, feed
-from holdfast.streaming.first_edits import first_edits_stream
+from holdfast.streaming.first_edits import first_edits_stream, keep_state_on_disk
 from holdfast.workspace import new_path
 
 from .conftest import SF_SMALL
@@ -166,8 +166,20 @@ def test_feed_job_writes_through_any_sink(spark, tmp_path):
     assert {json.loads(r.value)["user"] for r in spark.read.text(out).collect()} == {"u", "v"}
 
 
+@pytest.fixture
+def on_disk(spark):
+    keep_state_on_disk(spark)
+    yield
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_first_edits_need_a_store_on_disk(spark):
+    with pytest.raises(RuntimeError, match="RocksDB"):
+        first_edits_stream(views.events_as_edits(spark, SF_SMALL), 3)
+
+
 @pytest.mark.parametrize("shards", [1, 3])
-def test_first_edits_of_a_shuffled_stream_equal_the_batch(spark, tmp_path, shards):
+def test_first_edits_of_a_shuffled_stream_equal_the_batch(spark, tmp_path, on_disk, shards):
     """Edits arrive out of order, in several batches."""
     spec = FeatureSpec(horizon_days=1)
     edits = views.events_as_edits(spark, SF_SMALL)
@@ -191,7 +203,7 @@ def test_first_edits_of_a_shuffled_stream_equal_the_batch(spark, tmp_path, shard
     assert sorted(features.editor_features(kept, spec).collect()) == want
 
 
-def test_missing_revision_ids_and_evicted_editors(spark, tmp_path):
+def test_missing_revision_ids_and_evicted_editors(spark, tmp_path, on_disk):
     """Ids that are NULL order as in the batch job, and state that was dropped costs rows only."""
     spec = FeatureSpec(horizon_days=1, window=3)
     edits = views.events_as_edits(spark, SF_SMALL).withColumn(
@@ -212,3 +224,86 @@ def test_missing_revision_ids_and_evicted_editors(spark, tmp_path):
     kept = spark.read.schema(schema.CLEAN).parquet(out)
     want = sorted(features.editor_features(edits, spec).collect())
     assert sorted(features.editor_features(kept, spec).collect()) == want
+
+
+def held_keys(spark, checkpoint):
+    """(editor, number of edits held) of the state that a finished stream left."""
+    state = spark.read.format("statestore").option("stateVarName", "first").load(checkpoint)
+    rows = state.select("key.event_user_id", F.size("value.micros").alias("n")).collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_state_ends_with_the_watermark_and_moves_with_later_edits(spark, tmp_path, on_disk):
+    """u: one edit. v: an edit as old, and one that moves its end. w: brings the watermark on."""
+    arrivals, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    for user, ts in (
+        ("u", "2020-01-01 00:00:00"),
+        ("v", "2020-01-01 00:00:00"),
+        ("v", "2020-01-02 00:00:00"),
+        ("w", "2020-01-04 12:00:00"),
+        ("w", "2020-01-04 13:00:00"),
+    ):
+        edits = spark.sql(f"SELECT '{user}' AS event_user_id, TIMESTAMP '{ts}' AS ts, '1' AS revision_id, 7 AS more")
+        edits.coalesce(1).write.mode("append").parquet(arrivals)
+
+    def run():
+        stream = endpoints.table_source(
+            spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1
+        )
+        kept = first_edits_stream(stream, 3, shards=1, idle_days=3)
+        endpoints.run_to_end(endpoints.file_sink(kept, out, check, available_now=True))
+
+    run()
+    assert held_keys(spark, check) == [("v", 2), ("w", 2)]
+    edits = edits.withColumn("ts", F.expr("ts + INTERVAL 20 DAYS"))
+    edits.coalesce(1).write.mode("append").parquet(arrivals)
+    run()
+    assert held_keys(spark, check) == [("w", 3)]
+    assert spark.read.schema(edits.schema).parquet(out).count() == 6
+
+
+def test_an_editor_with_many_edits_keeps_the_first_of_them(spark, tmp_path, on_disk):
+    """A third of all rows are of one editor; equal keys are kept once each, up to the limit."""
+    arrivals, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    spark.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE string(id % 500) END AS event_user_id",
+        "timestamp_seconds(1600000000 + pmod(xxhash64(id), 1000)) AS ts",
+        "string(id % 40) AS revision_id",
+        "id AS more",
+    ).repartition(3, "more").write.parquet(arrivals)
+    edits = spark.read.parquet(arrivals)
+    stream = endpoints.table_source(
+        spark, arrivals, "*.parquet", edits.schema, maxFilesPerTrigger=1
+    )
+    kept = first_edits_stream(stream, 5, shards=2)
+    endpoints.run_to_end(endpoints.file_sink(kept, out, check, available_now=True))
+
+    def first(rows):
+        keys = {}
+        for r in rows:
+            key = (r.ts, len(r.revision_id), r.revision_id)
+            keys.setdefault(r.event_user_id, []).append(key)
+        return {user: sorted(k)[:5] for user, k in keys.items()}
+
+    rows = spark.read.schema(edits.schema).parquet(out).collect()
+    assert first(rows) == first(edits.collect())
+    assert sum(r.event_user_id == "hot" for r in rows) <= 3 * 2 * 5
+
+
+def test_a_trigger_by_time_takes_what_has_arrived_since(spark, tmp_path):
+    """Two triggers of one running query, each with what lay in the folder when it fired."""
+    source, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    lines(spark, "one").coalesce(1).write.mode("append").text(source)
+    query = endpoints.file_sink(
+        endpoints.text_source(spark, source), out, check, format="text", trigger="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert [r.value for r in spark.read.text(out).collect()] == ["one"]
+        lines(spark, "two", "three").coalesce(1).write.mode("append").text(source)
+        query.processAllAvailable()
+        assert sorted(r.value for r in spark.read.text(out).collect()) == ["one", "three", "two"]
+        starts = [p["timestamp"] for p in query.recentProgress if p["numInputRows"]]
+        assert len(starts) == 2 and starts[0] < starts[1]
+    finally:
+        query.stop()
