@@ -97,6 +97,46 @@ def test_pipeline_on_odd_tables(spark, tmp_path, texts):
     assert len(left) == len({re.sub(r"\s", "", t or "") if t and t.strip() else t or "" for t in texts})
 
 
+def test_pipeline_on_repeated_ids_and_columns_of_any_name(spark, tmp_path):
+    """Columns named like the ones that stages make come through; an id with two texts, a
+    repeated row and a NULL id are defined."""
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (1, long, "en", "s", 1),
+        (2, long + " end", "en", "s", 2),  # near 1: goes
+        (3, other, "en", "s", 3),
+        (3, other, "en", "s", 3),  # the same row again: one document
+        (4, "a text of its own, short", "en", None, 4),
+        (4, "and another text under the same id", None, "s", 5),
+        (None, "a text without an id", "en", "s", 6),
+    ]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    more = ["row", "x", "score", "label", "a", "b", "id0", "body", "class_id", "key", "id.0"]
+    docs = spark.createDataFrame(rows, schema).select(
+        "*", *[F.concat(F.lit(name), F.col("n_chars")).alias(name) for name in more]
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(1, 5)], "doc_id bigint, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = corpus_pipeline.materialize(stage(spark, left, str(tmp_path)), "stage")
+        assert left.dtypes == docs.dtypes, name
+    kept = left.collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(r[0], r[1]) for r in rows if r[0] != 2}
+    number = {(r[0], r[1]): r[4] for r in rows}
+    for r in kept:
+        assert r.n_chars == len(r.text)
+        assert all(r[name] == f"{name}{number[r.doc_id, r.text]}" for name in more)
+    encoded = corpus_pipeline.run(spark, str(tmp_path))
+    assert encoded.count() == len(kept)
+
+
 def test_every_query_covers_every_row(spark, sf_small):
     for name in ("op1_secret_scan", "op2_token_counts", "op3_bpe", "op4_near_dedup", "op7_quality"):
         found = queries.QUERIES[name](spark, sf_small)
