@@ -27,9 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on labelled ones, does not reject."""
     labels = _table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
-    measured = docs.select("doc_id", quality.statistics(docs).alias("x"))
-    model = quality.fit(materialize(measured, "measured"), labels)
     rows = docs.select(whole_row(docs), quality.statistics(docs).alias("x"))
+    # Texts are measured once: the fit and the scores read the same stored table.
+    rows = materialize(rows, "measured")
+    model = quality.fit(rows.select("row.doc_id", "x"), labels)
     scored = rows.select("row", quality.score(rows, model, F.col("x")).alias("score"))
     return scored.where(F.col("score") >= QUALITY_THRESHOLD).select("row.*")
 
