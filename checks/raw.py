@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from holdfast import schema
 from holdfast.sources.views import EVENT_K, project, table
 
+#: About how many blocks of the feed land in one file.
+BLOCKS_A_FILE = 250_000
+
 # Some rows are not revisions, made by bots, anonymous (or unknown to be), in other or
 # unknown namespaces, or have no readable time.
 _ORDER_RAW = {
@@ -101,9 +104,44 @@ def events_as_blocks(events: DataFrame) -> DataFrame:
 
 
 def land_blocks(blocks: DataFrame, path: str) -> None:
-    """Land blocks in one more file, in the order of their ids."""
-    one = blocks.coalesce(1).sortWithinPartitions("event_id").select("value")
-    one.write.mode("append").option("lineSep", "\n\n").text(path)
+    """Land blocks in more files, in the order of their ids.
+
+    A task sorts and writes one range of ids, so its memory does not grow with the table. Tasks
+    end in any order; the files get one time, by which all are later than what landed before,
+    and among them their names tell the order.
+    """
+    files = max(1, -(-blocks.count() // BLOCKS_A_FILE))
+    order = ("event_id", "value")
+    ranges = blocks.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    before = _modified(blocks.sparkSession, path)
+    ranges.select("value").write.mode("append").option("lineSep", "\n\n").text(path)
+    _land_at_once(blocks.sparkSession, path, before)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The folder as Hadoop names it, and the file system that it lies on."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names of the files in a folder, and when they were modified, in milliseconds."""
+    where, system = _file_system(spark, path)
+    if not system.exists(where):
+        return {}
+    found = [f for f in system.listStatus(where) if f.getPath().getName().startswith("part-")]
+    return {f.getPath().getName(): f.getModificationTime() for f in found}
+
+
+def _land_at_once(spark: SparkSession, path: str, before: dict[str, int]) -> None:
+    """Give the files that are not among those of ``before`` one time, later than theirs."""
+    where, system = _file_system(spark, path)
+    new = {name: at for name, at in _modified(spark, path).items() if name not in before}
+    end = max([*new.values(), *[at + 1 for at in before.values()]], default=0)
+    for name in new:
+        system.setTimes(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where, name), end, -1)
+    if any(at != end for name, at in _modified(spark, path).items() if name in new):
+        raise RuntimeError(f"the file system of {path} does not keep the times it is given")
 
 
 def land_by_month(orders: DataFrame, path: str) -> None:

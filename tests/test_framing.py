@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from checks import raw
 from holdfast.streaming import endpoints, feed, framing
 
 
@@ -162,3 +163,33 @@ def test_two_timed_triggers(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2]
 
 
+
+
+def test_blocks_land_in_ranges_of_bounded_size(spark, tmp_path, monkeypatch):
+    """In places that follow their ids, each landing after the one before it."""
+    monkeypatch.setattr(raw, "BLOCKS_A_FILE", 100)
+    path = f"{tmp_path}/feed"
+    ids = spark.range(0, 1000, 1, 4).selectExpr("(id * 7919) % 1000 AS event_id")
+    blocks = ids.selectExpr("event_id", "concat('id: ', event_id, '\ndata: x') AS value")
+    landings = [blocks, blocks.where("event_id % 4 = 3"), blocks.where("event_id < 10")]
+    want = []
+    for landing in landings:
+        raw.land_blocks(landing, path)
+        want += sorted(r.event_id for r in landing.collect())
+        read = framing.parse_events(framing.read_framed(spark, path))
+        assert [int(r.id) for r in read.orderBy(framing.PLACE).collect()] == want
+        assert framing.resume_point(read).first().id == str(want[-1])
+    sizes = [f.read_text().count("id: ") for f in Path(path).glob("part-*")]
+    assert sum(sizes) == len(want) and len(sizes) >= 12 and max(sizes) < 250
+
+
+def test_blocks_with_repeated_and_missing_ids_all_land(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw, "BLOCKS_A_FILE", 5)
+    rows = [(None, "data: a"), (None, "data: b"), *[(1, "id: 1\ndata: c")] * 20, (2, "data: d")]
+    path = f"{tmp_path}/feed"
+    raw.land_blocks(spark.createDataFrame(rows, "event_id bigint, value string"), path)
+    read = framing.parse_events(framing.read_framed(spark, path))
+    got = [(r.id, r.data) for r in read.orderBy(framing.PLACE).collect()]
+    assert got == [(None, "a"), (None, "b"), *[("1", "c")] * 20, (None, "d")]
+    raw.land_blocks(spark.createDataFrame([], "event_id bigint, value string"), path)
+    assert framing.parse_events(framing.read_framed(spark, path)).count() == len(rows)
