@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from holdfast import schema
 from holdfast.sources.views import EVENT_K, project, table
 
+#: Lines of a landed history file at most, and at least if there is more than one file.
+LINES_A_FILE, FEWEST_LINES_A_FILE = 1_000_000, 50_000
 #: About how many blocks of the feed land in one file.
 BLOCKS_A_FILE = 250_000
 
@@ -61,13 +63,26 @@ if(event_id % 101 = 0, '{{"wiki": broken', to_json(named_struct(
 """
 
 
-def orders_as_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the text cells of the raw history, with rows that cleaning has to drop."""
+def orders_as_raw(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Orders as the text cells of the raw history, with rows that cleaning has to drop.
+
+    ``spread`` deals them out to tasks of like size, see :func:`history_files`.
+    """
     orders = table(spark, sf_dir, "orders")
+    if spread:
+        files = history_files(orders.count(), spark.sparkContext.defaultParallelism)
+        orders = orders.repartition(files, *orders.columns)
     as_text = schema.struct(", ".join(f"{c} string" for c in schema.RAW.fieldNames()))
     return project(orders, as_text, _ORDER_RAW, default="''")
 
 
+def history_files(rows: int, cores: int) -> int:
+    """In how many files to land a history. Compressing takes most of the time, so all cores get
+    the same number of files, unless these would be small."""
+    rounds = -(-rows // (LINES_A_FILE * cores))
+    return max(1, min(rounds * cores, -(-rows // FEWEST_LINES_A_FILE)))
+
+
 def events_as_changes(events: DataFrame) -> DataFrame:
     """Events as change-feed JSON lines in a ``value`` column; works on a stream too."""
     return events.selectExpr(_EVENT_CHANGE)

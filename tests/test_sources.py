@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries, raw
 from holdfast import schema
 from holdfast.operators import clean
 from holdfast.plans import jobs
@@ -243,3 +244,32 @@ def test_quarantine_is_written_in_one_pass(spark, tmp_path):
     rejected = files.read_status(spark, path, clean.REJECTED_LINE).collect()
     assert sorted(r.line for r in rejected) == sorted(text[-2:])
     assert all(r.revision_id is None for r in rejected)
+
+
+def test_a_history_lands_in_files_of_like_size(spark, tmp_path, monkeypatch):
+    """Whatever the layout of the table that it comes from."""
+    monkeypatch.setattr(raw, "FEWEST_LINES_A_FILE", 100)
+    orders = spark.range(2000).selectExpr(
+        "nullif(id % 1990, 7) AS o_orderkey",
+        "id % 30 AS o_custkey",
+        "'F' AS o_orderstatus",
+        "id * 1.5D AS o_totalprice",
+        "if(id % 40 = 0, NULL, timestamp '1996-02-03 00:00:00') AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority",
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    path = queries.landed_history(spark, str(tmp_path))
+    counts = spark.read.text(path).groupBy(F.input_file_name()).count().collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert len(counts) == cores and max(r["count"] for r in counts) < 2 * 2000 / cores
+    got = queries.read_revision_tsv(spark, str(tmp_path))
+    want = queries.tidy(queries.typed_raw(spark, str(tmp_path)))
+    assert got.count() == 2000
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_number_of_history_files():
+    assert raw.history_files(0, 12) == 1
+    assert raw.history_files(150_000, 12) == 3
+    assert raw.history_files(9_000_000, 12) == 12
+    assert raw.history_files(54_000_000, 12) == 60
