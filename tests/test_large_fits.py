@@ -49,7 +49,9 @@ def descent(x, y, spec):
     return losses, w, b
 
 
-@pytest.mark.parametrize("name, spec", [("logreg_loss", queries.LOGREG)])
+@pytest.mark.parametrize(
+    "name, spec", [("logreg_loss", queries.LOGREG), ("logreg_loss_3ep", queries.THREE_EPOCHS)]
+)
 def test_every_epoch_sees_all_rows(spark, parts, name, spec):
     rows = queries.QUERIES[name](spark, "").orderBy("epoch").collect()
     (x, y), _ = parts
