@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from holdfast import schema
+from holdfast.config import KMeansSpec
 from holdfast.operators import logreg, vectors
 
 EDITORS = 530_000
@@ -57,3 +58,25 @@ def test_every_epoch_sees_all_rows(spark, parts, name, spec):
     (x, y), _ = parts
     assert [r.n for r in rows] == [len(x)] * spec.epochs
     assert [r.log_loss for r in rows] == pytest.approx(descent(x, y, spec)[0], abs=1e-6)
+
+
+def test_summary_is_that_of_a_fit_on_all_rows(spark, parts, monkeypatch):
+    models, fit = [], logreg.fit
+
+    def kept(*args):
+        models.append(fit(*args))
+        return models[-1]
+
+    monkeypatch.setattr(logreg, "fit", kept)
+    monkeypatch.setattr(queries, "KMEANS", KMeansSpec(iters=1))  # clusters are not the point
+    row = queries.QUERIES["summary"](spark, "").first()
+    (x, y), (test_x, test_y) = parts
+    _, w, b = descent(x, y, queries.LOGREG)
+    assert [[h["rows"] for h in m.history] for m in models] == [[len(x)] * queries.LOGREG.epochs]
+    assert models[0].weights == pytest.approx(list(w), abs=1e-9)
+    z = test_x @ w + b
+    hit, gone = z >= 0, test_y == 1
+    below = np.searchsorted(np.sort(z[~gone]), z[gone])
+    assert (row.n_editors, row.n_train) == (EDITORS, len(x))
+    assert row.tp == pytest.approx((hit & gone).sum(), abs=1)  # a score may round to 0.5
+    assert row.auc_roc == pytest.approx(below.sum() / (gone.sum() * (~gone).sum()), abs=1e-6)
